@@ -1,0 +1,12 @@
+"""Streaming.
+
+The jobs this library re-expresses are all batch: every input is a finished
+file read once, and there are no watermarks, event-time windows or state
+stores to carry over.  No streaming operator is therefore provided.
+
+The stateless line operators (``relational.filter_amount``,
+``relational.drop_blank_lines``, ``sources.delimited.parse_delimited``,
+``words.token_lengths``) are plain projections and filters, so they apply
+unchanged to a ``spark.readStream.text(...)`` frame; the aggregating ones
+would need a watermark that the batch jobs never define.
+"""
