@@ -49,14 +49,14 @@ def literal_sep(sep: str) -> str:
 
 def jsplit(c, sep_regex: str) -> Column:
     """Java ``String.split(sep_regex)``: trailing empty fields removed."""
-    stripped = F.regexp_replace(_col(c), f"(?:{sep_regex})+$", "")
+    stripped = F.regexp_replace(_col(c), rf"(?:{sep_regex})+\z", "")
     return F.split(stripped, sep_regex, -1)
 
 
 def java_tokens(line) -> Column:
     """Tokens of ``line.split("\\\\s+")`` as an array, JVM rules included."""
     line = _col(line)
-    stripped = F.regexp_replace(line, f"{JAVA_WS}+$", "")
+    stripped = F.regexp_replace(line, rf"{JAVA_WS}+\z", "")
     return (F.when(line == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, f"{JAVA_WS}+", -1)))
@@ -66,6 +66,6 @@ def text_lines(text) -> Column:
     """Lines of a whole text as a line reader sees them: ``\\n``, ``\\r\\n``
     or ``\\r`` end a line; a final terminator does not open an empty line."""
     text = _col(text)
-    body = F.regexp_replace(text, r"(?:\r\n|\r|\n)$", "")
+    body = F.regexp_replace(text, r"(?:\r\n|\r|\n)\z", "")
     return (F.when(text == "", F.array().cast("array<string>"))
             .otherwise(F.split(body, r"\r\n|\r|\n", -1)))

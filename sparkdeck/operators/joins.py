@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a dimension side we accept to ship to every executor.  At ~100 B a
@@ -48,11 +48,10 @@ def dedupe_build_side(df: DataFrame, key: str | Sequence[str], value: str | Sequ
     """
     keys = [key] if isinstance(key, str) else list(key)
     vals = [value] if isinstance(value, str) else list(value)
-    if order_col is not None:
-        aggs: list[Column] = [F.max_by(F.col(v), F.col(order_col)).alias(v) for v in vals]
-    elif len(vals) == 1:
-        aggs = [F.max(vals[0]).alias(vals[0])]
-    else:
-        packed = F.max(F.struct(*[F.col(v) for v in vals])).alias("_last")
-        return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_last.{v}").alias(v) for v in vals])
-    return df.groupBy(*keys).agg(*aggs)
+    if order_col is None and len(vals) == 1:
+        return df.groupBy(*keys).agg(F.max(vals[0]).alias(vals[0]))
+    # Lexicographic max of (order, values...): rows tied on the order column
+    # resolve to the greatest value, so the choice never depends on arrival.
+    order = [F.col(order_col).alias("_o")] if order_col is not None else []
+    packed = F.max(F.struct(*order, *[F.col(v) for v in vals])).alias("_last")
+    return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_last.{v}").alias(v) for v in vals])

@@ -116,6 +116,13 @@ def first_rows(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """The schema as data: (ordinal, column_name, data_type)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string, data_type string")
+    """The schema as data, one row per column: (ordinal, column_name,
+    data_type, non_null).  The non-null counts come from one aggregate pass
+    (partial counts per task), unpivoted in the same projection."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"_c{i}") for i, f in enumerate(fields)])
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                              F.lit(f.dataType.simpleString()).alias("data_type"),
+                              F.col(f"_c{i}").alias("non_null"))
+                     for i, f in enumerate(fields)])
+    return counts.select(F.inline(rows))
