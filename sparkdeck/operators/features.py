@@ -63,11 +63,13 @@ def string_index(fit_df: DataFrame, apply_df: DataFrame, cols: Sequence[str], su
 
 
 def one_hot_encode(fit_df: DataFrame, apply_df: DataFrame, idx_cols: Sequence[str], suffix: str = "_vec",
-                   drop_last: bool = True) -> DataFrame:
-    """One-hot vectors of index columns (last category dropped)."""
+                   drop_last: bool = True, handle_invalid: str = "error") -> DataFrame:
+    """One-hot vectors of index columns (last category dropped).  After
+    a 'keep' StringIndexer the NULL/unseen index is the last category, so
+    with ``drop_last`` it encodes as all zeros and the width is n."""
     idx_cols = list(idx_cols)
     enc = OneHotEncoder(inputCols=idx_cols, outputCols=[c + suffix for c in idx_cols], dropLast=drop_last,
-                        handleInvalid="keep")
+                        handleInvalid=handle_invalid)
     return enc.fit(fit_df).transform(apply_df)
 
 
