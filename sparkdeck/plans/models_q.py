@@ -1 +1,183 @@
-"""Registered queries."""
+"""Registered model queries.
+
+Closed-form ones (linear / ridge fits, predictions, RMSE, R2, accuracy, AUC)
+carry a SQL oracle; tree ensembles, logistic fits, comparison and CV are
+checked by row counts here and by property tests in ``tests/``.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from sparkdeck.operators import evaluate, models, tuning
+from sparkdeck.operators.features import stable_split
+from sparkdeck.plans import bindings as B
+from sparkdeck.plans import sqlparts as S
+from sparkdeck.plans.registry import query
+
+REG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+DOC_FEATURES = ["n_chars", "n_lines", "n_words", "n_digits"]
+REG_KEY = ["order_id", "line_id"]
+RIDGE = {"regParam": 0.3, "maxIter": 10}
+
+_BUCKET = S.stable_bucket("order_id, line_id", 42, 100)
+_REG_SPLIT = f"SELECT *, CASE WHEN {_BUCKET} < 70 THEN 'train' ELSE 'test' END AS split FROM ({S.REGRESSION}) r"
+_TRAIN_FIT = (f"(SELECT regr_slope(label, l_quantity) AS b, regr_intercept(label, l_quantity) AS a "
+              f"FROM ({_REG_SPLIT}) s WHERE split = 'train')")
+
+
+def _split(spark, d):
+    return tuning.with_split(B.regression_table(spark, d), REG_KEY, 0.7, 42)
+
+
+@query("fit_linear", f"""
+SELECT 'intercept' AS term, ROUND(regr_intercept(label, l_quantity), 4) AS value FROM ({S.REGRESSION}) r
+UNION ALL
+SELECT 'l_quantity' AS term, ROUND(regr_slope(label, l_quantity), 4) AS value FROM ({S.REGRESSION}) r""")
+def q_fit_linear(spark, d):
+    m = models.fit_regressor(B.regression_table(spark, d), ["l_quantity"], "label", "linear")
+    return models.linear_terms(spark, m, ["l_quantity"]).select("term", F.round("value", 4).alias("value"))
+
+
+_RIDGE_SLOPE = "covar_pop(label, l_quantity) / (var_pop(l_quantity) * (1 + 0.3 / stddev_pop(label)))"
+
+
+@query("fit_ridge", f"""
+SELECT 'intercept' AS term, ROUND(AVG(label) - {_RIDGE_SLOPE} * AVG(l_quantity), 4) AS value FROM ({S.REGRESSION}) r
+UNION ALL
+SELECT 'l_quantity' AS term, ROUND({_RIDGE_SLOPE}, 4) AS value FROM ({S.REGRESSION}) r""")
+def q_fit_ridge(spark, d):
+    m = models.fit_regressor(B.regression_table(spark, d), ["l_quantity"], "label", "linear", **RIDGE)
+    return models.linear_terms(spark, m, ["l_quantity"]).select("term", F.round("value", 4).alias("value"))
+
+
+def _linear_test_predictions(spark, d):
+    train, test = _split(spark, d)
+    m = models.fit_regressor(train, ["l_quantity"], "label", "linear")
+    return models.predict(m, test)
+
+
+@query("predict_linear", f"""
+SELECT order_id, line_id, ROUND(f.a + f.b * l_quantity, 2) AS prediction
+FROM ({_REG_SPLIT}) s, {_TRAIN_FIT} f WHERE split = 'test'""")
+def q_predict_linear(spark, d):
+    p = _linear_test_predictions(spark, d)
+    return p.select("order_id", "line_id", F.round("prediction", 2).alias("prediction"))
+
+
+@query("regression_metrics", f"""
+WITH p AS (SELECT label, f.a + f.b * l_quantity AS prediction FROM ({_REG_SPLIT}) s, {_TRAIN_FIT} f
+           WHERE split = 'test')
+SELECT COUNT(*) AS n, ROUND(sqrt(SUM((label - prediction) ^ 2) / COUNT(*)), 4) AS rmse,
+       ROUND(1 - SUM((label - prediction) ^ 2) / (var_pop(label) * COUNT(*)), 6) AS r2,
+       ROUND(AVG(abs(label - prediction)), 4) AS mae
+FROM p""")
+def q_regression_metrics(spark, d):
+    m = evaluate.regression_metrics(_linear_test_predictions(spark, d), "label", "prediction")
+    return m.select("n", F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"),
+                    F.round("mae", 4).alias("mae"))
+
+
+@query("accuracy", f"""
+SELECT CASE WHEN {S.stable_bucket('doc_id', 42, 100)} < 70 THEN 'train' ELSE 'test' END AS split,
+       COUNT(*) AS n, ROUND(AVG(CAST(label = prediction AS DOUBLE)), 6) AS accuracy
+FROM ({S.SCORED_LABELS}) s GROUP BY 1""")
+def q_accuracy(spark, d):
+    s = stable_split(B.scored_labels(spark, d), ["doc_id"], [0.7, 0.3], 42, ["train", "test"])
+    a = evaluate.accuracy(s, "label", "prediction", by=["split"])
+    return a.select("split", "n", F.round("accuracy", 6).alias("accuracy"))
+
+
+@query("auc_roc", f"""
+WITH r AS (SELECT label, rank() OVER (ORDER BY score) + (COUNT(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk
+           FROM ({S.SCORED_LABELS}) s),
+c AS (SELECT SUM(rk) FILTER (WHERE label = 1) AS rs, COUNT(*) FILTER (WHERE label = 1) AS p,
+             COUNT(*) FILTER (WHERE label = 0) AS q, COUNT(*) AS n FROM r)
+SELECT ROUND((rs - p * (p + 1) / 2.0) / (p * q), 6) AS auc, n, p AS n_pos FROM c""")
+def q_auc_roc(spark, d):
+    a = evaluate.auc_roc(B.scored_labels(spark, d), "label", "score")
+    return a.select(F.round("auc", 6).alias("auc"), "n", "n_pos")
+
+
+# ------------------------------------------------------ rows-only checks --
+
+def _fit_eval(spark, d, kind):
+    train, test = _split(spark, d)
+    m = models.fit_regressor(train, REG_FEATURES, "label", kind, seed=42)
+    met = evaluate.regression_metrics(models.predict(m, test), "label", "prediction")
+    return met.select(F.lit(kind).alias("model"), "n", "rmse", "r2", "mae")
+
+
+@query("fit_decision_tree")
+def q_fit_decision_tree(spark, d):
+    return _fit_eval(spark, d, "decision_tree")
+
+
+@query("fit_random_forest")
+def q_fit_random_forest(spark, d):
+    return _fit_eval(spark, d, "random_forest")
+
+
+@query("fit_gbt")
+def q_fit_gbt(spark, d):
+    return _fit_eval(spark, d, "gbt")
+
+
+def _doc_split(spark, d):
+    return tuning.with_split(B.labelled_documents(spark, d), ["doc_id"], 0.7, 42)
+
+
+@query("fit_logistic")
+def q_fit_logistic(spark, d):
+    train, test = _doc_split(spark, d)
+    m = models.fit_logistic(train, DOC_FEATURES, "label", scale=True)
+    terms = models.logistic_terms(spark, m, DOC_FEATURES)
+    scored = models.positive_probability(models.predict(m, test))
+    acc = evaluate.accuracy(scored, "label", "prediction").select(F.lit("test_accuracy").alias("term"),
+                                                                  F.col("accuracy").alias("value"))
+    return terms.unionByName(acc)
+
+
+@query("fit_multinomial")
+def q_fit_multinomial(spark, d):
+    e = B.embedding_table(spark, d).select("vec_id", array_to_vector("embedding").alias("features"),
+                                          F.col("label").cast("double").alias("label"))
+    s = stable_split(e, ["vec_id"], [0.7, 0.3], 42, ["train", "test"])
+    train = s.filter(F.col("split") == "train")
+    from pyspark.ml.classification import LogisticRegression
+
+    from sparkdeck.sources.sinks import persist_for_reuse
+    cached = persist_for_reuse(train)
+    try:
+        m = LogisticRegression(family="multinomial", maxIter=50).fit(cached)
+    finally:
+        cached.unpersist()
+    return evaluate.accuracy(m.transform(s), "label", "prediction", by=["split"])
+
+
+@query("score_new_rows")
+def q_score_new_rows(spark, d):
+    m = models.fit_logistic(B.labelled_documents(spark, d), DOC_FEATURES, "label", scale=True)
+    unlabelled = B.document_features(spark, d).join(B.table(spark, d, "labels").select("doc_id"), "doc_id",
+                                                    "left_anti")
+    scored = models.positive_probability(models.predict(m, unlabelled))
+    return scored.select("doc_id", "p1", "prediction")
+
+
+@query("model_compare")
+def q_model_compare(spark, d):
+    train, test = _split(spark, d)
+    return tuning.model_compare(train, test, REG_FEATURES, "label")
+
+
+# Registered grid: 2 x 2 maps, 3 folds (the function takes any grid; the
+# scripts' 3 x 3 x 2 grid is ``FULL_GRID``).
+SMALL_GRID = {"maxDepth": [3, 5], "stepSize": [0.05, 0.1]}
+FULL_GRID = {"maxDepth": [3, 5, 7], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1]}
+
+
+@query("grid_search_cv")
+def q_grid_search_cv(spark, d):
+    train, _ = _split(spark, d)
+    return tuning.grid_search_cv(train, REG_FEATURES, "label", REG_KEY, SMALL_GRID, folds=3, seed=42)
