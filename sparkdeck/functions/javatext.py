@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 # The character classes of the JVM rules.
 #   Java String.trim() removes code points U+0000..U+0020.
 #   Java regex \s is [ \t\n\x0B\f\r].
-JTRIM_CHARS = r"[\x00-\x20]"
+JTRIM_SET = "".join(chr(i) for i in range(0x21))
 JAVA_WS = r"[ \t\n\x0B\f\r]"
 
 
@@ -32,8 +32,8 @@ def _col(c) -> Column:
 
 
 def jtrim(c) -> Column:
-    """Java ``String.trim()``."""
-    return F.regexp_replace(_col(c), rf"^{JTRIM_CHARS}+|{JTRIM_CHARS}+$", "")
+    """Java ``String.trim()`` (a native set trim, no regex)."""
+    return F.trim(_col(c), F.lit(JTRIM_SET))
 
 
 def is_blank(c) -> Column:
@@ -47,9 +47,14 @@ def literal_sep(sep: str) -> str:
     return re.escape(sep)
 
 
-def jsplit(c, sep_regex: str) -> Column:
-    """Java ``String.split(sep_regex)``: trailing empty fields removed."""
-    stripped = F.regexp_replace(_col(c), rf"(?:{sep_regex})+\z", "")
+def jsplit(c, sep_regex: str, literal: str | None = None) -> Column:
+    """Java ``String.split(sep_regex)``: trailing empty fields removed.
+    For a one-character ``literal`` separator the trailing run is cut with a
+    native ``rtrim``; otherwise with an anchored regex."""
+    if literal is not None and len(literal) == 1:
+        stripped = F.rtrim(_col(c), F.lit(literal))
+    else:
+        stripped = F.regexp_replace(_col(c), rf"(?:{sep_regex})+\z", "")
     return F.split(stripped, sep_regex, -1)
 
 

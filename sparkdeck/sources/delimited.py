@@ -4,19 +4,19 @@
 split with Java's trailing-field rule, test the field count (exact or at
 least), then type each field.  Bad numbers either drop the row
 (``on_bad='skip'``, the guarded jobs) or fail the job (``on_bad='fail'``, the
-unguarded ones).  It is a narrow projection + filter, so it fuses into the
-scan's codegen stage and never shuffles.
+unguarded ones).  It is a narrow projection + generator over the scan and
+never shuffles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkdeck.functions.encode import flags_to_names
-from sparkdeck.functions.javatext import is_blank, jsplit, jtrim, literal_sep
+from sparkdeck.functions.javatext import jsplit, jtrim, literal_sep
 from sparkdeck.functions.numeric import parse_number
 
 Field = tuple[str, str]  # (name, spark type name)
@@ -32,36 +32,46 @@ def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[Field], arity:
     ``(position, name)`` string fields beyond them (e.g. flag columns).
     Rows failing the arity test are dropped (every job does); rows with an
     unparsable number are dropped or fail per ``on_bad``.
+
+    Plan shape: one projection splits each line once; one generator builds
+    the typed record and keeps it only when valid.  There is deliberately no
+    Filter node over computed fields: the optimizer would push it below the
+    projection and re-evaluate the split and casts inside the condition.
     """
     v = F.col(value_col)
-    parts = jsplit(jtrim(v), literal_sep(sep))
-    base = lines.filter(~is_blank(v)).select(v.alias("_line"), parts.alias("_parts"))
-    n = F.size("_parts")
-    base = base.filter(n == arity if exact else n >= arity)
+    staged = lines.select(v.alias("_line"), jsplit(jtrim(v), literal_sep(sep), sep).alias("_parts"))
+    parts = F.col("_parts")
+    n = F.size(parts)
+    shape_ok = (n == arity if exact else n >= arity) & ~((n == 1) & (F.get(parts, 0) == ""))
 
-    cols, typed = [], []
+    members, typed = [], []
     for i, (name, dtype) in enumerate(fields):
-        raw = F.col("_parts")[i]
+        raw = F.get(parts, i)
         if trim_fields:
             raw = jtrim(raw)
         if dtype == "string":
-            cols.append(raw.alias(name))
+            members.append(raw.alias(name))
         else:
-            cols.append(parse_number(raw, dtype, on_bad, name).alias(name))
+            # parse only rows of the right shape: the jobs test arity first
+            members.append(F.when(shape_ok, parse_number(raw, dtype, on_bad, name)).alias(name))
             typed.append(name)
     for pos, name in extra:
-        raw = F.col("_parts")[pos]
-        cols.append((jtrim(raw) if trim_fields else raw).alias(name))
+        raw = F.get(parts, pos)
+        members.append((jtrim(raw) if trim_fields else raw).alias(name))
     if keep_line:
-        cols.append(F.col("_line").alias("line"))
-    out = base.select(*cols)
-    if on_bad == "skip" and typed:
-        cond = None
-        for t in typed:
-            c = F.col(t).isNotNull()
-            cond = c if cond is None else cond & c
-        out = out.filter(cond)
-    return out
+        members.append(F.col("_line").alias("line"))
+    members.append(shape_ok.alias("_ok"))
+    names = [f for f, _ in fields] + [e for _, e in extra] + (["line"] if keep_line else [])
+
+    def valid(r: Column) -> Column:
+        ok = r["_ok"]
+        if on_bad == "skip":
+            for t in typed:
+                ok = ok & r[t].isNotNull()
+        return ok
+
+    kept = F.filter(F.array(F.struct(*members)), valid)
+    return staged.select(F.inline(kept)).select(*names)
 
 
 # Record layouts of the rating / user / item files.
@@ -74,8 +84,7 @@ ITEM_HEAD_FIELDS: list[Field] = [("item_id", "bigint"), ("title", "string"), ("r
 
 def parse_tab_ratings(lines: DataFrame, on_bad: str = "skip") -> DataFrame:
     """``user<TAB>item<TAB>rating<TAB>ts``; at least 3 fields, guarded parse."""
-    out = parse_delimited(lines, "\t", RATING_FIELDS[:3], arity=3, exact=False, on_bad=on_bad)
-    return out
+    return parse_delimited(lines, "\t", RATING_FIELDS[:3], arity=3, exact=False, on_bad=on_bad)
 
 
 def parse_pipe_users(lines: DataFrame, on_bad: str = "skip") -> DataFrame:
