@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 #   Java String.trim() removes code points U+0000..U+0020.
 #   Java regex \s is [ \t\n\x0B\f\r].
 JTRIM_SET = "".join(chr(i) for i in range(0x21))
+JAVA_WS_SET = " \t\n\x0b\f\r"
 JAVA_WS = r"[ \t\n\x0B\f\r]"
 
 
@@ -61,7 +62,7 @@ def jsplit(c, sep_regex: str, literal: str | None = None) -> Column:
 def java_tokens(line) -> Column:
     """Tokens of ``line.split("\\\\s+")`` as an array, JVM rules included."""
     line = _col(line)
-    stripped = F.regexp_replace(line, rf"{JAVA_WS}+\z", "")
+    stripped = F.rtrim(line, F.lit(JAVA_WS_SET))
     return (F.when(line == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, f"{JAVA_WS}+", -1)))
@@ -71,6 +72,9 @@ def text_lines(text) -> Column:
     """Lines of a whole text as a line reader sees them: ``\\n``, ``\\r\\n``
     or ``\\r`` end a line; a final terminator does not open an empty line."""
     text = _col(text)
-    body = F.regexp_replace(text, r"(?:\r\n|\r|\n)\z", "")
-    return (F.when(text == "", F.array().cast("array<string>"))
-            .otherwise(F.split(body, r"\r\n|\r|\n", -1)))
+    # CRLF and CR become LF by literal replacement, then a one-character
+    # split (no regex alternation evaluated per character).
+    unified = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\r", "\n")
+    body = (F.when(unified.endswith("\n"), unified.substr(F.lit(1), F.length(unified) - 1))
+            .otherwise(unified))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))

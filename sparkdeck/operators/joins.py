@@ -1,10 +1,16 @@
-"""Join helpers: size-checked broadcast and build-side de-duplication.
-
-Broadcast is only requested for a side whose row count has been *checked*
-against a bound (a ``limit(n + 1).count()`` job, which stops reading once the
-bound is passed).  Beyond the bound the side is joined by shuffle (sort-merge
-or shuffled hash), and AQE may still turn it into a broadcast at run time
-from real shuffle sizes, or split skewed partitions of the probe side.
+"""Join helpers: dimension joins, size-checked broadcast, build-side
+de-duplication.
+
+Who decides on broadcast:
+
+* a side whose size is bounded by construction (the k winners of a top-k,
+  one row per group of a small domain) is hinted with ``broadcast``;
+* a data-derived dimension is joined plainly: Spark broadcasts it when its
+  statistics are under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+  re-decides from the *measured* shuffle size at run time; otherwise it is
+  a shuffle join, where AQE splits skewed partitions of the large side;
+* ``checked_broadcast`` is for callers that want an explicit hint on a
+  cheap side: it counts at most ``max_rows + 1`` rows first.
 """
 
 from __future__ import annotations
@@ -29,11 +35,11 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a large fact side with a dimension side, broadcasting the
-    dimension only when its size is proven small."""
-    return fact.join(checked_broadcast(dim, max_rows), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a large fact side with a dimension side.  No hint: the size
+    check is Spark's (statistics, then AQE's measured shuffle size), so a
+    de-duplicated dimension is not computed twice to be counted."""
+    return fact.join(dim, on, how)
 
 
 def dedupe_build_side(df: DataFrame, key: str | Sequence[str], value: str | Sequence[str],

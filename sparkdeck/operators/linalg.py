@@ -10,7 +10,8 @@ Plan: the vector is de-duplicated by ``col`` (hash partitioned on col), so
 the join only shuffles the matrix side; the per-row sum aggregates
 partially before its shuffle.  A hot column (a third of all entries) is
 split by AQE's skew-join handling of the outer side, or avoided entirely
-when the vector passes the broadcast size check.
+when the vector is small enough for Spark to broadcast (statistics, or
+AQE's measured size of the de-duplicated vector).
 """
 
 from __future__ import annotations
@@ -18,14 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.operators.joins import checked_broadcast, dedupe_build_side
+from sparkdeck.operators.joins import dedupe_build_side
 
 
 def matvec(matrix: DataFrame, vector: DataFrame, order_col: str | None = None) -> DataFrame:
     """y = M v over coordinate frames; output (row, value)."""
     v = dedupe_build_side(vector.select("col", "value", *([order_col] if order_col else [])),
                           "col", "value", order_col)
-    v = checked_broadcast(v.select("col", F.col("value").alias("_v")))
+    v = v.select("col", F.col("value").alias("_v"))
     j = matrix.select("row", "col", F.col("value").cast("double").alias("_m")).join(v, "col", "left")
     prod = F.col("_m") * F.coalesce(F.col("_v"), F.lit(0.0))
     return j.groupBy("row").agg(F.sum(prod).alias("value"))

@@ -57,14 +57,25 @@ def union_lines(a: DataFrame, b: DataFrame, value_col: str = "value") -> DataFra
     return trimmed_lines(a, value_col).union(trimmed_lines(b, value_col)).distinct()
 
 
+def _distinct_sides(a: DataFrame, b: DataFrame, value_col: str) -> tuple[DataFrame, DataFrame]:
+    # Both sides reduced to one row per line first (partial aggregation in
+    # each task), so a line repeated a billion times is one row in the join,
+    # and both come out hash-partitioned on the line: the semi/anti join
+    # that follows adds no exchange.
+    return trimmed_lines(a, value_col).distinct(), trimmed_lines(b, value_col).distinct()
+
+
 def intersect_lines(a: DataFrame, b: DataFrame, value_col: str = "value") -> DataFrame:
-    """INTERSECT DISTINCT of trimmed lines."""
-    return trimmed_lines(a, value_col).intersect(trimmed_lines(b, value_col))
+    """INTERSECT DISTINCT of trimmed lines (distinct sides, semi join)."""
+    da, db = _distinct_sides(a, b, value_col)
+    return da.join(db, "value", "left_semi")
 
 
 def difference_lines(a: DataFrame, b: DataFrame, value_col: str = "value") -> DataFrame:
-    """EXCEPT DISTINCT (a minus b) of trimmed lines; never ``exceptAll``."""
-    return trimmed_lines(a, value_col).subtract(trimmed_lines(b, value_col))
+    """EXCEPT DISTINCT (a minus b) of trimmed lines (distinct sides,
+    anti join); never ``exceptAll``."""
+    da, db = _distinct_sides(a, b, value_col)
+    return da.join(db, "value", "left_anti")
 
 
 def cast_all(df: DataFrame, dtype: str = "float", safe: bool = False) -> DataFrame:
