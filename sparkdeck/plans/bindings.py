@@ -92,13 +92,19 @@ def transaction_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def set_lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """orders -> ``custkey,status`` lines (duplicates on both sides); every
-    5th key gets a trailing blank.  A: key % 3 <> 0, B: key % 2 = 0."""
+    """Two line sets over whole tables, with duplicates inside each:
+    A = every order as ``custkey,orderstatus``; B = every line item as
+    ``custkey,linestatus`` (through its order).  Every 5th key adds a
+    trailing blank, which the trimmed comparison must ignore."""
     o = table(spark, d, "orders")
-    line = F.concat_ws(",", "o_custkey", "o_orderstatus")
-    value = F.when(_mod("o_orderkey", 5), F.concat(line, F.lit(" "))).otherwise(line).alias("value")
-    a = o.filter(F.col("o_orderkey") % 3 != 0).select(value)
-    b = o.filter(F.col("o_orderkey") % 2 == 0).select(value)
+    li = table(spark, d, "lineitem")
+
+    def padded(line: Column, key: str) -> Column:
+        return F.when(_mod(key, 5), F.concat(line, F.lit(" "))).otherwise(line).alias("value")
+
+    a = o.select(padded(F.concat_ws(",", "o_custkey", "o_orderstatus"), "o_orderkey"))
+    b = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .select(padded(F.concat_ws(",", "o_custkey", "l_linestatus"), "l_orderkey")))
     return a, b
 
 
@@ -176,10 +182,10 @@ def event_ratings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Titles for R2: customer names of even keys only; odd ids get the default label."""
-    c = table(spark, d, "customer")
-    return c.filter(F.col("c_custkey") % 2 == 0).select(F.col("c_custkey").alias("item_id"),
-                                                        F.col("c_name").alias("title"))
+    """Titles for R2: supplier names by key (the whole table).  Event users
+    outnumber suppliers, so ids without a title take the default label."""
+    s = table(spark, d, "supplier")
+    return s.select(F.col("s_suppkey").alias("item_id"), F.col("s_name").alias("title"))
 
 
 def matrix_entries(spark: SparkSession, d: str) -> DataFrame:
@@ -189,10 +195,9 @@ def matrix_entries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vector_entries(spark: SparkSession, d: str) -> DataFrame:
-    """part sizes at even keys; odd columns are missing entries (count 0.0)."""
+    """part sizes by part key (the whole table)."""
     p = table(spark, d, "part")
-    return p.filter(F.col("p_partkey") % 2 == 0).select(F.col("p_partkey").alias("col"),
-                                                        F.col("p_size").cast("double").alias("value"))
+    return p.select(F.col("p_partkey").alias("col"), F.col("p_size").cast("double").alias("value"))
 
 
 def loan_table(spark: SparkSession, d: str) -> DataFrame:

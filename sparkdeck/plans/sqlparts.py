@@ -33,10 +33,15 @@ FROM ({TXN_LINES}) t
 WHERE length({jtrim("value")}) > 0
   AND len(string_split(regexp_replace({jtrim("value")}, ',+$', ''), ',')) = 4"""
 
-SET_LINE = "concat_ws(',', o_custkey, o_orderstatus)"
-SET_VALUE = f"CASE WHEN o_orderkey % 5 = 0 THEN {SET_LINE} || ' ' ELSE {SET_LINE} END"
-SET_A = f"SELECT {SET_VALUE} AS value FROM orders WHERE o_orderkey % 3 <> 0"
-SET_B = f"SELECT {SET_VALUE} AS value FROM orders WHERE o_orderkey % 2 = 0"
+def _padded(line: str, key: str) -> str:
+    return f"CASE WHEN {key} % 5 = 0 THEN {line} || ' ' ELSE {line} END"
+
+
+_SET_A_LINE = "concat_ws(',', o_custkey, o_orderstatus)"
+_SET_B_LINE = "concat_ws(',', o.o_custkey, l.l_linestatus)"
+SET_A = f"SELECT {_padded(_SET_A_LINE, 'o_orderkey')} AS value FROM orders"
+SET_B = (f"SELECT {_padded(_SET_B_LINE, 'l.l_orderkey')} AS value "
+         "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey")
 
 RATINGS = """
 SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, CAST(l.l_quantity AS INTEGER) AS rating,
@@ -57,10 +62,10 @@ ITEM_CATEGORIES = ("SELECT p_partkey AS item_id, p_name AS title, list_filter(["
                    + "], lambda x: x IS NOT NULL) AS categories FROM part")
 
 EVENT_RATINGS = "SELECT event_id AS user_id, user_id AS item_id, value AS rating FROM events"
-EVENT_TITLES = "SELECT c_custkey AS item_id, c_name AS title FROM customer WHERE c_custkey % 2 = 0"
+EVENT_TITLES = "SELECT s_suppkey AS item_id, s_name AS title FROM supplier"
 
 MATRIX = "SELECT l_suppkey AS \"row\", l_partkey AS col, l_quantity AS value FROM lineitem"
-VECTOR = "SELECT p_partkey AS col, CAST(p_size AS DOUBLE) AS value FROM part WHERE p_partkey % 2 = 0"
+VECTOR = "SELECT p_partkey AS col, CAST(p_size AS DOUBLE) AS value FROM part"
 
 LOAN = """
 SELECT o.o_orderkey AS id,
