@@ -26,6 +26,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
 
 
@@ -52,6 +53,9 @@ def make_regressor(kind: str, seed: int = 42, **params):
 
 
 def fit_pipeline(train: DataFrame, pipeline: Pipeline) -> PipelineModel:
+    """Fit on a persisted copy; iterative estimators (GBT) checkpoint their
+    lineage every ``checkpointInterval`` rounds into the shared folder."""
+    ensure_checkpoint_dir(train.sparkSession)
     cached = persist_for_reuse(train)
     try:
         return pipeline.fit(cached)

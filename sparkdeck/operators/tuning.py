@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sparkdeck.operators.evaluate import regression_metrics
 from sparkdeck.operators.features import stable_bucket
 from sparkdeck.operators.models import make_regressor, regression_pipeline
+from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
 
 
@@ -27,6 +28,7 @@ def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], la
     """Fit each regressor, score the test rows; one row per model with
     RMSE, R2 and ``is_best`` (lowest RMSE, ties by model order)."""
     spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
     tr, te = persist_for_reuse(train), persist_for_reuse(test)
     try:
         rows = []
@@ -54,6 +56,7 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_co
     for name, values in grid.items():
         b = b.addGrid(est.getParam(name), list(values))
     maps = b.build()
+    ensure_checkpoint_dir(train.sparkSession)
     data = train.withColumn("_fold", stable_bucket(key_cols, seed, folds))
     cached = persist_for_reuse(data)
     try:

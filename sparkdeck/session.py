@@ -44,7 +44,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def _checkpoint_base(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder: the context's, else ``spark.checkpoint.dir``
+    from the session conf, else (local runs only) a new one."""
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if base:
@@ -60,12 +62,12 @@ def _checkpoint_base(spark: SparkSession) -> str:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, not yet existing path under the shared checkpoint folder."""
-    base = _checkpoint_base(spark).rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/sparkdeck/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss;
     never ``localCheckpoint``)."""
-    _checkpoint_base(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
