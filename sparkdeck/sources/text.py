@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str | None = None) -> DataFrame:
     """A1/A2: lines of one or several text inputs as ``value: string``.
 
-    ``encoding`` re-decodes non-UTF-8 files (e.g. Latin-1 item lists)."""
+    ``encoding`` decodes single-byte files (e.g. Latin-1 item lists) line by
+    line: the text reader keeps each line's raw bytes, which are re-read as
+    binary and decoded, so files stay splittable across tasks."""
     if isinstance(paths, str):
         paths = [paths]
-    if encoding and encoding.lower().replace("-", "") not in ("utf8",):
-        raw = spark.read.format("binaryFile").load(list(paths))
-        body = F.decode(F.col("content"), encoding)
-        return raw.select(F.explode(F.split(F.regexp_replace(body, r"(?:\r\n|\r|\n)$", ""),
-                                            r"\r\n|\r|\n", -1)).alias("value"))
-    return spark.read.text(list(paths))
+    df = spark.read.text(list(paths))
+    if encoding and encoding.lower().replace("-", "").replace("_", "") != "utf8":
+        df = df.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
+    return df
 
 
 def union_lines_of(*frames: DataFrame) -> DataFrame:

@@ -150,3 +150,22 @@ def test_first_rows_total_order(spark):
     df = spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("k"))
     got = [r.id for r in relational.first_rows(df, ["k", "id"], 3).collect()]
     assert got == [0, 7, 14]
+
+
+def test_read_lines_latin1(spark, tmp_path):
+    from sparkdeck.sources.text import read_lines
+
+    p = tmp_path / "items.txt"
+    p.write_bytes("1|Café|x\n2|Señor|y\n".encode("latin-1"))
+    assert [r.value for r in read_lines(spark, str(p), encoding="ISO-8859-1").collect()] == ["1|Café|x", "2|Señor|y"]
+
+
+def test_set_algebra_invariant(lines):
+    a = lines(["x,1", "x,1 ", "y,2", "z,3", ""])
+    b = lines(["y,2", "w,4", "w,4", "\tz,3"])
+    n_union = relational.union_lines(a, b).count()
+    n_inter = relational.intersect_lines(a, b).count()
+    na = relational.trimmed_lines(a).distinct().count()
+    nb = relational.trimmed_lines(b).distinct().count()
+    assert n_union == na + nb - n_inter == 4
+    assert relational.difference_lines(a, b).count() == na - n_inter
