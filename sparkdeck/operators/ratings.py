@@ -60,11 +60,16 @@ def topk_rated_items(ratings: DataFrame, titles: DataFrame, k: int = 10, min_cou
     if avg_digits is not None:
         stats = stats.withColumn("avg_rating", F.round("avg_rating", avg_digits))
     top = stats.orderBy(F.desc("avg_rating"), F.asc("item_id")).limit(k)
-    ranked = top.select("*", F.row_number().over(
-        Window.orderBy(F.desc("avg_rating"), F.asc("item_id"))).alias("rank"))
-    matched = (titles.select("item_id", "title")
-               .join(F.broadcast(ranked.select("item_id")), "item_id", "left_semi"))
-    named = dedupe_build_side(matched, "item_id", "title")
+    rank = F.row_number().over(Window.orderBy(F.desc("avg_rating"), F.asc("item_id")))  # <= k rows
+    ranked = top.select(rank.alias("rank"), "*")
+    # Titles of the winners only: the k ids are the broadcast (build) side of
+    # a semi join that streams the title table; duplicates are resolved over
+    # <= k rows; the winners then take their title by a left join whose
+    # build side is those <= k rows.  Both references to the winners read
+    # the same aggregate exchange (ReusedExchange), so ratings are scanned
+    # and shuffled once.
+    wanted = titles.select("item_id", "title").join(F.broadcast(ranked.select("item_id")), "item_id", "left_semi")
+    named = dedupe_build_side(wanted, "item_id", "title")
     out = ranked.join(F.broadcast(named), "item_id", "left")
     label = F.coalesce(F.col("title"), F.concat(F.lit(default_prefix), F.col("item_id").cast("string")))
     return out.select("rank", "item_id", label.alias("title"), "avg_rating", "n_ratings")

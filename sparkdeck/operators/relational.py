@@ -40,11 +40,13 @@ def filter_amount(lines: DataFrame, threshold: float = 1000.0, on_bad: str = "fa
 
 
 def project_distinct(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """(user, amount) pairs without duplicates; the amount stays text,
-    so ``1500`` and ``1500.0`` are different values, as in the job."""
+    """(user, amount) pairs without duplicates, with the job's
+    output line ``user,amount``; the amount stays text, so ``1500`` and
+    ``1500.0`` are different values, as in the job."""
     parsed = parse_delimited(lines, ",", [("user", "string"), ("item", "string"), ("amount", "string")],
                              arity=4, exact=True, value_col=value_col)
-    return parsed.select("user", "amount").distinct()
+    pairs = parsed.select("user", "amount").distinct()
+    return pairs.select("user", "amount", F.concat_ws(",", "user", "amount").alias("value"))
 
 
 def trimmed_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:

@@ -20,7 +20,9 @@ def q_filter_amount(spark, d):
     return relational.filter_amount(B.transaction_lines(spark, d), threshold=1000.0)
 
 
-@query("project_distinct", f'SELECT DISTINCT "user", amount_text AS amount FROM ({S.TXN_PARSED}) p')
+@query("project_distinct", f"""
+SELECT "user", amount, concat_ws(',', "user", amount) AS value
+FROM (SELECT DISTINCT "user", amount_text AS amount FROM ({S.TXN_PARSED}) p) d""")
 def q_project_distinct(spark, d):
     return relational.project_distinct(B.transaction_lines(spark, d))
 
