@@ -61,8 +61,13 @@ def spread(df: DataFrame, key: str | None, path: str) -> DataFrame:
             os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(local) for f in fs)
     except OSError:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= cores:
+    if size < SPREAD_MIN_BYTES:
+        return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - no JVM context (Connect): leave the scan as is
         return df
     return df.repartition(cores, key)
 

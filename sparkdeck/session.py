@@ -47,17 +47,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the context's, else ``spark.checkpoint.dir``
     from the session conf, else (local runs only) a new one."""
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir()
-    if base:
-        return base
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a JVM context (Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not conf:
         # Unset only in local runs: create one and register it so later
         # checkpoint() calls and shared_dir() agree on the location.
         conf = tempfile.mkdtemp(prefix="sparkdeck-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+        spark.conf.set("spark.checkpoint.dir", conf)
+    if sc is not None:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    return conf
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
