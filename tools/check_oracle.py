@@ -48,11 +48,19 @@ def _bag(rows, cols, digits):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain-session", action="store_true",
+                    help="use SparkSession defaults (as a driver might) instead of build_session")
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
     load_all()
     keys = a.keys or list(QUERIES)
-    spark = build_session(shuffle_partitions=8)
+    if a.plain_session:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session(shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{a.sf_dir}/{t}.parquet')")
