@@ -30,7 +30,7 @@ from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
 
 
-def regression_pipeline(features: Sequence[str], label: str, estimator, scale: bool = False) -> Pipeline:
+def model_stages(features: Sequence[str], label: str, estimator, scale: bool = False) -> Pipeline:
     """K1: assemble (-> optionally standard-scale) -> estimator."""
     stages = [VectorAssembler(inputCols=list(features), outputCol="features_raw" if scale else "features")]
     if scale:
@@ -52,20 +52,20 @@ def make_regressor(kind: str, seed: int = 42, **params):
     raise ValueError(kind)
 
 
-def fit_pipeline(train: DataFrame, pipeline: Pipeline) -> PipelineModel:
+def fit_persisted(train: DataFrame, stages: Pipeline) -> PipelineModel:
     """Fit on a persisted copy; iterative estimators (GBT) checkpoint their
     lineage every ``checkpointInterval`` rounds into the shared folder."""
     ensure_checkpoint_dir(train.sparkSession)
     cached = persist_for_reuse(train)
     try:
-        return pipeline.fit(cached)
+        return stages.fit(cached)
     finally:
         cached.unpersist()
 
 
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, kind: str = "linear",
                   seed: int = 42, scale: bool = False, **params) -> PipelineModel:
-    return fit_pipeline(train, regression_pipeline(features, label, make_regressor(kind, seed, **params), scale))
+    return fit_persisted(train, model_stages(features, label, make_regressor(kind, seed, **params), scale))
 
 
 def linear_terms(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
@@ -84,7 +84,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str, family:
                  scale: bool = False, **params) -> PipelineModel:
     """K7/K8: binary or multinomial logistic regression."""
     lr = LogisticRegression(family=family, **params)
-    return fit_pipeline(train, regression_pipeline(features, label, lr, scale))
+    return fit_persisted(train, model_stages(features, label, lr, scale))
 
 
 def logistic_terms(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkdeck.operators.evaluate import regression_metrics
 from sparkdeck.operators.features import stable_bucket
-from sparkdeck.operators.models import make_regressor, regression_pipeline
+from sparkdeck.operators.models import make_regressor, model_stages
 from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
 
@@ -33,7 +33,7 @@ def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], la
     try:
         rows = []
         for order, kind in enumerate(kinds):
-            model = regression_pipeline(features, label, make_regressor(kind, seed), scale).fit(tr)
+            model = model_stages(features, label, make_regressor(kind, seed), scale).fit(tr)
             m = regression_metrics(model.transform(te), label).collect()[0]  # one row per model
             rows.append((kind, order, float(m["rmse"]), float(m["r2"]), int(m["n"])))
     finally:
@@ -51,7 +51,7 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_co
     with k-fold CV on RMSE, then a refit of the best map on all training
     rows.  One row per parameter map: params, mean CV RMSE, ``is_best``."""
     est = make_regressor("gbt", seed)
-    pipe = regression_pipeline(features, label, est, scale)
+    pipe = model_stages(features, label, est, scale)
     b = ParamGridBuilder()
     for name, values in grid.items():
         b = b.addGrid(est.getParam(name), list(values))
