@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from sparkdeck.operators import evaluate, models, tuning
 from sparkdeck.operators.features import stable_split
+from sparkdeck.operators.relational import feature_columns
 from sparkdeck.plans import bindings as B
 from sparkdeck.plans import sqlparts as S
 from sparkdeck.plans.registry import query
 
-REG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 DOC_FEATURES = ["n_chars", "n_lines", "n_words", "n_digits"]
 REG_KEY = ["order_id", "line_id"]
 RIDGE = {"regParam": 0.3, "maxIter": 10}
@@ -102,9 +102,14 @@ def q_auc_roc(spark, d):
 
 # ------------------------------------------------------ rows-only checks --
 
+def _features(spark, d) -> list[str]:
+    """Every column of the regression table but the label and the key."""
+    return feature_columns(B.regression_table(spark, d), "label", exclude=REG_KEY)
+
+
 def _fit_eval(spark, d, kind):
     train, test = _split(spark, d)
-    m = models.fit_regressor(train, REG_FEATURES, "label", kind, seed=42)
+    m = models.fit_regressor(train, _features(spark, d), "label", kind, seed=42)
     met = evaluate.regression_metrics(models.predict(m, test), "label", "prediction")
     return met.select(F.lit(kind).alias("model"), "n", "rmse", "r2", "mae")
 
@@ -168,7 +173,7 @@ def q_score_new_rows(spark, d):
 @query("model_compare")
 def q_model_compare(spark, d):
     train, test = _split(spark, d)
-    return tuning.model_compare(train, test, REG_FEATURES, "label")
+    return tuning.model_compare(train, test, _features(spark, d), "label")
 
 
 # Registered grid: 2 x 2 maps, 3 folds (the function takes any grid; the
@@ -180,4 +185,4 @@ FULL_GRID = {"maxDepth": [3, 5, 7], "maxIter": [10, 20, 30], "stepSize": [0.05,
 @query("grid_search_cv")
 def q_grid_search_cv(spark, d):
     train, _ = _split(spark, d)
-    return tuning.grid_search_cv(train, REG_FEATURES, "label", REG_KEY, SMALL_GRID, folds=3, seed=42)
+    return tuning.grid_search_cv(train, _features(spark, d), "label", REG_KEY, SMALL_GRID, folds=3, seed=42)
