@@ -146,19 +146,12 @@ def q_fit_logistic(spark, d):
 
 @query("fit_multinomial")
 def q_fit_multinomial(spark, d):
-    e = B.embedding_table(spark, d).select("vec_id", array_to_vector("embedding").alias("features"),
+    e = B.embedding_table(spark, d).select("vec_id", array_to_vector("embedding").alias("embedding"),
                                           F.col("label").cast("double").alias("label"))
     s = stable_split(e, ["vec_id"], [0.7, 0.3], 42, ["train", "test"])
-    train = s.filter(F.col("split") == "train")
-    from pyspark.ml.classification import LogisticRegression
-
-    from sparkdeck.sources.sinks import persist_for_reuse
-    cached = persist_for_reuse(train)
-    try:
-        m = LogisticRegression(family="multinomial", maxIter=50).fit(cached)
-    finally:
-        cached.unpersist()
-    return evaluate.accuracy(m.transform(s), "label", "prediction", by=["split"])
+    m = models.fit_logistic(s.filter(F.col("split") == "train"), ["embedding"], "label",
+                            family="multinomial", maxIter=50)
+    return evaluate.accuracy(models.predict(m, s), "label", "prediction", by=["split"])
 
 
 @query("score_new_rows")
