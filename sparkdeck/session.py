@@ -58,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         # Unset only in local runs: create one and register it so later
         # checkpoint() calls and shared_dir() agree on the location.
         conf = tempfile.mkdtemp(prefix="sparkdeck-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at run time
+            pass
     if sc is not None:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
