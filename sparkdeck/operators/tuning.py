@@ -9,6 +9,7 @@ parameter maps at once.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -24,18 +25,25 @@ from sparkdeck.sources.sinks import persist_for_reuse
 
 def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                   kinds: Sequence[str] = ("linear", "decision_tree", "random_forest", "gbt"),
-                  seed: int = 42, scale: bool = True) -> DataFrame:
+                  seed: int = 42, scale: bool = True, parallelism: int = 4) -> DataFrame:
     """Fit each regressor, score the test rows; one row per model with
-    RMSE, R2 and ``is_best`` (lowest RMSE, ties by model order)."""
+    RMSE, R2 and ``is_best`` (lowest RMSE, ties by model order).
+
+    Up to ``parallelism`` fits run at once as concurrent Spark jobs (each
+    fit is itself distributed); both frames are persisted once for all."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     tr, te = persist_for_reuse(train), persist_for_reuse(test)
+
+    def fit_one(order_kind):
+        order, kind = order_kind
+        model = model_stages(features, label, make_regressor(kind, seed), scale).fit(tr)
+        m = regression_metrics(model.transform(te), label).collect()[0]  # one row per model
+        return kind, order, float(m["rmse"]), float(m["r2"]), int(m["n"])
+
     try:
-        rows = []
-        for order, kind in enumerate(kinds):
-            model = model_stages(features, label, make_regressor(kind, seed), scale).fit(tr)
-            m = regression_metrics(model.transform(te), label).collect()[0]  # one row per model
-            rows.append((kind, order, float(m["rmse"]), float(m["r2"]), int(m["n"])))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(fit_one, enumerate(kinds)))
     finally:
         tr.unpersist()
         te.unpersist()
