@@ -55,7 +55,10 @@ def impute_mean(fit_df: DataFrame, apply_df: DataFrame, cols: Sequence[str],
 def string_index(fit_df: DataFrame, apply_df: DataFrame, cols: Sequence[str], suffix: str = "_idx",
                  handle_invalid: str = "keep") -> DataFrame:
     """One multi-column StringIndexer: most frequent value -> 0, ties by
-    value; with 'keep', NULL and unseen values -> index n."""
+    value; with 'keep', NULL and unseen values -> index n.  Value counts are
+    a distributed aggregate, but the label list of each column is held by
+    the driver and shipped with the model: meant for categorical columns
+    (bounded cardinality), not for identifiers."""
     cols = list(cols)
     si = StringIndexer(inputCols=cols, outputCols=[c + suffix for c in cols], handleInvalid=handle_invalid,
                        stringOrderType="frequencyDesc")
@@ -209,17 +212,25 @@ def stable_split(df: DataFrame, key_cols: Sequence[str], weights: Sequence[float
 def prepare_features(df: DataFrame, nominal: Sequence[str], numeric: Sequence[str], label: str,
                      sentinel: str = "?", relative_error: float = 0.05, iqr_col: str | None = None) -> DataFrame:
     """Trim -> sentinel to 'Unknown' -> index nominal columns -> impute
-    numeric means -> IQR filter -> assemble -> standard scale.  Each step is
-    one projection or one fitted estimator over the same frame."""
-    from sparkdeck.operators.relational import trim_string_columns
+    numeric means -> IQR filter -> assemble -> standard scale.
 
-    t = replace_sentinel(trim_string_columns(df), sentinel, "Unknown", cols=list(nominal))
-    t = string_index(t, t, nominal)
-    t = impute_mean(t, t, numeric)
-    imputed = [c + "_imputed" for c in numeric]
-    if iqr_col is not None:
-        t = iqr_filter(t, iqr_col + "_imputed", relative_error)
-    cols = [c + "_idx" for c in nominal] + imputed
-    return standard_scale(t, t, cols, out="features").select(*[c for c in df.columns if c not in nominal
-                                                               and c not in numeric and c != label],
-                                                             label, "features")
+    The four fits (indexer, imputer, quantile sketch, scaler) each scan the
+    cleaned input; it is persisted once for them (memory, spilling to disk)
+    instead of re-running the source plan four times, and released before
+    the lazily transformed result is returned."""
+    from sparkdeck.operators.relational import trim_string_columns
+    from sparkdeck.sources.sinks import persist_for_reuse
+
+    cleaned = persist_for_reuse(replace_sentinel(trim_string_columns(df), sentinel, "Unknown", cols=list(nominal)))
+    try:
+        t = string_index(cleaned, cleaned, nominal)
+        t = impute_mean(t, t, numeric)
+        imputed = [c + "_imputed" for c in numeric]
+        if iqr_col is not None:
+            t = iqr_filter(t, iqr_col + "_imputed", relative_error)
+        cols = [c + "_idx" for c in nominal] + imputed
+        out = standard_scale(t, t, cols, out="features")
+    finally:
+        cleaned.unpersist()
+    keep = [c for c in df.columns if c not in nominal and c not in numeric and c != label]
+    return out.select(*keep, label, "features")
