@@ -81,7 +81,7 @@ def q_join_ratings_users(spark, d):
 
 
 @query("multi_hot_to_array", f"""
-SELECT item_id, title, array_to_string(categories, ',') AS categories, len(categories) AS n_categories
+SELECT item_id, title, array_to_string(categories, ',') AS categories, CAST(len(categories) AS INTEGER) AS n_categories
 FROM ({S.ITEM_CATEGORIES}) i""")
 def q_multi_hot_to_array(spark, d):
     i = _items(spark, d)
