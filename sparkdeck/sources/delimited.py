@@ -34,9 +34,10 @@ def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[Field], arity:
     unparsable number are dropped or fail per ``on_bad``.
 
     Plan shape: one projection splits each line once; one generator builds
-    the typed record and keeps it only when valid.  There is deliberately no
-    Filter node over computed fields: the optimizer would push it below the
-    projection and re-evaluate the split and casts inside the condition.
+    the typed record; a filter over the generated columns keeps the valid
+    ones.  A filter over *projected* fields would be pushed below the
+    projection by the optimizer and re-evaluate the split and casts inside
+    its condition; over a generator's output it cannot move.
     """
     v = F.col(value_col)
     staged = lines.select(v.alias("_line"), jsplit(jtrim(v), literal_sep(sep), sep).alias("_parts"))
@@ -63,15 +64,15 @@ def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[Field], arity:
     members.append(shape_ok.alias("_ok"))
     names = [f for f, _ in fields] + [e for _, e in extra] + (["line"] if keep_line else [])
 
-    def valid(r: Column) -> Column:
-        ok = r["_ok"]
-        if on_bad == "skip":
-            for t in typed:
-                ok = ok & r[t].isNotNull()
-        return ok
-
-    kept = F.filter(F.array(F.struct(*members)), valid)
-    return staged.select(F.inline(kept)).select(*names)
+    # One record per line from a generator; the validity filter reads the
+    # generated columns, so it stays above the generator (not pushed into
+    # the split) and runs in whole-stage codegen (no lambda).
+    records = staged.select(F.inline(F.array(F.struct(*members))))
+    ok: Column = F.col("_ok")
+    if on_bad == "skip":
+        for t in typed:
+            ok = ok & F.col(t).isNotNull()
+    return records.filter(ok).select(*names)
 
 
 # Record layouts of the rating / user / item files.
