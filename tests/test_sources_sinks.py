@@ -30,8 +30,9 @@ def test_kv_text_roundtrip(spark):
 
 
 def test_shared_dir_is_under_checkpoint_dir(spark):
+    path = shared_dir(spark, "x")
     base = spark.sparkContext.getCheckpointDir()
-    assert base and shared_dir(spark, "x").startswith(base.rstrip("/") + "/sparkdeck/x-")
+    assert base and path.startswith(base.rstrip("/") + "/sparkdeck/x-")
 
 
 def test_csv_styles(spark):
