@@ -3,8 +3,8 @@ de-duplication.
 
 Who decides on broadcast:
 
-* a side whose size is bounded by construction (the k winners of a top-k,
-  one row per group of a small domain) is hinted with ``broadcast``;
+* a side whose size is bounded by construction (the k winners of a top-k
+  and the titles matched to them) is hinted with ``broadcast``;
 * a data-derived dimension is joined plainly: Spark broadcasts it when its
   statistics are under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
   re-decides from the *measured* shuffle size at run time; otherwise it is

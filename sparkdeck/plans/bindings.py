@@ -154,8 +154,7 @@ def item_lines(spark: SparkSession, d: str) -> DataFrame:
     """part as ``id|title|date|video date|url|flag x 16``; flag i is 1 when
     category i is a word of the part name."""
     p = table(spark, d, "part")
-    words = F.split("p_name", " ")
-    flags = [f for f in names_to_flags(words, CATEGORY_NAMES)]
+    flags = names_to_flags(F.split("p_name", " "), CATEGORY_NAMES)
     return p.select(F.concat_ws("|", "p_partkey", "p_name", F.lit(""), F.lit(""), F.lit(""), *flags).alias("value"))
 
 
