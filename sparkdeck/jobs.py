@@ -26,9 +26,18 @@ from sparkdeck.operators import linalg, ratings, relational, tuning, words
 from sparkdeck.operators import models as M
 from sparkdeck.operators.evaluate import regression_metrics
 from sparkdeck.sources.csv import read_csv_strings
-from sparkdeck.sources.delimited import parse_delimited, parse_items, parse_pipe_users, parse_tab_ratings
+from sparkdeck.sources.delimited import (
+    RATING_FIELDS,
+    USER_FIELDS,
+    Layout,
+    parse_by_content,
+    parse_delimited,
+    parse_items,
+    parse_pipe_users,
+    parse_tab_ratings,
+)
 from sparkdeck.sources.sinks import write_csv, write_kv_text, write_text_values
-from sparkdeck.sources.text import dispatch_mixed_records, read_lines
+from sparkdeck.sources.text import read_lines
 
 # The genre flags of the MovieLens item file, in file order.
 GENRES = ["unknown", "Action", "Adventure", "Animation", "Children's", "Comedy",
@@ -102,19 +111,19 @@ def _items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def avg_rating_by_title(spark: SparkSession, a) -> None:
-    # one input set, records told apart by content (tab -> rating, pipe -> item)
-    mixed = read_lines(spark, [a.ratings, a.items], encoding=ITEM_ENCODING)
-    tab, pipe = dispatch_mixed_records(mixed)
-    out = ratings.avg_rating_by_title(parse_tab_ratings(tab, on_bad=a.on_bad),
-                                      parse_items(pipe, GENRES).select("item_id", "title"))
-    _kv(out, a, "title", "avg_rating")
+    # One read of both files; records told apart by content (tab -> rating,
+    # pipe -> item), joined and averaged by one aggregation on the item id.
+    layouts = (Layout("R", "\t", "\t", RATING_FIELDS[:3], arity=3, exact=False, on_bad=a.on_bad),
+               Layout("M", "|", "|", [("item_id", "bigint"), ("title", "string")], arity=2, exact=False))
+    tagged = parse_by_content(read_lines(spark, [a.ratings, a.items], encoding=ITEM_ENCODING), layouts)
+    _kv(ratings.labelled_average_one_pass(tagged, "item_id", "title"), a, "title", "avg_rating")
 
 
 def avg_rating_by_gender(spark: SparkSession, a) -> None:
-    mixed = read_lines(spark, [a.ratings, a.users])
-    tab, pipe = dispatch_mixed_records(mixed)
-    out = ratings.avg_rating_by_group(parse_tab_ratings(tab, on_bad=a.on_bad), parse_pipe_users(pipe), "gender")
-    _kv(out, a, "gender", "avg_rating")
+    layouts = (Layout("R", "\t", "\t", RATING_FIELDS[:3], arity=3, exact=False, on_bad=a.on_bad),
+               Layout("U", "|", "|", USER_FIELDS, arity=5, exact=True))
+    tagged = parse_by_content(read_lines(spark, [a.ratings, a.users]), layouts)
+    _kv(ratings.group_average_one_pass(tagged, "user_id", "gender"), a, "gender", "avg_rating")
 
 
 def top_rated(spark: SparkSession, a) -> None:

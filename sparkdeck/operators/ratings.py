@@ -129,3 +129,30 @@ def preferred_category(ratings: DataFrame, users: DataFrame, items: DataFrame, g
     w = Window.partitionBy(group_col).orderBy(F.desc("n_ratings"), F.asc("category"))
     return (counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
             .select(group_col, "category", "n_ratings"))
+
+
+# -------------------------------------------------- one-pass mixed inputs --
+# When ratings and their dimension arrive as one mixed line input (parsed by
+# ``sources.delimited.parse_by_content``), the join is an aggregation by the
+# key: per key, the ratings are summed and counted and the dimension value
+# is taken (greatest value: "last one wins", deterministic).  One scan, one
+# shuffle of partial aggregates, no join; a key without ratings or without a
+# dimension row drops out, as in the inner join.
+
+def group_average_one_pass(tagged: DataFrame, key: str, attr: str, rating: str = "rating") -> DataFrame:
+    """L3 over a mixed input (ratings + users): average rating per ``attr``."""
+    per_key = tagged.groupBy(key).agg(F.sum(F.col(rating).cast("double")).alias("_sum"),
+                                      F.count(F.col(rating)).alias("_n"), F.max(attr).alias(attr))
+    matched = per_key.filter((F.col("_n") > 0) & F.col(attr).isNotNull())
+    g = matched.groupBy(attr).agg(F.sum("_sum").alias("_s"), F.sum("_n").alias("n_ratings"))
+    return g.select(attr, (F.col("_s") / F.col("n_ratings")).alias("avg_rating"), "n_ratings")
+
+
+def labelled_average_one_pass(tagged: DataFrame, key: str, label: str, rating: str = "rating") -> DataFrame:
+    """D1/E5 over a mixed input (ratings + items): average per key with its
+    non-empty label (title); equal labels stay apart."""
+    per_key = tagged.groupBy(key).agg(F.sum(F.col(rating).cast("double")).alias("_sum"),
+                                      F.count(F.col(rating)).alias("_n"),
+                                      F.max(F.when(F.col(label) != "", F.col(label))).alias(label))
+    matched = per_key.filter((F.col("_n") > 0) & F.col(label).isNotNull())
+    return matched.select(key, label, (F.col("_sum") / F.col("_n")).alias("avg_rating"))

@@ -9,9 +9,15 @@ from sparkdeck.plans import bindings as B
 from sparkdeck.plans import sqlparts as S
 from sparkdeck.plans.registry import query
 from sparkdeck.session import shared_dir
-from sparkdeck.sources.delimited import parse_delimited, parse_pipe_users, parse_tab_ratings
+from sparkdeck.sources.delimited import (
+    RATING_USER_LAYOUTS,
+    parse_by_content,
+    parse_delimited,
+    parse_pipe_users,
+    parse_tab_ratings,
+)
 from sparkdeck.sources.sinks import write_text_values
-from sparkdeck.sources.text import dispatch_mixed_records, read_lines
+from sparkdeck.sources.text import read_lines
 
 NON_BLANK = f"length({S.jtrim('value')}) > 0"
 
@@ -73,13 +79,8 @@ SELECT 'U' AS kind, user_id, CAST(NULL AS BIGINT) AS item_id, CAST(NULL AS INTEG
 FROM ({_USERS_PARSED_SQL}) u""")
 def q_dispatch_mixed_records(spark, d):
     mixed = B.rating_lines_tab(spark, d).unionByName(B.user_lines(spark, d))
-    tab, pipe = dispatch_mixed_records(mixed)
-    r = parse_tab_ratings(tab)
-    u = parse_pipe_users(pipe)
-    return (r.select(F.lit("R").alias("kind"), "user_id", "item_id", "rating",
-                     F.lit(None).cast("string").alias("gender"))
-            .unionByName(u.select(F.lit("U").alias("kind"), "user_id", F.lit(None).cast("bigint").alias("item_id"),
-                                  F.lit(None).cast("int").alias("rating"), "gender")))
+    tagged = parse_by_content(mixed, RATING_USER_LAYOUTS)
+    return tagged.select("kind", "user_id", "item_id", "rating", "gender")
 
 
 # ------------------------------------------------------------------ words --

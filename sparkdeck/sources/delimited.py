@@ -11,6 +11,7 @@ never shuffles.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +76,69 @@ def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[Field], arity:
     return records.filter(ok).select(*names)
 
 
+@dataclass(frozen=True)
+class Layout:
+    """One record kind of a mixed input: lines containing ``marker`` are
+    split on ``sep`` and typed by ``fields`` (positions 0..n-1)."""
+
+    kind: str
+    marker: str
+    sep: str
+    fields: Sequence[Field]
+    arity: int
+    exact: bool = True
+    on_bad: str = "skip"
+
+
+def parse_by_content(lines: DataFrame, layouts: Sequence[Layout], value_col: str = "value") -> DataFrame:
+    """A4 in one pass: each line takes the first layout whose marker it
+    contains; output ``kind`` plus the union of all layouts' fields (NULL
+    where a field is not part of the line's layout).
+
+    The input is scanned once, as one mapper read both files; filtering the
+    same lines once per kind would scan it once per kind.  Fields of the
+    same name in several layouts must have the same type."""
+    v = F.col(value_col)
+    kind = None
+    for lay in layouts:
+        cond = v.contains(lay.marker)
+        kind = F.when(cond, F.lit(lay.kind)) if kind is None else kind.when(cond, F.lit(lay.kind))
+    split = None
+    for lay in layouts:
+        part = jsplit(jtrim(F.col("_line")), literal_sep(lay.sep), lay.sep)
+        split = (F.when(F.col("_kind") == lay.kind, part) if split is None
+                 else split.when(F.col("_kind") == lay.kind, part))
+    staged = lines.select(v.alias("_line"), kind.alias("_kind")).select("_kind", split.alias("_parts"))
+    parts = F.col("_parts")
+    n = F.size(parts)
+    not_blank = ~((n == 1) & (F.get(parts, 0) == ""))
+
+    shape, exprs, checks = {}, {}, []
+    for lay in layouts:
+        ok = (F.col("_kind") == lay.kind) & (n == lay.arity if lay.exact else n >= lay.arity) & not_blank
+        shape[lay.kind] = ok
+        typed_ok = ok
+        for i, (name, dtype) in enumerate(lay.fields):
+            raw = jtrim(F.get(parts, i))
+            val = raw if dtype == "string" else parse_number(raw, dtype, lay.on_bad, name)
+            exprs.setdefault(name, []).append((ok, val, dtype))
+            if dtype != "string" and lay.on_bad == "skip":
+                typed_ok = typed_ok & val.isNotNull()
+        checks.append(typed_ok)
+    members = [F.col("_kind").alias("kind")]
+    for name, alts in exprs.items():
+        e = None
+        for ok, val, dtype in alts:
+            e = F.when(ok, val) if e is None else e.when(ok, val)
+        members.append(e.cast(alts[0][2]).alias(name))
+    valid = checks[0]
+    for c in checks[1:]:
+        valid = valid | c
+    members.append(valid.alias("_ok"))
+    records = staged.select(F.inline(F.array(F.struct(*members))))
+    return records.filter(F.col("_ok")).drop("_ok")
+
+
 # Record layouts of the rating / user / item files.
 RATING_FIELDS: list[Field] = [("user_id", "bigint"), ("item_id", "bigint"), ("rating", "int"), ("ts", "bigint")]
 USER_FIELDS: list[Field] = [("user_id", "bigint"), ("age", "int"), ("gender", "string"),
@@ -102,3 +166,8 @@ def parse_items(lines: DataFrame, category_names: Sequence[str], on_bad: str = "
                           on_bad=on_bad, extra=[(head + i, c) for i, c in enumerate(flag_cols)])
     return out.select(*[n for n, _ in ITEM_HEAD_FIELDS],
                       flags_to_names(flag_cols, category_names).alias("categories"))
+
+
+# A mixed input of rating lines (tab) and user lines (pipe), tab tested first.
+RATING_USER_LAYOUTS = (Layout("R", "\t", "\t", RATING_FIELDS[:3], arity=3, exact=False),
+                       Layout("U", "|", "|", USER_FIELDS, arity=5, exact=True))

@@ -179,3 +179,29 @@ def test_checked_broadcast_respects_the_bound(spark):
     fact = spark.range(100).withColumnRenamed("id", "k")
     plan = fact.join(checked_broadcast(small.withColumnRenamed("id", "k"), 5), "k")._jdf.queryExecution()
     assert "BroadcastHashJoin" in plan.executedPlan().toString()
+
+
+def test_parse_by_content_one_pass(lines):
+    from sparkdeck.sources.delimited import RATING_USER_LAYOUTS, parse_by_content
+
+    mixed = lines(["1\t10\t4\t881250949", "2\t10\tx\t1", "1|24|M|technician|85711", "9|29|M|student|", "",
+                   "junk", "3\t11\t5"])
+    got = sorted((r.kind, r.user_id, r.item_id, r.rating, r.gender)
+                 for r in parse_by_content(mixed, RATING_USER_LAYOUTS).collect())
+    assert got == [("R", 1, 10, 4, None), ("R", 3, 11, 5, None), ("U", 1, None, None, "M")]
+
+
+def test_one_pass_averages_equal_the_join_forms(spark, lines):
+    from sparkdeck.sources.delimited import RATING_USER_LAYOUTS, parse_by_content
+
+    rating_lines = [f"{u}\t{i}\t{(u * 7 + i) % 5 + 1}\t0" for u in range(1, 40) for i in range(u % 4 + 1)]
+    user_lines = [f"{u}|30|{'MF'[u % 2]}|occ|00000" for u in range(1, 35)]  # users 35-39 unknown
+    mixed = lines(rating_lines + user_lines + [user_lines[0].replace("|M|", "|F|")])  # a duplicate user
+    tagged = parse_by_content(mixed, RATING_USER_LAYOUTS)
+    one = {r.gender: (round(r.avg_rating, 12), r.n_ratings)
+           for r in ratings.group_average_one_pass(tagged, "user_id", "gender").collect()}
+    r = tagged.filter("kind = 'R'").select("user_id", "item_id", "rating")
+    u = tagged.filter("kind = 'U'").select("user_id", "gender")
+    two = {x.gender: (round(x.avg_rating, 12), x.n_ratings)
+           for x in ratings.avg_rating_by_group(r, u, "gender").collect()}
+    assert one == two and set(one) == {"M", "F"}
