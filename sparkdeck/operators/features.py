@@ -115,7 +115,7 @@ def vector_columns(vec: str, names: Sequence[str], digits: int | None = None) ->
 
 def vector_text(vec: str) -> Column:
     """A vector as ``'v0,v1,...'`` text (sinks cannot write vectors)."""
-    return F.array_join(F.transform(vector_to_array(F.col(vec)), lambda x: x.cast("string")), ",")
+    return F.array_join(vector_to_array(F.col(vec)).cast("array<string>"), ",")
 
 
 def iqr_bounds(df: DataFrame, col: str, relative_error: float = 0.05, whisker: float = 1.5) -> tuple[float, float]:
