@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
-from sparkdeck.operators.joins import join_dimension
+from sparkdeck.operators.joins import checked_broadcast
+from sparkdeck.session import cut_lineage
 
 
 def _q(c: str) -> Column:
@@ -121,8 +122,9 @@ def boxplot_stats(df: DataFrame, value: str, group: str | None = None,
                   relative_error: float = 0.01, whisker: float = 1.5) -> DataFrame:
     """H12 (the box plot, as numbers): per group n, min, q1, median, q3, max,
     the fences ``q1 - w*IQR`` / ``q3 + w*IQR`` and the count of points
-    outside them.  Pass 1 aggregates sketches per group; pass 2 joins the
-    per-group fences (one row per group) back and counts in one aggregate."""
+    outside them.  Pass 1 aggregates sketches per group (checkpointed);
+    pass 2 broadcasts the per-group fences to the data and counts in one
+    aggregate."""
     keys = [group] if group else ["_all"]
     gcol = F.col(group) if group else F.lit(0)
     x = F.col(value).cast("double")
@@ -136,8 +138,15 @@ def boxplot_stats(df: DataFrame, value: str, group: str | None = None,
                  F.col("_q")[2].alias("q3"), "max")
     iqr = F.col("q3") - F.col("q1")
     s = s.withColumn("lower_fence", F.col("q1") - whisker * iqr).withColumn("upper_fence", F.col("q3") + whisker * iqr)
-    # Equi-join on the group key; the fence side has one row per group.
-    j = join_dimension(clean, s.select(*keys, "lower_fence", "upper_fence"), keys)
+    # One row per group, written to the shared checkpoint folder (one pass of
+    # the sketches; lineage cut, so it is not recomputed).  Its row count is
+    # then cheap to check, and within the bound the fences are broadcast to
+    # the full data: no shuffle of the data for the outlier count.  (Left to
+    # the planner, the aggregate would be estimated at its input's size and
+    # the data shuffled for a sort-merge join before AQE saw the real size.)
+    s = cut_lineage(s)
+    fences = checked_broadcast(s.select(*keys, "lower_fence", "upper_fence"))
+    j = clean.join(fences, keys)
     out = F.count(F.when((F.col("_x") < F.col("lower_fence")) | (F.col("_x") > F.col("upper_fence")), 1))
     res = s.join(j.groupBy(*keys).agg(out.alias("n_outliers")), keys, "left")
     return res if group else res.drop("_all")
