@@ -60,3 +60,10 @@ def test_iqr_bounds_reach_the_parquet_reader(spark):
     plan = _final_plan(spark, "iqr_filter")
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
     assert any("GreaterThanOrEqual(value" in p and "LessThanOrEqual(value" in p for p in pushed)
+
+
+def test_boxplot_counts_outliers_without_shuffling_the_data(spark):
+    plan = _final_plan(spark, "boxplot_stats", SF001)
+    # the fences (one row per group, checkpointed) are broadcast to the scan
+    assert "BroadcastHashJoin" in plan and "Inner, BuildRight" in plan
+    assert plan.count("Exchange hashpartitioning(event_type") <= 2  # sketch agg + outlier counts, both partial
