@@ -180,16 +180,16 @@ def q_combine_features(spark, d):
 
 @query("numeric_transforms", """
 SELECT c_custkey, c_acctbal,
-  ROUND(CASE WHEN c_acctbal > 0 THEN ln(c_acctbal) END, 9) AS c_acctbal_log,
-  ROUND(CASE WHEN c_acctbal <> 0 THEN 1.0 / c_acctbal END, 9) AS c_acctbal_recip,
-  ROUND(CASE WHEN c_acctbal < 0 THEN CAST('NaN' AS DOUBLE) ELSE sqrt(c_acctbal) END, 9) AS c_acctbal_sqrt,
-  ROUND(CASE WHEN c_acctbal < 0 THEN CAST('NaN' AS DOUBLE) ELSE pow(c_acctbal, 1.0 / 3.0) END, 9) AS c_acctbal_cbrt_pow,
-  ROUND(cbrt(c_acctbal), 9) AS c_acctbal_cbrt
+  ROUND(CASE WHEN c_acctbal > 0 THEN ln(c_acctbal) END, 6) AS c_acctbal_log,
+  ROUND(CASE WHEN c_acctbal <> 0 THEN 1.0 / c_acctbal END, 6) AS c_acctbal_recip,
+  ROUND(CASE WHEN c_acctbal < 0 THEN CAST('NaN' AS DOUBLE) ELSE sqrt(c_acctbal) END, 6) AS c_acctbal_sqrt,
+  ROUND(CASE WHEN c_acctbal < 0 THEN CAST('NaN' AS DOUBLE) ELSE pow(c_acctbal, 1.0 / 3.0) END, 6) AS c_acctbal_cbrt_pow,
+  ROUND(cbrt(c_acctbal), 6) AS c_acctbal_cbrt
 FROM customer""")
 def q_numeric_transforms(spark, d):
     c = B.table(spark, d, "customer").select("c_custkey", "c_acctbal")
     t = FE.numeric_transforms(c, "c_acctbal")
-    return t.select("c_custkey", "c_acctbal", *[F.round(x, 9).alias(x) for x in t.columns[2:]])
+    return t.select("c_custkey", "c_acctbal", *[F.round(x, 6).alias(x) for x in t.columns[2:]])
 
 
 def _adult_numeric(spark, d):
@@ -199,45 +199,45 @@ def _adult_numeric(spark, d):
 @query("minmax_scale", f"""
 SELECT id,
   ROUND(CASE WHEN MAX(price) OVER () = MIN(price) OVER () THEN 0.5
-        ELSE (price - MIN(price) OVER ()) / (MAX(price) OVER () - MIN(price) OVER ()) END, 9) AS price_scaled,
+        ELSE (price - MIN(price) OVER ()) / (MAX(price) OVER () - MIN(price) OVER ()) END, 6) AS price_scaled,
   ROUND(CASE WHEN MAX(balance) OVER () = MIN(balance) OVER () THEN 0.5
-        ELSE (balance - MIN(balance) OVER ()) / (MAX(balance) OVER () - MIN(balance) OVER ()) END, 9) AS balance_scaled
+        ELSE (balance - MIN(balance) OVER ()) / (MAX(balance) OVER () - MIN(balance) OVER ()) END, 6) AS balance_scaled
 FROM ({S.ADULT}) t""")
 def q_minmax_scale(spark, d):
     a = _adult_numeric(spark, d)
     s = FE.minmax_scale(a, a, ["price", "balance"])
-    return s.select("id", *FE.vector_columns("scaled", ["price_scaled", "balance_scaled"], 9))
+    return s.select("id", *FE.vector_columns("scaled", ["price_scaled", "balance_scaled"], 6))
 
 
 @query("standard_scale", f"""
-SELECT id, ROUND(price / STDDEV_SAMP(price) OVER (), 9) AS price_scaled,
-       ROUND(balance / STDDEV_SAMP(balance) OVER (), 9) AS balance_scaled
+SELECT id, ROUND(price / STDDEV_SAMP(price) OVER (), 6) AS price_scaled,
+       ROUND(balance / STDDEV_SAMP(balance) OVER (), 6) AS balance_scaled
 FROM ({S.ADULT}) t""")
 def q_standard_scale(spark, d):
     a = _adult_numeric(spark, d)
     s = FE.standard_scale(a, a, ["price", "balance"])
-    return s.select("id", *FE.vector_columns("scaled", ["price_scaled", "balance_scaled"], 9))
+    return s.select("id", *FE.vector_columns("scaled", ["price_scaled", "balance_scaled"], 6))
 
 
 @query("standard_scale_centered", f"""
-SELECT id, ROUND((price - AVG(price) OVER ()) / STDDEV_SAMP(price) OVER (), 9) AS price_scaled,
-       ROUND((balance - AVG(balance) OVER ()) / STDDEV_SAMP(balance) OVER (), 9) AS balance_scaled
+SELECT id, ROUND((price - AVG(price) OVER ()) / STDDEV_SAMP(price) OVER (), 6) AS price_scaled,
+       ROUND((balance - AVG(balance) OVER ()) / STDDEV_SAMP(balance) OVER (), 6) AS balance_scaled
 FROM ({S.ADULT}) t""")
 def q_standard_scale_centered(spark, d):
     a = _adult_numeric(spark, d)
     s = FE.standard_scale(a, a, ["price", "balance"], with_mean=True)
-    return s.select("id", *FE.vector_columns("scaled", ["price_scaled", "balance_scaled"], 9))
+    return s.select("id", *FE.vector_columns("scaled", ["price_scaled", "balance_scaled"], 6))
 
 
 @query("robust_scale", f"""
 SELECT id, ROUND((price - (SELECT quantile_disc(price, 0.5) FROM ({S.ADULT}) s))
-                 / (SELECT quantile_disc(price, 0.75) - quantile_disc(price, 0.25) FROM ({S.ADULT}) s), 9)
+                 / (SELECT quantile_disc(price, 0.75) - quantile_disc(price, 0.25) FROM ({S.ADULT}) s), 6)
        AS price_robust
 FROM ({S.ADULT}) t""")
 def q_robust_scale(spark, d):
     a = _adult_numeric(spark, d)
     s = FE.robust_scale(a, a, "price", relative_error=EXACT)
-    return s.select("id", F.round("price_robust", 9).alias("price_robust"))
+    return s.select("id", F.round("price_robust", 6).alias("price_robust"))
 
 
 @query("stable_split", f"""
