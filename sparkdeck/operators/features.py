@@ -84,7 +84,9 @@ def ordinal_encode(df: DataFrame, col: str, mapping: Mapping, default: int = -1,
 
 def ordinal_encode_udf(df: DataFrame, col: str, fn: Callable[[object], int], out: str | None = None) -> DataFrame:
     """Ordinal codes from an arbitrary Python function, vectorised as a
-    pandas UDF (Arrow batches), for maps that are not a finite table."""
+    pandas UDF (Arrow batches), for maps that are not a finite table.  ``fn``
+    is shipped to the Python workers by value when it is a lambda or a
+    closure; a module-level function must be importable on the workers."""
 
     @F.pandas_udf("int")
     def _apply(s: pd.Series) -> pd.Series:

@@ -99,13 +99,12 @@ def q_ordinal_encode(spark, d):
     return FE.ordinal_encode(B.loan_table(spark, d), "priority", B.PRIORITY_ORDER).select("id", "priority_ord")
 
 
-def _priority_rank(v) -> int:
-    return B.PRIORITY_ORDER.get(v, -1)
-
-
 @query("ordinal_encode_udf", f"SELECT id, CAST({_PRIORITY_CASE} AS INTEGER) AS priority_ord FROM ({S.LOAN}) t")
 def q_ordinal_encode_udf(spark, d):
-    return FE.ordinal_encode_udf(B.loan_table(spark, d), "priority", _priority_rank).select("id", "priority_ord")
+    # A self-contained function (the map travels with it), so Python workers
+    # need nothing but the standard library to run it.
+    rank = lambda v, order=dict(B.PRIORITY_ORDER): order.get(v, -1)
+    return FE.ordinal_encode_udf(B.loan_table(spark, d), "priority", rank).select("id", "priority_ord")
 
 
 _STATUS_LABEL = (f"CAST((SELECT idx FROM ({_index_sql(S.LOAN, 'status')}) i WHERE i.status = t.status) AS DOUBLE)")
