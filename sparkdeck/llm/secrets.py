@@ -1,0 +1,197 @@
+"""Secret scan: three patterns plus a log-likelihood ratio of two Markov models.
+
+The patterns find *assign* (a credential name, a sign, a value), *access* (key
+ids) and *hex* (long hexadecimal runs), leftmost and without overlap per kind.
+The method adds *markov*: a run of key characters is a secret when a character
+Markov model of random strings explains it better than one of ordinary
+identifiers, by a log-likelihood ratio over ``MIN_RATIO``, and it overlaps no
+pattern's span.
+
+Both models are first-order over folded characters and are trained with Spark
+aggregations from labelled samples (``token``, ``is_random``); ``corpus_samples``
+takes them from the corpus: values that the patterns found are random strings,
+other long words are ordinary identifiers.  Only the folded bigram counts
+(at most 2 x 66^2 rows) reach the driver.
+
+Everything runs in built-in expressions: a text is marked once per kind with
+``regexp_replace`` (private-use delimiters, linear in the text), split, and the
+code-point offsets follow from the lengths of the parts.  No shuffle.
+
+Defined results: a null text is empty and has no spans; repeated rows each get
+a row; offsets are code points, the end exclusive; equal starts are ordered
+assign, access, hex, markov.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sparkdeck.llm.common import literal_array
+
+# The patterns of the three base kinds, in the order of kinds.
+ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+KINDS = ["assign", "access", "hex", "markov"]
+MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
+
+# Minimum lengths folded into the pattern where matches are maximal runs (a
+# run is kept or dropped whole, so the shorter runs need not be visited).
+ACCESS_LONG = r"AKIA[A-Z0-9]{16,}"
+HEX_LONG = r"[0-9a-f]{24,}"
+
+#: Runs of key characters looked at by the models, and the needed ratio in nats.
+TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
+MIN_RATIO = 12.0
+#: Documents (expected number) whose words and pattern values train the models.
+SAMPLE_DOCS = 4000
+#: At most so many training tokens of either label.
+SAMPLE_TOKENS = 50_000
+
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+OPEN, STAND_IN = "\uE000", "\uE001"
+SPAN = "array<struct<start:int,end:int,txt:string>>"
+
+
+def find_spans(text: Column, pattern: str) -> Column:
+    """(start, end, txt) of all leftmost non-overlapping matches.  ``text``
+    must not hold the delimiter (see ``safe_text``)."""
+    parts = F.split(F.regexp_replace(text, pattern, f"{OPEN}$0{OPEN}"), OPEN, -1)
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast(SPAN).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        end = acc["at"] + F.length(x)
+        one = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), x.alias("txt"))).cast(SPAN)
+        return F.struct(end.alias("at"), (acc["i"] + 1).alias("i"),
+                        F.when(acc["i"] % 2 == 1, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+
+    return (F.when(text.rlike(pattern), F.aggregate(parts, zero, step, lambda acc: acc["out"]))
+            .otherwise(F.array().cast(SPAN)))
+
+
+def safe_text(text: Column) -> Column:
+    """The text with the delimiter replaced by another private-use character
+    (neither occurs in a pattern, so no match and no offset changes)."""
+    return F.replace(F.coalesce(text, F.lit("")), F.lit(OPEN), F.lit(STAND_IN))
+
+
+def base_spans(text: Column) -> dict[str, Column]:
+    assign = F.filter(find_spans(text, ASSIGN), lambda s: F.length(F.regexp_extract(s["txt"], ASSIGN, 2)) >= MIN_VALUE)
+    return {"assign": assign, "access": find_spans(text, ACCESS_LONG), "hex": find_spans(text, HEX_LONG)}
+
+
+# ----------------------------------------------------------------- models --
+
+def corpus_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int = SAMPLE_TOKENS) -> DataFrame:
+    """(token, is_random) from about ``sample_docs`` documents chosen by a hash
+    of id and text: values of the patterns, and words of 8 or more letters."""
+    share = max(1, docs.count() // sample_docs)
+    t = (docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
+         .select(safe_text(F.col("text")).alias("t")))
+    spans = base_spans(F.col("t"))
+    values = F.concat(F.transform(spans["assign"], lambda s: F.regexp_extract(s["txt"], ASSIGN, 2)),
+                      F.transform(spans["access"], lambda s: s["txt"]), F.transform(spans["hex"], lambda s: s["txt"]))
+    words = F.filter(F.split("t", r"[^A-Za-z_-]+"), lambda w: (F.length(w) >= 8) & (F.length(w) <= 64))
+    def some(tokens: Column, is_random: bool) -> DataFrame:
+        return (t.select(F.explode(tokens).alias("token")).distinct().orderBy(F.xxhash64("token"), "token")
+                .limit(sample_tokens).withColumn("is_random", F.lit(is_random)))
+
+    return some(values, True).unionByName(some(words, False))
+
+
+def fold(c: Column) -> Column:
+    """1-based index of a character in the alphabet, 0 for any other."""
+    return F.instr(F.lit(ALPHABET), c)
+
+
+def train(samples: DataFrame, smoothing: float = 1.0) -> list[float]:
+    """Log-likelihood ratio (random over identifier) of each folded bigram, row
+    by row of a (|alphabet|+1)^2 table.  Without samples of a label its model
+    is uniform over the alphabet."""
+    t = samples.where(F.length("token") > 1)
+    grams = t.select("is_random", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("token") - 1),
+        lambda i: F.struct(fold(F.substring("token", i, 1)).alias("a"), fold(F.substring("token", i + 1, 1)).alias("b")))).alias("g"))
+    rows = grams.groupBy("is_random", "g.a", "g.b").count().collect()  # at most 2 x 68^2
+    k = len(ALPHABET) + 1
+    counts = {True: [[smoothing] * k for _ in range(k)], False: [[smoothing] * k for _ in range(k)]}
+    for r in rows:
+        counts[r["is_random"]][r["a"]][r["b"]] += r["count"]
+    out = []
+    for a in range(k):
+        total = {y: sum(counts[y][a]) for y in (True, False)}
+        out += [math.log(counts[True][a][b] / total[True]) - math.log(counts[False][a][b] / total[False]) for b in range(k)]
+    return out
+
+
+def ratio(token: Column, model: list[float]) -> Column:
+    """Log-likelihood ratio of a token under the two models, in nats."""
+    k = len(ALPHABET) + 1
+    at = literal_array([round(x, 6) for x in model], "double")
+    return F.aggregate(
+        F.when(F.length(token) > 1, F.sequence(F.lit(1), F.length(token) - 1)).otherwise(F.array().cast("array<int>")),
+        F.lit(0.0),
+        lambda acc, i: acc + F.element_at(at, fold(F.substring(token, i, 1)) * k + fold(F.substring(token, i + 1, 1)) + 1))
+
+
+# ------------------------------------------------------------------- scan --
+
+def _tagged(spans: Column, kind: str) -> Column:
+    rank = KINDS.index(kind)
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end")))
+
+
+def with_spans(docs: DataFrame, model: list[float], out: str = "found", min_ratio: float = MIN_RATIO) -> DataFrame:
+    """Adds ``out``: a struct of ``base`` and ``all``, arrays of (start, rank,
+    end) ordered by start and kind."""
+    t = F.col(f"{out}.t")
+    d = docs.withColumn(out, F.struct(safe_text(F.col("text")).alias("t")))
+    spans = base_spans(t)
+    base = F.concat(*[_tagged(spans[k], k) for k in KINDS[:3]])
+    d = d.withColumn(out, F.struct(t.alias("t"), F.array_sort(base).alias("base")))
+    tokens = F.filter(find_spans(t, TOKEN), lambda s: ratio(s["txt"], model) >= min_ratio)
+    base = F.col(f"{out}.base")
+    extra = F.filter(tokens, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    return d.withColumn(out, F.struct(base.alias("base"), F.array_sort(F.concat(base, _tagged(extra, "markov"))).alias("all")))
+
+
+def _written(spans: Column) -> Column:
+    names = literal_array(KINDS, "string")
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def scan(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
+    """Per document row: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
+    model = train(corpus_samples(docs)) if model is None else model
+    d = with_spans(docs.select("doc_id", "text"), model)
+    count = lambda kind: F.size(F.filter(F.col("found.base"), lambda s: s["rank"] == KINDS.index(kind))).cast("long")
+    return d.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+                    F.sha2(_written(F.col("found.base")), 256).alias("base_sha256"), _written(F.col("found.all")).alias("spans"))
+
+
+def redact(docs: DataFrame, model: list[float] | None = None, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` (all columns) with every span, overlapping ones merged,
+    replaced by ``mark`` in ``text``; texts without spans are unchanged."""
+    model = train(corpus_samples(docs)) if model is None else model
+    name = "found"
+    while name in docs.columns:
+        name += "_"
+    d = with_spans(docs, model, name)
+    spans = F.col(f"{name}.all")
+    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.col("text").substr(acc["at"] + 1, s["start"] - acc["at"])
+        fresh = s["start"] >= acc["at"]
+        return F.struct(F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
+                        F.greatest(acc["at"], s["end"]).alias("at"))
+
+    def finish(acc: Column) -> Column:
+        return F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text")))
+
+    cleaned = F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, finish)).otherwise(F.col("text"))
+    return d.withColumn("text", cleaned).drop(name)
