@@ -54,3 +54,8 @@ def literal_array(values: list, kind: str) -> Column:
 def rows_of(array: Column) -> Column:
     """1-based positions of an array; no position for an empty one."""
     return F.when(F.size(array) > 0, F.sequence(F.lit(1), F.size(array))).otherwise(F.array().cast("array<int>"))
+
+
+#: DuckDB: the words of a text column.
+SQL_WORDS = ("list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')")

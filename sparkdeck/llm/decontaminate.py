@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import words
+from sparkdeck.llm.common import SQL_WORDS, words
 
 WINDOW_WORDS = 10
 #: Window hashes broadcast in one pass (a bigint and a length each).
@@ -126,8 +126,6 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WO
 
 
 #: DuckDB: the same result per document over the tables ``documents`` and ``benchmark``.
-SQL_WORDS = ("list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
-             "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')")
 CONTAMINATION_SQL = f"""
 WITH b AS (SELECT item_id, {SQL_WORDS.format('text')} AS w FROM benchmark),
 bl AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkdeck.llm import decontaminate, secrets
+from sparkdeck.llm import decontaminate, licenses, secrets
 from sparkdeck.llm.common import table
 
 
@@ -15,15 +15,21 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op7_license_scan": op7_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
     "op2_benchmark_decontamination": decontaminate.CONTAMINATION_SQL,
+    "op7_license_scan": licenses.scan_sql(),
 }
