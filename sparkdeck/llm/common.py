@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +63,26 @@ def rows_of(array: Column) -> Column:
 #: DuckDB: the words of a text column.
 SQL_WORDS = ("list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
              "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in the Python workers of a session, once
+    per application: its sources go to the executors as a Python file of the
+    job.  Functions are then pickled by reference, and a worker process keeps
+    its module-level memos from task to task."""
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(root):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="sparkdeck-py-"), "sparkdeck_sources.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("sparkdeck", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -38,21 +38,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkdeck.llm.common import ship
+
 SIZE = 2048
 END_ID = 1
-HARD_STEP = 64
+HARD_STEP = 24
 #: Cost, in padding tokens, of cutting at the end of a document, of a sentence,
 #: or inside a sentence.
-DOCUMENT_PENALTY, SENTENCE_PENALTY, HARD_PENALTY = 0, 2, 24
+DOCUMENT_PENALTY, SENTENCE_PENALTY, HARD_PENALTY = 0, 1, 8
 BUFFER_TOKENS = 64 * SIZE
 #: Shortest power-of-two window tried inside a stream (shorter ones only occur
 #: at the end of a partition).
 LEAST_POWER = 256
-MEMO_ENTRIES, MEMO_TOKENS = 300_000, 3_000_000
+MEMO_ENTRIES, MEMO_BYTES = 600_000, 16_000_000
+
+# The pre-token pattern and the word-end mark of the word tokenizer.
+PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+WORD_END = "</w>"
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -71,7 +78,10 @@ class ChunkEncoder:
 
         self.library = Tokenizer.from_str(tokenizer)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo: dict[str, tuple[int, ...]] = {}
+        ends = [i for token, i in self.library.get_vocab().items() if token.endswith(WORD_END)]
+        self.is_end = np.zeros(max(ends, default=0) + 2, dtype=bool)
+        self.is_end[ends] = True
+        self.memo: dict[str, bytes] = {}  # chunk: its ids, little-endian
         self.held = 0
         self.blank_parts = self._blank_parts()
 
@@ -80,30 +90,40 @@ class ChunkEncoder:
         word tokenizer drops white space; others keep it in their pieces)."""
         probe = "It's one-two, thr33 \n\t x  ...y's"
         alone = [i for c in probe.split() for i in self._encode(c)]
-        return alone == self._encode(probe) and not any(" " in s for s in self.special)
+        return (alone == self._encode(probe) and not any(" " in s for s in self.special)
+                and sum(self.is_end[min(i, len(self.is_end) - 1)] for i in alone) == len(PRETOKEN.findall(probe.lower())))
 
     def _encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of unseen chunks, many in one call: every pre-token ends in one
+        word-end id, so the ids fall apart by the chunks' pre-token counts."""
+        ids = np.array(self._encode(" ".join(chunks)), dtype="<u4")
+        words = np.concatenate([[0], np.flatnonzero(self.is_end[np.minimum(ids, len(self.is_end) - 1)]) + 1])
+        upto = np.cumsum([0] + [len(PRETOKEN.findall(c)) for c in chunks])
+        if upto[-1] != len(words) - 1 or words[-1] != len(ids):
+            raise ValueError("the tokenizer does not end every pre-token with a word-end id")
+        places = (4 * words[upto]).tolist()
+        raw = ids.tobytes()
+        self.memo.update(zip(chunks, (raw[x:y] for x, y in zip(places[:-1], places[1:], strict=True)), strict=True))
+        self.held += len(raw)
+
     def encode(self, text: str) -> np.ndarray:
         # special strings in a text are matched before anything else is done,
         # so a text with one is handed over whole
         if not self.blank_parts or UNSAFE.search(text) or any(s in text for s in self.special):
-            return np.array(self._encode(text), dtype=np.uint32)
+            return np.array(self._encode(text), dtype="<u4")
         chunks = text.lower().split()
-        memo = self.memo
         try:
-            found = [memo[c] for c in chunks]
+            found = list(map(self.memo.__getitem__, chunks))
         except KeyError:
-            if len(memo) > MEMO_ENTRIES or self.held > MEMO_TOKENS:
-                memo.clear()
+            if len(self.memo) > MEMO_ENTRIES or self.held > MEMO_BYTES:
+                self.memo.clear()
                 self.held = 0
-            new = [c for c in dict.fromkeys(chunks) if c not in memo]
-            for c, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memo[c] = tuple(e.ids)
-                self.held += len(e.ids)
-            found = [memo[c] for c in chunks]
-        return np.fromiter((i for ids in found for i in ids), dtype=np.uint32)
+            self._learn([c for c in dict.fromkeys(chunks) if c not in self.memo])
+            found = list(map(self.memo.__getitem__, chunks))
+        return np.frombuffer(b"".join(found), dtype="<u4")
 
 
 def encoder(tokenizer: str) -> ChunkEncoder:
@@ -212,7 +232,7 @@ class Stream:
                 doc_id, ids, done = self.docs[d]
                 n = min(end - at, len(ids) - done)
                 piece = ids[done:done + n]
-                out.append((doc_id, done, n, zlib.crc32(piece.astype("<u4").tobytes()), len(ids), self.sequence, at - start))
+                out.append((doc_id, done, n, zlib.crc32(piece.tobytes()), len(ids), self.sequence, at - start))
                 at += n
                 if done + n == len(ids):
                     d += 1
@@ -231,16 +251,17 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = E
     sequence_id, offset.  ``docs`` needs doc_id and text."""
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = f.read()
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer)
-        ends = np.array(sorted({i for s in (".", "!", "?", "...", ".\"") for i in enc._encode(s)[-1:]} | {end_id}), dtype=np.uint32)
+        ends = np.array(sorted({i for s in (".", "!", "?", "...", ".\"") for i in enc._encode(s)[-1:]} | {end_id}), dtype="<u4")
         stream = Stream(size, TaskContext.get().partitionId() << 33)
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.append(enc.encode(text), np.uint32(end_id)) if text else np.array([end_id], dtype=np.uint32)
+                ids = np.append(enc.encode(text), np.array([end_id], dtype="<u4")) if text else np.array([end_id], dtype="<u4")
                 stream.add(None if pd.isna(doc_id) else int(doc_id), ids, cut_places(ids, ends, True))
                 if stream.held >= buffer_tokens:
                     out += stream.pack(False)

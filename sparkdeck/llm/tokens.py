@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkdeck.llm.common import ship
+
 MARK = "▁"
 #: Sure boundary used to encode a pre-token that has no leading mark.
 BREAK = "\n"
@@ -131,6 +133,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     """Per document row: doc_id, n_bytes, n_tokens, over_limit."""
     with open(model_path, "rb") as f:
         model = f.read()
+    ship(docs.sparkSession)
     d = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
                     token_count(F.col("text"), model).alias("n_tokens"))
     return d.withColumn("over_limit", F.col("n_tokens") > limit)
