@@ -17,6 +17,9 @@ LOWER = UPPER.lower()
 #: part of words).
 SEPARATORS_RAW = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+#: A character of a word.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
 #: crc32(doc_id as text) mod 3 equal to this is held out of all training.
 HELD_OUT_REMAINDER = 1
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkdeck.llm import decontaminate, langid, licenses, packing, secret_scan, tokens, toxicity
+from sparkdeck.llm import decontaminate, langid, licenses, neardup, packing, secret_scan, tokens, toxicity
 from sparkdeck.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_language_id": op4_language_id,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
