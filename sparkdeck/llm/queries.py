@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkdeck.llm import decontaminate, langid, licenses, neardup, packing, secret_scan, tokens, toxicity
+from sparkdeck.llm import ann, decontaminate, langid, licenses, neardup, packing, secret_scan, tokens, toxicity
 from sparkdeck.llm.common import table
 
 
@@ -27,6 +28,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_permutation_ann": op3_permutation_ann,
     "op4_language_id": op4_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_license_scan": op7_license_scan,
