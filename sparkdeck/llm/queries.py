@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdeck.llm import ann, decontaminate, langid, licenses, neardup, packing, secret_scan, tokens, toxicity
+from sparkdeck.llm import ann, decontaminate, langid, licenses, neardup, packing, pages, secret_scan, tokens, toxicity
 from sparkdeck.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_permutation_ann": op3_permutation_ann,
     "op4_language_id": op4_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_license_scan": op7_license_scan,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
