@@ -113,7 +113,7 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.n
     left = offsets[1:][text] - np.arange(total)  # words from here to the text's end
     with np.errstate(over="ignore"):
         factor = 1
-        for j in range(k):
+        for j in range(min(k, total)):
             factor = factor * 0xD6E8FEB86659FD93 % (1 << 64)
             step = words * np.uint64(factor)
             acc[:total - j] += np.where(left[:total - j] > j, step[j:], np.uint64(0))
