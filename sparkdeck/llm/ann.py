@@ -63,6 +63,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that keep their squares in range (exact, so
+    cosines do not change)."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True))[1])
+
+
 def permutations(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """(rows, pivots) rank of each pivot by nearness; ties by pivot number."""
     order = np.argsort(-(x @ pivots.T), axis=1, kind="stable")
@@ -103,7 +109,7 @@ class Block:
             if len(at) > k:  # whatever may be among the first k after rounding
                 at = at[rough >= np.partition(rough, len(at) - k)[len(at) - k] - 1e-9]
             # one way of summing for every row, so equal vectors get equal scores
-            y = self.x[at]
+            y, q = _scaled(self.x[at]), _scaled(q)
             score = (y * q).sum(1) / (np.sqrt((y * y).sum(1)) * np.sqrt((q * q).sum()))
             order = np.lexsort((self.ids[at], -score))
             _, first = np.unique(self.ids[at][order], return_index=True)

@@ -58,9 +58,12 @@ def literal_array(values: list, kind: str) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
 
 
-def rows_of(array: Column) -> Column:
-    """1-based positions of an array; no position for an empty one."""
-    return F.when(F.size(array) > 0, F.sequence(F.lit(1), F.size(array))).otherwise(F.array().cast("array<int>"))
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that does not occur among ``taken`` (in any case)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
 
 
 #: DuckDB: the words of a text column.

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import SQL_WORDS, words
+from sparkdeck.llm.common import SQL_WORDS, fresh, words
 
 WINDOW_WORDS = 10
 #: Window hashes broadcast in one pass (a bigint and a length each).
@@ -121,8 +121,9 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WO
     are told apart by their digest, so copies share one decision."""
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     hits = find_hits(docs.select(digest.alias("digest"), "text"), items, size, max_set, keep=("digest",))
-    bad = hits.where(F.size("covered") > 0).select(F.col("digest").alias("__bad")).distinct()
-    return docs.join(bad, digest == F.col("__bad"), "left_anti")
+    name = fresh("bad", docs.columns)
+    bad = hits.where(F.size("covered") > 0).select(F.col("digest").alias(name)).distinct()
+    return docs.join(bad, digest == F.col(name), "left_anti")
 
 
 #: DuckDB: the same result per document over the tables ``documents`` and ``benchmark``.

@@ -46,7 +46,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import WORD, ship
+from sparkdeck.llm.common import WORD, fresh, ship
 from sparkdeck.llm.textnp import groups, mix, shingle_hashes, word_hashes
 from sparkdeck.session import shared_dir
 
@@ -285,14 +285,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     ship(docs.sparkSession)
     roots = duplicate_roots(prepared(docs).select("digest", "text"), shingle, similarity)
     digest = _digest(F.coalesce(F.col("text"), F.lit("")))
-    own = docs.select(F.col("doc_id").alias("__id"), digest.alias("__digest")).where(F.col("__digest").isNotNull())
-    # one line per text: its smallest id (nulls only where there is no other)
-    least = own.groupBy("__digest").agg(F.min("__id").alias("__id"))
-    best = (least.join(roots, F.col("__digest") == F.col("node"), "left")
-            .select(F.coalesce("root", "__digest").alias("__root"), F.struct(F.col("__id").isNull().alias("no"), "__id", "__digest").alias("s"))
-            .groupBy("__root").agg(F.min("s").alias("s")).select("s.__id", "s.__digest"))
-    same = (digest == F.col("__digest")) & docs["doc_id"].eqNullSafe(F.col("__id"))
-    names = docs.columns
-    kept = docs.join(best, same, "left_semi")
-    once = kept.withColumn("__d", digest).dropDuplicates(["doc_id", "__d"]).select(*names)
+    own = prepared(docs).where(F.col("digest").isNotNull())
+    # one line per text: its smallest id (null only where there is no other)
+    least = own.groupBy("digest").agg(F.min("doc_id").alias("id"))
+    first = (least.join(roots, F.col("digest") == F.col("node"), "left")
+             .select(F.coalesce("root", "digest").alias("root"), F.struct(F.col("id").isNull().alias("none"), "id", "digest").alias("s"))
+             .groupBy("root").agg(F.min("s").alias("s")))
+    id_, own_ = fresh("id", docs.columns), fresh("digest", docs.columns)
+    best = first.select(F.col("s.id").alias(id_), F.col("s.digest").alias(own_))
+    kept = docs.join(best, (digest == F.col(own_)) & F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
+    # rows repeated with the id and the text of the row that stays
+    once = kept.withColumn(own_, digest).dropDuplicates(["doc_id", own_]).drop(own_)
     return once.unionByName(docs.where(digest.isNull()))

@@ -24,8 +24,8 @@ is a slot, and text that belongs to the template itself is dropped.
 where there are several, the one with the most text) stay, without menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments inside it (by tag and class name); on a page without such an
-element, the slot with the most text outside those and slots of a fifth of
-it or more, but for blocks that are mostly links.  A host without enough pages
+element, the slot with the most text outside those, slots of a fifth of it or
+more and the headings just before them, but for blocks that are mostly links.  A host without enough pages
 for a template has its containers as slots.
 
 The templates (a few dozen numbers a host) join the pages by host; Spark sends
@@ -54,6 +54,8 @@ LEAST_PAGES = 5
 #: Words of a text run that tells copies of a page apart from others.
 LONG_RUN = 12
 SLOT_SHARE = 0.2
+#: Template tags that may stand between a heading and its text.
+HEADING_GAP = 3
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)"""
@@ -68,6 +70,7 @@ INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i i
 SPACED = {"br", "td", "th", "img", "input"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HEAD = {"head", "title"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE = {"article", "main"}
 BOILERPLATE = set("nav aside footer form dialog menu fieldset".split())
 CLOSED_BY_NEXT = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
@@ -95,11 +98,11 @@ def names_of(attributes: str) -> tuple[set[str], str, bool]:
 class Run:
     """A text run: its token, block, state and text."""
 
-    __slots__ = ("place", "token", "block", "boilerplate", "article", "link", "text")
+    __slots__ = ("place", "token", "block", "boilerplate", "article", "link", "text", "heading")
 
-    def __init__(self, place, token, block, boilerplate, article, link, text):
+    def __init__(self, place, token, block, boilerplate, article, link, text, heading=False):
         self.place, self.token, self.block, self.boilerplate = place, token, block, boilerplate
-        self.article, self.link, self.text = article, link, text
+        self.article, self.link, self.text, self.heading = article, link, text, heading
 
 
 def _number(role: str) -> int:
@@ -128,7 +131,8 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run]]:
         _, boilerplate, article, path = stack[-1] if stack else ("", False, 0, "")
         place += 1
         token = _number(f"{path}|{' '.join(piece.split())}")
-        runs.append(Run(place, token, block, boilerplate, article, links > 0, piece))
+        heading = bool(stack) and stack[-1][0] in HEADINGS
+        runs.append(Run(place, token, block, boilerplate, article, links > 0, piece, heading))
 
     for m in TOKEN.finditer(page):
         text(page[at:m.start()])
@@ -241,7 +245,10 @@ def main_text(page: str | None, classes: list[list[int]] | None) -> str:
         for r in good:
             mass[slots[r.place]] = mass.get(slots[r.place], 0) + len(r.text)
         most = max(mass.values(), default=0)
-        chosen = {r.place for r in good if mass[slots[r.place]] >= SLOT_SHARE * most}
+        kept = [k for k, n in mass.items() if n >= SLOT_SHARE * most]
+        # a heading goes with the text that follows it
+        chosen = {r.place for r in good if slots[r.place] in kept
+                  or (r.heading and any(0 < k - slots[r.place] <= HEADING_GAP for k in kept))}
     blocks: dict[int, list[str]] = {}
     for r in runs:
         if r.token and r.place in chosen:

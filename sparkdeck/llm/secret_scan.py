@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import literal_array
+from sparkdeck.llm.common import fresh, literal_array
 
 # The patterns of the three base kinds, in the order of kinds.
 ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -177,9 +177,7 @@ def redact(docs: DataFrame, model: list[float] | None = None, mark: str = "[SECR
     """``docs`` (all columns) with every span, overlapping ones merged,
     replaced by ``mark`` in ``text``; texts without spans are unchanged."""
     model = train(corpus_samples(docs)) if model is None else model
-    name = "found"
-    while name in docs.columns:
-        name += "_"
+    name = fresh("found", docs.columns)
     d = with_spans(docs, model, name)
     spans = F.col(f"{name}.all")
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
