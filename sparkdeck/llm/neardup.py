@@ -19,12 +19,14 @@ equal to their weighted Jaccard coefficient (unbiased).
 0.8 share no band with probability (1 - 0.8^ROWS)^BANDS (about 5e-6).
 
 *Links.*  Identical texts are one node from the start (by digest).  Round 1
-verifies each member of a band bucket against the bucket's smallest digest.
-Members of one component need no further comparison among themselves; round 2
-verifies, within each bucket, every pair of members whose components still
-differ.  So no link between candidates is lost, and a group of thousands of
-near copies costs about one comparison a member.  Verification is exact:
-the multisets are compared in built-in array expressions.
+verifies each member of a band bucket against the bucket's hub, the member that
+shares buckets with most others (in a group of edited copies, one near the
+original).  Members of one component need no comparison among themselves;
+round 2 verifies the pairs of members whose components still differ, except
+those that an exact prefix filter on their shingles rules out.  So no link
+between candidates is lost, and a group of thousands of near copies costs about
+one comparison a member.  Verification is exact: the multisets are compared in
+built-in array expressions.
 
 *Scale.*  Texts never leave the scan except those in a bucket with another
 text; buckets are joined, not collected; components are found by repeated
@@ -229,33 +231,56 @@ def duplicate_roots(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     a link to a different text, and the smallest digest of its class."""
     keyed = _save(banded(docs, shingle, bands, rows), "bands")
     each = keyed.select("digest", F.explode("keys").alias("key"))
-    hubs = (each.groupBy("key").agg(F.min("digest").alias("hub"), F.max("digest").alias("last"))
-            .where("hub <> last").select("key", "hub"))
-    members = _save(each.join(hubs, "key").distinct(), "members")
-    wanted = members.select("digest").distinct()
-    texts = docs.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    shared = (each.groupBy("key").agg(F.min("digest").alias("one"), F.max("digest").alias("other"))
+              .where("one <> other").select("key"))
+    members = _save(each.join(shared, "key").distinct(), "members")
+    # a text that meets many others is near the middle of its group
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    met = members.join(sizes, "key").groupBy("digest").agg(F.sum("n").alias("met"))
+    hubs = members.join(met, "digest").groupBy("key").agg(F.max_by("digest", F.struct("met", "digest")).alias("hub"))
+    first = _save(members.join(hubs, "key").where("digest <> hub")
+                  .select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct(), "first")
+    texts = docs.join(members.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
     bags = _save(multisets(texts, shingle), "bags")
-    first = members.where("digest <> hub").select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct()
     links = _save(verified(first, bags, similarity), "pairs")
     roots = _save(components(links), "roots")
-    # members of a bucket with their components; one component: all is known
-    m = (members.select("key", "digest").join(roots, F.col("digest") == F.col("node"), "left")
-         .select("key", "digest", F.coalesce("root", "digest").alias("root")))
-    groups_ = m.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    # of each bucket, the largest component answers, the others ask
-    biggest = groups_.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.count(F.lit(1)).alias("parts"))
-    open_ = _save(m.join(biggest.where("parts > 1"), "key").drop("parts"), "open")
-    asks = open_.where("root <> big").select("key", F.col("digest").alias("a"), F.col("root").alias("ra"))
-    other = open_.select("key", F.col("digest").alias("b"), F.col("root").alias("rb"), (F.col("root") == F.col("big")).alias("is_big"))
-    rest = (asks.join(other, "key").where((F.col("ra") != F.col("rb")) & (F.col("is_big") | (F.col("a") < F.col("b"))))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(first, ["a", "b"], "left_anti"))
-    more = _save(verified(rest, bags, similarity), "pairs")
+    more = _save(verified(open_pairs(members, roots, bags, similarity).join(first, ["a", "b"], "left_anti"), bags, similarity), "pairs")
     if more.isEmpty():
         return roots
     return components(links.union(more))
 
 
+def open_pairs(members: DataFrame, roots: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of texts of different components that share a bucket and
+    may reach the similarity; none that does is missing.
+
+    Of each bucket, all but its largest component ask.  Texts that ask meet
+    the others of open buckets by an exact prefix filter: with elements ordered
+    rare first, a pair of the similarity s needs ``o = s / (1 + s) * (|a| + |b|)``
+    common elements, so its first common one lies within ``|a| - o`` and
+    ``|b| - o`` of the starts."""
+    m = (members.join(roots, F.col("digest") == F.col("node"), "left")
+         .select("key", "digest", F.coalesce("root", "digest").alias("root")))
+    parts = m.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    biggest = (parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.count(F.lit(1)).alias("parts"))
+               .where("parts > 1").select("key", "big"))
+    open_ = _save(m.join(biggest, "key").groupBy("digest", "root").agg(F.max(F.col("root") != F.col("big")).alias("asks")), "open")
+    element = open_.join(bags, "digest").select("digest", "root", "asks", F.size("bag").alias("n"), F.explode("bag").alias("e"))
+    often = element.groupBy("e").agg(F.count(F.lit(1)).alias("often"))
+    ranked = element.join(often, "e").groupBy("digest", "root", "asks", "n").agg(
+        F.array_sort(F.collect_list(F.struct("often", "e"))).alias("bag"))
+    # no pair needs more than s * |a| common elements from the larger side
+    prefix = _save(ranked.select("digest", "root", "asks", "n", F.posexplode(F.transform(F.slice(
+        "bag", F.lit(1), F.col("n") - F.ceil(similarity * F.col("n") - 1e-9).cast("int") + 1), lambda x: x["e"])).alias("i", "e")), "prefix")
+    x = prefix.where("asks").select("e", F.col("digest").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("i").alias("ix"))
+    y = prefix.select("e", F.col("digest").alias("y"), F.col("root").alias("ry"), F.col("n").alias("ny"), F.col("i").alias("iy"), "asks")
+    need = F.ceil(similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9)
+    close = F.least("nx", "ny") >= similarity * F.greatest("nx", "ny")
+    met = (x["e"] == y["e"]) & (F.col("rx") != F.col("ry")) & (~F.col("asks") | (F.col("x") < F.col("y"))) & close \
+        & (F.col("nx") - F.col("ix") >= need) & (F.col("ny") - F.col("iy") >= need)
+    return x.join(y, met).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def prepared(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("digest", _digest(F.col("text")))
 
