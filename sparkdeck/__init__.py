@@ -13,7 +13,6 @@ Layout
                feature preparation, models, evaluation, tuning
 ``plans``      bindings from the driver's tables to operator inputs and the
                registered queries with their SQL oracles
-``streaming``  notes on the (absent) streaming half; see its docstring
 ``jobs``       the batch jobs as commands over input / output paths
 """
 

@@ -21,6 +21,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkdeck.operators import linalg, ratings, relational, tuning, words
 from sparkdeck.operators import models as M
@@ -28,13 +29,15 @@ from sparkdeck.operators.evaluate import regression_metrics
 from sparkdeck.sources.csv import read_csv_strings
 from sparkdeck.sources.delimited import (
     RATING_FIELDS,
-    USER_FIELDS,
+    USER_TEXT_FIELDS,
     Layout,
     parse_by_content,
     parse_delimited,
+    parse_item_titles,
     parse_items,
-    parse_pipe_users,
+    parse_rated_pairs,
     parse_tab_ratings,
+    parse_user_texts,
 )
 from sparkdeck.sources.sinks import write_csv, write_kv_text, write_text_values
 from sparkdeck.sources.text import read_lines
@@ -113,29 +116,32 @@ def _items(spark: SparkSession, path: str) -> DataFrame:
 def avg_rating_by_title(spark: SparkSession, a) -> None:
     # One read of both files; records told apart by content (tab -> rating,
     # pipe -> item), joined and averaged by one aggregation on the item id.
-    layouts = (Layout("R", "\t", "\t", RATING_FIELDS[:3], arity=3, exact=False, on_bad=a.on_bad),
-               Layout("M", "|", "|", [("item_id", "bigint"), ("title", "string")], arity=2, exact=False))
+    # Lines are taken as they are (an empty user field stays in place).
+    rating = [("user_id", "string"), *RATING_FIELDS[1:3]]
+    layouts = (Layout("R", "\t", "\t", rating, arity=3, exact=False, on_bad=a.on_bad, trim_line=False),
+               Layout("M", "|", "|", [("item_id", "bigint"), ("title", "string")], arity=2, exact=False, trim_line=False))
     tagged = parse_by_content(read_lines(spark, [a.ratings, a.items], encoding=ITEM_ENCODING), layouts)
     _kv(ratings.labelled_average_one_pass(tagged, "item_id", "title"), a, "title", "avg_rating")
 
 
 def avg_rating_by_gender(spark: SparkSession, a) -> None:
     layouts = (Layout("R", "\t", "\t", RATING_FIELDS[:3], arity=3, exact=False, on_bad=a.on_bad),
-               Layout("U", "|", "|", USER_FIELDS, arity=5, exact=True))
+               Layout("U", "|", "|", USER_TEXT_FIELDS, arity=5, exact=True))
     tagged = parse_by_content(read_lines(spark, [a.ratings, a.users]), layouts)
     _kv(ratings.group_average_one_pass(tagged, "user_id", "gender"), a, "gender", "avg_rating")
 
 
 def top_rated(spark: SparkSession, a) -> None:
-    out = ratings.topk_rated_items(_ratings(spark, a.ratings, a.on_bad), _items(spark, a.items),
+    out = ratings.topk_rated_items(_ratings(spark, a.ratings, a.on_bad),
+                                   parse_item_titles(read_lines(spark, a.items, encoding=ITEM_ENCODING)),
                                    k=a.k, min_count=a.min_count, default_prefix=a.default_prefix)
     _kv(out, a, "title", "avg_rating")
 
 
 def preferred_genre(spark: SparkSession, a) -> None:
-    users = parse_pipe_users(read_lines(spark, a.users))
-    out = ratings.preferred_category(_ratings(spark, a.ratings, a.on_bad), users, _items(spark, a.items),
-                                     "occupation")
+    users = parse_user_texts(read_lines(spark, a.users))
+    rated = parse_rated_pairs(read_lines(spark, a.ratings), on_bad=a.on_bad)
+    out = ratings.preferred_category(rated, users, _items(spark, a.items), "occupation")
     _kv(out, a, "occupation", "category")
 
 
@@ -151,10 +157,11 @@ def linear_regression(spark: SparkSession, a) -> None:
     feats = relational.feature_columns(df, a.label)
     train, test = tuning.with_split(df, feats + [a.label], 0.7, a.seed)
     m = M.fit_regressor(train, feats, a.label, "linear", regParam=a.reg_param, maxIter=a.max_iter,
-                        scale=True)
+                        scale=True, with_mean=True)
     met = regression_metrics(M.predict(m, test), a.label).first()
     terms = M.linear_terms(spark, m, feats)
-    extra = spark.createDataFrame([("test_rmse", float(met["rmse"] or 0.0)), ("test_r2", float(met["r2"] or 0.0))],
+    # NULL where the test rows give no figure
+    extra = spark.createDataFrame([("test_rmse", met["rmse"] if met else None), ("test_r2", met["r2"] if met else None)],
                                   "term string, value double")
     write_csv(terms.unionByName(extra), a.output, mode=_mode(a))
 
@@ -171,9 +178,11 @@ def grid_search(spark: SparkSession, a) -> None:
 
     df = _table(spark, a)
     feats = relational.feature_columns(df, a.label)
-    train, _ = tuning.with_split(df, feats + [a.label], 0.7, a.seed)
-    res = tuning.grid_search_cv(train, feats, a.label, feats + [a.label], FULL_GRID, folds=a.folds, seed=a.seed)
-    write_csv(res, a.output, mode=_mode(a))
+    train, test = tuning.with_split(df, feats + [a.label], 0.7, a.seed)
+    found = tuning.grid_search_cv(train, feats, a.label, feats + [a.label], FULL_GRID, folds=a.folds, seed=a.seed)
+    met = found.evaluate(test, a.label).select(F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2"))
+    scored = found.results.join(met.withColumn("is_best", F.lit(True)), "is_best", "left")
+    write_csv(scored.select(*found.results.columns, "test_rmse", "test_r2"), a.output, mode=_mode(a))
 
 
 # ------------------------------------------------------------------ CLI --
@@ -227,8 +236,8 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     a = build_parser().parse_args(argv)
     if spark is None:
-        from sparkdeck.session import build_session
-        spark = SparkSession.getActiveSession() or build_session(app_name=f"sparkdeck-{a.job}")
+        # master, memory and partitioning are the submitter's
+        spark = SparkSession.builder.appName(f"sparkdeck-{a.job}").getOrCreate()
     a.fn(spark, a)
 
 

@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
     """RMSE = sqrt(mean((y - p)^2)); R2 = 1 - SSE / SST with SST around the
-    mean of y on the evaluated rows; also MAE and n."""
+    mean of y on the evaluated rows; also MAE and n.  No rows give NULL
+    figures, a constant label a NULL R2."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     g = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum((y - p) * (y - p)).alias("_sse"),
                             F.var_pop(y).alias("_vy"), F.avg(F.abs(y - p)).alias("mae"))
-    return g.select(*by, "n", F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
-                    (1 - F.col("_sse") / (F.col("_vy") * F.col("n"))).alias("r2"), "mae")
+    return g.select(*by, "n", F.sqrt(F.try_divide(F.col("_sse"), F.col("n"))).alias("rmse"),
+                    (1 - F.try_divide(F.col("_sse"), F.col("_vy") * F.col("n"))).alias("r2"), "mae")
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction",

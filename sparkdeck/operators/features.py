@@ -3,7 +3,7 @@
 Estimators take ``fit_df`` (rows the statistics are learnt from) and
 ``apply_df`` (rows transformed); the scripts fitted on all rows, which is
 ``fit_df = apply_df``.  Fitting is a distributed aggregate (MLlib's
-Summarizer / value counts / quantile sketches); only bounded results reach
+Summarizer / value counts / quantile passes); only bounded results reach
 the driver: label lists of a categorical column, a handful of scalars.
 Transforms are narrow projections.
 """
@@ -90,7 +90,9 @@ def ordinal_encode_udf(df: DataFrame, col: str, fn: Callable[[object], int], out
 
     @F.pandas_udf("int")
     def _apply(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: fn(None if pd.isna(v) else v)).astype("int32")
+        codes, values = pd.factorize(s, use_na_sentinel=False)  # fn once per distinct value
+        coded = pd.Series([fn(None if pd.isna(v) else v) for v in values], dtype="int32")
+        return pd.Series(coded.to_numpy()[codes], index=s.index)
 
     return df.withColumn(out or f"{col}_ord", _apply(F.col(col)))
 
@@ -123,6 +125,8 @@ def vector_text(vec: str) -> Column:
 def iqr_bounds(df: DataFrame, col: str, relative_error: float = 0.05, whisker: float = 1.5) -> tuple[float, float]:
     """(lower, upper) = (Q1 - w*IQR, Q3 + w*IQR) from one quantile pass."""
     q1, q3 = quantile_values(df, col, [0.25, 0.75], relative_error)
+    if q1 is None or q3 is None:  # no value: nothing lies inside or outside
+        return float("nan"), float("nan")
     iqr = q3 - q1
     return q1 - whisker * iqr, q3 + whisker * iqr
 
@@ -130,13 +134,13 @@ def iqr_bounds(df: DataFrame, col: str, relative_error: float = 0.05, whisker: f
 def iqr_filter(df: DataFrame, col: str, relative_error: float = 0.05, whisker: float = 1.5) -> DataFrame:
     """Keep lower <= x <= upper (inclusive); NULL drops out."""
     lo, hi = iqr_bounds(df, col, relative_error, whisker)
-    return df.filter((F.col(col) >= lo) & (F.col(col) <= hi))
+    return df.filter(F.lit(lo == lo) & (F.col(col) >= lo) & (F.col(col) <= hi))
 
 
 def iqr_outliers(df: DataFrame, col: str, relative_error: float = 0.05, whisker: float = 1.5) -> DataFrame:
     """Rows strictly outside the fences."""
     lo, hi = iqr_bounds(df, col, relative_error, whisker)
-    return df.filter((F.col(col) < lo) | (F.col(col) > hi))
+    return df.filter(F.lit(lo == lo) & ((F.col(col) < lo) | (F.col(col) > hi)))
 
 
 def drop_outlier_ids(df: DataFrame, outliers: DataFrame, key: str) -> DataFrame:
@@ -187,52 +191,71 @@ def robust_scale(fit_df: DataFrame, apply_df: DataFrame, col: str, relative_erro
     return apply_df.withColumn(out or f"{col}_robust", scaled)
 
 
-def stable_bucket(key_cols: Sequence[str], seed: int, n: int) -> Column:
-    """A reproducible bucket in [0, n) from the row key and a seed:
-    first 8 hex digits of md5(key:seed) as an integer, modulo n.  Unlike
-    ``randomSplit`` it does not depend on partitioning or row order."""
+def stable_hash(key_cols: Sequence[str], seed: int) -> Column:
+    """A reproducible number in [0, 2^32) from the row key and a seed: the
+    first 8 hex digits of md5(key:seed).  Unlike ``randomSplit`` it does not
+    depend on partitioning or row order."""
     h = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))))
-    return (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % n).cast("int")
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
+def stable_bucket(key_cols: Sequence[str], seed: int, n: int) -> Column:
+    """A reproducible bucket in [0, n)."""
+    return (stable_hash(key_cols, seed) % n).cast("int")
 
 
 def stable_split(df: DataFrame, key_cols: Sequence[str], weights: Sequence[float], seed: int = 42,
                  names: Sequence[str] | None = None, buckets: int = 100) -> DataFrame:
-    """Tag every row with a split name; weights are normalised and cut
-    into bucket ranges (e.g. 0.7/0.3 -> buckets 0-69 / 70-99)."""
+    """Tag every row with a split name: the whole hash against the
+    cumulative weights, so a share of any size gets its rows.  ``bucket`` is a
+    label (hash modulo ``buckets``)."""
     names = list(names or [f"part{i}" for i in range(len(weights))])
     total = float(sum(weights))
-    b = stable_bucket(key_cols, seed, buckets)
+    h = F.col("_hash")
     expr, acc = None, 0.0
     for name, w in zip(names[:-1], weights[:-1]):
         acc += w / total
-        cut = int(round(acc * buckets))
-        expr = (F.when(b < cut, F.lit(name)) if expr is None else expr.when(b < cut, F.lit(name)))
+        cut = int(round(acc * 2**32))
+        expr = (F.when(h < cut, F.lit(name)) if expr is None else expr.when(h < cut, F.lit(name)))
     expr = F.lit(names[-1]) if expr is None else expr.otherwise(F.lit(names[-1]))
-    return df.withColumn("bucket", b).withColumn("split", expr)
-
-
-def prepare_features(df: DataFrame, nominal: Sequence[str], numeric: Sequence[str], label: str,
-                     sentinel: str = "?", relative_error: float = 0.05, iqr_col: str | None = None) -> DataFrame:
-    """Trim -> sentinel to 'Unknown' -> index nominal columns -> impute
-    numeric means -> IQR filter -> assemble -> standard scale.
-
-    The four fits (indexer, imputer, quantile sketch, scaler) each scan the
-    cleaned input; it is persisted once for them (memory, spilling to disk)
-    instead of re-running the source plan four times, and released before
-    the lazily transformed result is returned."""
+    return (df.withColumn("_hash", stable_hash(key_cols, seed))
+            .withColumns({"bucket": (h % buckets).cast("int"), "split": expr}).drop("_hash"))
+
+
+def prepare_features(df: DataFrame, nominal: Sequence[str], ordinal: Mapping[str, Mapping], numeric: Sequence[str],
+                     target: str, sentinel: str = "?", relative_error: float = 0.05, iqr_col: str | None = None,
+                     scaler: str = "minmax") -> DataFrame:
+    """Trim -> sentinel to 'Unknown' -> index and one-hot encode nominal
+    columns -> ordinal codes -> target class index -> impute numeric means ->
+    IQR filter -> assemble (one-hot vectors, ordinal codes, numerics) -> scale
+    ('minmax', 'standard' or 'centred').  Returns the untouched columns, ``label``
+    (the target's index) and ``features``.
+
+    The fits (indexers, imputer, quantiles, scaler) each scan the cleaned
+    input; it is persisted for them (memory, spilling to disk) and released
+    before the lazily transformed result is returned."""
     from sparkdeck.operators.relational import trim_string_columns
     from sparkdeck.sources.sinks import persist_for_reuse
 
-    cleaned = persist_for_reuse(replace_sentinel(trim_string_columns(df), sentinel, "Unknown", cols=list(nominal)))
+    texts = [*nominal, *ordinal, target]
+    cleaned = persist_for_reuse(replace_sentinel(trim_string_columns(df), sentinel, "Unknown", cols=texts))
     try:
         t = string_index(cleaned, cleaned, nominal)
+        t = one_hot_encode(t, t, [c + "_idx" for c in nominal])
+        for c, order in ordinal.items():
+            t = ordinal_encode(t, c, order)
+        t = label_encode(t, t, target, out="_label")
         t = impute_mean(t, t, numeric)
-        imputed = [c + "_imputed" for c in numeric]
         if iqr_col is not None:
             t = iqr_filter(t, iqr_col + "_imputed", relative_error)
-        cols = [c + "_idx" for c in nominal] + imputed
-        out = standard_scale(t, t, cols, out="features")
+        cols = [c + "_idx_vec" for c in nominal] + [c + "_ord" for c in ordinal] + [c + "_imputed" for c in numeric]
+        if scaler == "minmax":
+            out = minmax_scale(t, t, cols, out="features")
+        elif scaler in ("standard", "centred"):
+            out = standard_scale(t, t, cols, out="features", with_mean=scaler == "centred")
+        else:
+            raise ValueError(scaler)
     finally:
         cleaned.unpersist()
-    keep = [c for c in df.columns if c not in nominal and c not in numeric and c != label]
-    return out.select(*keep, label, "features")
+    keep = [c for c in df.columns if c not in {*nominal, *ordinal, *numeric, target}]
+    return out.select(*keep, F.col("_label").alias("label"), "features")

@@ -1,5 +1,4 @@
-"""Join helpers: dimension joins, size-checked broadcast, build-side
-de-duplication.
+"""Join helpers: build-side de-duplication.
 
 Who decides on broadcast:
 
@@ -8,9 +7,7 @@ Who decides on broadcast:
 * a data-derived dimension is joined plainly: Spark broadcasts it when its
   statistics are under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
   re-decides from the *measured* shuffle size at run time; otherwise it is
-  a shuffle join, where AQE splits skewed partitions of the large side;
-* ``checked_broadcast`` is for callers that want an explicit hint on a
-  cheap side: it counts at most ``max_rows + 1`` rows first.
+  a shuffle join, where AQE splits skewed partitions of the large side.
 """
 
 from __future__ import annotations
@@ -20,28 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension side we accept to ship to every executor.  At ~100 B a
-# row this is ~100 MB, under spark.sql.maxBroadcastTableSize (8 GB) with room.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if the row bound holds, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join a large fact side with a dimension side.  No hint: the size
-    check is Spark's (statistics, then AQE's measured shuffle size), so a
-    de-duplicated dimension is not computed twice to be counted."""
-    return fact.join(dim, on, how)
-
-
 def dedupe_build_side(df: DataFrame, key: str | Sequence[str], value: str | Sequence[str],
                       order_col: str | None = None) -> DataFrame:
     """One row per key, "last one seen wins".

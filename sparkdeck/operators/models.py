@@ -30,11 +30,12 @@ from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
 
 
-def model_stages(features: Sequence[str], label: str, estimator, scale: bool = False) -> Pipeline:
-    """K1: assemble (-> optionally standard-scale) -> estimator."""
+def model_stages(features: Sequence[str], label: str, estimator, scale: bool = False,
+                 with_mean: bool = False) -> Pipeline:
+    """K1: assemble (-> optionally standard-scale, centred if asked) -> estimator."""
     stages = [VectorAssembler(inputCols=list(features), outputCol="features_raw" if scale else "features")]
     if scale:
-        stages.append(StandardScaler(inputCol="features_raw", outputCol="features"))
+        stages.append(StandardScaler(inputCol="features_raw", outputCol="features", withMean=with_mean))
     estimator.setFeaturesCol("features").setLabelCol(label)
     return Pipeline(stages=stages + [estimator])
 
@@ -64,8 +65,13 @@ def fit_persisted(train: DataFrame, stages: Pipeline) -> PipelineModel:
 
 
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, kind: str = "linear",
-                  seed: int = 42, scale: bool = False, **params) -> PipelineModel:
-    return fit_persisted(train, model_stages(features, label, make_regressor(kind, seed, **params), scale))
+                  seed: int = 42, scale: bool = False, with_mean: bool = False, **params) -> PipelineModel:
+    """A linear fit reads its rows once or a few times and keeps its own
+    statistics; the tree fits read them once per level, so they are persisted
+    (label and features only)."""
+    stages = model_stages(features, label, make_regressor(kind, seed, **params), scale, with_mean)
+    train = train.select(label, *features)
+    return stages.fit(train) if kind == "linear" else fit_persisted(train, stages)
 
 
 def linear_terms(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
@@ -84,7 +90,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str, family:
                  scale: bool = False, **params) -> PipelineModel:
     """K7/K8: binary or multinomial logistic regression."""
     lr = LogisticRegression(family=family, **params)
-    return fit_persisted(train, model_stages(features, label, lr, scale))
+    return fit_persisted(train.select(label, *features), model_stages(features, label, lr, scale))
 
 
 def logistic_terms(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkdeck.operators.joins import dedupe_build_side, join_dimension
+from sparkdeck.operators.joins import dedupe_build_side
 
 
 def _sum_count(ratings: DataFrame, keys: list[str], rating: str = "rating") -> DataFrame:
@@ -89,7 +89,7 @@ def avg_rating_by_title(ratings: DataFrame, items: DataFrame) -> DataFrame:
 def join_ratings_users(ratings: DataFrame, users: DataFrame, user_cols: list[str]) -> DataFrame:
     """Each rating with attributes of its user (inner equi-join)."""
     u = dedupe_build_side(users.select("user_id", *user_cols), "user_id", user_cols)
-    return join_dimension(ratings.select("user_id", "item_id", "rating"), u, "user_id")
+    return ratings.select("user_id", "item_id", "rating").join(u, "user_id")
 
 
 def avg_rating_by_group(ratings: DataFrame, users: DataFrame, group_col: str) -> DataFrame:
@@ -99,7 +99,7 @@ def avg_rating_by_group(ratings: DataFrame, users: DataFrame, group_col: str) ->
     row per rating user, not one per rating."""
     per_user = _sum_count(ratings, ["user_id"])
     u = dedupe_build_side(users.select("user_id", group_col), "user_id", group_col)
-    j = join_dimension(per_user, u, "user_id")
+    j = per_user.join(u, "user_id")
     g = j.groupBy(group_col).agg(F.sum("_sum").alias("_s"), F.sum("n_ratings").alias("n_ratings"))
     return g.select(group_col, (F.col("_s") / F.col("n_ratings")).alias("avg_rating"), "n_ratings")
 
@@ -112,10 +112,10 @@ def category_counts(ratings: DataFrame, users: DataFrame, items: DataFrame, grou
     distinct (group, item) pairs, not on raw ratings.  Items without a
     category list are dropped (inner join)."""
     u = dedupe_build_side(users.select("user_id", group_col), "user_id", group_col)
-    rated = join_dimension(ratings.select("user_id", "item_id"), u, "user_id")
+    rated = ratings.select("user_id", "item_id").join(u, "user_id")
     per_item = rated.groupBy(group_col, "item_id").agg(F.count(F.lit(1)).alias("_n"))
     cats = dedupe_build_side(items.select("item_id", "categories"), "item_id", "categories")
-    j = join_dimension(per_item, cats, "item_id")
+    j = per_item.join(cats, "item_id")
     exploded = j.select(group_col, F.explode("categories").alias("category"), "_n")
     return exploded.groupBy(group_col, "category").agg(F.sum("_n").cast("bigint").alias("n_ratings"))
 

@@ -1,18 +1,19 @@
 """Model comparison and cross-validated grid search.
 
 The training frame is persisted once for all fits.  Cross-validation folds
-come from a stable hash of the row key (``foldCol``), so they are disjoint,
-reproducible and independent of partitioning; ``parallelism`` fits several
-parameter maps at once.
+come from a stable hash of the row key, so they are disjoint, reproducible and
+independent of partitioning; ``parallelism`` fits several parameter maps at once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from itertools import product
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +34,13 @@ def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], la
     fit is itself distributed); both frames are persisted once for all."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
-    tr, te = persist_for_reuse(train), persist_for_reuse(test)
+    tr, te = (persist_for_reuse(df.select(label, *features)) for df in (train, test))
 
     def fit_one(order_kind):
         order, kind = order_kind
         model = model_stages(features, label, make_regressor(kind, seed), scale).fit(tr)
         m = regression_metrics(model.transform(te), label).collect()[0]  # one row per model
-        return kind, order, float(m["rmse"]), float(m["r2"]), int(m["n"])
+        return kind, order, m["rmse"], m["r2"], int(m["n"])  # NULL figures without test rows
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -47,39 +48,68 @@ def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], la
     finally:
         tr.unpersist()
         te.unpersist()
-    best = min(rows, key=lambda r: (r[2], r[1]))[0]
+    best = min(rows, key=lambda r: (math.inf if r[2] is None else r[2], r[1]))[0]
     return spark.createDataFrame([(k, rmse, r2, n, k == best) for k, _, rmse, r2, n in rows],
                                  "model string, rmse double, r2 double, n_test long, is_best boolean")
 
 
+@dataclass
+class GridSearch:
+    """Cross-validated maps (``results``: the grid columns, cv_rmse, is_best),
+    the best map, and the model refitted on all training rows."""
+
+    results: DataFrame
+    best: dict
+    model: PipelineModel
+
+    def evaluate(self, test: DataFrame, label: str) -> DataFrame:
+        """RMSE, R2 and MAE of the refitted model on test rows."""
+        return regression_metrics(self.model.transform(test), label)
+
+
 def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str],
                    grid: Mapping[str, Sequence], folds: int = 3, seed: int = 42, parallelism: int = 4,
-                   scale: bool = True) -> DataFrame:
+                   scale: bool = True) -> GridSearch:
     """GBT pipeline (assemble -> scale -> GBT) over a parameter grid
-    with k-fold CV on RMSE, then a refit of the best map on all training
-    rows.  One row per parameter map: params, mean CV RMSE, ``is_best``."""
-    est = make_regressor("gbt", seed)
-    pipe = model_stages(features, label, est, scale)
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(est.getParam(name), list(values))
-    maps = b.build()
+    with k-fold CV on RMSE, then a refit of the best map on all training rows.
+
+    The first trees of a boosted model do not depend on how many follow, so
+    maps that differ in ``maxIter`` alone share one fit per fold with the
+    largest value; the errors of its prefixes (``evaluateEachIteration``) are
+    those of the smaller values."""
+    names = list(grid)
+    maps = [dict(zip(names, v, strict=True)) for v in product(*grid.values())]
+    default = make_regressor("gbt", seed).getMaxIter()
+    fits: dict[tuple, list[int]] = {}
+    for i, m in enumerate(maps):
+        fits.setdefault(tuple((n, v) for n, v in m.items() if n != "maxIter"), []).append(i)
     ensure_checkpoint_dir(train.sparkSession)
-    data = train.withColumn("_fold", stable_bucket(key_cols, seed, folds))
-    cached = persist_for_reuse(data)
+    data = persist_for_reuse(train.select(label, *features, stable_bucket(key_cols, seed, folds).alias("_fold")))
+    sums = [0.0] * len(maps)
+
+    def fold_errors(task):
+        (params, ids), fold = task
+        longest = max(maps[i].get("maxIter", default) for i in ids)
+        pipe = model_stages(features, label, make_regressor("gbt", seed, maxIter=longest, **dict(params)), scale)
+        fitted = pipe.fit(data.where(F.col("_fold") != fold))
+        held = data.where(F.col("_fold") == fold)
+        for stage in fitted.stages[:-1]:
+            held = stage.transform(held)
+        each = fitted.stages[-1].evaluateEachIteration(held, "squared")
+        return [(i, math.sqrt(each[maps[i].get("maxIter", default) - 1])) for i in ids]
+
     try:
-        cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, numFolds=folds, foldCol="_fold",
-                            evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-                            parallelism=parallelism, seed=seed)
-        model = cv.fit(cached)
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            for errors in pool.map(fold_errors, product(fits.items(), range(folds))):
+                for i, rmse in errors:
+                    sums[i] += rmse / folds
+        best = min(range(len(maps)), key=lambda i: (sums[i], i))
+        model = model_stages(features, label, make_regressor("gbt", seed, **maps[best]), scale).fit(data)
     finally:
-        cached.unpersist()
-    names = list(grid)
-    best = min(range(len(maps)), key=lambda i: (model.avgMetrics[i], i))
-    rows = [tuple(float(m[est.getParam(n)]) for n in names) + (float(model.avgMetrics[i]), i == best)
-            for i, m in enumerate(maps)]
+        data.unpersist()
+    rows = [(*(float(m[n]) for n in names), sums[i], i == best) for i, m in enumerate(maps)]
     schema = ", ".join(f"{n} double" for n in names) + ", cv_rmse double, is_best boolean"
-    return train.sparkSession.createDataFrame(rows, schema)
+    return GridSearch(train.sparkSession.createDataFrame(rows, schema), maps[best], model)
 
 
 def with_split(df: DataFrame, key_cols: Sequence[str], train_share: float = 0.7, seed: int = 42):

@@ -8,8 +8,6 @@ rules that the SQL oracle repeats word for word (``plans/sqlparts.py``).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,47 +27,8 @@ PRIORITY_ORDER = {"5-LOW": 0, "4-NOT SPECIFIED": 1, "3-MEDIUM": 2, "2-HIGH": 3,
 NAN = float("nan")
 
 
-# The natural key of each driver table.
-NATURAL_KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
-                "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
-                "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
-                "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
-                "labels": "doc_id", "conversations": "conv_id"}
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), NATURAL_KEYS.get(name), path)
-
-
-def spread(df: DataFrame, key: str | None, path: str) -> DataFrame:
-    """Give a scan at least one task per core.
-
-    A large input is split into many tasks by the scan itself (one per file
-    block / row group), and then this is a no-op.  A local file of a single
-    row group would feed every per-row expression (tokenising, parsing)
-    from one task; such a scan is hash-partitioned on its natural key -
-    deterministic under task retries, no sort - across the cores.  Inputs
-    under 1 MB or on remote storage are left as they are."""
-    if key is None or "://" in path and not path.startswith("file:"):
-        return df
-    local = path[len("file:"):] if path.startswith("file:") else path
-    try:
-        size = os.path.getsize(local) if os.path.isfile(local) else sum(
-            os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(local) for f in fs)
-    except OSError:
-        return df
-    if size < SPREAD_MIN_BYTES:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - no JVM context (Connect): leave the scan as is
-        return df
-    return df.repartition(cores, key)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _mod(c: str, m: int) -> Column:
@@ -130,11 +89,13 @@ def rating_lines_csv(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rating_lines_tab(spark: SparkSession, d: str) -> DataFrame:
-    """ratings as ``user<TAB>item<TAB>rating<TAB>ts``; the first line of every
-    17th order has a non-numeric rating (dropped by the guarded parse)."""
+    """ratings as ``user<TAB>item<TAB>rating<TAB>ts``; every second line of an
+    order is half a point higher; the first line of every 17th order has a
+    non-numeric rating (dropped by the guarded parse)."""
     r = rating_pairs(spark, d)
     bad = _mod("l_orderkey", 17) & (F.col("l_linenumber") == 1)
-    rating = F.when(bad, F.lit("x")).otherwise(F.col("rating").cast("string"))
+    half = F.when(_mod("l_linenumber", 2), F.lit(0.5)).otherwise(F.lit(0.0))
+    rating = F.when(bad, F.lit("x")).otherwise((F.col("rating") + half).cast("string"))
     return r.select(F.concat_ws("\t", "user_id", "item_id", rating, "l_orderkey").alias("value"))
 
 

@@ -10,7 +10,7 @@ from sparkdeck.plans import bindings as B
 from sparkdeck.plans import sqlparts as S
 from sparkdeck.plans.registry import query
 
-EXACT = 1e-6
+EXACT = 0.0  # exact order statistics
 
 # ------------------------------------------------------------ SQL pieces --
 
@@ -241,7 +241,7 @@ def q_robust_scale(spark, d):
 
 @query("stable_split", f"""
 SELECT o_orderkey, CAST({S.stable_bucket('o_orderkey', 42, 100)} AS INTEGER) AS bucket,
-       CASE WHEN {S.stable_bucket('o_orderkey', 42, 100)} < 70 THEN 'train' ELSE 'test' END AS split
+       {S.train_test('o_orderkey')} AS split
 FROM orders""")
 def q_stable_split(spark, d):
     o = B.table(spark, d, "orders").select("o_orderkey")
@@ -249,20 +249,29 @@ def q_stable_split(spark, d):
 
 
 _PREP_T = f"""
-SELECT id, label, {_indexed_sql(_ADULT_CLEAN, 'segment')} AS s, {_indexed_sql(_ADULT_CLEAN, 'priority')} AS p,
-       price, balance FROM ({_ADULT_CLEAN}) t"""
-_PREP_Q = f"(SELECT quantile_disc(price, 0.25) AS q1, quantile_disc(price, 0.75) AS q3 FROM ({_PREP_T}) x)"
+SELECT id, {_indexed_sql(_ADULT_CLEAN, 'segment')} AS s, CAST({_PRIORITY_CASE} AS DOUBLE) AS p, status, price, balance
+FROM ({_ADULT_CLEAN}) t"""
+_SEGMENTS = 5  # the labels of the nominal column at every scale ('Unknown' among them): 6 indexes, one vector place each
+_PREP_STATUS = f"CAST((SELECT idx FROM ({_index_sql(_ADULT_CLEAN, 'status')}) i WHERE i.status = f.status) AS DOUBLE)"
+
+
+def _unit(x: str) -> str:
+    return (f"ROUND(CASE WHEN MAX({x}) OVER () = MIN({x}) OVER () THEN 0.5 "
+            f"ELSE ({x} - MIN({x}) OVER ()) / (MAX({x}) OVER () - MIN({x}) OVER ()) END, 6)")
+
+
+_PREP_FEATURES = [f"CAST(s = {i} AS DOUBLE)" for i in range(_SEGMENTS + 1)] + ["p", "price", "balance"]
 
 
 @query("prepare_features", f"""
-WITH t AS ({_PREP_T}), b AS {_PREP_Q},
+WITH t AS ({_PREP_T}),
+b AS (SELECT quantile_disc(price, 0.25) AS q1, quantile_disc(price, 0.75) AS q3 FROM t),
 f AS (SELECT t.* FROM t WHERE price >= (SELECT q1 - 1.5 * (q3 - q1) FROM b)
                            AND price <= (SELECT q3 + 1.5 * (q3 - q1) FROM b))
-SELECT id, label, ROUND(s / STDDEV_SAMP(s) OVER (), 6) AS f0, ROUND(p / STDDEV_SAMP(p) OVER (), 6) AS f1,
-       ROUND(price / STDDEV_SAMP(price) OVER (), 6) AS f2, ROUND(balance / STDDEV_SAMP(balance) OVER (), 6) AS f3
+SELECT id, {_PREP_STATUS} AS label, {', '.join(f'{_unit(x)} AS f{i}' for i, x in enumerate(_PREP_FEATURES))}
 FROM f""")
 def q_prepare_features(spark, d):
-    a = B.adult_table(spark, d).select("id", "segment", "priority", "price", "balance", "label")
-    p = FE.prepare_features(a, ["segment", "priority"], ["price", "balance"], "label",
+    a = B.adult_table(spark, d).select("id", "segment", "priority", "price", "balance", "status")
+    p = FE.prepare_features(a, ["segment"], {"priority": B.PRIORITY_ORDER}, ["price", "balance"], "status",
                             relative_error=EXACT, iqr_col="price")
-    return p.select("id", "label", *FE.vector_columns("features", ["f0", "f1", "f2", "f3"], 6))
+    return p.select("id", "label", *FE.vector_columns("features", [f"f{i}" for i in range(len(_PREP_FEATURES))], 6))

@@ -1,16 +1,16 @@
 """Registered model queries.
 
 Closed-form ones (linear / ridge fits, predictions, RMSE, R2, accuracy, AUC)
-carry a SQL oracle; tree ensembles, logistic fits, comparison and CV are
-checked by row counts here and by property tests in ``tests/``.
+equal their SQL; tree ensembles, logistic fits, comparison and CV are checked
+by identities that any such fit satisfies, and by property tests in ``tests/``.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from sparkdeck.operators import evaluate, models, tuning
+from sparkdeck.operators import evaluate, models, profile, tuning
 from sparkdeck.operators.features import stable_split
 from sparkdeck.operators.relational import feature_columns
 from sparkdeck.plans import bindings as B
@@ -21,8 +21,7 @@ DOC_FEATURES = ["n_chars", "n_lines", "n_words", "n_digits"]
 REG_KEY = ["order_id", "line_id"]
 RIDGE = {"regParam": 0.3, "maxIter": 10}
 
-_BUCKET = S.stable_bucket("order_id, line_id", 42, 100)
-_REG_SPLIT = f"SELECT *, CASE WHEN {_BUCKET} < 70 THEN 'train' ELSE 'test' END AS split FROM ({S.REGRESSION}) r"
+_REG_SPLIT = f"SELECT *, {S.train_test('order_id, line_id')} AS split FROM ({S.REGRESSION}) r"
 _TRAIN_FIT = (f"(SELECT regr_slope(label, l_quantity) AS b, regr_intercept(label, l_quantity) AS a "
               f"FROM ({_REG_SPLIT}) s WHERE split = 'train')")
 
@@ -40,16 +39,23 @@ def q_fit_linear(spark, d):
     return models.linear_terms(spark, m, ["l_quantity"]).select("term", F.round("value", 4).alias("value"))
 
 
-_RIDGE_SLOPE = "covar_pop(label, l_quantity) / (var_pop(l_quantity) * (1 + 0.3 / stddev_pop(label)))"
+# Ridge on two centred, scaled features: with R their correlation and l the
+# penalty in label deviations, (R + l I) beta = corr(x, y).
+_RIDGE = f"""
+WITH m AS (SELECT corr(l_quantity, l_discount) AS r, corr(l_quantity, label) AS a, corr(l_discount, label) AS b,
+                  stddev_pop(label) AS sy, 0.3 / stddev_pop(label) AS l, AVG(label) AS mean,
+                  stddev_samp(l_quantity) / stddev_pop(l_quantity) AS k
+           FROM ({S.REGRESSION}) r)
+SELECT 'intercept' AS term, ROUND(mean, 4) AS value FROM m
+UNION ALL SELECT 'l_quantity', ROUND(k * sy * ((1 + l) * a - r * b) / ((1 + l) * (1 + l) - r * r), 4) FROM m
+UNION ALL SELECT 'l_discount', ROUND(k * sy * ((1 + l) * b - r * a) / ((1 + l) * (1 + l) - r * r), 4) FROM m"""
 
 
-@query("fit_ridge", f"""
-SELECT 'intercept' AS term, ROUND(AVG(label) - {_RIDGE_SLOPE} * AVG(l_quantity), 4) AS value FROM ({S.REGRESSION}) r
-UNION ALL
-SELECT 'l_quantity' AS term, ROUND({_RIDGE_SLOPE}, 4) AS value FROM ({S.REGRESSION}) r""")
+@query("fit_ridge", _RIDGE)
 def q_fit_ridge(spark, d):
-    m = models.fit_regressor(B.regression_table(spark, d), ["l_quantity"], "label", "linear", **RIDGE)
-    return models.linear_terms(spark, m, ["l_quantity"]).select("term", F.round("value", 4).alias("value"))
+    cols = ["l_quantity", "l_discount"]
+    m = models.fit_regressor(B.regression_table(spark, d), cols, "label", "linear", scale=True, with_mean=True, **RIDGE)
+    return models.linear_terms(spark, m, cols).select("term", F.round("value", 4).alias("value"))
 
 
 def _linear_test_predictions(spark, d):
@@ -80,7 +86,7 @@ def q_regression_metrics(spark, d):
 
 
 @query("accuracy", f"""
-SELECT CASE WHEN {S.stable_bucket('doc_id', 42, 100)} < 70 THEN 'train' ELSE 'test' END AS split,
+SELECT {S.train_test('doc_id')} AS split,
        COUNT(*) AS n, ROUND(AVG(CAST(label = prediction AS DOUBLE)), 6) AS accuracy
 FROM ({S.SCORED_LABELS}) s GROUP BY 1""")
 def q_accuracy(spark, d):
@@ -100,31 +106,49 @@ def q_auc_roc(spark, d):
     return a.select(F.round("auc", 6).alias("auc"), "n", "n_pos")
 
 
-# ------------------------------------------------------ rows-only checks --
+# -------------------------------------------- fits checked by identities --
+# What a fitted model must satisfy whatever its parameters: a tree's (and a
+# boosted model's) mean prediction on its training rows is the label mean; a
+# forest's is it up to its bootstrap; a logistic fit's expected feature sums
+# equal the observed ones.  The error on test rows is shown in deviations of
+# the label, to one decimal (the generated price has no signal, so it is 1).
 
 def _features(spark, d) -> list[str]:
     """Every column of the regression table but the label and the key."""
     return feature_columns(B.regression_table(spark, d), "label", exclude=REG_KEY)
 
 
-def _fit_eval(spark, d, kind):
+_FIT_SQL = f"""
+SELECT '{{kind}}' AS model, COUNT(*) FILTER (WHERE split = 'test') AS n_test,
+       ROUND(AVG(label) FILTER (WHERE split = 'train') / {{unit}}, {{digits}}) AS train_mean, 1.0::DOUBLE AS test_error
+FROM ({_REG_SPLIT}) s"""
+
+
+def _fit_eval(spark, d, kind, unit=None, digits=2):
     train, test = _split(spark, d)
     m = models.fit_regressor(train, _features(spark, d), "label", kind, seed=42)
-    met = evaluate.regression_metrics(models.predict(m, test), "label", "prediction")
-    return met.select(F.lit(kind).alias("model"), "n", "rmse", "r2", "mae")
+    mean = models.predict(m, train).agg(F.avg("prediction").alias("p"), F.avg("label").alias("y")).first()
+    scored = models.predict(m, test)
+    met = evaluate.regression_metrics(scored, "label", "prediction").first()
+    spread = scored.agg(F.stddev_pop("label")).first()[0]
+    row = (kind, met["n"], round(mean["p"] / (mean["y"] if unit else 1.0), digits), round(met["rmse"] / spread, 1))
+    return spark.createDataFrame([row], "model string, n_test long, train_mean double, test_error double")
 
 
-@query("fit_decision_tree")
+@query("fit_decision_tree", _FIT_SQL.format(kind="decision_tree", unit="1", digits=2))
 def q_fit_decision_tree(spark, d):
     return _fit_eval(spark, d, "decision_tree")
 
 
-@query("fit_random_forest")
+_TRAIN_MEAN = "AVG(label) FILTER (WHERE split = 'train')"
+
+
+@query("fit_random_forest", _FIT_SQL.format(kind="random_forest", unit=_TRAIN_MEAN, digits=2))
 def q_fit_random_forest(spark, d):
-    return _fit_eval(spark, d, "random_forest")
+    return _fit_eval(spark, d, "random_forest", unit="label mean")
 
 
-@query("fit_gbt")
+@query("fit_gbt", _FIT_SQL.format(kind="gbt", unit="1", digits=2))
 def q_fit_gbt(spark, d):
     return _fit_eval(spark, d, "gbt")
 
@@ -133,49 +157,120 @@ def _doc_split(spark, d):
     return tuning.with_split(B.labelled_documents(spark, d), ["doc_id"], 0.7, 42)
 
 
-@query("fit_logistic")
+# Enough steps for the identities to hold to the digits shown.
+LOGISTIC = {"maxIter": 500, "tol": 1e-12}
+
+_DOC_FEATURES_SQL = r"""
+SELECT l.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS n_chars,
+       CAST(len(string_split(d.text, chr(10))) AS DOUBLE) AS n_lines,
+       CAST(len(string_split_regex(trim(d.text, ' '), '[ \t\n\x0B\f\r]+')) AS DOUBLE) AS n_words,
+       CAST(length(regexp_replace(d.text, '[^0-9]', '', 'g')) AS DOUBLE) AS n_digits
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+_LOGISTIC_SQL = f"""
+WITH s AS (SELECT *, {S.train_test('doc_id')} AS split FROM ({_DOC_FEATURES_SQL}) f)
+SELECT 'intercept' AS term, ROUND(SUM(label) / COUNT(*), 3) AS expected FROM s WHERE split = 'train'
+""" + "".join(f"""UNION ALL
+SELECT '{c}', ROUND(SUM(label * {c}) / SUM({c}), 3) FROM s WHERE split = 'train'
+""" for c in DOC_FEATURES)
+
+
+@query("fit_logistic", _LOGISTIC_SQL)
 def q_fit_logistic(spark, d):
+    train, _ = _doc_split(spark, d)
+    m = models.fit_logistic(train, DOC_FEATURES, "label", scale=True, **LOGISTIC)
+    p = models.positive_probability(models.predict(m, train))
+    sums = p.agg(F.avg("p1").alias("intercept"), *[(F.sum(F.col("p1") * F.col(c)) / F.sum(c)).alias(c) for c in DOC_FEATURES])
+    rows = F.array(*[F.struct(F.lit(c).alias("term"), F.round(c, 3).alias("expected")) for c in ["intercept", *DOC_FEATURES]])
+    return sums.select(F.inline(rows))
+
+
+@query("evaluate_logistic", f"""
+WITH s AS (SELECT *, {S.train_test('doc_id')} AS split FROM ({_DOC_FEATURES_SQL}) f)
+SELECT label, COUNT(*) AS n, COUNT(*) AS n_predicted, true AS figures_agree FROM s WHERE split = 'test' GROUP BY label""")
+def q_evaluate_logistic(spark, d):
+    """K14, K15, E16 on a classifier's own predictions: per label, the test rows
+    and those in its row of the confusion matrix; whether accuracy is the
+    diagonal's share and the area lies over that of the reversed scores."""
+    figures, matrix = classifier_evaluation(spark, d)
+    cells = [c for c in matrix.columns if c.startswith("pred_")]
+    rows = matrix.collect()
+    n = sum(r[c] for r in rows for c in cells)
+    right = sum(r[f"pred_{int(r['label'])}"] for r in rows)
+    agree = abs(figures["accuracy"] - right / n) < 1e-9 and abs(figures["auc"] + figures["reversed_auc"] - 1) < 1e-9
+    return matrix.select("label", F.lit(None).cast("long").alias("n"), sum(F.col(c) for c in cells).alias("n_predicted"),
+                         F.lit(agree).alias("figures_agree")).drop("n").join(
+        _doc_split(spark, d)[1].groupBy("label").agg(F.count(F.lit(1)).alias("n")), "label").select(
+        "label", "n", "n_predicted", "figures_agree")
+
+
+def classifier_evaluation(spark, d):
+    """Accuracy and AUC (and that of the reversed scores) of a logistic fit on
+    test rows, and its confusion matrix."""
     train, test = _doc_split(spark, d)
     m = models.fit_logistic(train, DOC_FEATURES, "label", scale=True)
-    terms = models.logistic_terms(spark, m, DOC_FEATURES)
-    scored = models.positive_probability(models.predict(m, test))
-    acc = evaluate.accuracy(scored, "label", "prediction").select(F.lit("test_accuracy").alias("term"),
-                                                                  F.col("accuracy").alias("value"))
-    return terms.unionByName(acc)
-
-
-@query("fit_multinomial")
+    scored = models.positive_probability(models.predict(m, test)).withColumn("minus", -F.col("p1"))
+    figures = {"accuracy": evaluate.accuracy(scored, "label", "prediction").first()["accuracy"],
+               "auc": evaluate.auc_roc(scored, "label", "p1").first()["auc"],
+               "reversed_auc": evaluate.auc_roc(scored, "label", "minus").first()["auc"]}
+    return figures, profile.confusion_matrix(scored, "label", "prediction", [0, 1])
+
+
+@query("fit_multinomial", f"""
+WITH s AS (SELECT label, {S.train_test('vec_id')} AS split FROM embeddings)
+SELECT CAST(label AS DOUBLE) AS label, COUNT(*) AS n,
+       ROUND(COUNT(*) / (SELECT COUNT(*) FROM s WHERE split = 'train'), 2) AS mean_probability
+FROM s WHERE split = 'train' GROUP BY label""")
 def q_fit_multinomial(spark, d):
     e = B.embedding_table(spark, d).select("vec_id", array_to_vector("embedding").alias("embedding"),
                                           F.col("label").cast("double").alias("label"))
-    s = stable_split(e, ["vec_id"], [0.7, 0.3], 42, ["train", "test"])
-    m = models.fit_logistic(s.filter(F.col("split") == "train"), ["embedding"], "label",
-                            family="multinomial", maxIter=50)
-    return evaluate.accuracy(models.predict(m, s), "label", "prediction", by=["split"])
+    train, _ = tuning.with_split(e, ["vec_id"], 0.7, 42)
+    m = models.fit_logistic(train, ["embedding"], "label", family="multinomial", maxIter=100)
+    p = models.predict(m, train).select("label", F.posexplode(vector_to_array("probability")).alias("k", "p"))
+    n = train.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    mean = p.groupBy(F.col("k").cast("double").alias("label")).agg(F.round(F.avg("p"), 2).alias("mean_probability"))
+    return n.join(mean, "label").select("label", "n", "mean_probability")
 
 
-@query("score_new_rows")
+@query("score_new_rows", """
+SELECT doc_id, true AS scored FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def q_score_new_rows(spark, d):
     m = models.fit_logistic(B.labelled_documents(spark, d), DOC_FEATURES, "label", scale=True)
     unlabelled = B.document_features(spark, d).join(B.table(spark, d, "labels").select("doc_id"), "doc_id",
                                                     "left_anti")
     scored = models.positive_probability(models.predict(m, unlabelled))
-    return scored.select("doc_id", "p1", "prediction")
+    ok = (F.col("p1") > 0) & (F.col("p1") < 1) & (F.col("prediction") == (F.col("p1") > 0.5).cast("double"))
+    return scored.select("doc_id", ok.alias("scored"))
 
 
-@query("model_compare")
+_LINEAR_ROW = f"""
+WITH p AS (SELECT label, f.a + f.b * l_quantity AS prediction FROM ({_REG_SPLIT}) s, {_TRAIN_FIT} f WHERE split = 'test'),
+m AS (SELECT COUNT(*) AS n, sqrt(AVG((label - prediction) ^ 2)) AS rmse FROM p)"""
+
+
+@query("model_compare", _LINEAR_ROW + """
+SELECT k.model, m.n AS n_test, CASE WHEN k.model = 'linear' THEN ROUND(m.rmse, 4) END AS linear_rmse, 1.0::DOUBLE AS test_error
+FROM m, (VALUES ('linear'), ('decision_tree'), ('random_forest'), ('gbt')) k(model)""")
 def q_model_compare(spark, d):
     train, test = _split(spark, d)
-    return tuning.model_compare(train, test, _features(spark, d), "label")
+    t = tuning.model_compare(train, test, ["l_quantity"], "label")
+    spread = test.agg(F.stddev_pop("label")).first()[0]
+    return t.select("model", "n_test", F.when(F.col("model") == "linear", F.round("rmse", 4)).alias("linear_rmse"),
+                    F.round(F.col("rmse") / spread, 1).alias("test_error"))
 
 
-# Registered grid: 2 x 2 maps, 3 folds (the function takes any grid; the
-# scripts' 3 x 3 x 2 grid is ``FULL_GRID``).
-SMALL_GRID = {"maxDepth": [3, 5], "stepSize": [0.05, 0.1]}
 FULL_GRID = {"maxDepth": [3, 5, 7], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1]}
 
 
-@query("grid_search_cv")
+@query("grid_search_cv", f"""
+WITH t AS (SELECT COUNT(*) AS n FROM ({_REG_SPLIT}) s WHERE split = 'test')
+SELECT d."maxDepth", i."maxIter", s."stepSize", 1.0::DOUBLE AS cv_error, 1 AS n_best, t.n AS n_test, 1.0::DOUBLE AS test_error
+FROM (VALUES (3.0::DOUBLE), (5.0), (7.0)) d("maxDepth"), (VALUES (10.0::DOUBLE), (20.0), (30.0)) i("maxIter"),
+     (VALUES (0.05::DOUBLE), (0.1)) s("stepSize"), t""")
 def q_grid_search_cv(spark, d):
-    train, _ = _split(spark, d)
-    return tuning.grid_search_cv(train, _features(spark, d), "label", REG_KEY, SMALL_GRID, folds=3, seed=42)
+    train, test = _split(spark, d)
+    found = tuning.grid_search_cv(train, _features(spark, d), "label", REG_KEY, FULL_GRID, folds=3, seed=42)
+    met = found.evaluate(test, "label").first()
+    y, z = (df.agg(F.stddev_pop("label")).first()[0] for df in (train, test))
+    n_best = found.results.where("is_best").count()
+    return found.results.select(*FULL_GRID, F.round(F.col("cv_rmse") / y, 1).alias("cv_error"), F.lit(n_best).alias("n_best"),
+                                F.lit(met["n"]).alias("n_test"), F.lit(round(met["rmse"] / z, 1)).alias("test_error"))

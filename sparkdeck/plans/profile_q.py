@@ -9,7 +9,7 @@ from sparkdeck.plans import bindings as B
 from sparkdeck.plans import sqlparts as S
 from sparkdeck.plans.registry import query
 
-EXACT = 1e-6  # relative error of the registered quantile queries
+EXACT = 0.0  # relative error of the registered quantile queries: exact order statistics
 LOAN_COLS = ["id", "segment", "status", "priority", "price", "balance", "label"]
 
 
@@ -72,7 +72,8 @@ def q_quantiles(spark, d):
 
 
 @query("confusion_matrix", f"""
-SELECT label, COUNT(*) FILTER (WHERE prediction = 0) AS pred_0, COUNT(*) FILTER (WHERE prediction = 1) AS pred_1
+SELECT label, COUNT(*) FILTER (WHERE prediction = 0) AS pred_0, COUNT(*) FILTER (WHERE prediction = 1) AS pred_1,
+       COUNT(*) FILTER (WHERE prediction IS NULL OR prediction NOT IN (0, 1)) AS pred_other
 FROM ({S.SCORED_LABELS}) s GROUP BY label""")
 def q_confusion_matrix(spark, d):
     return profile.confusion_matrix(B.scored_labels(spark, d), "label", "prediction", [0, 1])

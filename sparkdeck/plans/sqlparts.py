@@ -99,6 +99,16 @@ SELECT l.doc_id, l.quality AS label, l.toxic AS prediction, d.n_chars / 1000.0 A
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
 
 
+def stable_hash(key_sql: str, seed: int) -> str:
+    """Same number as ``features.stable_hash``."""
+    return f"CAST(('0x' || substr(md5(concat_ws(':', {key_sql}, '{seed}')), 1, 8)) AS BIGINT)"
+
+
+def train_test(key_sql: str, seed: int = 42, share: float = 0.7) -> str:
+    """Same split as ``features.stable_split`` into train and test."""
+    return f"CASE WHEN {stable_hash(key_sql, seed)} < {int(round(share * 2**32))} THEN 'train' ELSE 'test' END"
+
+
 def stable_bucket(key_sql: str, seed: int, n: int) -> str:
     """Same bucket as ``features.stable_bucket``: md5 hex prefix -> int % n."""
-    return (f"(CAST(('0x' || substr(md5(concat_ws(':', {key_sql}, '{seed}')), 1, 8)) AS BIGINT) % {n})")
+    return f"({stable_hash(key_sql, seed)} % {n})"

@@ -51,7 +51,7 @@ def q_parse_delimited(spark, d):
 
 
 _TAB_RATINGS_SQL = f"""
-SELECT user_id, item_id, rating FROM ({S.RATINGS}) r
+SELECT user_id, item_id, CAST(rating + CASE WHEN l_linenumber % 2 = 0 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS rating FROM ({S.RATINGS}) r
 WHERE NOT (l_orderkey % 17 = 0 AND l_linenumber = 1)"""
 
 
@@ -75,7 +75,7 @@ def q_parse_pipe_users(spark, d):
 @query("dispatch_mixed_records", f"""
 SELECT 'R' AS kind, user_id, item_id, rating, CAST(NULL AS VARCHAR) AS gender FROM ({_TAB_RATINGS_SQL}) r
 UNION ALL
-SELECT 'U' AS kind, user_id, CAST(NULL AS BIGINT) AS item_id, CAST(NULL AS INTEGER) AS rating, gender
+SELECT 'U' AS kind, user_id, CAST(NULL AS BIGINT) AS item_id, CAST(NULL AS DOUBLE) AS rating, gender
 FROM ({_USERS_PARSED_SQL}) u""")
 def q_dispatch_mixed_records(spark, d):
     mixed = B.rating_lines_tab(spark, d).unionByName(B.user_lines(spark, d))

@@ -6,8 +6,8 @@ create a session themselves.
 ``shared_dir`` hands out a fresh folder under the cluster's
 ``spark.checkpoint.dir``.  Sinks that must materialise (the round-trip
 operators) and lineage cuts write there, never to a machine-local temporary
-folder.  Only when the setting is absent (local tests, the driver's smoke run)
-is a folder created and registered as the checkpoint dir.
+folder.  Where the setting is absent, a local master gets a folder of its own
+and any other master an error.
 """
 
 from __future__ import annotations
@@ -44,37 +44,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Partitioning settings for a cluster run, from the size of the input.
-
-    * scans: ``maxPartitionBytes`` = target (256 MB by default), so a 100 TB
-      input becomes ~400k scan tasks of a size an executor core handles;
-    * shuffles: the initial partition count gives every core several
-      partitions of at most the target size; AQE then coalesces small ones
-      (``advisoryPartitionSizeInBytes``) and splits skewed ones (a partition
-      over 4x the median and 1 GB is split, join sides included);
-    * broadcast: the static threshold stays Spark's 10 MB on estimates, AQE
-      may broadcast up to 64 MB on *measured* shuffle output.
-    """
-    slots = max(1, executors * cores_per_executor)
-    by_size = -(-input_bytes // target_partition_bytes)
-    partitions = max(slots * 3, min(by_size, 200_000))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
-    }
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the context's, else ``spark.checkpoint.dir``
     from the session conf, else (local runs only) a new one."""
@@ -86,8 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     if not conf:
-        # Unset only in local runs: create one and register it so later
-        # checkpoint() calls and shared_dir() agree on the location.
+        # Only a run on one machine may make up a folder: on a cluster every
+        # executor would write to its own disk.
+        if sc is None or not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="sparkdeck-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", conf)

@@ -25,7 +25,7 @@ Field = tuple[str, str]  # (name, spark type name)
 
 def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[Field], arity: int,
                     exact: bool = True, on_bad: str = "fail", trim_fields: bool = True,
-                    value_col: str = "value", keep_line: bool = False,
+                    value_col: str = "value", keep_line: bool = False, trim_line: bool = True,
                     extra: Sequence[tuple[int, str]] = ()) -> DataFrame:
     """Parse ``sep``-delimited lines into typed columns.
 
@@ -41,7 +41,7 @@ def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[Field], arity:
     its condition; over a generator's output it cannot move.
     """
     v = F.col(value_col)
-    staged = lines.select(v.alias("_line"), jsplit(jtrim(v), literal_sep(sep), sep).alias("_parts"))
+    staged = lines.select(v.alias("_line"), jsplit(jtrim(v) if trim_line else v, literal_sep(sep), sep).alias("_parts"))
     parts = F.col("_parts")
     n = F.size(parts)
     shape_ok = (n == arity if exact else n >= arity) & ~((n == 1) & (F.get(parts, 0) == ""))
@@ -88,6 +88,7 @@ class Layout:
     arity: int
     exact: bool = True
     on_bad: str = "skip"
+    trim_line: bool = True
 
 
 def parse_by_content(lines: DataFrame, layouts: Sequence[Layout], value_col: str = "value") -> DataFrame:
@@ -105,7 +106,8 @@ def parse_by_content(lines: DataFrame, layouts: Sequence[Layout], value_col: str
         kind = F.when(cond, F.lit(lay.kind)) if kind is None else kind.when(cond, F.lit(lay.kind))
     split = None
     for lay in layouts:
-        part = jsplit(jtrim(F.col("_line")), literal_sep(lay.sep), lay.sep)
+        line = jtrim(F.col("_line")) if lay.trim_line else F.col("_line")
+        part = jsplit(line, literal_sep(lay.sep), lay.sep)
         split = (F.when(F.col("_kind") == lay.kind, part) if split is None
                  else split.when(F.col("_kind") == lay.kind, part))
     staged = lines.select(v.alias("_line"), kind.alias("_kind")).select("_kind", split.alias("_parts"))
@@ -140,9 +142,10 @@ def parse_by_content(lines: DataFrame, layouts: Sequence[Layout], value_col: str
 
 
 # Record layouts of the rating / user / item files.
-RATING_FIELDS: list[Field] = [("user_id", "bigint"), ("item_id", "bigint"), ("rating", "int"), ("ts", "bigint")]
+RATING_FIELDS: list[Field] = [("user_id", "bigint"), ("item_id", "bigint"), ("rating", "double"), ("ts", "bigint")]
 USER_FIELDS: list[Field] = [("user_id", "bigint"), ("age", "int"), ("gender", "string"),
                             ("occupation", "string"), ("zip", "string")]
+USER_TEXT_FIELDS: list[Field] = [(n, "string" if n == "age" else t) for n, t in USER_FIELDS]
 ITEM_HEAD_FIELDS: list[Field] = [("item_id", "bigint"), ("title", "string"), ("release_date", "string"),
                                  ("video_date", "string"), ("url", "string")]
 
@@ -157,6 +160,22 @@ def parse_pipe_users(lines: DataFrame, on_bad: str = "skip") -> DataFrame:
     return parse_delimited(lines, "|", USER_FIELDS, arity=5, exact=True, on_bad=on_bad)
 
 
+def parse_rated_pairs(lines: DataFrame, on_bad: str = "skip") -> DataFrame:
+    """(user_id, item_id) of rating lines; the rating itself is not read, so a
+    bad one does not cost the row."""
+    return parse_delimited(lines, "\t", RATING_FIELDS[:2], arity=3, exact=False, on_bad=on_bad)
+
+
+def parse_user_texts(lines: DataFrame, on_bad: str = "skip") -> DataFrame:
+    """Users of jobs that do not read the age (it may be any text)."""
+    return parse_delimited(lines, "|", USER_TEXT_FIELDS, arity=5, exact=True, on_bad=on_bad)
+
+
+def parse_item_titles(lines: DataFrame, on_bad: str = "skip") -> DataFrame:
+    """(item_id, title) of item lines with at least these two fields."""
+    return parse_delimited(lines, "|", ITEM_HEAD_FIELDS[:2], arity=2, exact=False, on_bad=on_bad)
+
+
 def parse_items(lines: DataFrame, category_names: Sequence[str], on_bad: str = "skip") -> DataFrame:
     """``id|title|date|video date|url|flag...``; at least 5 + n fields;
     the flags decode to ``categories: array<string>`` in flag order."""

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparkdeck.functions.numeric import parse_number
+
 
 def _maybe_sorted(df: DataFrame, sort_output: bool, keys: Sequence[str]) -> DataFrame:
     return df.sort(*keys) if sort_output else df
@@ -37,9 +39,22 @@ def write_kv_text(df: DataFrame, path: str, key: str, value: str | Sequence[str]
     _maybe_sorted(df.select(F.col(key), line), sort_output, [key]).select("value").write.mode(mode).text(path)
 
 
-def read_kv_text(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A10: re-read ``key<TAB>value`` text written by a prior job, typed."""
-    return spark.read.schema(schema).option("sep", "\t").option("quote", "").csv(path)
+def read_kv_text(spark: SparkSession, path: str, schema: StructType | str, on_bad: str = "fail") -> DataFrame:
+    """A10: re-read ``key<TAB>value`` text written by a prior job, typed: two
+    fields, split at the first tab; an empty key stays the empty text.  A bad
+    number fails the job or drops the row."""
+    fields = (schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).fields
+    if len(fields) != 2:
+        raise ValueError("a key and a value")
+    parts = F.split(F.col("value"), "\t", 2)
+    lines = spark.read.text(path).select(parts.alias("p")).where(F.size("p") == 2)
+    out, ok = [], F.lit(True)
+    for i, f in enumerate(fields):
+        kind = f.dataType.simpleString()
+        out.append((F.col("p")[i] if kind == "string" else parse_number(F.col("p")[i], kind, on_bad, f.name)).alias(f.name))
+        ok = ok & F.col(f.name).isNotNull()
+    records = lines.select(F.inline(F.array(F.struct(*out))))
+    return records.where(ok) if on_bad == "skip" else records
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",

@@ -171,16 +171,6 @@ def test_set_algebra_invariant(lines):
     assert relational.difference_lines(a, b).count() == na - n_inter
 
 
-def test_checked_broadcast_respects_the_bound(spark):
-    from sparkdeck.operators.joins import checked_broadcast, fits_broadcast
-
-    small, big = spark.range(5), spark.range(50)
-    assert fits_broadcast(small, 5) and not fits_broadcast(big, 5)
-    fact = spark.range(100).withColumnRenamed("id", "k")
-    plan = fact.join(checked_broadcast(small.withColumnRenamed("id", "k"), 5), "k")._jdf.queryExecution()
-    assert "BroadcastHashJoin" in plan.executedPlan().toString()
-
-
 def test_parse_by_content_one_pass(lines):
     from sparkdeck.sources.delimited import RATING_USER_LAYOUTS, parse_by_content
 

@@ -48,13 +48,3 @@ def test_csv_styles(spark):
     assert named.columns == ["id", "name", "score"] and named.count() == 2
     with pytest.raises(ValueError):
         read_csv_named(spark, p2, ["only", "two"])
-
-
-def test_cluster_conf_scales_with_input():
-    from sparkdeck.session import cluster_conf
-
-    big = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=4)
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000  # capped; AQE coalesces
-    small = cluster_conf(10 << 30, executors=10, cores_per_executor=4)
-    assert int(small["spark.sql.shuffle.partitions"]) == 120    # 3 per core beats 40 by size
-    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
