@@ -1,5 +1,4 @@
-"""Golden results on the reference's sample inputs (FIXTURES.md §1) and the
-edge lines of SURVEY §2.0."""
+"""Golden results on small inputs and the edge lines of SURVEY §2.0."""
 
 from __future__ import annotations
 
@@ -11,7 +10,7 @@ from sparkdeck.operators import linalg, ratings, relational, words
 from sparkdeck.sources.delimited import parse_delimited, parse_items, parse_pipe_users, parse_tab_ratings
 from sparkdeck.sources.text import dispatch_mixed_records
 
-TXN = ["U1,I1,500,2026-03-25", "U2,I2,1500,2026-03-25", "U3,I3,2500,2026-03-25", "U4,I4,800,2026-03-25"]
+TXN = ["C7,book,640,2024-11-02", "C3,lamp,1750.5,2024-11-03", "C9,desk,3120,2024-11-03", "C2,mug,95,2024-11-09"]
 TXN_A, TXN_B = TXN[:3], TXN[1:]
 
 
@@ -38,7 +37,7 @@ def test_filter_amount_bad_number_fails_or_skips(lines):
 
 def test_project_distinct_golden(lines):
     got = relational.project_distinct(lines(TXN + TXN[:2])).collect()
-    assert sorted((r.user, r.amount) for r in got) == [("U1", "500"), ("U2", "1500"), ("U3", "2500"), ("U4", "800")]
+    assert sorted((r.user, r.amount) for r in got) == [("C2", "95"), ("C3", "1750.5"), ("C7", "640"), ("C9", "3120")]
 
 
 def test_set_operations_golden(lines):
@@ -49,14 +48,14 @@ def test_set_operations_golden(lines):
     assert _values(relational.difference_lines(b, a)) == [TXN[3]]
 
 
-RATINGS_SMALL = ["U1,M1,5", "U2,M1,3", "U3,M2,4", "U4,M2,2", "U5,M1,4"]
+RATINGS_SMALL = ["ann,P,5", "ben,P,2", "cat,Q,1", "dan,Q,4", "eve,P,4"]
 
 
 def test_item_rating_stats_golden(lines):
     r = parse_delimited(lines(RATINGS_SMALL), ",", [("user_id", "string"), ("item_id", "string"), ("rating", "int")],
                         arity=3)
     got = {x.item_id: x.stats for x in ratings.item_rating_stats(r).collect()}
-    assert got == {"M1": "4.0,3", "M2": "3.0,2"}
+    assert got == {"P": "3.7,3", "Q": "2.5,2"}
 
 
 def test_half_up_format(spark):
@@ -65,12 +64,12 @@ def test_half_up_format(spark):
 
 
 @pytest.mark.parametrize("vector,want", [
-    ([(1, 10.0), (2, 20.0)], {1: 80.0, 2: 140.0}),
-    ([(1, 10.0)], {1: 20.0, 2: 40.0}),
+    ([(1, 2.0), (2, 3.0), (3, 5.0)], {1: 13.0, 2: 17.0}),
+    ([(1, 2.0)], {1: 3.0, 2: 0.0}),
     ([], {1: 0.0, 2: 0.0}),
 ])
 def test_matvec_missing_entries_count_zero(spark, vector, want):
-    m = spark.createDataFrame([(1, 1, 2.0), (1, 2, 3.0), (2, 1, 4.0), (2, 2, 5.0)], "row int, col int, value double")
+    m = spark.createDataFrame([(1, 1, 1.5), (1, 3, 2.0), (2, 2, -1.0), (2, 3, 4.0)], "row int, col int, value double")
     v = spark.createDataFrame(vector, "col int, value double")
     assert {r.row: r.value for r in linalg.matvec(m, v).collect()} == want
 
@@ -82,10 +81,9 @@ def test_matvec_duplicate_vector_entry_keeps_last(spark):
 
 
 def test_word_golden(lines):
-    text = lines(["Hello World", "This is a sample map reduce file"])
+    text = lines(["grey owls hunt", "by night in quiet old woods"])
     got = sorted((r.word, r.length) for r in words.token_lengths(text).collect())
-    assert got == sorted([("Hello", 5), ("World", 5), ("This", 4), ("is", 2), ("a", 1), ("sample", 6),
-                          ("map", 3), ("reduce", 6), ("file", 4)])
+    assert got == sorted((w, len(w)) for w in "grey owls hunt by night in quiet old woods".split())
     wc = words.word_count(text).collect()
     assert len(wc) == 9 and all(r["count"] == 1 for r in wc)
 
@@ -97,16 +95,16 @@ def test_word_count_drops_empty_token(lines):
 
 
 def test_parse_users_and_items(lines):
-    users = parse_pipe_users(lines(["1|24|M|technician|85711", "8|36|M|administrator|05201", "74|39|M|scientist|T8H1N",
-                                    "9|29|M|student|"]))
+    users = parse_pipe_users(lines(["1|31|F|baker|90210", "8|52|M|pilot|00417", "74|44|F|farmer|K1A0B",
+                                    "9|19|M|singer|"]))
     got = {r.user_id: r.zip for r in users.collect()}
-    assert got == {1: "85711", 8: "05201", 74: "T8H1N"}  # empty last field -> 4 fields -> dropped
-    items = parse_items(lines(["1|Toy Story|01-Jan-1995||url|0|1|1", "2|X|d||u|0|0|0"]), ["a", "b", "c"])
+    assert got == {1: "90210", 8: "00417", 74: "K1A0B"}  # empty last field -> 4 fields -> dropped
+    items = parse_items(lines(["1|The Owl|03-May-1991||url|0|1|1", "2|X|d||u|0|0|0"]), ["a", "b", "c"])
     assert {r.item_id: r.categories for r in items.collect()} == {1: ["b", "c"], 2: []}
 
 
 def test_dispatch_mixed(lines):
-    tab, pipe = dispatch_mixed_records(lines(["1\t10\t4\t881250949", "1|24|M|technician|85711", "junk"]))
+    tab, pipe = dispatch_mixed_records(lines(["1\t10\t4\t7000001", "1|31|F|baker|90210", "junk"]))
     assert parse_tab_ratings(tab).count() == 1 and parse_pipe_users(pipe).count() == 1
 
 

@@ -64,6 +64,10 @@ def test_iqr_bounds_reach_the_parquet_reader(spark):
 
 def test_boxplot_counts_outliers_without_shuffling_the_data(spark):
     plan = _final_plan(spark, "boxplot_stats", SF001)
-    # the fences (one row per group, checkpointed) are broadcast to the scan
-    assert "BroadcastHashJoin" in plan and "Inner, BuildRight" in plan
-    assert plan.count("Exchange hashpartitioning(event_type") <= 2  # sketch agg + outlier counts, both partial
+    # one row of fences a group goes to the tasks; only partial counts are shuffled
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_no_scan_is_repartitioned_before_its_work(spark):
+    for name in ("word_count", "accuracy", "parse_tab_ratings"):
+        assert "REPARTITION" not in _final_plan(spark, name, SF001)

@@ -48,3 +48,24 @@ def test_csv_styles(spark):
     assert named.columns == ["id", "name", "score"] and named.count() == 2
     with pytest.raises(ValueError):
         read_csv_named(spark, p2, ["only", "two"])
+
+
+def test_kv_read_back_fails_on_bad_numbers_or_drops_them(spark, tmp_path):
+    path = str(tmp_path / "kv")
+    spark.createDataFrame([("a\t1",), ("\t2",), ("b\tx",), ("c\t3\t4",)], "value string").write.text(path)
+    with pytest.raises(Exception):
+        read_kv_text(spark, path, "k string, v int").collect()
+    kept = {tuple(r) for r in read_kv_text(spark, path, "k string, v int", on_bad="skip").collect()}
+    assert kept == {("a", 1), ("", 2)}
+    assert ("c", "3\t4") in {tuple(r) for r in read_kv_text(spark, path, "k string, v string").collect()}
+
+
+def test_no_made_up_folder_off_a_local_master(monkeypatch):
+    from types import SimpleNamespace
+
+    from sparkdeck.session import ensure_checkpoint_dir
+
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(fake)
