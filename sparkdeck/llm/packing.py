@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkdeck.llm.common import ship
+from sparkdeck.llm.textnp import groups
 
 SIZE = 2048
 END_ID = 1
@@ -55,13 +56,14 @@ BUFFER_TOKENS = 64 * SIZE
 #: Shortest power-of-two window tried inside a stream (shorter ones only occur
 #: at the end of a partition).
 LEAST_POWER = 256
-MEMO_ENTRIES, MEMO_BYTES = 600_000, 16_000_000
+MEMO_ENTRIES, MEMO_BYTES = 1_000_000, 24_000_000
 
 # The pre-token pattern and the word-end mark of the word tokenizer.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
+SENTENCE_ENDS = [".", "!", "?", "...", '."', '!"', '?"', ".)"]
 
-SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 #: Anything but printable ASCII, tab, line feed, carriage return and Latin
 #: letters whose lower case is one letter (not U+0130, U+0149, U+01F0).
@@ -101,7 +103,8 @@ class ChunkEncoder:
         word-end id, so the ids fall apart by the chunks' pre-token counts."""
         ids = np.array(self._encode(" ".join(chunks)), dtype="<u4")
         words = np.concatenate([[0], np.flatnonzero(self.is_end[np.minimum(ids, len(self.is_end) - 1)]) + 1])
-        upto = np.cumsum([0] + [len(PRETOKEN.findall(c)) for c in chunks])
+        # letters alone are one pre-token
+        upto = np.cumsum([0] + [1 if c.isalpha() else len(PRETOKEN.findall(c)) for c in chunks])
         if upto[-1] != len(words) - 1 or words[-1] != len(ids):
             raise ValueError("the tokenizer does not end every pre-token with a word-end id")
         places = (4 * words[upto]).tolist()
@@ -109,21 +112,21 @@ class ChunkEncoder:
         self.memo.update(zip(chunks, (raw[x:y] for x, y in zip(places[:-1], places[1:], strict=True)), strict=True))
         self.held += len(raw)
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
         # special strings in a text are matched before anything else is done,
         # so a text with one is handed over whole
-        if not self.blank_parts or UNSAFE.search(text) or any(s in text for s in self.special):
-            return np.array(self._encode(text), dtype="<u4")
-        chunks = text.lower().split()
-        try:
-            found = list(map(self.memo.__getitem__, chunks))
-        except KeyError:
-            if len(self.memo) > MEMO_ENTRIES or self.held > MEMO_BYTES:
-                self.memo.clear()
-                self.held = 0
-            self._learn([c for c in dict.fromkeys(chunks) if c not in self.memo])
-            found = list(map(self.memo.__getitem__, chunks))
-        return np.frombuffer(b"".join(found), dtype="<u4")
+        chunks = [t.lower().split() if self.blank_parts and not UNSAFE.search(t) and not any(s in t for s in self.special) else None
+                  for t in texts]
+        if len(self.memo) > MEMO_ENTRIES or self.held > MEMO_BYTES:
+            self.memo.clear()
+            self.held = 0
+        new = set().union(*(c for c in chunks if c)).difference(self.memo)
+        if new:
+            self._learn(list(new))
+        return [np.array(self._encode(t), dtype="<u4") if c is None
+                else np.frombuffer(b"".join(map(self.memo.__getitem__, c)), dtype="<u4")
+                for t, c in zip(texts, chunks, strict=True)]
 
 
 def encoder(tokenizer: str) -> ChunkEncoder:
@@ -132,20 +135,22 @@ def encoder(tokenizer: str) -> ChunkEncoder:
     return _WORKERS[tokenizer]
 
 
-def cut_places(ids: np.ndarray, ends: np.ndarray, doc_end: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Cut positions (token counts before the cut) in one document and their
-    penalties.  ``ends``: the ids that end a sentence."""
-    n = len(ids)
-    stops = np.flatnonzero(np.isin(ids[:-1], ends)) + 1 if n > 1 else np.empty(0, np.int64)
-    edges = np.concatenate([[0], stops, [n]])
-    gaps = np.diff(edges)
-    hard = [np.arange(a + HARD_STEP, a + g, HARD_STEP) for a, g in zip(edges[:-1], gaps, strict=True) if g > HARD_STEP] \
-        if gaps.max(initial=0) > HARD_STEP else []
-    at = np.concatenate([stops, [n], *hard]).astype(np.int64)
-    penalty = np.concatenate([np.full(len(stops), SENTENCE_PENALTY), [DOCUMENT_PENALTY if doc_end else HARD_PENALTY],
-                              *[np.full(len(h), HARD_PENALTY) for h in hard]]).astype(np.int64)
-    order = np.argsort(at, kind="stable")
-    return at[order], penalty[order]
+def cut_places(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cut positions (token counts before the cut) in a stream and their
+    penalties.  ``doc_ends``: where its documents end; ``ends_sentence``: by id."""
+    stops = np.flatnonzero(ends_sentence[ids]) + 1
+    at = np.union1d(stops, doc_ends)
+    penalty = np.full(len(at), SENTENCE_PENALTY, dtype=np.int64)
+    penalty[np.searchsorted(at, doc_ends)] = DOCUMENT_PENALTY
+    start = np.concatenate([[0], at[:-1]])
+    more = (at - start - 1) // HARD_STEP  # cuts inside a long sentence
+    if more.any():
+        first = np.cumsum(more) - more
+        hard = np.repeat(start, more) + HARD_STEP * (np.arange(more.sum()) - np.repeat(first, more) + 1)
+        order = np.argsort(np.concatenate([at, hard]), kind="stable")
+        penalty = np.concatenate([penalty, np.full(len(hard), HARD_PENALTY, dtype=np.int64)])[order]
+        at = np.concatenate([at, hard])[order]
+    return at, penalty
 
 
 def best_windows(at: list[int], penalty: list[int], size: int = SIZE, least_power: int = LEAST_POWER) -> list[int]:
@@ -194,28 +199,22 @@ def power_windows(start: int, end: int, size: int) -> list[int]:
 class Stream:
     """Documents of one partition waiting to be packed."""
 
-    def __init__(self, size: int, sequence: int):
-        self.size, self.sequence = size, sequence
+    def __init__(self, size: int, sequence: int, ends_sentence: np.ndarray):
+        self.size, self.sequence, self.ends_sentence = size, sequence, ends_sentence
         self.docs: list[tuple[object, np.ndarray, int]] = []  # id, ids, first token not packed yet
-        self.cuts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, doc_id, ids: np.ndarray, cuts: tuple[np.ndarray, np.ndarray]) -> None:
+    def add(self, doc_id, ids: np.ndarray) -> None:
         self.docs.append((doc_id, ids, 0))
-        self.cuts.append(cuts)
         self.held += len(ids)
 
     def pack(self, last: bool) -> list[tuple]:
         """Pieces of all complete windows; of everything if ``last``."""
         if not self.held:
             return []
-        at, penalty, base = [], [], 0
-        for (_, ids, done), (places, cost) in zip(self.docs, self.cuts, strict=True):
-            keep = places > done
-            at.append(places[keep] - done + base)
-            penalty.append(cost[keep])
-            base += len(ids) - done
-        ends = best_windows(np.concatenate(at).tolist(), np.concatenate(penalty).tolist(), self.size)
+        waiting = [ids[done:] for _, ids, done in self.docs]
+        at, penalty = cut_places(np.concatenate(waiting), np.cumsum([len(w) for w in waiting]), self.ends_sentence)
+        ends = best_windows(at.tolist(), penalty.tolist(), self.size)
         # the last windows have not seen what follows: leave the rest to the next run
         if not last:
             ends = ends[:-2]
@@ -240,7 +239,7 @@ class Stream:
                     self.docs[d] = (doc_id, ids, done + n)
             start = end
             self.sequence += 1
-        self.docs, self.cuts = self.docs[d:], self.cuts[d:]
+        self.docs = self.docs[d:]
         self.held -= start
         return out
 
@@ -255,18 +254,22 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = E
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer)
-        ends = np.array(sorted({i for s in (".", "!", "?", "...", ".\"") for i in enc._encode(s)[-1:]} | {end_id}), dtype="<u4")
-        stream = Stream(size, TaskContext.get().partitionId() << 33)
+        last = {i for x in SENTENCE_ENDS for i in enc.library.encode(x, add_special_tokens=False).ids[-1:]} | {end_id}
+        ends_sentence = np.zeros(max(*last, enc.library.get_vocab_size()) + 1, dtype=bool)
+        ends_sentence[list(last)] = True
+        stream = Stream(size, TaskContext.get().partitionId() << 33, ends_sentence)
         names = [c.split()[0] for c in SCHEMA.split(", ")]
+        end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.append(enc.encode(text), np.array([end_id], dtype="<u4")) if text else np.array([end_id], dtype="<u4")
-                stream.add(None if pd.isna(doc_id) else int(doc_id), ids, cut_places(ids, ends, True))
-                if stream.held >= buffer_tokens:
-                    out += stream.pack(False)
-            if out:
-                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            ids, texts = batch["doc_id"].tolist(), [t or "" for t in batch["text"]]
+            for x, y in groups(texts):
+                out: list[tuple] = []
+                for doc_id, found in zip(ids[x:y], enc.encode_all(texts[x:y]), strict=True):
+                    stream.add(None if doc_id is None else int(doc_id), np.append(found, end))
+                    if stream.held >= buffer_tokens:
+                        out += stream.pack(False)
+                if out:
+                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
         if out := stream.pack(True):
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
