@@ -10,6 +10,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
+from sparkdeck.operators import evaluate, models, tuning
+from sparkdeck.plans import models_q
 from sparkdeck.plans.bindings import TABLES
 from tests.conftest import SF0001
 
@@ -71,25 +73,20 @@ def test_entry_flagship(spark):
 @pytest.mark.parametrize("name", ["fit_decision_tree", "fit_random_forest", "fit_gbt"])
 def test_tree_fits_are_deterministic(spark, name):
     # The generated lineitem carries no signal from quantity/discount/tax to
-    # the price (|corr| < 0.02 at every scale), so only determinism and sane
-    # metrics are asserted here; "better than the mean" is tested on the
-    # marks sample (test_model_compare_and_grid).
-    a = QUERIES[name](spark, SF0001).first()
-    b = QUERIES[name](spark, SF0001).first()
-    assert (a.rmse, a.r2, a.n) == (b.rmse, b.r2, b.n)
-    assert math.isfinite(a.rmse) and a.rmse > 0 and a.n > 0
-
-
-def test_model_compare_and_cv_pick_one_best(spark):
-    cmp = QUERIES["model_compare"](spark, SF0001).collect()
+    # the price (|corr| < 0.02 at every scale); "better than the mean" is
+    # tested on the class of marks (test_model_compare_and_grid).
+    kind = name.removeprefix("fit_")
+    train, test = models_q._split(spark, SF0001)
+    cols = models_q._features(spark, SF0001)
+    figures = []
+    for _ in range(2):
+        m = models.fit_regressor(train, cols, "label", kind, seed=42)
+        figures.append(tuple(evaluate.regression_metrics(models.predict(m, test)).first()))
+    assert figures[0] == figures[1] and all(math.isfinite(x) for x in figures[0])
+
+
+def test_model_compare_picks_one_best(spark):
+    train, test = models_q._split(spark, SF0001)
+    cmp = tuning.model_compare(train, test, ["l_quantity"], "label").collect()
     best = [r for r in cmp if r.is_best]
     assert len(best) == 1 and best[0].rmse == min(r.rmse for r in cmp)
-    cv = QUERIES["grid_search_cv"](spark, SF0001).collect()
-    assert len(cv) == 4 and sum(r.is_best for r in cv) == 1
-    assert [r for r in cv if r.is_best][0].cv_rmse == min(r.cv_rmse for r in cv)
-
-
-def test_scored_rows_are_the_unlabelled_documents(spark, duck):
-    got = QUERIES["score_new_rows"](spark, SF0001).collect()
-    want = duck.execute("SELECT COUNT(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)").fetchone()[0]
-    assert len(got) == want and all(0.0 <= r.p1 <= 1.0 for r in got)
