@@ -1,9 +1,9 @@
-"""Line sources (A1, A2, A4).
+"""Line sources (A1, A2).
 
 Lines are read with ``spark.read.text`` (one ``value`` column, split across
 tasks by file block), never through an RDD.  Several paths with one parser
-are a single multi-path read; content dispatch is two filters on the same
-scan, which Spark plans as one scan feeding both branches.
+are a single multi-path read; mixed records are told apart by content in one
+pass (``sources.delimited.parse_by_content``).
 """
 
 from __future__ import annotations
@@ -26,25 +26,3 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str |
     if encoding and encoding.lower().replace("-", "").replace("_", "") != "utf8":
         df = df.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
     return df
-
-
-def union_lines_of(*frames: DataFrame) -> DataFrame:
-    """A2 for inputs that are already DataFrames of ``value``: UNION ALL."""
-    out = frames[0].select("value")
-    for f in frames[1:]:
-        out = out.unionByName(f.select("value"))
-    return out
-
-
-def dispatch_mixed_records(lines: DataFrame, value_col: str = "value",
-                           tab_marker: str = "\t", pipe_marker: str = "|") -> tuple[DataFrame, DataFrame]:
-    """A4: split one mixed input by content: lines holding a tab are rating
-    records, the others holding a pipe are user/item records.
-
-    Returns ``(tab_lines, pipe_lines)``, each a ``value`` frame ready for
-    ``parse_delimited``.  A line with both markers counts as a tab record,
-    as the content test checks the tab first."""
-    v = F.col(value_col)
-    tab = lines.filter(v.contains(tab_marker)).select(v.alias("value"))
-    pipe = lines.filter(~v.contains(tab_marker) & v.contains(pipe_marker)).select(v.alias("value"))
-    return tab, pipe

@@ -7,8 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sparkdeck.operators import linalg, ratings, relational, words
-from sparkdeck.sources.delimited import parse_delimited, parse_items, parse_pipe_users, parse_tab_ratings
-from sparkdeck.sources.text import dispatch_mixed_records
+from sparkdeck.sources.delimited import RATING_USER_LAYOUTS, parse_by_content, parse_delimited, parse_items, parse_pipe_users
 
 TXN = ["C7,book,640,2024-11-02", "C3,lamp,1750.5,2024-11-03", "C9,desk,3120,2024-11-03", "C2,mug,95,2024-11-09"]
 TXN_A, TXN_B = TXN[:3], TXN[1:]
@@ -104,8 +103,8 @@ def test_parse_users_and_items(lines):
 
 
 def test_dispatch_mixed(lines):
-    tab, pipe = dispatch_mixed_records(lines(["1\t10\t4\t7000001", "1|31|F|baker|90210", "junk"]))
-    assert parse_tab_ratings(tab).count() == 1 and parse_pipe_users(pipe).count() == 1
+    got = parse_by_content(lines(["1\t10\t4.5\t7000001", "1|31|F|baker|90210", "junk"]), RATING_USER_LAYOUTS).collect()
+    assert sorted((r.kind, r.user_id, r.rating, r.occupation) for r in got) == [("R", 1, 4.5, None), ("U", 1, None, "baker")]
 
 
 def test_topk_ties_and_default_label(spark):
