@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import ship
+from sparkdeck.llm.common import hash_below, ship
 
 PIVOTS = 256
 POSTED = 24
@@ -47,8 +47,13 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(good, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
-def pivot_sample(vectors: DataFrame, pivots: int = PIVOTS) -> dict[int, np.ndarray]:
-    """Unit pivots of each dimension, at most ``pivots`` of each."""
+def pivot_sample(vectors: DataFrame, sizes: dict[int, int], pivots: int = PIVOTS) -> dict[int, np.ndarray]:
+    """Unit pivots of each dimension, at most ``pivots`` of each: the vectors
+    with the smallest hashes of their ids."""
+    likely = F.lit(False)
+    for dim, n in sizes.items():
+        likely = likely | ((F.col("dim") == dim) & hash_below(F.col("vec_id"), pivots, n))
+    vectors = vectors.where(likely)
     w = Window.partitionBy("dim").orderBy(F.xxhash64("vec_id"), "vec_id", "v")
     rows = vectors.withColumn("n", F.row_number().over(w)).where(F.col("n") <= pivots).select("dim", "n", "v").collect()
     out: dict[int, list] = {}
@@ -129,7 +134,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
          .where(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v")))
     sizes = v.select("dim", is_query.alias("q")).groupBy("dim").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("q").alias("nq")).collect()  # one row per dimension
-    sample = pivot_sample(v, pivots)
+    sample = pivot_sample(v, {r["dim"]: r["n"] for r in sizes}, pivots)
     blocks = {r["dim"]: (max(1, -(-r["n"] // block_rows)), max(1, -(-r["nq"] // block_queries))) for r in sizes}
 
     def per_dim(i: int) -> Column:

@@ -51,6 +51,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == HELD_OUT_REMAINDER
 
 
+def hash_below(c: Column, wanted: int, rows: int, margin: int = 4) -> Column:
+    """True for about ``margin * wanted`` of ``rows`` rows, those whose hash of
+    ``c`` is smallest: a cheap first cut before taking the ``wanted`` smallest."""
+    if rows <= margin * wanted:
+        return F.lit(True)
+    return F.xxhash64(c) < F.lit(int(-(2**63) + 2**64 * (margin * wanted / rows)))
+
+
 def literal_array(values: list, kind: str) -> Column:
     """A constant array column (folded once per plan, not built per row)."""
     if not values:

@@ -133,7 +133,7 @@ def training_sample(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE)
 def train(sample: DataFrame) -> Model | None:
     """Fits a model on rows (lang, text); None without a usable row."""
     ship(sample.sparkSession)
-    sample = sample.select("lang", "text").persist()
+    held = sample = sample.select("lang", "text").persist()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
@@ -145,8 +145,9 @@ def train(sample: DataFrame) -> Model | None:
             yield pd.DataFrame({"lang": list(sums), "counts": [s.astype("<f8").tobytes() for s in sums.values()]})
 
     try:
-        # the sample is bounded, so a few tasks hold it
-        rows = sample.coalesce(16).mapInPandas(count, "lang string, counts binary").toLocalIterator()
+        # the sample is bounded, so a few tasks hold it (dealt out after the scan)
+        sample = sample.repartition(16)
+        rows = sample.mapInPandas(count, "lang string, counts binary").toLocalIterator()
         sums: dict[str, np.ndarray] = {}
         for r in rows:
             c = np.frombuffer(r["counts"], dtype="<f8")
@@ -167,14 +168,14 @@ def train(sample: DataFrame) -> Model | None:
             yield pd.DataFrame({"lang": languages, "seen": [seen[x] for x in languages], "right": [right[x].tolist() for x in languages]})
 
         right, seen = np.zeros(model.code.shape), np.zeros(len(languages))
-        for r in sample.coalesce(16).mapInPandas(judge, "lang string, seen long, right array<double>").collect():
+        for r in sample.mapInPandas(judge, "lang string, seen long, right array<double>").collect():
             right[languages.index(r["lang"])] += r["right"]
             seen[languages.index(r["lang"])] += r["seen"]
         trust = (right + 1) / (seen[:, None] + 2)
         model.trust = trust / trust.sum(1, keepdims=True)
         return model
     finally:
-        sample.unpersist()
+        held.unpersist()
 
 
 def predict(text: Column, model: Model | None) -> Column:

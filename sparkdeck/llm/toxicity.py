@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import held_out, ship
+from sparkdeck.llm.common import hash_below, held_out, ship
 from sparkdeck.llm.textnp import groups, word_hashes
 
 BITS = 18
@@ -131,8 +131,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(text, label) of labelled rows that are not held out."""
-    one = (labels.select(F.col("doc_id").alias("__id"), F.col(label).alias("__label"))
-           .where(F.col("__id").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__id")))
+    usable = (labels.select(F.col("doc_id").alias("__id"), F.col(label).alias("__label"))
+              .where(F.col("__id").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__id"))))
+    one = (usable.where(hash_below(F.col("__id"), train_rows, usable.count()))
            .groupBy("__id").agg(F.max("__label").alias("__label"))
            .orderBy(F.xxhash64("__id"), "__id").limit(train_rows))
     # at most `train_rows` ids and labels: bounded, so they go to every task
