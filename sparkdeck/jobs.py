@@ -12,7 +12,7 @@ Jobs: word-count, filter-transactions, project-transactions,
 union-transactions, intersect-transactions, difference-transactions,
 movie-ratings-stats, matrix-vector, avg-rating-by-title,
 avg-rating-by-gender, top-rated, preferred-genre, linear-regression,
-model-compare, grid-search.
+model-compare, grid-search, logistic-regression, prepare-features.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdeck.operators import linalg, ratings, relational, tuning, words
+from sparkdeck.operators import evaluate, features, linalg, profile, ratings, relational, tuning, words
 from sparkdeck.operators import models as M
 from sparkdeck.operators.evaluate import regression_metrics
-from sparkdeck.sources.csv import read_csv_strings
+from sparkdeck.sources.csv import read_csv_inferred, read_csv_strings
 from sparkdeck.sources.delimited import (
     RATING_FIELDS,
     USER_TEXT_FIELDS,
@@ -39,7 +39,7 @@ from sparkdeck.sources.delimited import (
     parse_tab_ratings,
     parse_user_texts,
 )
-from sparkdeck.sources.sinks import write_csv, write_kv_text, write_text_values
+from sparkdeck.sources.sinks import persist_for_reuse, write_csv, write_kv_text, write_text_values
 from sparkdeck.sources.text import read_lines
 
 # The genre flags of the MovieLens item file, in file order.
@@ -185,6 +185,39 @@ def grid_search(spark: SparkSession, a) -> None:
     write_csv(scored.select(*found.results.columns, "test_rmse", "test_r2"), a.output, mode=_mode(a))
 
 
+def logistic_regression(spark: SparkSession, a) -> None:
+    """Fit on the train split; coefficients and, on the test rows, accuracy,
+    area under the curve and the confusion matrix, one line a figure."""
+    df = _table(spark, a)
+    feats = relational.feature_columns(df, a.label)
+    train, test = tuning.with_split(df, feats + [a.label], 0.7, a.seed)
+    m = M.fit_logistic(train, feats, a.label, scale=True)
+    scored = persist_for_reuse(M.positive_probability(M.predict(m, test)))
+    try:
+        acc = evaluate.accuracy(scored, a.label, "prediction").first()["accuracy"]
+        both = scored.agg(F.count_distinct(a.label)).first()[0] == 2  # an area needs both classes
+        auc = evaluate.auc_roc(scored, a.label, "p1").first()["auc"] if both else None
+        cells = profile.confusion_matrix(scored, a.label, "prediction", [0, 1]).collect()  # one row a class
+    finally:
+        scored.unpersist()
+    rows = [("test_accuracy", acc), ("test_auc", auc)]
+    rows += [(f"label_{int(r[a.label])}_{c}", float(r[c])) for r in cells for c in ("pred_0", "pred_1", "pred_other")]
+    write_csv(M.logistic_terms(spark, m, feats).unionByName(spark.createDataFrame(rows, "term string, value double")),
+              a.output, mode=_mode(a))
+
+
+def prepare_features(spark: SparkSession, a) -> None:
+    """One-hot, ordinal and numeric features of a CSV table and the target's
+    class index; the vector is written as text (CSV holds no vectors)."""
+    order = {}
+    for spec in a.ordinal or []:
+        col, _, values = spec.partition("=")
+        order[col] = {v: i for i, v in enumerate(values.split(","))}
+    out = features.prepare_features(read_csv_inferred(spark, a.input), a.nominal or [], order, a.numeric, a.target,
+                                    sentinel=a.sentinel, relative_error=a.relative_error, iqr_col=a.iqr_col, scaler=a.scaler)
+    write_csv(out.withColumn("features", features.vector_text("features")), a.output, mode=_mode(a))
+
+
 # ------------------------------------------------------------------ CLI --
 
 def build_parser() -> argparse.ArgumentParser:
@@ -219,8 +252,17 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--min-count", type=int, default=50)
     s.add_argument("--default-prefix", default="MovieID_")
     job("preferred-genre", preferred_genre, "ratings", "users", "items", on_bad="skip")
+    s = job("prepare-features", prepare_features, "input")
+    s.add_argument("--nominal", nargs="*", help="columns to index and one-hot encode")
+    s.add_argument("--ordinal", nargs="*", metavar="COLUMN=LOW,..,HIGH", help="columns with an order of values")
+    s.add_argument("--numeric", nargs="+", required=True)
+    s.add_argument("--target", required=True)
+    s.add_argument("--sentinel", default="?")
+    s.add_argument("--iqr-col", help="numeric column whose outliers are dropped")
+    s.add_argument("--relative-error", type=float, default=0.05, help="of the quartiles; 0: exact")
+    s.add_argument("--scaler", choices=["minmax", "standard", "centred"], default="minmax")
     for name, fn in (("linear-regression", linear_regression), ("model-compare", model_compare),
-                     ("grid-search", grid_search)):
+                     ("grid-search", grid_search), ("logistic-regression", logistic_regression)):
         s = job(name, fn, "input")
         s.add_argument("--label", required=True)
         s.add_argument("--drop", nargs="*", default=[])

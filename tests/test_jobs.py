@@ -141,3 +141,26 @@ def test_grid_search_job_reports_test_figures(spark, tmp_path, monkeypatch):
     rows = spark.read.option("header", True).csv(out).collect()
     best = [r for r in rows if r["is_best"] == "true"]
     assert len(rows) == 2 and len(best) == 1 and best[0]["test_rmse"] is not None
+
+
+def test_classifier_job(spark, tmp_path):
+    rows = [f"{i},{i % 17},{(i * 7) % 11},{int(i % 17 + (i * 5) % 4 > 9)}" for i in range(200)]
+    p = _write(tmp_path, "c.csv", ["id,x,y,good", *rows])
+    out = _run(spark, tmp_path, "logistic-regression", p, opts=["--label", "good", "--drop", "id"])
+    got = {r.term: r.value for r in spark.read.option("header", True).option("inferSchema", True).csv(out).collect()}
+    assert {"intercept", "x", "y", "test_accuracy", "test_auc"} <= set(got) and got["test_auc"] > 0.9
+    right = got["label_0_pred_0"] + got["label_1_pred_1"]
+    n = sum(v for k, v in got.items() if "_pred_" in k)
+    assert got["test_accuracy"] == pytest.approx(right / n)
+
+
+def test_feature_job(spark, tmp_path):
+    rows = [f"{i},{'?' if i % 9 == 0 else 'red' if i % 2 else 'blue'},{['low', 'mid', 'high'][i % 3]},{'' if i % 7 == 0 else i},{'yes' if i % 4 else 'no'}"
+            for i in range(60)] + ["60,red,low,300,yes"]
+    p = _write(tmp_path, "f.csv", ["id,colour,level,size,kept", *rows])
+    out = _run(spark, tmp_path, "prepare-features", p, opts=[
+        "--nominal", "colour", "--ordinal", "level=low,mid,high", "--numeric", "size", "--target", "kept", "--iqr-col", "size",
+        "--relative-error", "0"])
+    got = spark.read.option("header", True).csv(out).collect()
+    assert len(got) == 60 and {r.label for r in got} == {"0.0", "1.0"}  # the outlier is gone
+    assert all(len(r.features.split(",")) == 3 + 1 + 1 and all(0 <= float(x) <= 1 for x in r.features.split(",")) for r in got)
