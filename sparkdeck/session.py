@@ -57,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf:
         # Only a run on one machine may make up a folder: on a cluster every
         # executor would write to its own disk.
-        if sc is None or not sc.master.startswith("local["):
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="sparkdeck-ckpt-")
         try:
