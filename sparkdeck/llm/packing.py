@@ -68,10 +68,21 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 #: Anything but printable ASCII, tab, line feed, carriage return and Latin
 #: letters whose lower case is one letter (not U+0130, U+0149, U+01F0).
 UNSAFE = re.compile("[^\t\n\r -~À-ÖØ-öø-įı-ňŊ-ſ]")
+BLANK = re.compile(r"\s")
+PIECE_CHARACTERS = 1_000_000
 
 _WORKERS: dict[str, "ChunkEncoder"] = {}
 
 
+def pieces(text: str) -> Iterator[str]:
+    """A long text in parts of about ``PIECE_CHARACTERS``, cut at white space."""
+    at = 0
+    while len(text) - at > PIECE_CHARACTERS and (m := BLANK.search(text, at + PIECE_CHARACTERS)):
+        yield text[at:m.start()]
+        at = m.end()
+    yield text[at:]
+
+
 class ChunkEncoder:
     """Ids of whole texts with one tokenizer (one per worker process)."""
 
@@ -114,19 +125,25 @@ class ChunkEncoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        # special strings in a text are matched before anything else is done,
-        # so a text with one is handed over whole
-        chunks = [t.lower().split() if self.blank_parts and not UNSAFE.search(t) and not any(s in t for s in self.special) else None
-                  for t in texts]
+        out = []
+        for t in texts:
+            # special strings in a text are matched before anything else is
+            # done, so a text with one is handed over whole
+            safe = self.blank_parts and not UNSAFE.search(t) and not any(s in t for s in self.special)
+            out.append(t.lower() if safe else np.array(self._encode(t), dtype="<u4"))
+        short = [t for t in out if isinstance(t, str) and len(t) <= PIECE_CHARACTERS]
+        found = iter(self._of_chunks([t.split() for t in short]))
+        return [t if isinstance(t, np.ndarray) else next(found) if len(t) <= PIECE_CHARACTERS
+                else np.concatenate([self._of_chunks([p.split()])[0] for p in pieces(t)]) for t in out]
+
+    def _of_chunks(self, chunks: list[list[str]]) -> list[np.ndarray]:
         if len(self.memo) > MEMO_ENTRIES or self.held > MEMO_BYTES:
             self.memo.clear()
             self.held = 0
-        new = set().union(*(c for c in chunks if c)).difference(self.memo)
+        new = set().union(*chunks).difference(self.memo)
         if new:
             self._learn(list(new))
-        return [np.array(self._encode(t), dtype="<u4") if c is None
-                else np.frombuffer(b"".join(map(self.memo.__getitem__, c)), dtype="<u4")
-                for t, c in zip(texts, chunks, strict=True)]
+        return [np.frombuffer(b"".join(map(self.memo.__getitem__, c)), dtype="<u4") for c in chunks]
 
 
 def encoder(tokenizer: str) -> ChunkEncoder:

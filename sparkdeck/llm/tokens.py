@@ -40,6 +40,8 @@ MEMO_ENTRIES, MEMO_CHARACTERS = 500_000, 16_000_000
 CALL_CHARACTERS = 20_000
 #: Pre-token: a run of marks and what follows it, or characters after a break.
 PRETOKEN = re.compile(f"{MARK}+[^{MARK}{BREAK}]*|[^{MARK}{BREAK}]+")
+BOUNDARY = re.compile(f"[^{MARK}](?={MARK})|{BREAK}")
+PIECE_CHARACTERS = 1_000_000
 
 _WORKERS: dict[bytes, "Counter"] = {}
 
@@ -64,6 +66,16 @@ def analyse(model: bytes) -> dict | None:
     return {"whole": whole, "tokens": len(pieces)}
 
 
+def pieces(marked: str) -> Iterator[str]:
+    """A marked text in parts of about ``PIECE_CHARACTERS`` that end where a
+    pre-token ends, so that the list of pre-tokens in memory is bounded."""
+    at = 0
+    while len(marked) - at > PIECE_CHARACTERS and (m := BOUNDARY.search(marked, at + PIECE_CHARACTERS)):
+        yield marked[at:m.end()]
+        at = m.end()
+    yield marked[at:]
+
+
 class Counter:
     """Counts tokens of texts with one model (one per worker process)."""
 
@@ -100,15 +112,17 @@ class Counter:
         if not text:
             return 0
         # the model marks the start of the text and every blank
-        found = PRETOKEN.findall(MARK + text.replace(" ", MARK))
-        breaks = text.count(BREAK)
+        return text.count(BREAK) + sum(map(self._tokens, pieces(MARK + text.replace(" ", MARK))))
+
+    def _tokens(self, marked: str) -> int:
+        found = PRETOKEN.findall(marked)
         try:
-            return breaks + sum(map(self.memo.__getitem__, found))
+            return sum(map(self.memo.__getitem__, found))
         except KeyError:
             if len(self.memo) > len(self.whole) + MEMO_ENTRIES or self.held > MEMO_CHARACTERS:
                 self.memo, self.held = dict(self.whole), 0
             self.merge([p for p in set(found) if p not in self.memo])
-            return breaks + sum(map(self.memo.__getitem__, found))
+            return sum(map(self.memo.__getitem__, found))
 
 
 def counter(model: bytes) -> Counter:

@@ -123,3 +123,18 @@ def test_windows_are_optimal(seed):
 
     assert got[-1] == at[-1]
     assert cost(got, penalty, size) == min(cost(w, penalty, size) for w in all_ways(0, 0))
+
+
+def test_long_texts_in_pieces_give_the_same(monkeypatch):
+    rng = random.Random(9)
+    text = "".join(rng.choice("ab \n▁.é'") for _ in range(5000))
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as f:
+        c = tokens.Counter(f.read())
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        e = packing.ChunkEncoder(f.read())
+    plain = text.replace("▁", " ")
+    whole = len(c.sp.encode(text)), e._encode(plain), e._encode("short one")
+    monkeypatch.setattr(tokens, "PIECE_CHARACTERS", 37)
+    monkeypatch.setattr(packing, "PIECE_CHARACTERS", 37)
+    assert c.count(text) == whole[0]
+    assert [x.tolist() for x in e.encode_all([plain, "short one", "", plain])] == [whole[1], whole[2], [], whole[1]]
