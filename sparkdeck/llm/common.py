@@ -9,6 +9,8 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkdeck.session import shared_dir
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -51,6 +53,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == HELD_OUT_REMAINDER
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Writes a frame to the shared folder and reads it back: the lineage ends
+    there, and a lost executor takes nothing with it."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hash_below(c: Column, wanted: int, rows: int, margin: int = 4) -> Column:
     """True for about ``margin * wanted`` of ``rows`` rows, those whose hash of
     ``c`` is smallest: a cheap first cut before taking the ``wanted`` smallest."""

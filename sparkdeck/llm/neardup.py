@@ -48,9 +48,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import WORD, fresh, ship
+from sparkdeck.llm.common import WORD, fresh, saved, ship
 from sparkdeck.llm.textnp import groups, mix, shingle_hashes, word_hashes
-from sparkdeck.session import shared_dir
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -158,15 +157,6 @@ def text_multisets(texts: list[str | None], shingle: int = SHINGLE) -> list[list
 
 # ------------------------------------------------------------------ stages --
 
-def _save(df: DataFrame, name: str) -> DataFrame:
-    """Writes a frame to the shared folder and reads it back: the lineage ends
-    there, and a lost executor takes nothing with it."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _digest(text: Column) -> Column:
     """16 bytes that stand for a text; null for one without a word."""
     return F.when(text.rlike(WORD), F.unhex(F.md5(text)))
@@ -206,7 +196,7 @@ def components(links: DataFrame) -> DataFrame:
     component.  Large-star and small-star steps until nothing changes; every
     step is a join and an aggregation of the links, written out."""
     both = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges = _save(both, "links")
+    edges = saved(both, "links")
     while True:
         # large star: every larger neighbour of a node links to its smallest neighbour
         near = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -216,7 +206,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
-        new = _save(small, "links")
+        new = saved(small, "links")
         same = new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty()
         edges = new
         if same:
@@ -229,22 +219,22 @@ def duplicate_roots(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
                     rows: int = ROWS) -> DataFrame:
     """(node, root) over the digests of ``docs`` (digest, text): every text with
     a link to a different text, and the smallest digest of its class."""
-    keyed = _save(banded(docs, shingle, bands, rows), "bands")
+    keyed = saved(banded(docs, shingle, bands, rows), "bands")
     each = keyed.select("digest", F.explode("keys").alias("key"))
     shared = (each.groupBy("key").agg(F.min("digest").alias("one"), F.max("digest").alias("other"))
               .where("one <> other").select("key"))
-    members = _save(each.join(shared, "key").distinct(), "members")
+    members = saved(each.join(shared, "key").distinct(), "members")
     # a text that meets many others is near the middle of its group
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     met = members.join(sizes, "key").groupBy("digest").agg(F.sum("n").alias("met"))
     hubs = members.join(met, "digest").groupBy("key").agg(F.max_by("digest", F.struct("met", "digest")).alias("hub"))
-    first = _save(members.join(hubs, "key").where("digest <> hub")
+    first = saved(members.join(hubs, "key").where("digest <> hub")
                   .select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct(), "first")
     texts = docs.join(members.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
-    bags = _save(multisets(texts, shingle), "bags")
-    links = _save(verified(first, bags, similarity), "pairs")
-    roots = _save(components(links), "roots")
-    more = _save(verified(open_pairs(members, roots, bags, similarity).join(first, ["a", "b"], "left_anti"), bags, similarity), "pairs")
+    bags = saved(multisets(texts, shingle), "bags")
+    links = saved(verified(first, bags, similarity), "pairs")
+    roots = saved(components(links), "roots")
+    more = saved(verified(open_pairs(members, roots, bags, similarity).join(first, ["a", "b"], "left_anti"), bags, similarity), "pairs")
     if more.isEmpty():
         return roots
     return components(links.union(more))
@@ -264,13 +254,13 @@ def open_pairs(members: DataFrame, roots: DataFrame, bags: DataFrame, similarity
     parts = m.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     biggest = (parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").select("key", "big"))
-    open_ = _save(m.join(biggest, "key").groupBy("digest", "root").agg(F.max(F.col("root") != F.col("big")).alias("asks")), "open")
+    open_ = saved(m.join(biggest, "key").groupBy("digest", "root").agg(F.max(F.col("root") != F.col("big")).alias("asks")), "open")
     element = open_.join(bags, "digest").select("digest", "root", "asks", F.size("bag").alias("n"), F.explode("bag").alias("e"))
     often = element.groupBy("e").agg(F.count(F.lit(1)).alias("often"))
     ranked = element.join(often, "e").groupBy("digest", "root", "asks", "n").agg(
         F.array_sort(F.collect_list(F.struct("often", "e"))).alias("bag"))
     # no pair needs more than s * |a| common elements from the larger side
-    prefix = _save(ranked.select("digest", "root", "asks", "n", F.posexplode(F.transform(F.slice(
+    prefix = saved(ranked.select("digest", "root", "asks", "n", F.posexplode(F.transform(F.slice(
         "bag", F.lit(1), F.col("n") - F.ceil(similarity * F.col("n") - 1e-9).cast("int") + 1), lambda x: x["e"])).alias("i", "e")), "prefix")
     x = prefix.where("asks").select("e", F.col("digest").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("i").alias("ix"))
     y = prefix.select("e", F.col("digest").alias("y"), F.col("root").alias("ry"), F.col("n").alias("ny"), F.col("i").alias("iy"), "asks")

@@ -28,8 +28,9 @@ element, the slot with the most text outside those, slots of a fifth of it or
 more and the headings just before them, but for blocks that are mostly links.  A host without enough pages
 for a template has its containers as slots.
 
-The templates (a few dozen numbers a host) join the pages by host; Spark sends
-them to the tasks if they are small and splits a hot host otherwise.
+The templates (a few dozen numbers a host) are written, then join the pages by
+host: sent to the tasks up to ``BROADCAST_TOKENS``, beyond that by a shuffle
+whose hot hosts the join splits.
 
 Defined results: null or empty html gives an empty text; a page without a url
 has the empty host; character references are decoded; white space in a block
@@ -47,13 +48,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import ship
+from sparkdeck.llm.common import saved, ship
 
 SHARE = 0.8
 LEAST_PAGES = 5
 #: Words of a text run that tells copies of a page apart from others.
 LONG_RUN = 12
 SLOT_SHARE = 0.2
+#: Template tokens (8 bytes each) up to which the templates are broadcast.
+BROADCAST_TOKENS = 2_000_000
 #: Template tags that may stand between a heading and its text.
 HEADING_GAP = 3
 
@@ -290,7 +293,8 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 def deduce_templates(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(host, template): the large and frequent classes of each host, each a
     list of its tokens in order of their mean places."""
-    one = page_tokens(pages).groupBy("host", "copy").agg(F.min(F.struct("tokens", "times", "places")).alias("p"))
+    # read twice below, so written once: numbers, a small part of the pages
+    one = saved(page_tokens(pages).groupBy("host", "copy").agg(F.min(F.struct("tokens", "times", "places")).alias("p")), "tokens")
     each = one.select("host", "copy", F.explode(F.arrays_zip("p.tokens", "p.times", "p.places")).alias("t"))
     counted = each.select("host", "copy", F.col("t.tokens").alias("token"), F.col("t.times").alias("times"), F.col("t.places").alias("place"))
     vectors = counted.groupBy("host", "token").agg(
@@ -309,6 +313,10 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
     ship(pages.sparkSession)
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     templates = deduce_templates(p.select("host", "html"), share, least_pages)
+    templates = saved(templates, "templates")
+    held = templates.agg(F.sum(F.size(F.flatten("template")))).first()[0] or 0
+    # small enough to send to every task; otherwise by host, a hot host split by the join
+    templates = F.broadcast(templates) if held <= BROADCAST_TOKENS else templates
     joined = p.join(templates, "host", "left").select("page_id", "url", "html", "template")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

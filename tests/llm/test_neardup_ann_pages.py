@@ -122,7 +122,9 @@ def naive(page):
     return "\n".join(b for b in blocks if b)
 
 
-def test_pages_give_their_articles(spark):
+@pytest.mark.parametrize("bound", [pages.BROADCAST_TOKENS, 0])
+def test_pages_give_their_articles(spark, monkeypatch, bound):
+    monkeypatch.setattr(pages, "BROADCAST_TOKENS", bound)
     p = table(spark, SF001, "pages")
     want = {r["page_id"]: naive(r["html"]) for r in p.collect()}
     got = pages.extract(p.withColumn("host", F.lit("h")).withColumn("template", F.lit("t"))).collect()
