@@ -56,7 +56,7 @@ BUFFER_TOKENS = 64 * SIZE
 #: Shortest power-of-two window tried inside a stream (shorter ones only occur
 #: at the end of a partition).
 LEAST_POWER = 256
-MEMO_ENTRIES, MEMO_BYTES = 1_000_000, 24_000_000
+MEMO_ENTRIES, MEMO_BYTES = 400_000, 12_000_000
 
 # The pre-token pattern and the word-end mark of the word tokenizer.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
