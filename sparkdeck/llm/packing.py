@@ -261,6 +261,13 @@ class Stream:
         return out
 
 
+def _frame(pieces: list[tuple]) -> pd.DataFrame:
+    """Pieces as columns; ids as whole numbers even beside missing ones."""
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    ids, *rest = zip(*pieces, strict=True)
+    return pd.DataFrame({names[0]: pd.array(ids, dtype="Int64"), **dict(zip(names[1:], rest, strict=True))})
+
+
 def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = END_ID,
          buffer_tokens: int = BUFFER_TOKENS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
@@ -275,7 +282,6 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = E
         ends_sentence = np.zeros(max(*last, enc.library.get_vocab_size()) + 1, dtype=bool)
         ends_sentence[list(last)] = True
         stream = Stream(size, TaskContext.get().partitionId() << 33, ends_sentence)
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             ids, texts = batch["doc_id"].tolist(), [t or "" for t in batch["text"]]
@@ -286,9 +292,9 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = E
                     if stream.held >= buffer_tokens:
                         out += stream.pack(False)
                 if out:
-                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                    yield _frame(out)
         if out := stream.pack(True):
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            yield _frame(out)
 
     # the id travels as text: exact for every long, and a null stays one
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
