@@ -4,8 +4,9 @@ The patterns find *assign* (a credential name, a sign, a value), *access* (key
 ids) and *hex* (long hexadecimal runs), leftmost and without overlap per kind.
 The method adds *markov*: a run of key characters is a secret when a character
 Markov model of random strings explains it better than one of ordinary
-identifiers, by a log-likelihood ratio over ``MIN_RATIO``, and it overlaps no
-pattern's span.
+identifiers, by a log-likelihood ratio over ``MIN_RATIO``.  Of a run that
+overlaps spans of the patterns, the pieces outside them are scored, each on its
+own and whatever its length.
 
 Both models are first-order over folded characters and are trained with Spark
 aggregations from labelled samples (``token``, ``is_random``); ``corpus_samples``
@@ -144,6 +145,23 @@ def _tagged(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end")))
 
 
+def outside(s: Column, base: Column) -> Column:
+    """The pieces of a span that no span of ``base`` (ordered by start) covers."""
+    def piece(start: Column, end: Column) -> Column:
+        txt = F.substring(s["txt"], start - s["start"] + 1, end - start)
+        return F.array(F.struct(start.alias("start"), end.alias("end"), txt.alias("txt"))).cast(SPAN)
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"),
+                        F.when(acc["at"] < b["start"], F.concat(acc["out"], piece(acc["at"], b["start"]))).otherwise(acc["out"]).alias("out"))
+
+    over = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    zero = F.struct(s["start"].alias("at"), F.array().cast(SPAN).alias("out"))
+    rest = F.aggregate(over, zero, step, lambda acc: F.when(
+        acc["at"] < s["end"], F.concat(acc["out"], piece(acc["at"], s["end"]))).otherwise(acc["out"]))
+    return F.when(F.size(over) > 0, rest).otherwise(F.array(s).cast(SPAN))
+
+
 def with_spans(docs: DataFrame, model: list[float], out: str = "found", min_ratio: float = MIN_RATIO) -> DataFrame:
     """Adds ``out``: a struct of ``base`` and ``all``, arrays of (start, rank,
     end) ordered by start and kind."""
@@ -152,9 +170,9 @@ def with_spans(docs: DataFrame, model: list[float], out: str = "found", min_rati
     spans = base_spans(t)
     base = F.concat(*[_tagged(spans[k], k) for k in KINDS[:3]])
     d = d.withColumn(out, F.struct(t.alias("t"), F.array_sort(base).alias("base")))
-    tokens = F.filter(find_spans(t, TOKEN), lambda s: ratio(s["txt"], model) >= min_ratio)
     base = F.col(f"{out}.base")
-    extra = F.filter(tokens, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    pieces = F.flatten(F.transform(find_spans(t, TOKEN), lambda s: outside(s, base)))
+    extra = F.filter(pieces, lambda s: ratio(s["txt"], model) >= min_ratio)
     return d.withColumn(out, F.struct(base.alias("base"), F.array_sort(F.concat(base, _tagged(extra, "markov"))).alias("all")))
 
 
