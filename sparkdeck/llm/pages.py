@@ -20,8 +20,8 @@ their mean places and its span nests with those of the classes taken before
 classes, nested, are the template; the text between neighbouring template tags
 is a slot, and text that belongs to the template itself is dropped.
 
-*Extraction.*  Of the slots, those in the article (``article`` or ``main``;
-where there are several, the one with the most text) stay, without menus,
+*Extraction.*  Of the slots, those in the article (``article`` or ``main``, with
+all such elements inside it; of several apart, the one with the most text) stay, without menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments inside it (by tag and class name); on a page without such an
 element, the slot with the most text outside those, slots of a fifth of it or
@@ -168,7 +168,7 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run]]:
             _, boilerplate, article, path = stack[-1] if stack else ("", False, 0, "")
         words, shown, main = names_of(m.group(4)) if m.group(4) else (set(), "", False)
         if tag in ARTICLE or main:
-            if not boilerplate:
+            if not boilerplate and not article:  # one inside another is part of it
                 articles += 1
                 article = articles
         elif tag not in ("html", "body"):

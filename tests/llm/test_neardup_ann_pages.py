@@ -165,3 +165,10 @@ def test_template_text_is_dropped_where_a_host_repeats_it(spark):
     for i in range(8):
         assert got[i] == f"{heads[i]}\n{arts[i]}"
     assert all(arts[0] in got[100 + i] for i in range(20))
+
+
+def test_nested_articles_are_one():
+    assert pages.main_text("<main><h1>Title</h1><p>intro</p><article><p>" + "word " * 30 + "</p></article><article><p>end</article></main>",
+                           None) == "Title\nintro\n" + ("word " * 30).strip() + "\nend"
+    assert pages.main_text("<article><p>outer text</p><article><p>a longer inner text</p></article><p>rest</p></article><p>no",
+                           None) == "outer text\na longer inner text\nrest"
