@@ -23,7 +23,8 @@ is a slot, and text that belongs to the template itself is dropped.
 *Extraction.*  Of the slots, those in the article (``article`` or ``main``, with
 all such elements inside it; of several apart, the one with the most text) stay, without menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments inside it (by tag and class name); on a page without such an
+reader comments inside it (by tag and class name; a name drops nothing that
+encloses the article or most of its text); on a page without such an
 element, the slot with the most text outside those, slots of a fifth of it or
 more and the headings just before them, but for blocks that are mostly links.  A host without enough pages
 for a template has its containers as slots.
@@ -83,6 +84,10 @@ BOILERPLATE_NAMES = set(
     "notice notices notification alert sidebar menu menubar nav navbar navigation breadcrumb breadcrumbs footer masthead "
     "disqus respond replies reply share sharing social related recommended subscribe subscription newsletter signup login "
     "popup modal overlay widget toolbar pagination pager skip".split())
+# Of these and of names that start with "comment", readers' words,
+# which may be longer than the article.
+READER_NAMES = {"disqus", "respond", "replies", "reply"}
+EDITORS_NAMES = {"commentary", "commentaries", "commentator", "commentators"}
 
 
 def names_of(attributes: str) -> tuple[set[str], str, bool]:
@@ -101,11 +106,69 @@ def names_of(attributes: str) -> tuple[set[str], str, bool]:
 class Run:
     """A text run: its token, block, state and text."""
 
-    __slots__ = ("place", "token", "block", "boilerplate", "article", "link", "text", "heading")
+    __slots__ = ("place", "token", "block", "boilerplate", "article", "link", "text", "heading", "mark")
 
-    def __init__(self, place, token, block, boilerplate, article, link, text, heading=False):
+    def __init__(self, place, token, block, boilerplate, article, link, text, heading=False, mark=0):
         self.place, self.token, self.block, self.boilerplate = place, token, block, boilerplate
-        self.article, self.link, self.text, self.heading = article, link, text, heading
+        self.article, self.link, self.text, self.heading, self.mark = article, link, text, heading, mark
+
+
+class Marks:
+    """Containers whose names are of boilerplate, numbered from 1 in page
+    order: the one around each, its article, whether its names are of readers'
+    words.  And of each article, the container around it and whether it is a main."""
+
+    def __init__(self):
+        self.around, self.article, self.readers = [0], [0], [False]
+        self.of_article: dict[int, tuple[int, bool]] = {}
+
+    def add(self, around: int, article: int, readers: bool) -> int:
+        self.around.append(around)
+        self.article.append(article)
+        self.readers.append(readers or self.readers[around])
+        return len(self.around) - 1
+
+    def chosen(self, good: list[Run]) -> tuple[list[Run], int]:
+        """The runs that no name drops, and their article (0: the page has none).
+
+        A name never drops what encloses the page's article, nor most of the
+        text of the article (of the page without one).  The page's article is
+        the one with the most text; in a named container only a main, or, where
+        no article is outside one, an article longer than all text outside.  A
+        container of readers' words is spared for most of the text only on a
+        page that has nothing else."""
+        if not good:
+            return [], 0
+        n = len(self.around)
+        held, total, scope = [0] * n, 0, {}
+        for r in good:
+            held[r.mark] += len(r.text)
+            total += len(r.text)
+            scope[r.article] = scope.get(r.article, 0) + len(r.text)
+        for m in range(n - 1, 0, -1):
+            held[self.around[m]] += held[m]
+        free = sum(len(r.text) for r in good if not r.mark and not r.article)
+        for lenient in (False, True):
+            drops = [False] * n
+            for m in range(1, n):
+                whole = scope.get(self.article[m], 0) if self.article[m] else total
+                most = 2 * held[m] > whole and (lenient or not self.readers[m])
+                above = drops[self.around[m]] and self.article[self.around[m]] == self.article[m]
+                drops[m] = above or not most
+            inside = [r for r in good if r.article and not (self.article[r.mark] and drops[r.mark])]
+            mass: dict[int, int] = {}
+            for r in inside:
+                mass[r.article] = mass.get(r.article, 0) + len(r.text)
+            of = {a: self.of_article[a] for a in mass}
+            beside = any(not mark for mark, _ in of.values())
+            mass = {a: x for a, x in mass.items() if not of[a][0] or of[a][1] or (not beside and x > free)}
+            if mass:
+                best = max(mass, key=lambda a: (mass[a], -a))
+                return [r for r in inside if r.article == best], best
+            left = [r for r in good if not drops[r.mark]]
+            if left:
+                return left, 0
+        return [], 0
 
 
 def _number(role: str) -> int:
@@ -115,11 +178,13 @@ def _number(role: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run]]:
-    """(place, token) of the tags, and the text runs, of a whole page."""
+def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks]:
+    """(place, token) of the tags, the text runs and the named containers of a
+    whole page."""
     tags: list[tuple[int, int]] = []
     runs: list[Run] = []
-    stack: list[tuple[str, bool, int, str]] = []  # tag, boilerplate, article, path
+    marks = Marks()
+    stack: list[tuple[str, bool, int, str, int]] = []  # tag, boilerplate, article, path, mark
     at = place = block = articles = links = 0
     page = page or ""
 
@@ -131,11 +196,11 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run]]:
             return
         if "&" in piece:
             piece = htmllib.unescape(piece)
-        _, boilerplate, article, path = stack[-1] if stack else ("", False, 0, "")
+        _, boilerplate, article, path, mark = stack[-1] if stack else ("", False, 0, "", 0)
         place += 1
         token = _number(f"{path}|{' '.join(piece.split())}")
         heading = bool(stack) and stack[-1][0] in HEADINGS
-        runs.append(Run(place, token, block, boilerplate, article, links > 0, piece, heading))
+        runs.append(Run(place, token, block, boilerplate, article, links > 0, piece, heading, mark))
 
     for m in TOKEN.finditer(page):
         text(page[at:m.start()])
@@ -152,7 +217,7 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run]]:
             continue
         block += 1
         links = 0
-        _, boilerplate, article, path = stack[-1] if stack else ("", False, 0, "")
+        _, boilerplate, article, path, mark = stack[-1] if stack else ("", False, 0, "", 0)
         if m.group(2):  # an end tag closes its element and what is open in it
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
@@ -165,23 +230,27 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run]]:
         closes = CLOSED_BY_NEXT.get(tag)
         if closes and stack and stack[-1][0] in closes:
             stack.pop()
-            _, boilerplate, article, path = stack[-1] if stack else ("", False, 0, "")
+            _, boilerplate, article, path, mark = stack[-1] if stack else ("", False, 0, "", 0)
         words, shown, main = names_of(m.group(4)) if m.group(4) else (set(), "", False)
         if tag in ARTICLE or main:
             if not boilerplate and not article:  # one inside another is part of it
                 articles += 1
                 article = articles
+                marks.of_article[article] = mark, tag == "main" or main
         elif tag not in ("html", "body"):
-            boilerplate |= (tag in BOILERPLATE or tag in HEAD or (tag == "header" and not article)
-                            or bool(words & BOILERPLATE_NAMES) or any(w.startswith("comment") for w in words)
-                            or ("header" in words and not article))
+            boilerplate |= tag in BOILERPLATE or tag in HEAD or (tag == "header" and not article)
+            readers = bool(words & READER_NAMES) or any(w.startswith("comment") for w in words)
+            named = readers or words & BOILERPLATE_NAMES or ("header" in words and not article)
+            readers &= not words & EDITORS_NAMES
+            if not boilerplate and named:
+                mark = marks.add(mark, article, readers)
         place += 1
         path = f"{path}/{tag}.{shown}"
         tags.append((place, _number(path)))
         if tag not in VOID and not m.group(4).rstrip().endswith("/"):
-            stack.append((tag, boilerplate, article, path))
+            stack.append((tag, boilerplate, article, path, mark))
     text(page[at:])
-    return tags, runs
+    return tags, runs, marks
 
 
 def template_places(tags: list[tuple[int, int]], runs: list[Run], classes: list[list[int]]) -> tuple[list[int], set[int]]:
@@ -217,7 +286,7 @@ def _nested(a: list[int], b: list[int]) -> bool:
 
 def main_text(page: str | None, classes: list[list[int]] | None) -> str:
     """The article of a page, given its host's classes (None: no template)."""
-    tags, runs = parse(page)
+    tags, runs, names = parse(page)
     if not any(r.token for r in runs):
         return ""
     if classes:
@@ -232,14 +301,11 @@ def main_text(page: str | None, classes: list[list[int]] | None) -> str:
             k += 1
         slots[r.place] = k
     good = [r for r in runs if r.token and not r.boilerplate and r.token not in dropped]
-    mass: dict[int, int] = {}
-    for r in good:
-        if r.article:
-            mass[r.article] = mass.get(r.article, 0) + len(r.text)
-    if mass:
-        best = max(mass, key=lambda a: (mass[a], -a))
-        chosen = {r.place for r in good if r.article == best}
+    good, article = names.chosen(good)
+    if article:
+        chosen = {r.place for r in good}
     else:
+        mass: dict[int, int] = {}
         linked: dict[int, list[int]] = {}
         for r in good:
             n = linked.setdefault(r.block, [0, 0])
@@ -277,7 +343,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for host, page in zip(b["host"], b["html"], strict=True):
-                tags, runs = parse(page)
+                tags, runs, _ = parse(page)
                 times: dict[int, int] = {}
                 first: dict[int, int] = {}
                 for place, t in [*tags, *((r.place, r.token) for r in runs if r.token)]:

@@ -172,3 +172,25 @@ def test_nested_articles_are_one():
                            None) == "Title\nintro\n" + ("word " * 30).strip() + "\nend"
     assert pages.main_text("<article><p>outer text</p><article><p>a longer inner text</p></article><p>rest</p></article><p>no",
                            None) == "outer text\na longer inner text\nrest"
+
+
+LONG = ("word " * 40).strip()
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    (f"<div class='content has-sidebar'><article><p>{LONG}</p><div class=share>no</div></article><div class=sidebar>no</div></div>", LONG),
+    (f"<div class=no-sidebar><main><p>short</p></main></div><div>{LONG}</div>", "short"),
+    (f"<div class='page-widget commentary'><article><p>{LONG}</article></div><footer>no", LONG),
+    (f"<article><div class='alert'><p>{LONG}</p><div class=share>no</div></div></article>", LONG),
+    (f"<div id=skip><p>{LONG}</p><ul class=menu><li>no</ul></div><nav>no</nav>", LONG),
+    (f"<div class=comments-open><div><p>{LONG}</p></div></div>", LONG),
+    # beside the article, names still drop
+    (f"<article><p>story</p></article><div class=related><article>{LONG}</article></div>", "story"),
+    (f"<div><p>{LONG}</p></div><div id=comments><article>no</article><article>no, no</article></div>", LONG),
+    (f"<div class=commentary><p>{LONG}</p></div><nav>no</nav>", LONG),
+    (f"<div class=comments-open><article><p>{LONG}</p></article></div><p>no</p>", LONG),
+    (f"<article><p>story</p><div class=comments>{LONG}</div></article>", "story"),
+    (f"<div><p>{LONG}</p></div><div class=related><article>teaser</article><article>teaser</article></div>", LONG),
+])
+def test_names_do_not_drop_what_encloses_the_article(page, want):
+    assert pages.main_text(page, None) == want
