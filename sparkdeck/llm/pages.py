@@ -26,8 +26,10 @@ headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments inside it (by tag and class name; a name drops nothing that
 encloses the article or most of its text); on a page without such an
 element, the slot with the most text outside those, slots of a fifth of it or
-more and the headings just before them, but for blocks that are mostly links.  A host without enough pages
-for a template has its containers as slots.
+more, the headings just before them and every other block, however short, of
+the containers that hold most of such a slot, but for blocks that are mostly
+links.  A host without enough pages for a template has its containers as slots:
+what is around a block, be it a paragraph, a list or a quote.
 
 The templates (a few dozen numbers a host) are written, then join the pages by
 host: sent to the tasks up to ``BROADCAST_TOKENS``, beyond that by a shuffle
@@ -41,6 +43,7 @@ rows each get a row; no text is capped.
 
 from __future__ import annotations
 
+import bisect
 import html as htmllib
 import re
 from collections.abc import Iterator
@@ -74,6 +77,9 @@ INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i i
 SPACED = {"br", "td", "th", "img", "input"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HEAD = {"head", "title"}
+#: Elements that are blocks of the container around them.
+FLOW = set("p li ul ol dl dt dd blockquote pre figure figcaption table caption thead tbody tfoot tr section h1 h2 h3 h4 h5 h6 "
+           "header hgroup address center details summary".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE = {"article", "main"}
 BOILERPLATE = set("nav aside footer form dialog menu fieldset".split())
@@ -106,11 +112,11 @@ def names_of(attributes: str) -> tuple[set[str], str, bool]:
 class Run:
     """A text run: its token, block, state and text."""
 
-    __slots__ = ("place", "token", "block", "boilerplate", "article", "link", "text", "heading", "mark")
+    __slots__ = ("place", "token", "block", "boilerplate", "article", "link", "text", "heading", "mark", "node")
 
-    def __init__(self, place, token, block, boilerplate, article, link, text, heading=False, mark=0):
+    def __init__(self, place, token, block, boilerplate, article, link, text, heading=False, mark=0, node=0):
         self.place, self.token, self.block, self.boilerplate = place, token, block, boilerplate
-        self.article, self.link, self.text, self.heading, self.mark = article, link, text, heading, mark
+        self.article, self.link, self.text, self.heading, self.mark, self.node = article, link, text, heading, mark, node
 
 
 class Marks:
@@ -178,13 +184,44 @@ def _number(role: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks]:
-    """(place, token) of the tags, the text runs and the named containers of a
-    whole page."""
+class Tree:
+    """Elements of a page, numbered from 1 in page order: the one around each,
+    whether it is a block of it, and whether it has elements inside."""
+
+    def __init__(self):
+        self.around, self.flow, self.inner = [0], [False], [False]
+
+    def add(self, around: int, flow: bool) -> int:
+        self.around.append(around)
+        self.flow.append(flow)
+        self.inner.append(False)
+        self.inner[around] = True
+        return len(self.around) - 1
+
+    def container(self, node: int) -> int:
+        """The container of text right in an element: the nearest element that
+        is no block, from the one around it if it has no elements inside."""
+        if not self.inner[node]:
+            node = self.around[node]
+        while self.flow[node]:
+            node = self.around[node]
+        return node
+
+    def within(self, containers: set[int]) -> list[bool]:
+        """Of each element, whether it is one of the containers or in one."""
+        out = [0 in containers]
+        for i in range(1, len(self.around)):
+            out.append(i in containers or out[self.around[i]])
+        return out
+
+
+def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks, Tree]:
+    """(place, token) of the tags, the text runs, the named containers and the
+    elements of a whole page."""
     tags: list[tuple[int, int]] = []
     runs: list[Run] = []
-    marks = Marks()
-    stack: list[tuple[str, bool, int, str, int]] = []  # tag, boilerplate, article, path, mark
+    marks, tree = Marks(), Tree()
+    stack: list[tuple[str, bool, int, str, int, int]] = []  # tag, boilerplate, article, path, mark, node
     at = place = block = articles = links = 0
     page = page or ""
 
@@ -196,11 +233,11 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks]:
             return
         if "&" in piece:
             piece = htmllib.unescape(piece)
-        _, boilerplate, article, path, mark = stack[-1] if stack else ("", False, 0, "", 0)
+        _, boilerplate, article, path, mark, node = stack[-1] if stack else ("", False, 0, "", 0, 0)
         place += 1
         token = _number(f"{path}|{' '.join(piece.split())}")
         heading = bool(stack) and stack[-1][0] in HEADINGS
-        runs.append(Run(place, token, block, boilerplate, article, links > 0, piece, heading, mark))
+        runs.append(Run(place, token, block, boilerplate, article, links > 0, piece, heading, mark, node))
 
     for m in TOKEN.finditer(page):
         text(page[at:m.start()])
@@ -217,7 +254,7 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks]:
             continue
         block += 1
         links = 0
-        _, boilerplate, article, path, mark = stack[-1] if stack else ("", False, 0, "", 0)
+        _, boilerplate, article, path, mark, node = stack[-1] if stack else ("", False, 0, "", 0, 0)
         if m.group(2):  # an end tag closes its element and what is open in it
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
@@ -230,7 +267,7 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks]:
         closes = CLOSED_BY_NEXT.get(tag)
         if closes and stack and stack[-1][0] in closes:
             stack.pop()
-            _, boilerplate, article, path, mark = stack[-1] if stack else ("", False, 0, "", 0)
+            _, boilerplate, article, path, mark, node = stack[-1] if stack else ("", False, 0, "", 0, 0)
         words, shown, main = names_of(m.group(4)) if m.group(4) else (set(), "", False)
         if tag in ARTICLE or main:
             if not boilerplate and not article:  # one inside another is part of it
@@ -248,9 +285,9 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks]:
         path = f"{path}/{tag}.{shown}"
         tags.append((place, _number(path)))
         if tag not in VOID and not m.group(4).rstrip().endswith("/"):
-            stack.append((tag, boilerplate, article, path, mark))
+            stack.append((tag, boilerplate, article, path, mark, tree.add(node, tag in FLOW)))
     text(page[at:])
-    return tags, runs, marks
+    return tags, runs, marks, tree
 
 
 def template_places(tags: list[tuple[int, int]], runs: list[Run], classes: list[list[int]]) -> tuple[list[int], set[int]]:
@@ -286,18 +323,17 @@ def _nested(a: list[int], b: list[int]) -> bool:
 
 def main_text(page: str | None, classes: list[list[int]] | None) -> str:
     """The article of a page, given its host's classes (None: no template)."""
-    tags, runs, names = parse(page)
+    tags, runs, names, tree = parse(page)
     if not any(r.token for r in runs):
         return ""
     if classes:
         marks, dropped = template_places(tags, runs, classes)
     else:
         marks, dropped = [], set()
-    edges = marks or [place for place, _ in tags]
     slots: dict[int, int] = {}
     k = 0
     for r in runs:
-        while k < len(edges) and edges[k] < r.place:
+        while k < len(marks) and marks[k] < r.place:
             k += 1
         slots[r.place] = k
     good = [r for r in runs if r.token and not r.boilerplate and r.token not in dropped]
@@ -311,13 +347,29 @@ def main_text(page: str | None, classes: list[list[int]] | None) -> str:
             n = linked.setdefault(r.block, [0, 0])
             n[r.link] += len(r.text)
         good = [r for r in good if linked[r.block][1] <= linked[r.block][0]]
+        places = {r.place: tree.container(r.node) for r in good}
+        if not marks:
+            slots = places
+        held: dict[int, dict[int, int]] = {}
         for r in good:
-            mass[slots[r.place]] = mass.get(slots[r.place], 0) + len(r.text)
+            slot = slots[r.place]
+            mass[slot] = mass.get(slot, 0) + len(r.text)
+            each = held.setdefault(slot, {})
+            each[places[r.place]] = each.get(places[r.place], 0) + len(r.text)
         most = max(mass.values(), default=0)
-        kept = [k for k, n in mass.items() if n >= SLOT_SHARE * most]
+        kept = {k for k, n in mass.items() if n >= SLOT_SHARE * most}
+        # nothing of a container that holds most of a slot is too short to stay
+        whole = tree.within({max(each, key=lambda c: (each[c], -c)) for k, each in held.items() if k in kept})
+        chosen = {r.place for r in good if slots[r.place] in kept or whole[r.node]}
         # a heading goes with the text that follows it
-        chosen = {r.place for r in good if slots[r.place] in kept
-                  or (r.heading and any(0 < k - slots[r.place] <= HEADING_GAP for k in kept))}
+        tag_places = marks or [place for place, _ in tags]
+        edge = {r.place: bisect.bisect_left(tag_places, r.place) for r in good}
+        starts = sorted({edge[r.place] for r in good if r.place in chosen})
+        for r in good:
+            if r.heading and r.place not in chosen:
+                i = bisect.bisect_right(starts, edge[r.place])
+                if i < len(starts) and starts[i] - edge[r.place] <= HEADING_GAP:
+                    chosen.add(r.place)
     blocks: dict[int, list[str]] = {}
     for r in runs:
         if r.token and r.place in chosen:
@@ -343,7 +395,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for host, page in zip(b["host"], b["html"], strict=True):
-                tags, runs, _ = parse(page)
+                tags, runs, _, _ = parse(page)
                 times: dict[int, int] = {}
                 first: dict[int, int] = {}
                 for place, t in [*tags, *((r.place, r.token) for r in runs if r.token)]:

@@ -194,3 +194,25 @@ LONG = ("word " * 40).strip()
 ])
 def test_names_do_not_drop_what_encloses_the_article(page, want):
     assert pages.main_text(page, None) == want
+
+
+SHORT_BLOCKS = "<p>A paragraph of some sixty characters, much shorter than others.</p><ul><li>one</li><li>two</li></ul><blockquote>said</blockquote>"
+SHORT_LINES = "A paragraph of some sixty characters, much shorter than others.\none\ntwo\nsaid"
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div id=top>Home</div><div><div id=content><h1>T</h1><p>{0}</p>{1}</div></div></body>",
+    "<body><div id=top>Home</div><div><div id=content><section><h2>T</h2><p>{0}</p></section><section>{1}</section></div></div></body>",
+    "<body><div id=top>Home</div><div><div class=para>T</div><div class=para>{0}</div>{1}</div></body>",
+])
+def test_short_blocks_of_the_container_stay(spark, page):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(130)) for _ in range(8)]
+    assert pages.main_text(page.format(texts[0], SHORT_BLOCKS), None) == f"T\n{texts[0]}\n{SHORT_LINES}"
+    # with a template: all tags stand once a page, the short texts differ
+    rows = [(i, "https://h.example/", page.format(t, SHORT_BLOCKS.replace("<p>A", f"<p>A{i}").replace("one", f"one{i}")
+             .replace("two", f"two{i}").replace("said", f"said{i}")).replace("T<", f"T{i}<")) for i, t in enumerate(texts)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == f"T{i}\n{t}\n" + SHORT_LINES.replace("A p", f"A{i} p").replace("one", f"one{i}").replace(
+            "two", f"two{i}").replace("said", f"said{i}")
