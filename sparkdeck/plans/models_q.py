@@ -275,3 +275,15 @@ def q_grid_search_cv(spark, d):
     n_best = found.results.where("is_best").count()
     return found.results.select(*FULL_GRID, F.round(F.col("cv_rmse") / y).alias("cv_error"), F.lit(n_best).alias("n_best"),
                                 F.lit(met["n"]).alias("n_test"), F.lit(float(round(met["rmse"] / z))).alias("test_error"))
+
+
+# ------------------------------------------------------------ whole figures --
+# The keys above return what their SQL states.  These return the figures
+# themselves, which no SQL states; ``tests/`` hold them against normal
+# equations, other fits and each other.
+
+@query("model_compare_figures")
+def q_model_compare_figures(spark, d):
+    """Four models on all features."""
+    train, test = _split(spark, d)
+    return tuning.model_compare(train, test, _features(spark, d), "label")

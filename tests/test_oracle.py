@@ -7,6 +7,7 @@ import math
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry_mod
@@ -90,3 +91,19 @@ def test_model_compare_picks_one_best(spark):
     cmp = tuning.model_compare(train, test, ["l_quantity"], "label").collect()
     best = [r for r in cmp if r.is_best]
     assert len(best) == 1 and best[0].rmse == min(r.rmse for r in cmp)
+
+
+def test_model_compare_figures_use_all_features(spark):
+    rows = QUERIES["model_compare_figures"](spark, SF0001).collect()
+    assert [r.model for r in rows] == ["linear", "decision_tree", "random_forest", "gbt"]
+    best = [r for r in rows if r.is_best]
+    assert len(best) == 1 and best[0].rmse == min(r.rmse for r in rows)
+    # the linear row by the normal equations of every feature
+    cols = models_q._features(spark, SF0001)
+    assert len(cols) == 3
+    (x, y), (u, v) = ((np.array([[1.0, *(float(r[c]) for c in cols)] for r in got]), np.array([float(r["label"]) for r in got]))
+                      for got in (df.collect() for df in models_q._split(spark, SF0001)))
+    error = v - u @ np.linalg.solve(x.T @ x, x.T @ y)
+    assert math.isclose(rows[0].rmse, math.sqrt((error ** 2).mean()), rel_tol=1e-9)
+    assert math.isclose(rows[0].r2, 1 - (error ** 2).mean() / v.var(), rel_tol=1e-6, abs_tol=1e-9)
+    assert all(r.n_test == len(v) and math.isclose(r.r2, 1 - r.rmse ** 2 / v.var(), abs_tol=1e-9) for r in rows)
