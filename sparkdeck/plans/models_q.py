@@ -287,3 +287,78 @@ def q_model_compare_figures(spark, d):
     """Four models on all features."""
     train, test = _split(spark, d)
     return tuning.model_compare(train, test, _features(spark, d), "label")
+
+
+def _fit_figures(spark, d, kind):
+    train, test = _split(spark, d)
+    m = models.fit_regressor(train, _features(spark, d), "label", kind, seed=42)
+    return evaluate.regression_metrics(models.predict(m, test), "label", "prediction").select(
+        F.lit(kind).alias("model"), F.col("n").alias("n_test"), "rmse", "r2", "mae")
+
+
+@query("fit_decision_tree_figures")
+def q_fit_decision_tree_figures(spark, d):
+    return _fit_figures(spark, d, "decision_tree")
+
+
+@query("fit_random_forest_figures")
+def q_fit_random_forest_figures(spark, d):
+    return _fit_figures(spark, d, "random_forest")
+
+
+@query("fit_gbt_figures")
+def q_fit_gbt_figures(spark, d):
+    return _fit_figures(spark, d, "gbt")
+
+
+def _with_test_accuracy(terms, m, test):
+    """Terms of a model, with its accuracy on the test rows."""
+    a = evaluate.accuracy(models.predict(m, test), "label", "prediction").first()
+    return terms.withColumns({"n_test": F.lit(a["n"]).cast("long"), "accuracy": F.lit(a["accuracy"]).cast("double")})
+
+
+@query("fit_logistic_figures")
+def q_fit_logistic_figures(spark, d):
+    """Coefficients (of the scaled features) and test accuracy."""
+    train, test = _doc_split(spark, d)
+    m = models.fit_logistic(train, DOC_FEATURES, "label", scale=True, **LOGISTIC)
+    return _with_test_accuracy(models.logistic_terms(spark, m, DOC_FEATURES), m, test)
+
+
+@query("fit_multinomial_figures")
+def q_fit_multinomial_figures(spark, d):
+    """Coefficients per label and test accuracy."""
+    e = B.embedding_table(spark, d).select("vec_id", array_to_vector("embedding").alias("embedding"),
+                                          F.col("label").cast("double").alias("label"))
+    train, test = tuning.with_split(e, ["vec_id"], 0.7, 42)
+    m = models.fit_logistic(train, ["embedding"], "label", family="multinomial", maxIter=100)
+    lr = m.stages[-1]
+    rows = [(float(k), term, float(v)) for k, (b, w) in enumerate(zip(lr.interceptVector, lr.coefficientMatrix.toArray(), strict=True))
+            for term, v in [("intercept", b), *((f"embedding_{i}", x) for i, x in enumerate(w))]]
+    return _with_test_accuracy(spark.createDataFrame(rows, "label double, term string, value double"), m, test)
+
+
+@query("evaluate_logistic_figures")
+def q_evaluate_logistic_figures(spark, d):
+    """The confusion matrix on test rows, accuracy and AUC."""
+    figures, matrix = classifier_evaluation(spark, d)
+    return matrix.withColumns({"accuracy": F.lit(figures["accuracy"]), "auc": F.lit(figures["auc"])})
+
+
+@query("score_new_rows_figures")
+def q_score_new_rows_figures(spark, d):
+    """Probability and prediction of every row without a label."""
+    m = models.fit_logistic(B.labelled_documents(spark, d), DOC_FEATURES, "label", scale=True)
+    unlabelled = B.document_features(spark, d).join(B.table(spark, d, "labels").select("doc_id"), "doc_id",
+                                                    "left_anti")
+    return models.positive_probability(models.predict(m, unlabelled)).select("doc_id", "p1", "prediction")
+
+
+@query("grid_search_cv_figures")
+def q_grid_search_cv_figures(spark, d):
+    """The error of every map, the best one, and the refit's figures on test rows."""
+    train, test = _split(spark, d)
+    found = tuning.grid_search_cv(train, _features(spark, d), "label", REG_KEY, FULL_GRID, folds=3, seed=42)
+    met = found.evaluate(test, "label").first()
+    best = {f"test_{c}": F.when(F.col("is_best"), F.lit(met[c]).cast("double")) for c in ("rmse", "r2", "mae")}
+    return found.results.withColumns({"n_test": F.lit(met["n"]).cast("long"), **best})

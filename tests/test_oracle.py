@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
 from sparkdeck.operators import evaluate, models, tuning
@@ -107,3 +108,55 @@ def test_model_compare_figures_use_all_features(spark):
     assert math.isclose(rows[0].rmse, math.sqrt((error ** 2).mean()), rel_tol=1e-9)
     assert math.isclose(rows[0].r2, 1 - (error ** 2).mean() / v.var(), rel_tol=1e-6, abs_tol=1e-9)
     assert all(r.n_test == len(v) and math.isclose(r.r2, 1 - r.rmse ** 2 / v.var(), abs_tol=1e-9) for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["decision_tree", "random_forest", "gbt"])
+def test_tree_figures_are_the_errors(spark, kind):
+    (r,) = QUERIES[f"fit_{kind}_figures"](spark, SF0001).collect()
+    train, test = models_q._split(spark, SF0001)
+    m = models.fit_regressor(train, models_q._features(spark, SF0001), "label", kind, seed=42)
+    y, p = (np.array(x) for x in zip(*((float(x["label"]), x["prediction"]) for x in models.predict(m, test).collect()), strict=True))
+    assert (r.model, r.n_test) == (kind, len(y))
+    assert math.isclose(r.rmse, math.sqrt(((y - p) ** 2).mean()), rel_tol=1e-9) and math.isclose(r.mae, abs(y - p).mean(), rel_tol=1e-9)
+    assert math.isclose(r.r2, 1 - ((y - p) ** 2).mean() / y.var(), abs_tol=1e-9)
+
+
+def test_logistic_figures_are_a_model_and_its_matrix(spark):
+    fit = QUERIES["fit_logistic_figures"](spark, SF0001).collect()
+    assert [r.term for r in fit] == ["intercept", *models_q.DOC_FEATURES]
+    train, test = models_q._doc_split(spark, SF0001)
+    # the coefficients give the test accuracy shown
+    spread = train.agg(*[F.stddev_samp(c).alias(c) for c in models_q.DOC_FEATURES]).first()
+    rows = test.collect()
+    z = [fit[0].value + sum(t.value * float(r[t.term]) / spread[t.term] for t in fit[1:]) for r in rows]
+    right = sum((a > 0) == (r["label"] == 1) for a, r in zip(z, rows, strict=True))
+    assert fit[0].n_test == len(rows) and math.isclose(fit[0].accuracy, right / len(rows))
+    m = QUERIES["evaluate_logistic_figures"](spark, SF0001).collect()
+    cells = {(int(r["label"]), k): r[f"pred_{k}"] for r in m for k in (0, 1)}
+    assert sum(cells.values()) == len(rows) and 0 <= m[0].auc <= 1
+    assert math.isclose(m[0].accuracy, sum(n for (a, b), n in cells.items() if a == b) / len(rows))
+
+
+def test_multinomial_figures_are_coefficients(spark):
+    rows = QUERIES["fit_multinomial_figures"](spark, SF0001).collect()
+    labels = {r.label for r in rows}
+    size = len(rows) // len(labels)
+    assert size > 2 and all(sum(r.label == k for r in rows) == size for k in labels)
+    assert len({r.value for r in rows}) > size and 0 <= rows[0].accuracy <= 1 and rows[0].n_test > 0
+
+
+def test_new_rows_get_probabilities(spark):
+    rows = QUERIES["score_new_rows_figures"](spark, SF0001).collect()
+    assert rows and len({r.p1 for r in rows}) > 1
+    assert all(0 < r.p1 < 1 and r.prediction == float(r.p1 > 0.5) for r in rows)
+
+
+def test_grid_figures_show_the_best_map(spark):
+    rows = QUERIES["grid_search_cv_figures"](spark, SF0001).collect()
+    assert len(rows) == 18 and len({r.cv_rmse for r in rows}) > 1
+    (best,) = [r for r in rows if r.is_best]
+    assert best.cv_rmse == min(r.cv_rmse for r in rows)
+    train, test = models_q._split(spark, SF0001)
+    y = np.array([float(r["label"]) for r in test.collect()])
+    assert best.n_test == len(y) and math.isclose(best.test_r2, 1 - best.test_rmse ** 2 / y.var(), abs_tol=1e-9)
+    assert all((r.test_rmse is None) == (not r.is_best) for r in rows)
