@@ -5,8 +5,9 @@ logit is ``w0 + sum w_i + sum_{i<j} <v_i, v_j>`` over the terms present: the
 factors ``v`` let two terms (an insult and the mention of a group, say) count
 for more together than their weights do alone, in time linear in the terms.
 
-Training reads labels of rows not held out, at most ``train_rows`` of them by
-order of a hash of the id (a documented bound); Spark tasks turn their texts into
+Training reads labels of rows not held out, at most ``train_rows`` ids and as
+many rows, by order of a hash of the id and, within, of the text (a documented
+bound); equal rows of an id count once; Spark tasks turn their texts into
 terms and one task fits the weights by AdaGrad on minibatches.  Terms in fewer than
 ``MIN_ROWS`` training texts, or independent of the label by a chi-square test,
 get no weight.  The model (a few hundred thousand
@@ -137,8 +138,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", trai
            .groupBy("__id").agg(F.max("__label").alias("__label"))
            .orderBy(F.xxhash64("__id"), "__id").limit(train_rows))
     # at most `train_rows` ids and labels: bounded, so they go to every task
-    return (docs.select("doc_id", "text").join(F.broadcast(one), F.col("doc_id") == F.col("__id"))
-            .select(F.coalesce("text", F.lit("")).alias("text"), F.col("__label").cast("int").alias("label")))
+    rows = (docs.select("doc_id", "text").join(F.broadcast(one), F.col("doc_id") == F.col("__id"))
+            .select("__id", F.coalesce("text", F.lit("")).alias("text"), F.col("__label").cast("int").alias("label"))
+            .withColumn("__digest", F.sha2("text", 256)))
+    # an id with many texts does not make more rows than the bound
+    keys = (rows.select("__id", "__digest").distinct()
+            .orderBy(F.xxhash64("__id", "__digest"), "__id", "__digest").limit(train_rows))
+    kept = rows.join(F.broadcast(keys), ["__id", "__digest"], "left_semi")
+    return kept.dropDuplicates(["__id", "__digest"]).select("text", "label")
 
 
 def train(rows: DataFrame) -> Machine:

@@ -53,6 +53,16 @@ def test_training_never_sees_held_out_rows(spark):
     assert toxicity.training_rows(marked, labels, train_rows=10).count() == 10
 
 
+def test_training_rows_are_bounded_whatever_the_ids(spark):
+    labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    ids = labels.where(~held_out(F.col("doc_id"))).orderBy("doc_id").limit(20).select("doc_id")
+    hot = ids.limit(1).crossJoin(spark.range(500)).select("doc_id", F.concat(F.lit("text "), F.col("id") % 100).alias("text"))
+    docs = ids.select("doc_id", F.lit("plain").alias("text")).unionAll(hot)
+    rows = toxicity.training_rows(docs, labels)
+    assert rows.count() == 120 and rows.where("text = 'plain'").count() == 20  # repeats count once
+    assert toxicity.training_rows(docs, labels, train_rows=50).count() <= 50
+
+
 def test_pairs_count_for_more_than_their_terms():
     rng = np.random.default_rng(0)
     fill = [f"w{i}" for i in range(30)]
