@@ -12,8 +12,9 @@ permutations (the sum of the pivots' rank differences), and reranks the best
 Every row is indexed in exactly one block; the stated query set meets every
 block, in blocks of ``BLOCK_QUERIES`` queries, and each meeting returns k rows a
 query, so the merge shuffles k rows for each query and block.  Neither a
-block nor a file is ever gathered beyond its bound: blocks are dealt by a hash
-of the id, whatever the vectors look like.
+block nor a file is ever gathered beyond its bound: exact repeats of a row are
+dropped and blocks are dealt by a hash of id and vector, however often an id
+occurs and whatever the vectors look like.
 
 Defined results: vectors that are null, zero or hold a null or a non-finite
 component, and rows without an id, take no part; vectors meet only those of
@@ -143,10 +144,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
             out = F.when(F.col("dim") == d, F.lit(b[i])).otherwise(out)
         return out
 
-    h = F.xxhash64("vec_id")
-    index = (v.withColumn("ib", F.pmod(h, per_dim(0)).cast("int"))
+    index = (v.dropDuplicates(["vec_id", "v"]).withColumn("ib", F.pmod(F.xxhash64("vec_id", "v"), per_dim(0)).cast("int"))
              .withColumn("qb", F.explode(F.sequence(F.lit(0), per_dim(1) - 1))))
-    queries = (v.where(is_query).withColumn("qb", F.pmod(F.xxhash64("vec_id", F.lit(1)), per_dim(1)).cast("int"))
+    queries = (v.where(is_query).dropDuplicates(["vec_id", "v"])
+               .withColumn("qb", F.pmod(F.xxhash64("vec_id", "v", F.lit(1)), per_dim(1)).cast("int"))
                .withColumn("ib", F.explode(F.sequence(F.lit(0), per_dim(0) - 1))))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

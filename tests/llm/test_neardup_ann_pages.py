@@ -116,6 +116,23 @@ def test_nearest_neighbours_of_odd_vectors(spark):
     assert ann.search(v.limit(0), F.col("vec_id") % 50 == 0).isEmpty()
 
 
+def test_blocks_stay_bounded_when_an_id_repeats(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(7, x.tolist()) for x in rng.normal(size=(300, 8))] + [(9, [1.0] * 8)] * 300
+    rows += [(100 + i, x.tolist()) for i, x in enumerate(rng.normal(size=(300, 8)))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sizes = spark.sparkContext.accumulator(0)
+    class Small(ann.Block):
+        def __init__(self, ids, *rest):
+            assert len(ids) <= 120, len(ids)
+            sizes.add(1)
+            super().__init__(ids, *rest)
+
+    monkeypatch.setattr(ann, "Block", Small)
+    got = ann.search(vectors, F.col("vec_id") % 50 == 0, block_rows=90).collect()
+    assert sizes.value == 10 and len({(r["query_id"], r["vec_id"]) for r in got}) == len(got) == 6 * 5
+
+
 def naive(page):
     body = re.search(r"<article>(.*?)(</article>|\Z)", page, re.S).group(1)
     blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", body)]
