@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdeck.llm import ann, decontaminate, langid, licenses, neardup, packing, pages, secret_scan, tokens, toxicity
+from sparkdeck.llm import (ann, decontaminate, langid, lexical, licenses, neardup, packing, pages, resample, secret_scan, tokens,
+                           toxicity)
 from sparkdeck.llm.common import table
 
 
@@ -60,6 +61,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -71,9 +80,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
     "op2_benchmark_decontamination": decontaminate.CONTAMINATION_SQL,
     "op7_license_scan": licenses.scan_sql(),
+    "op11_importance_resampling": resample.RESAMPLE_SQL,
+    "op13_lexical_search": lexical.SEARCH_SQL,
 }

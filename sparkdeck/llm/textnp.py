@@ -121,3 +121,14 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.n
     first = np.arange(total) == offsets[:-1][text]
     keep = (left >= k) | (first & (left < k))
     return acc[keep], text[keep]
+
+
+#: Byte table: A-Z to a-z, separators to a blank, every other byte to itself.
+_WORD_OR_BLANK = bytes(int(_LOWER[b]) if _WORD[_LOWER[b]] else 32 for b in range(256))
+
+
+def split_words(text: str | None) -> Iterator[list[bytes]]:
+    """The words of a text in order, as lists for pieces of about ``PIECE``
+    bytes (UTF-8, A-Z in lower case); a null text has none."""
+    for piece in _pieces((text or "").encode("utf-8", "surrogatepass")):
+        yield piece.translate(_WORD_OR_BLANK).split()
