@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdeck.llm import (ann, decontaminate, langid, lexical, licenses, neardup, packing, pages, resample, secret_scan, tokens,
-                           toxicity)
+from sparkdeck.llm import (ann, decontaminate, embedding_dedup, langid, lexical, licenses, neardup, packing, pages, resample,
+                           secret_scan, tokens, toxicity)
 from sparkdeck.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.classes(table(spark, sf_dir, "embeddings"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
     "op13_lexical_search": op13_lexical_search,
 }
 
