@@ -57,11 +57,11 @@ from sparkdeck.llm.neardup import components
 THRESHOLD = 0.95
 #: Most rows of a leaf compared at once (beyond: in blocks of that size).
 LEAF_ROWS = 2_048
-#: Cost of a row's copy in one more leaf, in comparisons (it is shuffled).
-COPY_COST = 512
+#: Cost of a row's copy in one more leaf or block, in comparisons (it is shuffled).
+COPY_COST = 2_048
 SAMPLE = 16_384
 #: Chance that a pair of exactly the threshold is never in one leaf.
-MISS = 1e-4
+MISS = 1e-5
 #: Sampled vectors below which a node's sample serves all levels under it.
 LEAST_SAMPLE = 16
 #: Vectors looked at for hot groups, and members there that make a centre.
@@ -95,7 +95,10 @@ class Forest:
             return 1 if lost == 0 else max(1, math.ceil(math.log(miss) / math.log(lost)))
 
         def cost(d: int) -> float:
-            return trees(d) * grows ** d * (rows * (grows / 2) ** d + COPY_COST)
+            leaf = rows * (grows / 2) ** d
+            # a leaf beyond LEAF_ROWS costs a copy for every block; half of that
+            # leaves room for uneven leaves
+            return trees(d) * grows ** d * (leaf + COPY_COST * max(1.0, 2 * leaf / LEAF_ROWS))
 
         self.depth = min(range(40), key=cost) if depth is None else depth
         self.trees = trees(self.depth)
@@ -396,8 +399,8 @@ def in_leaves(vectors: DataFrame, forests: dict[int, Forest]) -> DataFrame:
                 part = b.iloc[at]
                 row, leaf = forests[int(dim)].leaves(_unit(np.stack(part["v"].to_numpy()).astype(np.float64)))
                 order = np.lexsort((leaf, row))
-                ends = np.searchsorted(row[order], np.arange(len(part) + 1))
-                yield part.assign(leaves=[leaf[order][x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)])
+                ends = np.searchsorted(row[order], np.arange(len(part) + 1))  # every row has a leaf
+                yield part.assign(leaves=np.split(leaf[order], ends[1:-1]))
 
     v = vectors.select("dim", "least", "key", "w", "v")
     return v.mapInPandas(run, StructType([*v.schema.fields, StructField("leaves", ArrayType(LongType()))]))
