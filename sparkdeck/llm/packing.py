@@ -21,9 +21,11 @@ sequence ids combine the partition number and a counter.
 
 Token ids are exactly the library's.  White space parts the pre-tokens of the
 word tokenizer, so the ids of a chunk between blanks do not depend on its
-neighbours; they are kept in a bounded memo per worker.  This holds for texts
-of printable ASCII, common white space and Latin letters with one-character
-lower case; any other text goes through the library whole.
+neighbours, and are those of its pre-tokens.  A worker keeps pre-tokens, and
+chunks made of known ones, in a bounded memo; when it is full, the half not used
+lately goes.  The library sees only pre-tokens that it does not hold.  This holds
+for texts of printable ASCII, common white space and Latin letters with
+one-character lower case; any other text goes through the library whole.
 
 Defined results: a null or empty text is the end id alone; every row is packed,
 repeated ones too; an empty table gives no piece.
@@ -35,6 +37,7 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -53,10 +56,12 @@ HARD_STEP = 24
 #: or inside a sentence.
 DOCUMENT_PENALTY, SENTENCE_PENALTY, HARD_PENALTY = 0, 1, 8
 BUFFER_TOKENS = 64 * SIZE
-#: Shortest power-of-two window tried inside a stream (shorter ones only occur
-#: at the end of a partition).
-LEAST_POWER = 256
-MEMO_ENTRIES, MEMO_BYTES = 400_000, 12_000_000
+#: Entries of one half of the memo; longer strings are not kept.
+MEMO_ENTRIES, KEPT_CHARACTERS = 400_000, 48
+#: Characters of texts looked up at once: their words stay in the CPU's caches.
+GROUP_CHARACTERS = 1 << 15
+#: Unseen pre-tokens given to the library at once.
+CALL_PRETOKENS = 2_000
 
 # The pre-token pattern and the word-end mark of the word tokenizer.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -94,8 +99,9 @@ class ChunkEncoder:
         ends = [i for token, i in self.library.get_vocab().items() if token.endswith(WORD_END)]
         self.is_end = np.zeros(max(ends, default=0) + 2, dtype=bool)
         self.is_end[ends] = True
-        self.memo: dict[str, bytes] = {}  # chunk: its ids, little-endian
-        self.held = 0
+        # ids (little-endian) by string: what is used moves to the young half
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.blank_parts = self._blank_parts()
 
     def _blank_parts(self) -> bool:
@@ -109,19 +115,56 @@ class ChunkEncoder:
     def _encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of unseen chunks, many in one call: every pre-token ends in one
-        word-end id, so the ids fall apart by the chunks' pre-token counts."""
-        ids = np.array(self._encode(" ".join(chunks)), dtype="<u4")
-        words = np.concatenate([[0], np.flatnonzero(self.is_end[np.minimum(ids, len(self.is_end) - 1)]) + 1])
-        # letters alone are one pre-token
-        upto = np.cumsum([0] + [1 if c.isalpha() else len(PRETOKEN.findall(c)) for c in chunks])
-        if upto[-1] != len(words) - 1 or words[-1] != len(ids):
-            raise ValueError("the tokenizer does not end every pre-token with a word-end id")
-        places = (4 * words[upto]).tolist()
-        raw = ids.tobytes()
-        self.memo.update(zip(chunks, (raw[x:y] for x, y in zip(places[:-1], places[1:], strict=True)), strict=True))
-        self.held += len(raw)
+    def _merge(self, pretokens: list[str]) -> dict[str, bytes]:
+        """Ids of unseen pre-tokens, many in one call: each ends in one word-end
+        id, where the ids fall apart."""
+        out: dict[str, bytes] = {}
+        for at in range(0, len(pretokens), CALL_PRETOKENS):
+            some = pretokens[at:at + CALL_PRETOKENS]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(self.is_end[np.minimum(ids, len(self.is_end) - 1)]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                raise ValueError("the tokenizer does not end every pre-token with a word-end id")
+            raw, places = ids.tobytes(), [0, *(4 * ends).tolist()]
+            out.update(zip(some, [raw[x:y] for x, y in pairwise(places)], strict=True))
+        return out
+
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that the young half does not hold."""
+        young, old, known = self.young, self.old, {}
+        new: dict[str, None] = {}
+        made: list[tuple[str, list[str]]] = []
+        for c in chunks:
+            if (ids := old.get(c)) is not None:
+                known[c] = young[c] = ids
+            elif c.isalpha():  # letters alone are one pre-token
+                new[c] = None
+            else:
+                made.append((c, PRETOKEN.findall(c)))
+        often = []  # chunks made of what was known before
+        for c, parts in made:
+            unseen = False
+            for p in parts:
+                if p not in young and p not in known:
+                    if (ids := old.get(p)) is not None:
+                        known[p] = ids
+                    else:
+                        new[p] = None
+                        unseen = True
+            if not unseen and len(c) <= KEPT_CHARACTERS:
+                often.append(c)
+        if new:
+            merged = self._merge(list(new))
+            known.update(merged)
+            long = [p for p in merged if len(p) > KEPT_CHARACTERS]
+            young.update(merged)
+            for p in long:
+                del young[p]
+        for c, parts in made:
+            known[c] = b"".join([known.get(p) or young[p] for p in parts])
+        for c in often:
+            young[c] = known[c]
+        return known
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -137,13 +180,17 @@ class ChunkEncoder:
                 else np.concatenate([self._of_chunks([p.split()])[0] for p in pieces(t)]) for t in out]
 
     def _of_chunks(self, chunks: list[list[str]]) -> list[np.ndarray]:
-        if len(self.memo) > MEMO_ENTRIES or self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
-        new = set().union(*chunks).difference(self.memo)
-        if new:
-            self._learn(list(new))
-        return [np.frombuffer(b"".join(map(self.memo.__getitem__, c)), dtype="<u4") for c in chunks]
+        if len(self.young) > MEMO_ENTRIES:
+            self.old, self.young = self.young, {}
+        held = self.young.get
+        found = [list(map(held, c)) for c in chunks]
+        unseen = {w for c, ids in zip(chunks, found, strict=True) if None in ids
+                  for w, x in zip(c, ids, strict=True) if x is None}
+        if unseen:
+            learnt = self._learn(unseen)
+            found = [[learnt[w] if x is None else x for w, x in zip(c, ids, strict=True)] if None in ids else ids
+                     for c, ids in zip(chunks, found, strict=True)]
+        return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in found]
 
 
 def encoder(tokenizer: str) -> ChunkEncoder:
@@ -170,28 +217,39 @@ def cut_places(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray)
     return at, penalty
 
 
-def best_windows(at: list[int], penalty: list[int], size: int = SIZE, least_power: int = LEAST_POWER) -> list[int]:
+def best_windows(at: list[int], penalty: list[int], size: int = SIZE) -> list[int]:
     """Ends of the cheapest windows from 0 to the last position of ``at``
     (increasing, gaps of at most ``size``)."""
-    powers = [1 << k for k in range(size.bit_length()) if least_power <= (1 << k) < size]
-    place = {0: 0}
-    pos, best, back = [0], [0], [0]
+    pos = [0, *at]
+    # windows of a power of two: (end, start) of those that lie between two cuts
+    places = np.array(pos, dtype=np.int64)
+    ends, starts = [], []
+    for w in (1 << k for k in range(size.bit_length()) if (1 << k) < size):
+        i = np.searchsorted(places, places - w)
+        k = np.flatnonzero((places >= w) & (places[i] == places - w))
+        ends.append(k)
+        starts.append(i[k])
+    ends, starts = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(ends, kind="stable")
+    starts = starts[order].tolist()
+    until = np.searchsorted(ends[order], np.arange(len(pos) + 1), side="right").tolist()
+    best, back = [0], [0]
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (best + position, index), both increasing
+    done = until[0]
     for k, (p, extra) in enumerate(zip(at, penalty, strict=True), 1):
         low = p - size
         while pos[queue[0][1]] < low:
             queue.popleft()
         value, source = queue[0]
         value += size - p
-        for w in powers:
-            i = place.get(p - w)
-            if i is not None and best[i] < value:
-                value, source = best[i], i
+        if until[k] > done:
+            for i in starts[done:until[k]]:
+                if best[i] < value:
+                    value, source = best[i], i
+            done = until[k]
         value += extra
-        pos.append(p)
         best.append(value)
         back.append(source)
-        place[p] = k
         key = value + p
         while queue and queue[-1][0] >= key:
             queue.pop()
@@ -285,7 +343,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = E
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             ids, texts = batch["doc_id"].tolist(), [t or "" for t in batch["text"]]
-            for x, y in groups(texts):
+            for x, y in groups(texts, GROUP_CHARACTERS):
                 out: list[tuple] = []
                 for doc_id, found in zip(ids[x:y], enc.encode_all(texts[x:y]), strict=True):
                     stream.add(None if doc_id is None else int(doc_id), np.append(found, end))

@@ -111,7 +111,7 @@ def test_windows_are_optimal(seed):
         p += rng.randrange(1, 9)
         at.append(p)
         penalty[p] = rng.choice([0, 1, 3])
-    got = packing.best_windows(at, [penalty[x] for x in at], size, least_power=1)
+    got = packing.best_windows(at, [penalty[x] for x in at], size)
 
     def all_ways(start, k):
         if k == len(at):
@@ -138,3 +138,17 @@ def test_long_texts_in_pieces_give_the_same(monkeypatch):
     monkeypatch.setattr(packing, "PIECE_CHARACTERS", 37)
     assert c.count(text) == whole[0]
     assert [x.tolist() for x in e.encode_all([plain, "short one", "", plain])] == [whole[1], whole[2], [], whole[1]]
+
+
+def test_ids_are_the_librarys_when_memos_are_tiny(monkeypatch):
+    """Every chunk is dropped and learnt again, or recalled from the old half."""
+    tokenizer = open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8").read()
+    monkeypatch.setattr(packing, "MEMO_ENTRIES", 3)
+    monkeypatch.setattr(packing, "CALL_PRETOKENS", 4)
+    e = packing.ChunkEncoder(tokenizer)
+    texts = ["one, two (three) it's one. two", "", "Three two's 42 " + "x" * 200 + " one", "ciónllaras über-one two... three!"] * 3
+    for t in texts * 2:
+        (ids,) = e.encode_all([t])
+        assert ids.tolist() == e.library.encode(t, add_special_tokens=False).ids
+    assert all("x" * 200 not in half for half in (e.young, e.old))
+    assert [x.tolist() for x in e.encode_all(texts)] == [e.library.encode(t, add_special_tokens=False).ids for t in texts]
