@@ -57,7 +57,7 @@ HARD_STEP = 24
 DOCUMENT_PENALTY, SENTENCE_PENALTY, HARD_PENALTY = 0, 1, 8
 BUFFER_TOKENS = 64 * SIZE
 #: Entries of one half of the memo; longer strings are not kept.
-MEMO_ENTRIES, KEPT_CHARACTERS = 400_000, 48
+MEMO_ENTRIES, KEPT_CHARACTERS = 600_000, 48
 #: Characters of texts looked up at once: their words stay in the CPU's caches.
 GROUP_CHARACTERS = 1 << 15
 #: Unseen pre-tokens given to the library at once.
@@ -88,6 +88,17 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def _places(values: list) -> list[int]:
+    """Where a list holds None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class ChunkEncoder:
     """Ids of whole texts with one tokenizer (one per worker process)."""
 
@@ -184,12 +195,12 @@ class ChunkEncoder:
             self.old, self.young = self.young, {}
         held = self.young.get
         found = [list(map(held, c)) for c in chunks]
-        unseen = {w for c, ids in zip(chunks, found, strict=True) if None in ids
-                  for w, x in zip(c, ids, strict=True) if x is None}
-        if unseen:
+        holes = [_places(ids) for ids in found]
+        if unseen := {c[i] for c, at in zip(chunks, holes, strict=True) for i in at}:
             learnt = self._learn(unseen)
-            found = [[learnt[w] if x is None else x for w, x in zip(c, ids, strict=True)] if None in ids else ids
-                     for c, ids in zip(chunks, found, strict=True)]
+            for c, ids, at in zip(chunks, found, holes, strict=True):
+                for i in at:
+                    ids[i] = learnt[c[i]]
         return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in found]
 
 
