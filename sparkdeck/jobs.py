@@ -174,12 +174,10 @@ def model_compare(spark: SparkSession, a) -> None:
 
 
 def grid_search(spark: SparkSession, a) -> None:
-    from sparkdeck.plans.models_q import FULL_GRID
-
     df = _table(spark, a)
     feats = relational.feature_columns(df, a.label)
     train, test = tuning.with_split(df, feats + [a.label], 0.7, a.seed)
-    found = tuning.grid_search_cv(train, feats, a.label, feats + [a.label], FULL_GRID, folds=a.folds, seed=a.seed)
+    found = tuning.grid_search_cv(train, feats, a.label, feats + [a.label], tuning.FULL_GRID, folds=a.folds, seed=a.seed)
     met = found.evaluate(test, a.label).select(F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2"))
     scored = found.results.join(met.withColumn("is_best", F.lit(True)), "is_best", "left")
     write_csv(scored.select(*found.results.columns, "test_rmse", "test_r2"), a.output, mode=_mode(a))

@@ -4,7 +4,7 @@ Estimators take ``fit_df`` (rows the statistics are learnt from) and
 ``apply_df`` (rows transformed); the scripts fitted on all rows, which is
 ``fit_df = apply_df``.  Fitting is a distributed aggregate (MLlib's
 Summarizer / value counts / quantile passes); only bounded results reach
-the driver: label lists of a categorical column, a handful of scalars.
+the driver: label lists of a categorical column of few values, a handful of scalars.
 Transforms are narrow projections.
 """
 
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from sparkdeck.functions import numeric as N
 from sparkdeck.functions.encode import map_lookup
 from sparkdeck.operators.profile import quantile_values
+from sparkdeck.operators.ranking import row_numbers
 from sparkdeck.operators.relational import columns_by_type
 
 
@@ -52,17 +53,58 @@ def impute_mean(fit_df: DataFrame, apply_df: DataFrame, cols: Sequence[str],
     return model.transform(as_double(apply_df))
 
 
+#: Labels of a column that a model on the driver may hold; a column with more
+#: is indexed by a distributed ranking.
+LABELS_HELD = 50_000
+
+
+def label_index(df: DataFrame, col: str, label: str = "label", index: str = "index") -> DataFrame:
+    """(label, index) of every value of a column as text: the most frequent is
+    0.0, ties by value.  Counted, sorted and numbered without the driver
+    (``row_numbers``): any number of labels."""
+    counts = df.select(F.col(col).cast("string").alias(label)).where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    return row_numbers(counts, [F.desc("_n"), F.asc(label)], "_row").select(label, (F.col("_row") - 1).cast("double").alias(index))
+
+
+def _index_by_join(fit_df: DataFrame, apply_df: DataFrame, col: str, out: str, handle_invalid: str) -> DataFrame:
+    """The index as a join with the labels (Spark broadcasts them if they are
+    few, and splits a hot value of the rows otherwise)."""
+    index = label_index(fit_df, col, "_label", out)
+    joined = apply_df.join(index, F.col(col).cast("string") == F.col("_label"), "inner" if handle_invalid == "skip" else "left")
+    if handle_invalid == "keep":
+        missing = F.lit(float(index.count()))
+    elif handle_invalid == "error":
+        missing = F.raise_error(F.concat(F.lit(f"no index in {col} for "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))).cast("double")
+    else:
+        missing = F.lit(None).cast("double")
+    return joined.select(*[F.col(f"`{c}`") for c in apply_df.columns], F.coalesce(F.col(out), missing).alias(out))
+
+
 def string_index(fit_df: DataFrame, apply_df: DataFrame, cols: Sequence[str], suffix: str = "_idx",
-                 handle_invalid: str = "keep") -> DataFrame:
-    """One multi-column StringIndexer: most frequent value -> 0, ties by
-    value; with 'keep', NULL and unseen values -> index n.  Value counts are
-    a distributed aggregate, but the label list of each column is held by
-    the driver and shipped with the model: meant for categorical columns
-    (bounded cardinality), not for identifiers."""
+                 handle_invalid: str = "keep", labels_held: int = LABELS_HELD) -> DataFrame:
+    """Most frequent value -> 0, ties by value; with 'keep', NULL and
+    unseen values -> index n.  Columns of up to about ``labels_held`` values
+    (by a distinct-count sketch) go through one multi-column StringIndexer, a
+    narrow projection; columns of more values are joined with ``label_index``,
+    so that no list of labels reaches the driver."""
     cols = list(cols)
-    si = StringIndexer(inputCols=cols, outputCols=[c + suffix for c in cols], handleInvalid=handle_invalid,
-                       stringOrderType="frequencyDesc")
-    return si.fit(fit_df).transform(apply_df)
+    many = _with_many_labels(fit_df, cols, labels_held)
+    few = [c for c in cols if c not in many]
+    out = apply_df
+    if few:
+        si = StringIndexer(inputCols=few, outputCols=[c + suffix for c in few], handleInvalid=handle_invalid,
+                           stringOrderType="frequencyDesc")
+        out = si.fit(fit_df).transform(out)
+    for c in many:
+        out = _index_by_join(fit_df, out, c, c + suffix, handle_invalid)
+    return out.select(*[F.col(f"`{c}`") for c in apply_df.columns], *[c + suffix for c in cols]) if many else out
+
+
+def _with_many_labels(df: DataFrame, cols: Sequence[str], held: int) -> list[str]:
+    if not held:
+        return list(cols)
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    return [c for i, c in enumerate(cols) if sizes[f"n{i}"] > held]
 
 
 def one_hot_encode(fit_df: DataFrame, apply_df: DataFrame, idx_cols: Sequence[str], suffix: str = "_vec",
@@ -97,10 +139,14 @@ def ordinal_encode_udf(df: DataFrame, col: str, fn: Callable[[object], int], out
     return df.withColumn(out or f"{col}_ord", _apply(F.col(col)))
 
 
-def label_encode(fit_df: DataFrame, apply_df: DataFrame, col: str, out: str = "label") -> DataFrame:
+def label_encode(fit_df: DataFrame, apply_df: DataFrame, col: str, out: str = "label",
+                 labels_held: int = LABELS_HELD) -> DataFrame:
     """Target -> class index; rows with a NULL target are dropped first
-    (they would otherwise form an extra class)."""
+    (they would otherwise form an extra class).  Targets of many values as in
+    ``string_index``."""
     keep = lambda df: df.filter(F.col(col).isNotNull())
+    if _with_many_labels(fit_df, [col], labels_held):
+        return _index_by_join(keep(fit_df), keep(apply_df), col, out, "error")
     si = StringIndexer(inputCol=col, outputCol=out, stringOrderType="frequencyDesc")
     return si.fit(keep(fit_df)).transform(keep(apply_df))
 

@@ -30,3 +30,20 @@ def matvec(matrix: DataFrame, vector: DataFrame, order_col: str | None = None) -
     j = matrix.select("row", "col", F.col("value").cast("double").alias("_m")).join(v, "col", "left")
     prod = F.col("_m") * F.coalesce(F.col("_v"), F.lit(0.0))
     return j.groupBy("row").agg(F.sum(prod).alias("value"))
+
+
+def matvec_blocks(matrix: DataFrame, vector: DataFrame, row_blocks: int = 8, order_col: str | None = None) -> DataFrame:
+    """y = M v where the vector is too large to broadcast and a column may hold
+    a large share of the entries.
+
+    The matrix is cut in two dimensions: an entry belongs to its column and to
+    one of ``row_blocks`` blocks of rows, and the join is on both, so a column's
+    entries meet its vector entry in ``row_blocks`` places.  The vector travels
+    once to each block of rows.  Each task adds up its partial rows before they
+    are combined by row."""
+    v = dedupe_build_side(vector.select("col", "value", *([order_col] if order_col else [])), "col", "value", order_col)
+    v = v.select("col", F.col("value").alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("_block"))
+    m = matrix.select("row", "col", F.col("value").cast("double").alias("_m"),
+                      F.pmod(F.xxhash64("row"), F.lit(row_blocks)).cast("int").alias("_block"))
+    prod = F.col("_m") * F.coalesce(F.col("_v"), F.lit(0.0))
+    return m.join(v.hint("merge"), ["col", "_block"], "left").groupBy("row").agg(F.sum(prod).alias("value"))

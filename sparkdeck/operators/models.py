@@ -105,3 +105,40 @@ def positive_probability(df: DataFrame, prob_col: str = "probability") -> DataFr
     from pyspark.ml.functions import vector_to_array
 
     return df.withColumn("p1", vector_to_array(F.col(prob_col))[1])
+
+
+#: Layout of a saved model's folder.
+SAVED_VERSION = 1
+
+
+def save_model(model: PipelineModel, path: str, features: Sequence[str]) -> None:
+    """A fitted pipeline, with the columns it was fitted on in their
+    order, in a folder that other jobs can read."""
+    spark = SparkSession.active()
+    model.write().save(f"{path}/model")
+    spark.createDataFrame([(SAVED_VERSION, list(features))], "version int, features array<string>").write.json(f"{path}/columns")
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str]]:
+    """(fitted pipeline, its columns)."""
+    saved = spark.read.schema("version int, features array<string>").json(f"{path}/columns").first()
+    if saved["version"] != SAVED_VERSION:
+        raise ValueError(f"{path} holds a model of layout {saved['version']}, not {SAVED_VERSION}")
+    return PipelineModel.load(f"{path}/model"), list(saved["features"])
+
+
+def predict_saved(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Predictions of a saved model; an error names the columns that ``df`` lacks."""
+    model, features = load_model(spark, path)
+    if missing := [f for f in features if f not in df.columns]:
+        raise ValueError(f"the model needs {len(features)} columns ({', '.join(features)}); missing: {', '.join(missing)}")
+    return predict(model, df)
+
+
+def new_rows(spark: SparkSession, path: str, rows: Sequence[Sequence[float]]) -> DataFrame:
+    """Rows of plain values in the order of a saved model's columns."""
+    _, features = load_model(spark, path)
+    for r in rows:
+        if len(r) != len(features):
+            raise ValueError(f"the model needs {len(features)} values a row ({', '.join(features)}), not {len(r)}")
+    return spark.createDataFrame([tuple(map(float, r)) for r in rows], ", ".join(f"`{f}` double" for f in features))

@@ -9,7 +9,8 @@ projection with ``inline``.
 Quantiles: ``relative_error=0`` gives the exact order statistic by bounded
 passes (``exact_quantiles``); a positive error, as of ``approxQuantile``, uses
 ``percentile_approx`` (a mergeable sketch of about 1/error entries), meant for
-the coarse errors of the scripts (0.05, 0.01).
+the coarse errors of the scripts (0.05, 0.01).  Quantiles of groups that are too
+many for the driver come from a distributed ranking (``group_quantiles``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
+from sparkdeck.operators.ranking import running_totals
+from sparkdeck.session import cut_lineage
 
 
 def _q(c: str) -> Column:
@@ -153,6 +156,31 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return {(g_, cols[c], p): v for (g_, _, c, p), v in done.items()}
 
 
+#: Groups whose intervals the driver may hold; more are ranked without it.
+GROUPS_HELD = 1_000
+
+
+def group_quantiles(df: DataFrame, value: str, group: str, probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """Exact quantiles of any number of groups, of any size: (cells, quartiles).
+
+    ``cells`` has a row for each group and distinct value: _g, _x, _n rows.  The
+    cells are range-partitioned by group and value, and running totals give each
+    the ranks it covers; a group's first total and size give the wanted ranks.
+    ``quartiles`` has a row a group: _g, n, and q0, q1, ... for ``probs``.  No
+    group meets in one task, and nothing reaches the driver."""
+    x = F.col(value).cast("double")
+    clean = df.select(F.col(group).alias("_g"), (x + F.lit(0.0)).alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    cells = clean.groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_n"))
+    totals = cut_lineage(running_totals(cells, [F.asc_nulls_first("_g"), F.asc("_x")], "_n", "_upto"))
+    groups = totals.groupBy("_g").agg(F.sum("_n").alias("n"), F.min(F.col("_upto") - F.col("_n")).alias("_before"))
+    groups = groups.select(F.col("_g").alias("_k"), "n", "_before")
+    ranked = totals.join(groups, F.col("_g").eqNullSafe(F.col("_k")))
+    rank = [F.col("_before") + F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("n") - 1e-12)) for p in probs]
+    covers = [(F.col("_upto") - F.col("_n") < r) & (r <= F.col("_upto")) for r in rank]
+    found = ranked.groupBy("_g", "n").agg(*[F.max(F.when(c, F.col("_x"))).alias(f"q{i}") for i, c in enumerate(covers)])
+    return totals.select("_g", "_x", "_n"), found
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               relative_error: float = 0.01) -> DataFrame:
     """Quantiles of several columns: (column, prob, value).  NULL and NaN
@@ -191,15 +219,18 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, values: Sequenc
 
 
 def boxplot_stats(df: DataFrame, value: str, group: str | None = None,
-                  relative_error: float = 0.0, whisker: float = 1.5) -> DataFrame:
+                  relative_error: float = 0.0, whisker: float = 1.5, groups_held: int = GROUPS_HELD) -> DataFrame:
     """H12 (the box plot, as numbers): per group n, min, q1, median, q3, max,
     the fences ``q1 - w*IQR`` / ``q3 + w*IQR`` and the count of points
-    outside them.  The quartiles of the groups (categories) are found first;
-    one aggregation then counts against the fences, given to the tasks as one
-    row a group."""
+    outside them.  The quartiles of the groups are found first; one aggregation
+    then counts against the fences, given to the tasks as one row a group.  More
+    than ``groups_held`` groups (by a distinct-count sketch) go through
+    ``group_quantiles``, which holds nothing on the driver."""
     x = F.col(value).cast("double")
     clean = df.select((F.col(group) if group else F.lit("all")).alias("_g"), x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     probs = [0.25, 0.5, 0.75]
+    if relative_error == 0 and group and _many_groups(clean, groups_held):
+        return _boxplot_of_many(df, value, group, whisker)
     if relative_error == 0:
         found = exact_quantiles(clean, ["_x"], probs, "_g")
         keys = {k[0] for k in found}
@@ -216,3 +247,19 @@ def boxplot_stats(df: DataFrame, value: str, group: str | None = None,
     res = j.groupBy("_g", *fixed).agg(F.count("_x").alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"), out)
     shown = ["n", "min", "q1", "median", "q3", "max", "lower_fence", "upper_fence", "n_outliers"]
     return res.select(*([F.col("_g").alias(group)] if group else []), *shown)
+
+
+def _many_groups(clean: DataFrame, held: int) -> bool:
+    return clean.agg(F.approx_count_distinct("_g")).first()[0] > held
+
+
+def _boxplot_of_many(df: DataFrame, value: str, group: str, whisker: float) -> DataFrame:
+    cells, box = group_quantiles(df, value, group, [0.25, 0.5, 0.75])
+    iqr = F.col("q2") - F.col("q0")
+    box = box.select(F.col("_g").alias("_k"), "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"),
+                     (F.col("q0") - whisker * iqr).alias("lower_fence"), (F.col("q2") + whisker * iqr).alias("upper_fence"))
+    j = cells.join(box, F.col("_g").eqNullSafe(F.col("_k")))
+    out = (F.col("_x") < F.col("lower_fence")) | (F.col("_x") > F.col("upper_fence"))
+    fixed = ["n", "q1", "median", "q3", "lower_fence", "upper_fence"]
+    res = j.groupBy("_g", *fixed).agg(F.min("_x").alias("min"), F.max("_x").alias("max"), F.sum(F.when(out, F.col("_n")).otherwise(0)).alias("n_outliers"))
+    return res.select(F.col("_g").alias(group), "n", "min", "q1", "median", "q3", "max", "lower_fence", "upper_fence", "n_outliers")

@@ -24,11 +24,17 @@ from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
 
 
+#: The search's full grid.
+FULL_GRID = {"maxDepth": [3, 5, 7], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1]}
+
+
 def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                   kinds: Sequence[str] = ("linear", "decision_tree", "random_forest", "gbt"),
-                  seed: int = 42, scale: bool = True, parallelism: int = 4) -> DataFrame:
+                  seed: int = 42, scale: bool = True, parallelism: int = 4,
+                  params: Mapping[str, Mapping] | None = None) -> DataFrame:
     """Fit each regressor, score the test rows; one row per model with
-    RMSE, R2 and ``is_best`` (lowest RMSE, ties by model order).
+    RMSE, R2 and ``is_best`` (lowest RMSE, ties by model order).  ``params``:
+    parameters of an estimator by its name.
 
     Up to ``parallelism`` fits run at once as concurrent Spark jobs (each
     fit is itself distributed); both frames are persisted once for all."""
@@ -38,7 +44,7 @@ def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], la
 
     def fit_one(order_kind):
         order, kind = order_kind
-        model = model_stages(features, label, make_regressor(kind, seed), scale).fit(tr)
+        model = model_stages(features, label, make_regressor(kind, seed, **(params or {}).get(kind, {})), scale).fit(tr)
         m = regression_metrics(model.transform(te), label).collect()[0]  # one row per model
         return kind, order, m["rmse"], m["r2"], int(m["n"])  # NULL figures without test rows
 
@@ -69,17 +75,18 @@ class GridSearch:
 
 def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str],
                    grid: Mapping[str, Sequence], folds: int = 3, seed: int = 42, parallelism: int = 4,
-                   scale: bool = True) -> GridSearch:
+                   scale: bool = True, params: Mapping | None = None) -> GridSearch:
     """GBT pipeline (assemble -> scale -> GBT) over a parameter grid
     with k-fold CV on RMSE, then a refit of the best map on all training rows.
+    ``params`` are set in every fit.
 
     The first trees of a boosted model do not depend on how many follow, so
     maps that differ in ``maxIter`` alone share one fit per fold with the
     largest value; the errors of its prefixes (``evaluateEachIteration``) are
     those of the smaller values."""
-    names = list(grid)
+    names, fixed = list(grid), dict(params or {})
     maps = [dict(zip(names, v, strict=True)) for v in product(*grid.values())]
-    default = make_regressor("gbt", seed).getMaxIter()
+    default = make_regressor("gbt", seed, **fixed).getMaxIter()
     fits: dict[tuple, list[int]] = {}
     for i, m in enumerate(maps):
         fits.setdefault(tuple((n, v) for n, v in m.items() if n != "maxIter"), []).append(i)
@@ -88,9 +95,9 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_co
     sums = [0.0] * len(maps)
 
     def fold_errors(task):
-        (params, ids), fold = task
+        (varied, ids), fold = task
         longest = max(maps[i].get("maxIter", default) for i in ids)
-        pipe = model_stages(features, label, make_regressor("gbt", seed, maxIter=longest, **dict(params)), scale)
+        pipe = model_stages(features, label, make_regressor("gbt", seed, maxIter=longest, **{**fixed, **dict(varied)}), scale)
         fitted = pipe.fit(data.where(F.col("_fold") != fold))
         held = data.where(F.col("_fold") == fold)
         for stage in fitted.stages[:-1]:
@@ -104,7 +111,7 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_co
                 for i, rmse in errors:
                     sums[i] += rmse / folds
         best = min(range(len(maps)), key=lambda i: (sums[i], i))
-        model = model_stages(features, label, make_regressor("gbt", seed, **maps[best]), scale).fit(data)
+        model = model_stages(features, label, make_regressor("gbt", seed, **{**fixed, **maps[best]}), scale).fit(data)
     finally:
         data.unpersist()
     rows = [(*(float(m[n]) for n in names), sums[i], i == best) for i, m in enumerate(maps)]

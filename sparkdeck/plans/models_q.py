@@ -1,8 +1,11 @@
 """Registered model queries.
 
-Closed-form ones (linear / ridge fits, predictions, RMSE, R2, accuracy, AUC)
-equal their SQL; tree ensembles, logistic fits, comparison and CV are checked
-by identities that any such fit satisfies, and by property tests in ``tests/``.
+All but the random forest equal their SQL: closed forms (linear / ridge fits,
+predictions, metrics), an exact split search for trees and boosting
+(``treesql.boosting_sql``), Newton steps for the binary logistic fit
+(``treesql.newton_sql``), score equations for the multinomial one.  A forest's
+bootstrap draws from MLlib's own generator; it is held to an identity here and
+its figures are in ``fit_random_forest_figures``.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from sparkdeck.operators.relational import feature_columns
 from sparkdeck.plans import bindings as B
 from sparkdeck.plans import sqlparts as S
 from sparkdeck.plans.registry import query
+from sparkdeck.plans.treesql import boosting_sql, newton_sql
 
 DOC_FEATURES = ["n_chars", "n_lines", "n_words", "n_digits"]
 REG_KEY = ["order_id", "line_id"]
@@ -106,13 +110,12 @@ def q_auc_roc(spark, d):
     return a.select(F.round("auc", 6).alias("auc"), "n", "n_pos")
 
 
-# -------------------------------------------- fits checked by identities --
-# What a fitted model must satisfy whatever its parameters: a tree's (and a
-# boosted model's) mean prediction on its training rows is the label mean; a
-# forest's is it up to its bootstrap; a logistic fit's expected feature sums
-# equal the observed ones.  The error on test rows is shown in deviations of
-# the label, as a whole number (the generated price has no signal, so it is 1;
-# ``tests/`` check the errors themselves on data with one).
+# ----------------------------------------------------------- tree models --
+# With at least as many bins as a feature has values, MLlib's thresholds are
+# the midpoints between neighbouring values, so the split search can be stated.
+
+FEATURES = ["l_quantity", "l_discount", "l_tax"]
+TREE = {"maxBins": 64}
 
 def _features(spark, d) -> list[str]:
     """Every column of the regression table but the label and the key."""
@@ -136,9 +139,44 @@ def _fit_eval(spark, d, kind, unit=None, digits=2):
     return spark.createDataFrame([row], "model string, n_test long, train_mean double, test_error double")
 
 
-@query("fit_decision_tree", _FIT_SQL.format(kind="decision_tree", unit="1", digits=2))
+# Sums of training rows per combination of feature values; test rows are scored by theirs.
+_CELLS = f"""
+SELECT 0 AS fit, {{depth}} AS depth, {{step}}::DOUBLE AS step, {{rounds}} AS rounds, row_number() OVER () AS cell, {', '.join(FEATURES)}, n, y
+FROM (SELECT {', '.join(FEATURES)}, COUNT(*) FILTER (WHERE split = 'train')::DOUBLE AS n,
+             COALESCE(SUM(label) FILTER (WHERE split = 'train'), 0)::DOUBLE AS y
+      FROM ({_REG_SPLIT}) s GROUP BY {', '.join(FEATURES)}) c"""
+
+
+def _boosted(depth: int, step: float, rounds: int) -> str:
+    return boosting_sql(_CELLS.format(depth=depth, step=step, rounds=rounds), FEATURES)
+
+
+def _tree_figures(kind: str, depth: int, step: float, rounds: int) -> str:
+    """Leaves and test figures of the trees of ``_boosted``."""
+    return f"""
+WITH RECURSIVE {_boosted(depth, step, rounds)},
+done AS MATERIALIZED (SELECT * FROM boosted WHERE level = 0 AND tree > 0),
+t AS (SELECT label, p AS prediction FROM ({_REG_SPLIT}) s JOIN done USING ({', '.join(FEATURES)}) WHERE split = 'test' AND tree = {rounds})
+SELECT '{kind}' AS model, (SELECT COUNT(DISTINCT (tree, leaf)) FROM done WHERE n > 0) AS n_leaves, COUNT(*) AS n_test,
+       ROUND(sqrt(SUM((label - prediction) ^ 2) / COUNT(*)), 2) AS rmse,
+       ROUND(1 - SUM((label - prediction) ^ 2) / (var_pop(label) * COUNT(*)), 6) AS r2, ROUND(AVG(abs(label - prediction)), 2) AS mae
+FROM t"""
+
+
+def _fit_eval_trees(spark, d, kind, **params):
+    """Leaves of the fitted trees, and RMSE, R2 and MAE on test rows."""
+    train, test = _split(spark, d)
+    m = models.fit_regressor(train, FEATURES, "label", kind, seed=42, **TREE, **params)
+    fitted = m.stages[-1]
+    leaves = sum((t.numNodes + 1) // 2 for t in getattr(fitted, "trees", [fitted]))
+    met = evaluate.regression_metrics(models.predict(m, test), "label", "prediction")
+    return met.select(F.lit(kind).alias("model"), F.lit(leaves).cast("long").alias("n_leaves"), F.col("n").alias("n_test"),
+                      F.round("rmse", 2).alias("rmse"), F.round("r2", 6).alias("r2"), F.round("mae", 2).alias("mae"))
+
+
+@query("fit_decision_tree", _tree_figures("decision_tree", 5, 0.1, 1))
 def q_fit_decision_tree(spark, d):
-    return _fit_eval(spark, d, "decision_tree")
+    return _fit_eval_trees(spark, d, "decision_tree")
 
 
 _TRAIN_MEAN = "AVG(label) FILTER (WHERE split = 'train')"
@@ -149,16 +187,19 @@ def q_fit_random_forest(spark, d):
     return _fit_eval(spark, d, "random_forest", unit="label mean")
 
 
-@query("fit_gbt", _FIT_SQL.format(kind="gbt", unit="1", digits=2))
+@query("fit_gbt", _tree_figures("gbt", 5, 0.1, 20))
 def q_fit_gbt(spark, d):
-    return _fit_eval(spark, d, "gbt")
+    """K6: twenty rounds of depth 5."""
+    return _fit_eval_trees(spark, d, "gbt")
 
 
+# ------------------------------------------------------- logistic models --
+
 def _doc_split(spark, d):
     return tuning.with_split(B.labelled_documents(spark, d), ["doc_id"], 0.7, 42)
 
 
-# Enough steps for the identities to hold to the digits shown.
+# Enough steps for the coefficients to hold to the digits shown.
 LOGISTIC = {"maxIter": 500, "tol": 1e-12}
 
 _DOC_FEATURES_SQL = r"""
@@ -167,120 +208,181 @@ SELECT l.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS n_chars,
        CAST(len(string_split_regex(trim(d.text, ' '), '[ \t\n\x0B\f\r]+')) AS DOUBLE) AS n_words,
        CAST(length(regexp_replace(d.text, '[^0-9]', '', 'g')) AS DOUBLE) AS n_digits
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
-_LOGISTIC_SQL = f"""
-WITH s AS (SELECT *, {S.train_test('doc_id')} AS split FROM ({_DOC_FEATURES_SQL}) f)
-SELECT 'intercept' AS term, ROUND(SUM(label) / COUNT(*), 3) AS expected FROM s WHERE split = 'train'
-""" + "".join(f"""UNION ALL
-SELECT '{c}', ROUND(SUM(label * {c}) / SUM({c}), 3) FROM s WHERE split = 'train'
-""" for c in DOC_FEATURES)
+# Features in training deviations (as the fit scales them), and the Newton steps on them.
+_DOC_ROWS = f"""
+SELECT f.doc_id, f.label, f.split, {', '.join(f'f.{c} / m.{c} AS {c}' for c in DOC_FEATURES)}
+FROM (SELECT *, {S.train_test('doc_id')} AS split FROM ({_DOC_FEATURES_SQL}) x) f,
+     (SELECT {', '.join(f'stddev_samp({c}) AS {c}' for c in DOC_FEATURES)}
+      FROM (SELECT *, {S.train_test('doc_id')} AS split FROM ({_DOC_FEATURES_SQL}) y) z WHERE split = 'train') m"""
+_LOGISTIC = f"""
+WITH RECURSIVE doc_rows AS MATERIALIZED ({_DOC_ROWS}),
+train AS MATERIALIZED (SELECT * FROM doc_rows WHERE split = 'train'),
+{newton_sql('SELECT * FROM train', DOC_FEATURES)},
+beta AS MATERIALIZED (SELECT * FROM newton WHERE step = 30),
+scored AS MATERIALIZED (
+  SELECT doc_id, label, 1 / (1 + exp(-(b0 + {' + '.join(f'b{i} * {c}' for i, c in enumerate(DOC_FEATURES, 1))}))) AS p1 FROM doc_rows, beta WHERE split = 'test')"""
+
+
+def _logistic_fit(spark, d):
+    """K7: the fit on the training documents, and the test documents."""
+    train, test = _doc_split(spark, d)
+    return models.fit_logistic(train, DOC_FEATURES, "label", scale=True, **LOGISTIC), test
 
 
-@query("fit_logistic", _LOGISTIC_SQL)
+@query("fit_logistic", _LOGISTIC + ",\na AS (SELECT COUNT(*) AS n, AVG(CAST((p1 > 0.5) = (label = 1) AS DOUBLE)) AS accuracy FROM scored)\n"
+       + "\nUNION ALL ".join(f"SELECT '{t}' AS term, ROUND(b{i}, 3) AS value, n AS n_test, ROUND(accuracy, 6) AS accuracy FROM beta, a"
+                             for i, t in enumerate(["intercept", *DOC_FEATURES])))
 def q_fit_logistic(spark, d):
-    train, _ = _doc_split(spark, d)
-    m = models.fit_logistic(train, DOC_FEATURES, "label", scale=True, **LOGISTIC)
-    p = models.positive_probability(models.predict(m, train))
-    sums = p.agg(F.avg("p1").alias("intercept"), *[(F.sum(F.col("p1") * F.col(c)) / F.sum(c)).alias(c) for c in DOC_FEATURES])
-    rows = F.array(*[F.struct(F.lit(c).alias("term"), F.round(c, 3).alias("expected")) for c in ["intercept", *DOC_FEATURES]])
-    return sums.select(F.inline(rows))
+    """Coefficients (of the scaled features) and test accuracy."""
+    m, test = _logistic_fit(spark, d)
+    return _with_test_accuracy(models.logistic_terms(spark, m, DOC_FEATURES), m, test).select(
+        "term", F.round("value", 3).alias("value"), "n_test", F.round("accuracy", 6).alias("accuracy"))
+
+
+@query("evaluate_logistic", _LOGISTIC + """,
+r AS (SELECT label, rank() OVER (ORDER BY p1) + (COUNT(*) OVER (PARTITION BY p1) - 1) / 2.0 AS rk FROM scored),
+c AS (SELECT SUM(rk) FILTER (WHERE label = 1) AS rs, COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM r),
+a AS (SELECT AVG(CAST((p1 > 0.5) = (label = 1) AS DOUBLE)) AS accuracy FROM scored)
+SELECT label, COUNT(*) FILTER (WHERE p1 <= 0.5) AS pred_0, COUNT(*) FILTER (WHERE p1 > 0.5) AS pred_1,
+       ROUND(any_value(accuracy), 6) AS accuracy, ROUND(any_value((rs - p * (p + 1) / 2.0) / (p * q)), 4) AS auc
+FROM scored, c, a GROUP BY label""")
+def q_evaluate_logistic(spark, d):
+    """The confusion matrix on test rows, accuracy and AUC."""
+    m, test = _logistic_fit(spark, d)
+    scored = models.positive_probability(models.predict(m, test))
+    accuracy = evaluate.accuracy(scored, "label", "prediction").first()["accuracy"]
+    auc = evaluate.auc_roc(scored, "label", "p1").first()["auc"]
+    return profile.confusion_matrix(scored, "label", "prediction", [0, 1]).select(
+        "label", "pred_0", "pred_1", F.round(F.lit(accuracy), 6).alias("accuracy"), F.round(F.lit(auc), 4).alias("auc"))
 
 
-@query("evaluate_logistic", f"""
-WITH s AS (SELECT *, {S.train_test('doc_id')} AS split FROM ({_DOC_FEATURES_SQL}) f)
-SELECT label, COUNT(*) AS n, COUNT(*) AS n_predicted, true AS figures_agree FROM s WHERE split = 'test' GROUP BY label""")
-def q_evaluate_logistic(spark, d):
-    """K14, K15, E16 on a classifier's own predictions: per label, the test rows
-    and those in its row of the confusion matrix; whether accuracy is the
-    diagonal's share and the area lies over that of the reversed scores."""
-    figures, matrix = classifier_evaluation(spark, d)
-    cells = [c for c in matrix.columns if c.startswith("pred_")]
-    rows = matrix.collect()
-    n = sum(r[c] for r in rows for c in cells)
-    right = sum(r[f"pred_{int(r['label'])}"] for r in rows)
-    agree = abs(figures["accuracy"] - right / n) < 1e-9 and abs(figures["auc"] + figures["reversed_auc"] - 1) < 1e-9
-    return matrix.select("label", F.lit(None).cast("long").alias("n"), sum(F.col(c) for c in cells).alias("n_predicted"),
-                         F.lit(agree).alias("figures_agree")).drop("n").join(
-        _doc_split(spark, d)[1].groupBy("label").agg(F.count(F.lit(1)).alias("n")), "label").select(
-        "label", "n", "n_predicted", "figures_agree")
-
-
-def classifier_evaluation(spark, d):
-    """Accuracy and AUC (and that of the reversed scores) of a logistic fit on
-    test rows, and its confusion matrix."""
-    train, test = _doc_split(spark, d)
-    m = models.fit_logistic(train, DOC_FEATURES, "label", scale=True)
-    scored = models.positive_probability(models.predict(m, test)).withColumn("minus", -F.col("p1"))
-    figures = {"accuracy": evaluate.accuracy(scored, "label", "prediction").first()["accuracy"],
-               "auc": evaluate.auc_roc(scored, "label", "p1").first()["auc"],
-               "reversed_auc": evaluate.auc_roc(scored, "label", "minus").first()["auc"]}
-    return figures, profile.confusion_matrix(scored, "label", "prediction", [0, 1])
+# Score equations of the multinomial fit: per label and component, the sum of
+# probability times component is that of the label's own rows.  Together
+# they hold for no other model of the family.
+_MULTINOMIAL = {"maxIter": 500, "tol": 1e-10, "regParam": 0.0}
 
 
-@query("fit_multinomial", f"""
-WITH s AS (SELECT label, {S.train_test('vec_id')} AS split FROM embeddings)
-SELECT CAST(label AS DOUBLE) AS label, COUNT(*) AS n,
-       ROUND(COUNT(*) / (SELECT COUNT(*) FROM s WHERE split = 'train'), 2) AS mean_probability
-FROM s WHERE split = 'train' GROUP BY label""")
-def q_fit_multinomial(spark, d):
+def _embedding_split(spark, d):
     e = B.embedding_table(spark, d).select("vec_id", array_to_vector("embedding").alias("embedding"),
                                           F.col("label").cast("double").alias("label"))
-    train, _ = tuning.with_split(e, ["vec_id"], 0.7, 42)
-    m = models.fit_logistic(train, ["embedding"], "label", family="multinomial", maxIter=100)
-    p = models.predict(m, train).select("label", F.posexplode(vector_to_array("probability")).alias("k", "p"))
-    n = train.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    mean = p.groupBy(F.col("k").cast("double").alias("label")).agg(F.round(F.avg("p"), 2).alias("mean_probability"))
-    return n.join(mean, "label").select("label", "n", "mean_probability")
+    return tuning.with_split(e, ["vec_id"], 0.7, 42)
 
 
-@query("score_new_rows", """
-SELECT doc_id, true AS scored FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+@query("fit_multinomial", f"""
+WITH s AS (SELECT label, embedding, {S.train_test('vec_id')} AS split FROM embeddings),
+t AS (SELECT label, unnest(list_prepend(1.0::DOUBLE, embedding::DOUBLE[])) AS x, unnest(range(len(embedding) + 1)) AS component FROM s WHERE split = 'train'),
+g AS (SELECT DISTINCT CAST(label AS DOUBLE) AS label FROM s WHERE split = 'train')
+SELECT g.label, t.component, ROUND(SUM(CASE WHEN t.label = g.label THEN x ELSE 0 END) / (SELECT COUNT(*) FROM s WHERE split = 'train'), 3) AS expected
+FROM t, g GROUP BY g.label, t.component""")
+def q_fit_multinomial(spark, d):
+    """K8: mean of probability times component over the training rows."""
+    train, _ = _embedding_split(spark, d)
+    m = models.fit_logistic(train, ["embedding"], "label", family="multinomial", **_MULTINOMIAL)
+    p = models.predict(m, train).select(vector_to_array("probability").alias("p"),
+                                        F.concat(F.array(F.lit(1.0)), vector_to_array("embedding")).alias("x"))
+    terms = p.select("x", F.posexplode("p").alias("k", "p")).select("k", "p", F.posexplode("x").alias("component", "x"))
+    sums = terms.groupBy(F.col("k").cast("double").alias("label"), F.col("component").cast("long").alias("component"))
+    return sums.agg(F.round(F.sum(F.col("p") * F.col("x")) / F.lit(train.count()), 3).alias("expected"))
+
+
+_NEW_ROWS = f"""
+WITH RECURSIVE m AS MATERIALIZED (SELECT {', '.join(f'stddev_samp({c}) AS {c}' for c in DOC_FEATURES)} FROM ({_DOC_FEATURES_SQL}) z),
+train AS MATERIALIZED (SELECT label, {', '.join(f'f.{c} / m.{c} AS {c}' for c in DOC_FEATURES)} FROM ({_DOC_FEATURES_SQL}) f, m),
+{newton_sql('SELECT * FROM train', DOC_FEATURES)},
+p AS (SELECT f.doc_id, 1 / (1 + exp(-(b0 + {' + '.join(f'b{i} * f.{c} / m.{c}' for i, c in enumerate(DOC_FEATURES, 1))}))) AS p1
+      FROM ({_DOC_FEATURES_SQL.replace('l.doc_id, l.quality AS label', 'd.doc_id').replace('labels l JOIN documents d ON l.doc_id = d.doc_id', 'documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)')}) f, m,
+           (SELECT * FROM newton WHERE step = 30) b)
+SELECT doc_id, ROUND(p1, 3) AS p1, CAST(p1 > 0.5 AS DOUBLE) AS prediction FROM p"""
+
+
+@query("score_new_rows", _NEW_ROWS)
 def q_score_new_rows(spark, d):
-    m = models.fit_logistic(B.labelled_documents(spark, d), DOC_FEATURES, "label", scale=True)
+    """Probability and prediction of every row without a label."""
+    m = models.fit_logistic(B.labelled_documents(spark, d), DOC_FEATURES, "label", scale=True, **LOGISTIC)
     unlabelled = B.document_features(spark, d).join(B.table(spark, d, "labels").select("doc_id"), "doc_id",
                                                     "left_anti")
-    scored = models.positive_probability(models.predict(m, unlabelled))
-    ok = (F.col("p1") > 0) & (F.col("p1") < 1) & (F.col("prediction") == (F.col("p1") > 0.5).cast("double"))
-    return scored.select("doc_id", ok.alias("scored"))
-
-
-_LINEAR_ROW = f"""
-WITH p AS (SELECT label, f.a + f.b * l_quantity AS prediction FROM ({_REG_SPLIT}) s, {_TRAIN_FIT} f WHERE split = 'test'),
-m AS (SELECT COUNT(*) AS n, sqrt(AVG((label - prediction) ^ 2)) AS rmse FROM p)"""
-
-
-@query("model_compare", _LINEAR_ROW + """
-SELECT k.model, m.n AS n_test, CASE WHEN k.model = 'linear' THEN ROUND(m.rmse, 4) END AS linear_rmse, 1.0::DOUBLE AS test_error
-FROM m, (VALUES ('linear'), ('decision_tree'), ('random_forest'), ('gbt')) k(model)""")
+    return models.positive_probability(models.predict(m, unlabelled)).select("doc_id", F.round("p1", 3).alias("p1"), "prediction")
+
+
+# Normal equations of all features: two steps of elimination less the mean.
+def _linear_predictions(features) -> str:
+    """Test rows with the prediction of the least-squares fit on the training rows."""
+    k = len(features)
+    mean = ", ".join(f"AVG({c}) AS m{i}" for i, c in enumerate([*features, "label"]))
+    sums = ", ".join(f"SUM(({a} - m{i}) * ({b} - m{j})) AS a{i}_{j}" for i, a in enumerate(features)
+                     for j, b in enumerate([*features, "label"]))
+    keep = ", ".join(f"m{i}" for i in range(k + 1))
+    inner = (f"SELECT {keep}, {sums} FROM ({_REG_SPLIT}) s, (SELECT {mean} FROM ({_REG_SPLIT}) t WHERE split = 'train') m "
+             f"WHERE split = 'train' GROUP BY {keep}")
+    for i in range(k):
+        cells = [f"a{r}_{r}" for r in range(i + 1)] + [f"a{i}_{c}" for c in range(i + 1, k + 1)]
+        cells += [f"a{r}_{c} - a{r}_{i} / a{i}_{i} * a{i}_{c} AS a{r}_{c}" for r in range(k) if r != i for c in range(i + 1, k + 1)]
+        inner = f"SELECT {keep}, {', '.join(cells)} FROM ({inner}) g{i}"
+    score = " + ".join(f"a{i}_{k} / a{i}_{i} * ({c} - m{i})" for i, c in enumerate(features))
+    return f"SELECT label, m{k} + {score} AS prediction FROM ({_REG_SPLIT}) s, ({inner}) b WHERE split = 'test'"
+
+
+_COMPARED = ("linear", "decision_tree", "gbt")
+
+
+@query("model_compare", f"""
+WITH RECURSIVE {_boosted(5, 0.1, 20)},
+done AS MATERIALIZED (SELECT * FROM boosted WHERE level = 0 AND tree IN (1, 20)),
+scored AS (
+  SELECT CASE WHEN tree = 1 THEN 'decision_tree' ELSE 'gbt' END AS model, label, p AS prediction
+  FROM ({_REG_SPLIT}) s JOIN done USING ({', '.join(FEATURES)}) WHERE split = 'test'
+  UNION ALL SELECT 'linear', label, prediction FROM ({_linear_predictions(FEATURES)}) l),
+e AS (SELECT model, sqrt(AVG((label - prediction) ^ 2)) AS rmse, 1 - SUM((label - prediction) ^ 2) / (var_pop(label) * COUNT(*)) AS r2,
+             COUNT(*) AS n_test FROM scored GROUP BY model)
+SELECT model, ROUND(rmse, 2) AS rmse, ROUND(r2, 6) AS r2, n_test, rmse = MIN(rmse) OVER () AS is_best FROM e""")
 def q_model_compare(spark, d):
+    """K16, F3 over the models whose fit SQL can state; ``model_compare_figures``
+    adds the random forest."""
     train, test = _split(spark, d)
-    t = tuning.model_compare(train, test, ["l_quantity"], "label")
-    spread = test.agg(F.stddev_pop("label")).first()[0]
-    return t.select("model", "n_test", F.when(F.col("model") == "linear", F.round("rmse", 4)).alias("linear_rmse"),
-                    F.round(F.col("rmse") / spread).alias("test_error"))
+    t = tuning.model_compare(train, test, FEATURES, "label", _COMPARED, params={"decision_tree": TREE, "gbt": TREE})
+    return t.select("model", F.round("rmse", 2).alias("rmse"), F.round("r2", 6).alias("r2"), "n_test", "is_best")
 
 
-FULL_GRID = {"maxDepth": [3, 5, 7], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1]}
+_FOLD = S.stable_bucket("order_id, line_id", 42, 3)
+_GRID_CELLS = f"""
+SELECT row_number() OVER () AS fit, depth, step, fold, 30 AS rounds FROM
+  (VALUES (3), (5), (7)) d(depth), (VALUES (0.05::DOUBLE), (0.1)) s(step), (VALUES (0), (1), (2), (-1)) f(fold)"""
 
 
 @query("grid_search_cv", f"""
-WITH t AS (SELECT COUNT(*) AS n FROM ({_REG_SPLIT}) s WHERE split = 'test')
-SELECT d."maxDepth", i."maxIter", s."stepSize", 1.0::DOUBLE AS cv_error, 1 AS n_best, t.n AS n_test, 1.0::DOUBLE AS test_error
-FROM (VALUES (3.0::DOUBLE), (5.0), (7.0)) d("maxDepth"), (VALUES (10.0::DOUBLE), (20.0), (30.0)) i("maxIter"),
-     (VALUES (0.05::DOUBLE), (0.1)) s("stepSize"), t""")
+WITH RECURSIVE reg AS MATERIALIZED (SELECT *, {_FOLD} AS fold FROM ({_REG_SPLIT}) s),
+fits AS MATERIALIZED ({_GRID_CELLS}),
+sums AS MATERIALIZED (SELECT {', '.join(FEATURES)}, fold, COUNT(*)::DOUBLE AS n, SUM(label)::DOUBLE AS y, SUM(label * label)::DOUBLE AS yy
+                      FROM reg WHERE split = 'train' GROUP BY ALL),
+each_cell AS MATERIALIZED (SELECT row_number() OVER () AS cell, * FROM (SELECT DISTINCT {', '.join(FEATURES)} FROM reg) c),
+of_fit AS MATERIALIZED (
+  SELECT fit, depth, step, rounds, cell, {', '.join(FEATURES)}, COALESCE(SUM(n) FILTER (WHERE sums.fold <> fits.fold), 0) AS n,
+         COALESCE(SUM(y) FILTER (WHERE sums.fold <> fits.fold), 0) AS y
+  FROM fits, each_cell LEFT JOIN sums USING ({', '.join(FEATURES)}) GROUP BY ALL),
+{boosting_sql("SELECT * FROM of_fit", FEATURES)},
+done AS MATERIALIZED (SELECT fit, tree, {', '.join(FEATURES)}, p FROM boosted WHERE level = 0 AND tree IN (10, 20, 30)),
+errors AS (SELECT depth, step, tree, fits.fold, sqrt(SUM(yy - 2 * p * y + n * p * p) / SUM(n)) AS rmse
+           FROM done JOIN fits USING (fit) JOIN sums ON sums.fold = fits.fold AND {' AND '.join(f'sums.{c} = done.{c}' for c in FEATURES)}
+           GROUP BY ALL),
+cv AS (SELECT depth, step, tree, AVG(rmse) AS cv_rmse FROM errors GROUP BY ALL),
+best AS (SELECT depth, step, tree FROM cv ORDER BY cv_rmse LIMIT 1),
+test AS (SELECT COUNT(*) AS n_test, sqrt(AVG((label - p) ^ 2)) AS rmse FROM best JOIN fits USING (depth, step)
+         JOIN done USING (fit, tree) JOIN reg USING ({', '.join(FEATURES)}) WHERE fits.fold = -1 AND split = 'test')
+SELECT depth::DOUBLE AS "maxDepth", tree::DOUBLE AS "maxIter", step AS "stepSize", ROUND(cv_rmse, 1) AS cv_rmse, best.depth IS NOT NULL AS is_best,
+       n_test, CASE WHEN best.depth IS NOT NULL THEN ROUND(test.rmse, 1) END AS test_rmse
+FROM cv LEFT JOIN best USING (depth, step, tree), test""")
 def q_grid_search_cv(spark, d):
+    """The error of every map, the best one, and the refit's error on test rows."""
     train, test = _split(spark, d)
-    found = tuning.grid_search_cv(train, _features(spark, d), "label", REG_KEY, FULL_GRID, folds=3, seed=42)
+    found = tuning.grid_search_cv(train, FEATURES, "label", REG_KEY, tuning.FULL_GRID, folds=3, seed=42, params=TREE)
     met = found.evaluate(test, "label").first()
-    y, z = (df.agg(F.stddev_pop("label")).first()[0] for df in (train, test))
-    n_best = found.results.where("is_best").count()
-    return found.results.select(*FULL_GRID, F.round(F.col("cv_rmse") / y).alias("cv_error"), F.lit(n_best).alias("n_best"),
-                                F.lit(met["n"]).alias("n_test"), F.lit(float(round(met["rmse"] / z))).alias("test_error"))
+    return found.results.select(*tuning.FULL_GRID, F.round("cv_rmse", 1).alias("cv_rmse"), "is_best", F.lit(met["n"]).cast("long").alias("n_test"),
+                                F.when(F.col("is_best"), F.round(F.lit(met["rmse"]), 1)).alias("test_rmse"))
 
 
 # ------------------------------------------------------------ whole figures --
-# The keys above return what their SQL states.  These return the figures
-# themselves, which no SQL states; ``tests/`` hold them against normal
-# equations, other fits and each other.
+# What SQL cannot state (a forest's bootstrap, 640 coefficients); ``tests/``
+# hold it against other fits and its own predictions.
 
 @query("model_compare_figures")
 def q_model_compare_figures(spark, d):
@@ -296,69 +398,23 @@ def _fit_figures(spark, d, kind):
         F.lit(kind).alias("model"), F.col("n").alias("n_test"), "rmse", "r2", "mae")
 
 
-@query("fit_decision_tree_figures")
-def q_fit_decision_tree_figures(spark, d):
-    return _fit_figures(spark, d, "decision_tree")
-
-
 @query("fit_random_forest_figures")
 def q_fit_random_forest_figures(spark, d):
     return _fit_figures(spark, d, "random_forest")
 
 
-@query("fit_gbt_figures")
-def q_fit_gbt_figures(spark, d):
-    return _fit_figures(spark, d, "gbt")
-
-
 def _with_test_accuracy(terms, m, test):
     """Terms of a model, with its accuracy on the test rows."""
     a = evaluate.accuracy(models.predict(m, test), "label", "prediction").first()
     return terms.withColumns({"n_test": F.lit(a["n"]).cast("long"), "accuracy": F.lit(a["accuracy"]).cast("double")})
 
 
-@query("fit_logistic_figures")
-def q_fit_logistic_figures(spark, d):
-    """Coefficients (of the scaled features) and test accuracy."""
-    train, test = _doc_split(spark, d)
-    m = models.fit_logistic(train, DOC_FEATURES, "label", scale=True, **LOGISTIC)
-    return _with_test_accuracy(models.logistic_terms(spark, m, DOC_FEATURES), m, test)
-
-
 @query("fit_multinomial_figures")
 def q_fit_multinomial_figures(spark, d):
     """Coefficients per label and test accuracy."""
-    e = B.embedding_table(spark, d).select("vec_id", array_to_vector("embedding").alias("embedding"),
-                                          F.col("label").cast("double").alias("label"))
-    train, test = tuning.with_split(e, ["vec_id"], 0.7, 42)
+    train, test = _embedding_split(spark, d)
     m = models.fit_logistic(train, ["embedding"], "label", family="multinomial", maxIter=100)
     lr = m.stages[-1]
     rows = [(float(k), term, float(v)) for k, (b, w) in enumerate(zip(lr.interceptVector, lr.coefficientMatrix.toArray(), strict=True))
             for term, v in [("intercept", b), *((f"embedding_{i}", x) for i, x in enumerate(w))]]
     return _with_test_accuracy(spark.createDataFrame(rows, "label double, term string, value double"), m, test)
-
-
-@query("evaluate_logistic_figures")
-def q_evaluate_logistic_figures(spark, d):
-    """The confusion matrix on test rows, accuracy and AUC."""
-    figures, matrix = classifier_evaluation(spark, d)
-    return matrix.withColumns({"accuracy": F.lit(figures["accuracy"]), "auc": F.lit(figures["auc"])})
-
-
-@query("score_new_rows_figures")
-def q_score_new_rows_figures(spark, d):
-    """Probability and prediction of every row without a label."""
-    m = models.fit_logistic(B.labelled_documents(spark, d), DOC_FEATURES, "label", scale=True)
-    unlabelled = B.document_features(spark, d).join(B.table(spark, d, "labels").select("doc_id"), "doc_id",
-                                                    "left_anti")
-    return models.positive_probability(models.predict(m, unlabelled)).select("doc_id", "p1", "prediction")
-
-
-@query("grid_search_cv_figures")
-def q_grid_search_cv_figures(spark, d):
-    """The error of every map, the best one, and the refit's figures on test rows."""
-    train, test = _split(spark, d)
-    found = tuning.grid_search_cv(train, _features(spark, d), "label", REG_KEY, FULL_GRID, folds=3, seed=42)
-    met = found.evaluate(test, "label").first()
-    best = {f"test_{c}": F.when(F.col("is_best"), F.lit(met[c]).cast("double")) for c in ("rmse", "r2", "mae")}
-    return found.results.withColumns({"n_test": F.lit(met["n"]).cast("long"), **best})

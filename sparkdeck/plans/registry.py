@@ -37,5 +37,6 @@ def load_all() -> None:
         profile_q,
         ratings_q,
         relational_q,
+        scale_q,
         text_q,
     )

@@ -67,3 +67,21 @@ def persist_for_reuse(df: DataFrame) -> DataFrame:
     """Keep a frame that several actions scan (model loops) in memory,
     spilling to disk rather than recomputing."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def write_by_kind(df: DataFrame, path: str, kind_col: str = "kind") -> None:
+    """A4, B1: one pass over mixed records into a folder per kind; a kind that is
+    written again replaces its own folder only."""
+    df.write.partitionBy(kind_col).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def read_kind(spark: SparkSession, path: str, kind: str, kind_col: str = "kind") -> DataFrame:
+    """The records of one kind; the folders of the others are not listed."""
+    return spark.read.parquet(path).where(F.col(kind_col) == kind)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """B6 across jobs: a table dealt by ``key`` once, so that joins and groupings
+    by it need no exchange of these rows again."""
+    (df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet").option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)

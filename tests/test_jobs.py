@@ -132,9 +132,9 @@ def test_jobs_leave_the_session_to_the_submitter(tmp_path):
 
 
 def test_grid_search_job_reports_test_figures(spark, tmp_path, monkeypatch):
-    from sparkdeck.plans import models_q
+    from sparkdeck.operators import tuning
 
-    monkeypatch.setattr(models_q, "FULL_GRID", {"maxDepth": [2], "maxIter": [2, 4]})
+    monkeypatch.setattr(tuning, "FULL_GRID", {"maxDepth": [2], "maxIter": [2, 4]})
     p = tmp_path / "marks.csv"
     p.write_text(MARKS)
     out = _run(spark, tmp_path, "grid-search", str(p), opts=["--label", "exam", "--drop", "student", "--folds", "2"])
