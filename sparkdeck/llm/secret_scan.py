@@ -57,6 +57,30 @@ OPEN, STAND_IN = "\uE000", "\uE001"
 SPAN = "array<struct<start:int,end:int,txt:string>>"
 
 
+#: Elements that one fold appends to an array; longer arrays are folded in
+#: blocks, since each append copies what there is.  Even: parts and matches
+#: alternate.
+BLOCK = 256
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_blocks(values: Column) -> Column:
+    """An array cut into arrays of ``BLOCK`` elements."""
+    last = F.greatest(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def before_each(blocks: Column, measure, join) -> Column:
+    """For each block, ``join`` (a sum or a maximum) of the measures of those before it."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    return F.aggregate(blocks, zero, lambda acc, b: F.struct(
+        join(acc["at"], measure(b)).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")), lambda acc: acc["all"])
+
+
 def find_spans(text: Column, pattern: str) -> Column:
     """(start, end, txt) of all leftmost non-overlapping matches.  ``text``
     must not hold the delimiter (see ``safe_text``)."""
@@ -69,8 +93,14 @@ def find_spans(text: Column, pattern: str) -> Column:
         return F.struct(end.alias("at"), (acc["i"] + 1).alias("i"),
                         F.when(acc["i"] % 2 == 1, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return (F.when(text.rlike(pattern), F.aggregate(parts, zero, step, lambda acc: acc["out"]))
-            .otherwise(F.array().cast(SPAN)))
+    def moved(block: Column, by: Column) -> Column:
+        return F.transform(block["out"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["txt"].alias("txt")))
+
+    def whole(blocks: Column) -> Column:  # offsets within a block, then those of the blocks
+        return F.flatten(F.zip_with(blocks, before_each(blocks, lambda b: b["at"], lambda a, b: a + b), moved))
+
+    folded = F.transform(in_blocks(parts), lambda b: F.aggregate(b, zero, step))
+    return F.when(text.rlike(pattern), let(folded, whole)).otherwise(F.array().cast(SPAN))
 
 
 def safe_text(text: Column) -> Column:
@@ -112,10 +142,10 @@ def train(samples: DataFrame, smoothing: float = 1.0) -> list[float]:
     """Log-likelihood ratio (random over identifier) of each folded bigram, row
     by row of a (|alphabet|+1)^2 table.  Without samples of a label its model
     is uniform over the alphabet."""
-    t = samples.where(F.length("token") > 1)
-    grams = t.select("is_random", F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("token") - 1),
-        lambda i: F.struct(fold(F.substring("token", i, 1)).alias("a"), fold(F.substring("token", i + 1, 1)).alias("b")))).alias("g"))
+    t = samples.where(F.length("token") > 1).select("is_random", F.transform(F.split("token", ""), fold).alias("p"))
+    grams = t.select("is_random", F.explode(F.zip_with(
+        F.slice("p", F.lit(1), F.size("p") - 1), F.slice("p", F.lit(2), F.size("p") - 1),
+        lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("g"))
     rows = grams.groupBy("is_random", "g.a", "g.b").count().collect()  # at most 2 x 68^2
     k = len(ALPHABET) + 1
     counts = {True: [[smoothing] * k for _ in range(k)], False: [[smoothing] * k for _ in range(k)]}
@@ -129,13 +159,15 @@ def train(samples: DataFrame, smoothing: float = 1.0) -> list[float]:
 
 
 def ratio(token: Column, model: list[float]) -> Column:
-    """Log-likelihood ratio of a token under the two models, in nats."""
+    """Log-likelihood ratio of a token under the two models, in nats: one pass
+    over its characters."""
     k = len(ALPHABET) + 1
     at = literal_array([round(x, 6) for x in model], "double")
-    return F.aggregate(
-        F.when(F.length(token) > 1, F.sequence(F.lit(1), F.length(token) - 1)).otherwise(F.array().cast("array<int>")),
-        F.lit(0.0),
-        lambda acc, i: acc + F.element_at(at, fold(F.substring(token, i, 1)) * k + fold(F.substring(token, i + 1, 1)) + 1))
+    zero = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
+    places = F.transform(F.split(token, ""), fold)
+    return F.aggregate(places, zero, lambda acc, i: F.struct(
+        i.alias("last"), (acc["sum"] + F.when(acc["last"] >= 0, F.element_at(at, acc["last"] * k + i + 1)).otherwise(0.0)).alias("sum")),
+        lambda acc: acc["sum"])
 
 
 # ------------------------------------------------------------------- scan --
@@ -145,8 +177,15 @@ def _tagged(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end")))
 
 
-def outside(s: Column, base: Column) -> Column:
-    """The pieces of a span that no span of ``base`` (ordered by start) covers."""
+def outlined(spans: Column) -> Column:
+    """Spans in blocks, each with its least start and greatest end."""
+    return F.transform(in_blocks(spans), lambda b: F.struct(
+        F.array_min(F.transform(b, lambda s: s["start"])).alias("start"), F.array_max(F.transform(b, lambda s: s["end"])).alias("end"), b.alias("spans")))
+
+
+def outside(s: Column, blocks: Column) -> Column:
+    """The pieces of a span that no span of ``blocks`` (``outlined``, ordered by
+    start) covers."""
     def piece(start: Column, end: Column) -> Column:
         txt = F.substring(s["txt"], start - s["start"] + 1, end - start)
         return F.array(F.struct(start.alias("start"), end.alias("end"), txt.alias("txt"))).cast(SPAN)
@@ -155,7 +194,10 @@ def outside(s: Column, base: Column) -> Column:
         return F.struct(F.greatest(acc["at"], b["end"]).alias("at"),
                         F.when(acc["at"] < b["start"], F.concat(acc["out"], piece(acc["at"], b["start"]))).otherwise(acc["out"]).alias("out"))
 
-    over = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    def meets(b: Column) -> Column:
+        return (b["start"] < s["end"]) & (s["start"] < b["end"])
+
+    over = F.flatten(F.transform(F.filter(blocks, meets), lambda b: F.filter(b["spans"], meets)))
     zero = F.struct(s["start"].alias("at"), F.array().cast(SPAN).alias("out"))
     rest = F.aggregate(over, zero, step, lambda acc: F.when(
         acc["at"] < s["end"], F.concat(acc["out"], piece(acc["at"], s["end"]))).otherwise(acc["out"]))
@@ -171,7 +213,8 @@ def with_spans(docs: DataFrame, model: list[float], out: str = "found", min_rati
     base = F.concat(*[_tagged(spans[k], k) for k in KINDS[:3]])
     d = d.withColumn(out, F.struct(t.alias("t"), F.array_sort(base).alias("base")))
     base = F.col(f"{out}.base")
-    pieces = F.flatten(F.transform(find_spans(t, TOKEN), lambda s: outside(s, base)))
+    d = d.withColumn(out, F.struct(t.alias("t"), base.alias("base"), outlined(base).alias("blocks")))
+    pieces = F.flatten(F.transform(find_spans(t, TOKEN), lambda s: outside(s, F.col(f"{out}.blocks"))))
     extra = F.filter(pieces, lambda s: ratio(s["txt"], model) >= min_ratio)
     return d.withColumn(out, F.struct(base.alias("base"), F.array_sort(F.concat(base, _tagged(extra, "markov"))).alias("all")))
 
@@ -198,16 +241,21 @@ def redact(docs: DataFrame, model: list[float] | None = None, mark: str = "[SECR
     name = fresh("found", docs.columns)
     d = with_spans(docs, model, name)
     spans = F.col(f"{name}.all")
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.col("text").substr(acc["at"] + 1, s["start"] - acc["at"])
+        gap = text.substr(acc["at"] + 1, s["start"] - acc["at"])
         fresh = s["start"] >= acc["at"]
         return F.struct(F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
                         F.greatest(acc["at"], s["end"]).alias("at"))
 
-    def finish(acc: Column) -> Column:
-        return F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text")))
+    def whole(blocks: Column) -> Column:
+        # each block starts where the spans before it end
+        ends = lambda b: F.array_max(F.transform(b, lambda s: s["end"]))
+        pieces = F.zip_with(blocks, before_each(blocks, ends, F.greatest), lambda b, at: F.aggregate(
+            b, F.struct(F.lit("").alias("out"), at.alias("at")), step, lambda acc: acc["out"]))
+        rest = text.substr(F.array_max(F.flatten(F.transform(blocks, lambda b: F.transform(b, lambda s: s["end"])))) + 1, F.length(text))
+        return F.concat(F.array_join(pieces, ""), rest)
 
-    cleaned = F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, finish)).otherwise(F.col("text"))
+    cleaned = F.when(F.size(spans) > 0, let(in_blocks(spans), whole)).otherwise(text)
     return d.withColumn("text", cleaned).drop(name)

@@ -148,3 +148,49 @@ def test_query_equals_its_sql(spark, name):
     names = [d[0] for d in con.description]
     assert sorted(names) == sorted(got.columns)
     assert sorted(map(repr, (tuple(r) for r in got.select(*names).collect()))) == sorted(map(repr, want))
+
+
+def test_markov_spans_equal_brute_force(spark):
+    """Pieces of key characters outside the patterns' spans, each by the sum of its bigrams."""
+    import random
+
+    rng = random.Random(4)
+    key = lambda n: "".join(rng.choice(secret_scan.ALPHABET) for _ in range(n))
+    texts = [*ODD, f"see {key(40)} and plain_words_that_are_long_enough", f"token={key(30)}/{key(5)} \U0001F600 {key(17)} x",
+             f"AKIA{'Q7' * 10}/{key(40)}", "deadbeef" * 4 + key(50), " ".join(key(18) for _ in range(700)), key(60_000)]
+    k = len(secret_scan.ALPHABET) + 1
+    model = [round(rng.uniform(-0.5, 1.5), 6) for _ in range(k * k)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secret_scan.scan(docs, model).collect():
+        text = texts[r["doc_id"]] or ""
+        base = [tuple(map(int, s.split(":")[1:])) for s in brute.secrets(text)[1]]
+        covered = set()
+        for a, b in base:
+            covered.update(range(a, b))
+        want = []
+        for run in re.finditer(secret_scan.TOKEN, text):
+            at = run.start()
+            while at < run.end():
+                end = at
+                while end < run.end() and end not in covered:
+                    end += 1
+                codes = [secret_scan.ALPHABET.index(c) + 1 for c in text[at:end]]
+                if end > at and sum(model[x * k + y] for x, y in zip(codes, codes[1:])) >= secret_scan.MIN_RATIO:
+                    want.append(f"markov:{at}:{end}")
+                at = max(end, at + 1)
+        assert [s for s in r["spans"].split(",") if s.startswith("markov")] == want
+
+
+def test_long_runs_and_many_spans_take_linear_time(spark):
+    import time
+
+    k = len(secret_scan.ALPHABET) + 1
+    model = [0.01] * (k * k)
+    many = " ".join(["deadbeef0123456789abcdef"] * 3000)
+    docs = spark.createDataFrame([(1, "aB3" * 350_000), (2, many)], "doc_id long, text string")
+    start = time.monotonic()
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.scan(docs, model).collect()}
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs, model).collect()}
+    assert time.monotonic() - start < 90
+    assert spans[1] == f"markov:0:{3 * 350_000}" and spans[2].count("hex") == 3000
+    assert masked == {1: "[SECRET]", 2: " ".join(["[SECRET]"] * 3000)}
