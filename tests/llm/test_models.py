@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sparkdeck.llm import langid, toxicity
@@ -103,3 +104,45 @@ def test_toxicity_without_labels_or_classes(spark):
     odd = spark.createDataFrame([(None, 1), (11, None), (12, 7)], "doc_id long, toxic int")
     assert toxicity.score_documents(docs, odd).where("predicted = 1").isEmpty()
     assert toxicity.score_documents(docs.limit(0), clean).isEmpty()
+
+
+def _rows(texts):
+    ids, at = toxicity.text_terms(texts)
+    return [ids[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+
+
+def _insult_and_group(n, label, seed=0):
+    rng = np.random.default_rng(seed)
+    fill = [f"w{i}" for i in range(40)]
+    a, b = rng.random(n) < 0.5, rng.random(n) < 0.5
+    texts = [" ".join([*rng.choice(fill, 6), *["insult"] * int(x), *["group"] * int(y)]) for x, y in zip(a, b, strict=True)]
+    return texts, label(a, b).astype(float)
+
+
+def test_pairs_whose_terms_say_nothing_alone_are_learnt():
+    """Either alone is toxic, both or none are not: no additive weights do it."""
+    texts, y = _insult_and_group(4000, np.logical_xor)
+    m = toxicity.fit(_rows(texts), y)
+    both, one, other, none = m.scores(["insult group w1", "insult w1", "group w1", "w1 w2"])
+    assert max(both, none) < 0.1 and min(one, other) > 0.9
+    held, z = _insult_and_group(1000, np.logical_xor, seed=1)
+    assert ((m.scores(held) >= 0.5) == z).mean() > 0.98
+    # the machine beats its own additive part
+    additive = toxicity.Machine(np.flatnonzero(m.slot), m.bias, m.weight, np.zeros_like(m.factor))
+    assert ((additive.scores(held) >= 0.5) == z).mean() < 0.8
+
+
+def test_no_pairs_are_found_in_noise():
+    texts, _ = _insult_and_group(3000, np.logical_and)
+    y = (np.random.default_rng(3).random(3000) < 0.3).astype(float)
+    rows = _rows(texts)
+    flat = toxicity.descend(rows, y, np.empty(0, np.int64), 7, None)
+    assert not len(toxicity.pair_terms(rows, y, flat, np.unique(np.concatenate(rows))))
+    assert np.allclose(toxicity.fit(rows, y).scores(texts[:50]), y.mean(), atol=0.15)
+
+
+def test_training_terms_are_bounded(spark):
+    rows = spark.range(300).select(F.concat_ws(" ", F.lit("word"), F.col("id"), F.col("id") + 1000).alias("text"), (F.col("id") % 2).cast("int").alias("label"))
+    whole, part = toxicity.train(rows), toxicity.train(rows, train_terms=90)
+    assert (whole.bias, part.bias) != (None, None) and part.scores(["word"])[0] != whole.scores(["word"])[0]
+    assert toxicity.train(rows, train_terms=1).scores(["word"])[0] in (pytest.approx(0, abs=1e-9), pytest.approx(1, abs=1e-9))
