@@ -10,9 +10,11 @@ training texts of that language; the nearest codeword wins.  A text whose two
 best languages lie close is flagged ambiguous.
 
 Training reads only text and non-null lang of rows not held out.  It takes
-about ``rows_per_language`` rows of each language, chosen by a hash of id and
-text, a documented bound; their n-grams are counted and their bits judged by
-Spark tasks, and only the counts (languages x buckets) reach the driver.
+at most ``rows_per_language`` distinct texts of each of the ``LANGUAGES`` most
+frequent languages (ties by name), chosen by a hash of the text, documented
+bounds however often a row repeats and however many languages there are; their
+n-grams are counted and their bits judged by Spark tasks, and only the counts
+(languages x buckets) reach the driver.
 Prediction is a scalar pandas UDF over whole texts: no shuffle.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter,
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkdeck.llm.common import held_out, ship
@@ -36,6 +38,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
 ROWS_PER_LANGUAGE = 2000
+#: Languages learned, the most frequent: bounds codewords and counts.
+LANGUAGES = 256
 SMOOTHING = 0.5
 #: Margins are multiplied by this before the exponential loss.
 SHARPNESS = 2.0
@@ -120,14 +124,20 @@ class Model:
         return self.languages[best], float(share[best]), bool(share[best] < AMBIGUOUS_BELOW)
 
 
-def training_sample(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
-    """(lang, text) of about so many rows of each language, never held out."""
-    d = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}  # one row per language
-    share = F.lit(1)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(max(1, n // rows_per_language))).otherwise(share)
-    return d.where(F.pmod(F.xxhash64("doc_id", "text"), share) == 0).select("lang", "text")
+def training_sample(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES) -> DataFrame:
+    """(lang, text) of at most so many distinct texts of each of the most
+    frequent languages, never held out: those with the smallest hashes."""
+    d = docs.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    key = F.xxhash64("text")
+    # distinct texts are only estimated, for a first cut with room to spare
+    frequent = (d.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(key).alias("texts"))
+                .orderBy(F.desc("n"), "lang").limit(languages)
+                .select("lang", F.least(F.lit(1.0), F.lit(4.0 * rows_per_language) / F.greatest("texts", F.lit(1))).alias("share")))
+    place = (F.shiftrightunsigned(key, 11).cast("double") / F.lit(2.0 ** 53))
+    likely = d.join(F.broadcast(frequent), "lang").where(place < F.col("share"))  # one row a language, at most ``languages``
+    w = Window.partitionBy("lang").orderBy(key, "text")
+    return (likely.select("lang", "text").dropDuplicates(["lang", "text"]).withColumn("place", F.row_number().over(w))
+            .where(F.col("place") <= rows_per_language).select("lang", "text"))
 
 
 def train(sample: DataFrame) -> Model | None:

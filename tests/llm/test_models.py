@@ -42,6 +42,47 @@ def test_language_of_odd_texts(spark):
     assert langid.identify(odd.limit(0), model).isEmpty()
 
 
+def test_language_rows_are_bounded_by_distinct_texts_and_languages(spark):
+    held = {r["i"] for r in spark.range(3000).select(F.col("id").alias("i"), held_out(F.col("id")).alias("h")).where("h").collect()}
+    ids = [i for i in range(3000) if i not in held]
+    rows = [(ids[0], "the same row again", "en")] * 400 + [(i, f"text {i}", "en") for i in ids[:300]]
+    rows += [(i, f"texte {i}", f"l{i % 40:02d}") for i in ids[300:1000]] + [(ids[1], None, "en"), (ids[2], "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.training_sample(docs, 20, 8).groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("d")).collect()
+    assert len(got) == 8 and "en" in {r["lang"] for r in got}
+    assert all(r["n"] == r["d"] <= 20 for r in got) and {r["n"] for r in got if r["lang"] == "en"} == {20}
+    assert langid.training_sample(docs.limit(0)).isEmpty()
+
+
+def test_decoding_equals_a_plain_version(spark):
+    texts = ["the cat and the dog", "der hund und die katze", "le chat et le chien", "el gato y el perro", "\u00e9t\u00e9 12!?", "a"]
+    sample = spark.createDataFrame([("en", texts[0]), ("de", texts[1]), ("fr", texts[2]), ("es", texts[3])], "lang string, text string")
+    model = langid.train(sample)
+    assert model.languages == ["de", "en", "es", "fr"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", langid.predict(F.col("text"), model).alias("p"))
+    got = {r["i"]: r["p"] for r in rows.collect()}
+    for i, text in enumerate(texts):
+        raw = []
+        for c in b" " + text.lower().encode() + b" ":  # runs of other bytes are one blank
+            c = c if ord("a") <= c <= ord("z") or c >= 128 else 32
+            if c != 32 or not raw or raw[-1] != 32:
+                raw.append(c)
+        grams = []
+        for n in langid.ORDERS:
+            for at in range(len(raw) - n + 1):
+                h = 0
+                for j in range(n):
+                    h = (h * 0x01000193 + raw[at + j] + j + 1) % 2**32
+                grams.append(h * 0x9E3779B1 % 2**32 >> 17)
+        margin = [sum(float(model.weights[g, b]) for g in grams) / len(grams) for b in range(model.code.shape[1])]
+        loss = [sum(model.trust[k, b] * np.exp(-langid.SHARPNESS * model.code[k, b] * m) for b, m in enumerate(margin)) for k in range(4)]
+        share = np.exp(-4 * (np.array(loss) - min(loss)))
+        share /= share.sum()
+        best = int(np.argmin(loss))
+        assert got[i]["lang"] == model.languages[best]
+        assert abs(got[i]["score"] - share[best]) < 1e-4 and got[i]["ambiguous"] == (got[i]["score"] < langid.AMBIGUOUS_BELOW)
+
+
 def test_training_never_sees_held_out_rows(spark):
     docs = table(spark, SF001, "documents")
     seen = langid.training_sample(docs.withColumn("text", F.concat(F.col("text"), F.lit(" #"), F.col("doc_id").cast("string"))))
