@@ -20,16 +20,27 @@ their mean places and its span nests with those of the classes taken before
 classes, nested, are the template; the text between neighbouring template tags
 is a slot, and text that belongs to the template itself is dropped.
 
-*Extraction.*  Of the slots, those in the article (``article`` or ``main``, with
-all such elements inside it; of several apart, the one with the most text) stay, without menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments inside it (by tag and class name; a name drops nothing that
-encloses the article or most of its text); on a page without such an
-element, the slot with the most text outside those, slots of a fifth of it or
-more, the headings just before them and every other block, however short, of
-the containers that hold most of such a slot, but for blocks that are mostly
-links.  A host without enough pages for a template has its containers as slots:
-what is around a block, be it a paragraph, a list or a quote.
+*Region.*  The template decides where a host's articles are: from the whole page
+down, the region goes to the template's element that holds over half of the text
+that the host's pages have there (menus, links and readers' words not counted;
+copies once), and stops where the rest stands right in the element.  In a page,
+the region is the deepest such element that is valid there, with its slots.
+Tags and class names only refine it: an ``article`` or ``main`` around or inside
+it (with all such elements in it; of several apart, the one with the most text)
+is kept whole; menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, styles and reader comments inside it go (a name drops nothing that
+encloses the article or most of its text).  Without such a tag, the headings right before
+the region stay with it, and blocks of template text or links at its two ends
+go; where the region is the page itself, so do the template's other elements.
+Text that a host repeats stays inside an article's tag and between other text of
+the region.
+
+*Without a region.*  On a page without a valid region, a host without enough pages for
+a template, or one whose text is spread, the article is by tag; without one, it
+is the slot with the most text, slots of a fifth of it or more, the headings just
+before them and every other block, however short, of the containers that hold
+most of such a slot, but for blocks that are mostly links.  Without a template the slots
+are containers: what is around a block, be it a paragraph, a list or a quote.
 
 The templates (a few dozen numbers a host) are written, then join the pages by
 host: sent to the tasks up to ``BROADCAST_TOKENS``, beyond that by a shuffle
@@ -82,6 +93,7 @@ FLOW = set("p li ul ol dl dt dd blockquote pre figure figcaption table caption t
            "header hgroup address center details summary".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE = {"article", "main"}
+PAGE = {"html", "body"}
 BOILERPLATE = set("nav aside footer form dialog menu fieldset".split())
 CLOSED_BY_NEXT = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 # Words of class names and ids that mark what is not the article.
@@ -186,18 +198,30 @@ def _number(role: str) -> int:
 
 class Tree:
     """Elements of a page, numbered from 1 in page order: the one around each,
-    whether it is a block of it, and whether it has elements inside."""
+    whether it is a block of it, and whether it has elements inside; its tag's
+    token and place, its article (0: none), and whether it is the whole page."""
 
     def __init__(self):
         self.around, self.flow, self.inner = [0], [False], [False]
+        self.token, self.place, self.article, self.page = [0], [0], [0], [True]
 
-    def add(self, around: int, flow: bool) -> int:
+    def add(self, around: int, tag: str, token: int, place: int, article: int) -> int:
         self.around.append(around)
-        self.flow.append(flow)
+        self.flow.append(tag in FLOW)
         self.inner.append(False)
         self.inner[around] = True
+        self.token.append(token)
+        self.place.append(place)
+        self.article.append(article)
+        self.page.append(tag in PAGE)
         return len(self.around) - 1
 
+    def box(self, node: int) -> int:
+        """The nearest element, from this one, that is no block of another."""
+        while self.flow[node]:
+            node = self.around[node]
+        return node
+
     def container(self, node: int) -> int:
         """The container of text right in an element: the nearest element that
         is no block, from the one around it if it has no elements inside."""
@@ -283,9 +307,10 @@ def parse(page: str | None) -> tuple[list[tuple[int, int]], list[Run], Marks, Tr
                 mark = marks.add(mark, article, readers)
         place += 1
         path = f"{path}/{tag}.{shown}"
-        tags.append((place, _number(path)))
+        token = _number(path)
+        tags.append((place, token))
         if tag not in VOID and not m.group(4).rstrip().endswith("/"):
-            stack.append((tag, boilerplate, article, path, mark, tree.add(node, tag in FLOW)))
+            stack.append((tag, boilerplate, article, path, mark, tree.add(node, tag, token, place, article)))
     text(page[at:])
     return tags, runs, marks, tree
 
@@ -321,8 +346,83 @@ def _nested(a: list[int], b: list[int]) -> bool:
     return len({sum(y < x for y in b) for x in a}) == 1 or len({sum(x < y for x in a) for y in b}) == 1
 
 
-def main_text(page: str | None, classes: list[list[int]] | None) -> str:
-    """The article of a page, given its host's classes (None: no template)."""
+def boxes_of(runs: list[Run], marks: Marks, tree: Tree) -> list[tuple[int, int, bool, int, int]]:
+    """(token, token around, whole page, text, text right in it) of a page's
+    elements that are no blocks, equal tokens added up: the characters outside
+    menus, links and readers' words."""
+    n = len(tree.around)
+    own = [0] * n
+    for r in runs:
+        if r.token and not r.boilerplate and not r.link and not marks.readers[r.mark]:
+            own[tree.box(r.node)] += len(r.text)
+    held = own[:]
+    for i in range(n - 1, 0, -1):
+        held[tree.around[i]] += held[i]
+    out: dict[int, list] = {}
+    for i in range(1, n):
+        if not tree.flow[i]:
+            each = out.setdefault(tree.token[i], [tree.token[tree.box(tree.around[i])], tree.page[i], 0, 0])
+            each[2] += held[i]
+            each[3] += own[i]
+    return [(token, *each) for token, each in out.items() if each[2]]
+
+
+def region_of(boxes: list[tuple[int, int, bool, int, int]]) -> list[int]:
+    """Tokens of a host's region, the deepest first, each next one around it
+    and still a region, given the sums of its template's elements."""
+    inside: dict[int, list] = {}
+    known = {b[0] for b in boxes}
+    for b in boxes:
+        inside.setdefault(b[1] if b[1] in known else 0, []).append(b)
+    chain: list[int] = []
+    at, page, text, own = 0, True, sum(b[3] for b in inside.get(0, [])), 0
+    while True:
+        best = max(inside.get(at, []), key=lambda b: (b[3], -b[0]), default=None)
+        if best is None or 2 * best[3] <= text:
+            # the text of this element is spread over others: no region
+            return chain if 2 * own > text or (at and not page) else []
+        if not page and own > text - own - best[3]:
+            return chain  # all but the text right in this element is in one: both are the article
+        at, page, text, own = best[0], best[2], best[3], best[4]
+        if not page:
+            chain.insert(0, at)
+        elif 2 * own > text:
+            return [at]
+
+
+def region_runs(runs: list[Run], good: list[Run], names: Marks, tree: Tree, region: set[int], marks: list[int],
+                dropped: set[int]) -> list[Run]:
+    """The runs of a page's article, given the elements of its region."""
+    articles = {tree.article[n] for n in region} - {0}
+    inside = tree.within(region)
+    if articles:
+        return names.chosen([r for r in good if r.article in articles])[0]
+    kept, article = names.chosen([r for r in good if inside[r.node]])
+    if article:
+        return kept
+    if any(tree.page[n] for n in region):
+        at = set(marks)
+        others = tree.within({n for n in range(1, len(tree.around)) if not tree.flow[n] and not tree.page[n] and tree.place[n] in at})
+        kept = [r for r in kept if not others[r.node]]
+    share: dict[int, list[int]] = {}
+    for r in kept:
+        share.setdefault(r.block, [0, 0])[r.link or r.token in dropped] += len(r.text)
+    real = [r.block for r in kept if share[r.block][0] >= share[r.block][1]]
+    if not real:
+        return []
+    kept = [r for r in kept if real[0] <= r.block <= real[-1]]
+    around = {tree.box(tree.around[n]) for n in region if not tree.page[n]}
+    before = [r for r in good if r.place < kept[0].place and tree.box(r.node) in around and not inside[r.node]
+              and r.token not in dropped]
+    heads: list[Run] = []
+    while before and before[-1].heading:
+        heads.insert(0, before.pop())
+    return heads + kept
+
+
+def main_text(page: str | None, classes: list[list[int]] | None, region: list[int] | None = None) -> str:
+    """The article of a page, given its host's classes (None: no template) and
+    the tokens of its region (``region_of``; None or empty: none)."""
     tags, runs, names, tree = parse(page)
     if not any(r.token for r in runs):
         return ""
@@ -330,46 +430,60 @@ def main_text(page: str | None, classes: list[list[int]] | None) -> str:
         marks, dropped = template_places(tags, runs, classes)
     else:
         marks, dropped = [], set()
+    good = [r for r in runs if r.token and not r.boilerplate]
+    valid = set(marks)
+    for token in region or []:
+        found = {n for n in range(1, len(tree.around)) if tree.token[n] == token and tree.place[n] in valid}
+        if found:
+            return _lines(runs, {r.place for r in region_runs(runs, good, names, tree, found, marks, dropped)})
+    return _lines(runs, _without_region(tags, runs, good, names, tree, marks, dropped))
+
+
+def _without_region(tags, runs, good, names, tree, marks, dropped) -> set[int]:
+    """Places of the runs of a page's article by tags, or by the largest slots."""
+    chosen, article = names.chosen(good)
+    if article:
+        return {r.place for r in chosen}
     slots: dict[int, int] = {}
     k = 0
     for r in runs:
         while k < len(marks) and marks[k] < r.place:
             k += 1
         slots[r.place] = k
-    good = [r for r in runs if r.token and not r.boilerplate and r.token not in dropped]
-    good, article = names.chosen(good)
-    if article:
-        chosen = {r.place for r in good}
-    else:
-        mass: dict[int, int] = {}
-        linked: dict[int, list[int]] = {}
-        for r in good:
-            n = linked.setdefault(r.block, [0, 0])
-            n[r.link] += len(r.text)
-        good = [r for r in good if linked[r.block][1] <= linked[r.block][0]]
-        places = {r.place: tree.container(r.node) for r in good}
-        if not marks:
-            slots = places
-        held: dict[int, dict[int, int]] = {}
-        for r in good:
-            slot = slots[r.place]
-            mass[slot] = mass.get(slot, 0) + len(r.text)
-            each = held.setdefault(slot, {})
-            each[places[r.place]] = each.get(places[r.place], 0) + len(r.text)
-        most = max(mass.values(), default=0)
-        kept = {k for k, n in mass.items() if n >= SLOT_SHARE * most}
-        # nothing of a container that holds most of a slot is too short to stay
-        whole = tree.within({max(each, key=lambda c: (each[c], -c)) for k, each in held.items() if k in kept})
-        chosen = {r.place for r in good if slots[r.place] in kept or whole[r.node]}
-        # a heading goes with the text that follows it
-        tag_places = marks or [place for place, _ in tags]
-        edge = {r.place: bisect.bisect_left(tag_places, r.place) for r in good}
-        starts = sorted({edge[r.place] for r in good if r.place in chosen})
-        for r in good:
-            if r.heading and r.place not in chosen:
-                i = bisect.bisect_right(starts, edge[r.place])
-                if i < len(starts) and starts[i] - edge[r.place] <= HEADING_GAP:
-                    chosen.add(r.place)
+    good, _ = names.chosen([r for r in good if r.token not in dropped])
+    mass: dict[int, int] = {}
+    linked: dict[int, list[int]] = {}
+    for r in good:
+        n = linked.setdefault(r.block, [0, 0])
+        n[r.link] += len(r.text)
+    good = [r for r in good if linked[r.block][1] <= linked[r.block][0]]
+    places = {r.place: tree.container(r.node) for r in good}
+    if not marks:
+        slots = places
+    held: dict[int, dict[int, int]] = {}
+    for r in good:
+        slot = slots[r.place]
+        mass[slot] = mass.get(slot, 0) + len(r.text)
+        each = held.setdefault(slot, {})
+        each[places[r.place]] = each.get(places[r.place], 0) + len(r.text)
+    most = max(mass.values(), default=0)
+    kept = {k for k, n in mass.items() if n >= SLOT_SHARE * most}
+    # nothing of a container that holds most of a slot is too short to stay
+    whole = tree.within({max(each, key=lambda c: (each[c], -c)) for k, each in held.items() if k in kept})
+    chosen = {r.place for r in good if slots[r.place] in kept or whole[r.node]}
+    # a heading goes with the text that follows it
+    tag_places = marks or [place for place, _ in tags]
+    edge = {r.place: bisect.bisect_left(tag_places, r.place) for r in good}
+    starts = sorted({edge[r.place] for r in good if r.place in chosen})
+    for r in good:
+        if r.heading and r.place not in chosen:
+            i = bisect.bisect_right(starts, edge[r.place])
+            if i < len(starts) and starts[i] - edge[r.place] <= HEADING_GAP:
+                chosen.add(r.place)
+    return chosen
+
+
+def _lines(runs: list[Run], chosen: set[int]) -> str:
     blocks: dict[int, list[str]] = {}
     for r in runs:
         if r.token and r.place in chosen:
@@ -387,32 +501,38 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
+BOX = ("token", "around", "page", "text", "own")
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(host, copy, tokens, times, places) of every page (host, html): distinct
-    tokens, how often each occurs and where first.  ``copy`` stands for the
-    page's long texts, or for all its tokens if it has none."""
+    """(host, copy, tokens, times, places, boxes) of every page (host, html):
+    distinct tokens, how often each occurs and where first, and ``boxes_of`` it.
+    ``copy`` stands for the page's long texts, or for all its tokens if it has none."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for host, page in zip(b["host"], b["html"], strict=True):
-                tags, runs, _, _ = parse(page)
+                tags, runs, marks, tree = parse(page)
                 times: dict[int, int] = {}
                 first: dict[int, int] = {}
                 for place, t in [*tags, *((r.place, r.token) for r in runs if r.token)]:
                     times[t] = times.get(t, 0) + 1
                     first.setdefault(t, place)
                 key = sorted({r.token for r in runs if r.token and r.text.count(" ") >= LONG_RUN}) or sorted(times)
-                out.append((host, _number(repr(key)), list(times), list(times.values()), [first[t] for t in times]))
-            yield pd.DataFrame(out, columns=["host", "copy", "tokens", "times", "places"])
+                boxes = [dict(zip(BOX, b, strict=True)) for b in boxes_of(runs, marks, tree)]
+                out.append((host, _number(repr(key)), list(times), list(times.values()), [first[t] for t in times], boxes))
+            yield pd.DataFrame(out, columns=["host", "copy", "tokens", "times", "places", "boxes"])
 
-    return pages.mapInPandas(run, "host string, copy long, tokens array<long>, times array<int>, places array<int>")
+    return pages.mapInPandas(run, "host string, copy long, tokens array<long>, times array<int>, places array<int>, "
+                             "boxes array<struct<token: long, around: long, page: boolean, text: long, own: long>>")
 
 
 def deduce_templates(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, template): the large and frequent classes of each host, each a
-    list of its tokens in order of their mean places."""
+    """(host, template, region): the large and frequent classes of each host, each a
+    list of its tokens in order of their mean places, and ``region_of`` the
+    elements among them."""
     # read twice below, so written once: numbers, a small part of the pages
-    one = saved(page_tokens(pages).groupBy("host", "copy").agg(F.min(F.struct("tokens", "times", "places")).alias("p")), "tokens")
+    one = saved(page_tokens(pages).groupBy("host", "copy").agg(F.min(F.struct("tokens", "times", "places", "boxes")).alias("p")), "tokens")
     each = one.select("host", "copy", F.explode(F.arrays_zip("p.tokens", "p.times", "p.places")).alias("t"))
     counted = each.select("host", "copy", F.col("t.tokens").alias("token"), F.col("t.times").alias("times"), F.col("t.places").alias("place"))
     vectors = counted.groupBy("host", "token").agg(
@@ -422,8 +542,23 @@ def deduce_templates(pages: DataFrame, share: float = SHARE, least_pages: int =
         (F.col("held") >= share * F.col("n")))
     large = often.groupBy("host", "vector", "held").agg(
         F.collect_list(F.struct("place", "token")).alias("members")).where(F.size("members") >= 2)
-    return (large.select("host", F.transform(F.array_sort("members"), lambda m: m["token"]).alias("c"))
-            .groupBy("host").agg(F.collect_list("c").alias("template")))
+    templates = (large.select("host", F.transform(F.array_sort("members"), lambda m: m["token"]).alias("c"))
+                 .groupBy("host").agg(F.collect_list("c").alias("template")))
+    # sums of the elements that enough pages have, so a bounded list a host
+    boxes = (one.select("host", F.explode("p.boxes").alias("b")).groupBy("host", "b.token", "b.around", "b.page")
+             .agg(F.count(F.lit(1)).alias("held"), F.sum("b.text").alias("text"), F.sum("b.own").alias("own"))
+             .where(F.col("held") >= least_pages).join(sizes, "host").where(F.col("held") >= share * F.col("n"))
+             .groupBy("host").agg(F.collect_list(F.struct(*BOX)).alias("boxes")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            regions = []
+            for classes, held in zip(b["template"], b["boxes"], strict=True):
+                known = {int(t) for c in classes for t in c}
+                regions.append(region_of([tuple(x[k] for k in BOX) for x in held if x["token"] in known] if held is not None else []))
+            yield pd.DataFrame({"host": b["host"], "template": b["template"], "region": regions})
+
+    return templates.join(boxes, "host", "left").mapInPandas(run, "host string, template array<array<long>>, region array<long>")
 
 
 def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -435,12 +570,13 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
     held = templates.agg(F.sum(F.size(F.flatten("template")))).first()[0] or 0
     # small enough to send to every task; otherwise by host, a hot host split by the join
     templates = F.broadcast(templates) if held <= BROADCAST_TOKENS else templates
-    joined = p.join(templates, "host", "left").select("page_id", "url", "html", "template")
+    joined = p.join(templates, "host", "left").select("page_id", "url", "html", "template", "region")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [main_text(page, [[int(x) for x in c] for c in t] if t is not None else None)
-                     for page, t in zip(b["html"], b["template"], strict=True)]
+            texts = [main_text(page, [[int(x) for x in c] for c in t] if t is not None else None,
+                               [int(x) for x in r] if r is not None else None)
+                     for page, t, r in zip(b["html"], b["template"], b["region"], strict=True)]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts})
 
     # the id travels as text: exact for every long, and a null stays one

@@ -268,3 +268,86 @@ def test_short_blocks_of_the_container_stay(spark, page):
     for i, t in enumerate(texts):
         assert got[i] == f"T{i}\n{t}\n" + SHORT_LINES.replace("A p", f"A{i} p").replace("one", f"one{i}").replace(
             "two", f"two{i}").replace("said", f"said{i}")
+
+
+def one_of(p, n):
+    return p.withColumn("url", F.format_string("https://h%d.example/", F.col("page_id") % n))
+
+
+def test_classes_equal_plain_occurrence_vectors(spark):
+    """Tokens with equal counts on every page of a host, built as plain vectors."""
+    p = one_of(table(spark, SF001, "pages"), 2)
+    p = p.unionAll(p.where("page_id % 3 = 0"))  # copies count once
+    by_host = {}
+    for r in p.collect():
+        tags, runs, _, _ = pages.parse(r["html"])
+        seen = [*tags, *((x.place, x.token) for x in runs if x.token)]
+        times, first = {}, {}
+        for place, t in seen:
+            times[t] = times.get(t, 0) + 1
+            first.setdefault(t, place)
+        key = frozenset(x.token for x in runs if x.token and x.text.count(" ") >= pages.LONG_RUN) or frozenset(times)
+        by_host.setdefault(f"h{r['page_id'] % 2}.example", {})[key] = times, first
+    want = {}
+    for host, each in by_host.items():
+        each = list(each.values())
+        classes = {}
+        for t in {t for times, _ in each for t in times}:
+            vector = tuple(times.get(t, 0) for times, _ in each)
+            held = [first[t] for _, first in each if t in first]
+            if len(held) >= max(pages.LEAST_PAGES, pages.SHARE * len(each)):
+                classes.setdefault(vector, []).append((sum(held) / len(held), t))
+        want[host] = sorted([t for _, t in sorted(c)] for c in classes.values() if len(c) > 1)
+    assert all(want.values())
+    got = pages.deduce_templates(p.select(pages.host_of(F.col("url")).alias("host"), "html")).collect()
+    assert {r["host"]: sorted(list(map(list, r["template"]))) for r in got} == want
+    assert all(r["region"] for r in got)
+
+
+@pytest.mark.parametrize("changes", [
+    [("<article>", '<div class="q7">'), ("</article>", "</div>")],
+    [("</?article>", "")],
+    [("<article>", '<div class="q7"><div class="q8">'), ("</article>", "</div></div>")],
+    [("<article>", '<div class="q7">'), ("</article>", "</div>"), ("<(nav|footer)>", '<div class="u$1">'), ("</(nav|footer)>", "</div>")],
+    [("<article>(<h1>.*?</h1>)", '<div class="q7">$1<div class="z9">$1</div><div class="q8">'), ("</article>", "</div></div>")],
+])
+def test_the_template_finds_articles_without_tags_and_names(spark, changes):
+    p = one_of(table(spark, SF001, "pages"), 2)
+    want = {r["page_id"]: naive(r["html"]) for r in p.collect()}
+    for a, b in [('class="ad"', 'class="z3"'), *changes]:
+        p = p.withColumn("html", F.regexp_replace("html", a, b))
+    assert {r["page_id"]: r["text"] for r in pages.extract(p).collect()} == want
+
+
+def test_no_article_text_is_dropped_for_being_repeated(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    parts = [(text(3), text(40), text(20)) for _ in range(8)]
+    line = "<p>Reporting by the newsroom staff</p>"
+    forms = {"tag": "<body><div class=a>Our offer {0}</div><article><h1>{0}</h1>" + line + "<p>{1}</p>" + line + "<p>{2}</p>" + line + "</article></body>",
+             "div": "<body><div class=a>Our offer {0}</div><div class=b><h1>{0}</h1>" + line + "<p>{1}</p>" + line + "<p>{2}</p></div></body>"}
+    rows = [(i, f"https://{k}.example/", f.format(*x)) for k, f in forms.items() for i, x in enumerate(parts)]
+    staff = "Reporting by the newsroom staff"
+    for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        a, b, c = parts[r["page_id"]]
+        assert r["text"] == "\n".join([a, staff, b, staff, c] + [staff] * r["url"].startswith("https://tag"))
+
+
+def test_a_region_is_of_the_host_not_of_the_page(spark):
+    """A short article next to a longer teaser, and an empty one, by the pages around them."""
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    arts = [text(60) for _ in range(9)] + ["short", ""]
+    rows = [(i, "https://h.example/", f"<body><div class=x>{text(8)}</div><div class=y><h2>{a[:9]}</h2><p>{a}</p></div><div class=z>{text(9)}</div></body>")
+            for i, a in enumerate(arts)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{a[:9]}\n{a}".strip() for i, a in enumerate(arts)}
+
+
+def test_regions_of_plain_sums():
+    box = lambda t, a, text, own, page=False: (t, a, page, text, own)
+    assert pages.region_of([]) == []
+    assert pages.region_of([box(1, 0, 100, 90, True), box(2, 1, 10, 10)]) == [1]  # the text stands right in the page
+    assert pages.region_of([box(1, 0, 100, 0, True), box(2, 1, 40, 40), box(3, 1, 40, 40), box(4, 1, 20, 20)]) == []  # spread
+    assert pages.region_of([box(1, 0, 100, 0, True), box(2, 1, 80, 10), box(3, 2, 70, 70)]) == [2]  # the heading and the text
+    assert pages.region_of([box(1, 0, 100, 0, True), box(2, 1, 90, 5), box(3, 2, 70, 70), box(4, 2, 15, 15)]) == [3, 2]
