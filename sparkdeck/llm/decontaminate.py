@@ -25,11 +25,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdeck.llm.common import SQL_WORDS, fresh, words
+from sparkdeck.llm.common import SQL_WORDS, fresh, saved, words
 
 WINDOW_WORDS = 10
 #: Window hashes broadcast in one pass (a bigint and a length each).
 MAX_SET = 2_000_000
+#: Digests of contaminated texts (about 60 bytes each) up to which they are broadcast.
+MAX_BAD = 500_000
 
 
 def item_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
@@ -116,13 +118,17 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, m
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, max_set: int = MAX_SET) -> DataFrame:
+def remove_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, max_set: int = MAX_SET,
+                        max_bad: int = MAX_BAD) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text has no item window.  Texts
-    are told apart by their digest, so copies share one decision."""
+    are told apart by their digest, so copies share one decision.  The digests
+    of the few texts that go are written; up to ``max_bad`` they are sent to the
+    tasks, so no text is shuffled, beyond that joined by a shuffle."""
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     hits = find_hits(docs.select(digest.alias("digest"), "text"), items, size, max_set, keep=("digest",))
     name = fresh("bad", docs.columns)
-    bad = hits.where(F.size("covered") > 0).select(F.col("digest").alias(name)).distinct()
+    bad = saved(hits.where(F.size("covered") > 0).select(F.col("digest").alias(name)).distinct(), "bad")
+    bad = F.broadcast(bad) if bad.count() <= max_bad else bad
     return docs.join(bad, digest == F.col(name), "left_anti")
 
 

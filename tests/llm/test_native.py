@@ -46,9 +46,10 @@ def test_contamination_of_empty_tables(contaminated):
     assert decontaminate.contamination(docs.limit(0), items).isEmpty()
 
 
-def test_remove_contaminated_keeps_clean_rows_whole(contaminated):
+@pytest.mark.parametrize("max_bad", [decontaminate.MAX_BAD, 0])
+def test_remove_contaminated_keeps_clean_rows_whole(contaminated, max_bad):
     docs, items, texts, rows = contaminated
-    kept = decontaminate.remove_contaminated(docs.withColumn("digest", F.lit("d")), items)
+    kept = decontaminate.remove_contaminated(docs.withColumn("digest", F.lit("d")), items, max_bad=max_bad)
     assert kept.columns == ["doc_id", "text", "digest"]
     clean = [t for t, (_, hit, *_) in zip(texts, brute.contamination(texts, rows), strict=True) if not hit]
     assert sorted(map(str, (r["text"] for r in kept.collect()))) == sorted(map(str, clean))
