@@ -2,7 +2,8 @@
 
 Built-in expressions are the fast way; these are for what has none.  Rows cross
 to Python in Arrow batches, and a group never meets in one place: every task
-keeps a partial state a key, and the states are merged in two steps.
+keeps a partial state a key, and the states are merged in two steps, many keys
+in one call.
 
 The functions are shipped to the workers by value when they are lambdas or
 closures; module-level ones must be importable there.
@@ -11,79 +12,105 @@ closures; module-level ones must be importable there.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
 #: Keys of one task whose states are held before they are passed on.
 KEYS_HELD = 100_000
 #: States of a key that meet in the last merge, at most.
 FAN_IN = 64
+#: Parts that the keys are dealt into; a merge takes the keys of one part at once.
+BUCKETS = 1024
+#: Keys whose states travel in one row, and rows made in one batch, at most.
+PACKED, MADE = 1_000, 10_000
 
 
 def group_reduce(df: DataFrame, key: str, values: Sequence[str], zero: Callable[[], object],
                  update: Callable[[object, tuple], object], merge: Callable[[object, object], object],
-                 finish: Callable[[object], tuple], result: str, keys_held: int = KEYS_HELD, fan_in: int = FAN_IN) -> DataFrame:
+                 finish: Callable[[object], tuple], result: str, keys_held: int = KEYS_HELD, fan_in: int = FAN_IN,
+                 buckets: int = BUCKETS) -> DataFrame:
     """One row a key: the key and ``finish``'s columns (``result``, as DDL).
 
     ``update(state, row)`` takes the rows of a task one by one, starting from
     ``zero()``; ``merge`` joins two states and must not depend on their order.
-    A task yields its states (pickled) whenever it holds ``keys_held`` keys, so
-    its memory is bounded; a key's states are merged by ``fan_in`` slots first,
-    then across slots, so a key that every task has seen is no bottleneck.  A
-    null key is a key; no rows give none."""
+    A task passes its states on whenever it holds ``keys_held`` keys, so its
+    memory is bounded.  Keys are dealt into ``buckets``, and the states of a
+    bucket's keys travel together, pickled: a group is a bucket, not a key, so
+    the work grows with the states and not with calls.  States are merged by
+    ``fan_in`` slots first, then across slots, so a key that every task has seen
+    is no bottleneck; the last merge holds the keys of one bucket.  A null key
+    is a key, NaN counts as null; no rows give none."""
     field = StructField(key, df.schema[key].dataType)
-    partial_schema = StructType([field, StructField("_slot", IntegerType()), StructField("_state", BinaryType())])
+    fractional = isinstance(field.dataType, (FloatType, DoubleType))
     final_schema = StructType([field, *StructType.fromDDL(result).fields])
     names = [f.name for f in final_schema.fields]
 
-    def partial(batches: Iterator) -> Iterator:
+    def packed(states: dict) -> dict[str, list]:
         import pickle
+        import zlib
+        from itertools import batched
+
+        dealt: dict[int, list] = {}
+        for item in states.items():
+            dealt.setdefault(zlib.crc32(repr(item[0]).encode()) % buckets, []).append(item)
+        rows = [(b, pickle.dumps(some)) for b, items in dealt.items() for some in batched(items, PACKED)]
+        return {"_bucket": [b for b, _ in rows], "_states": [x for _, x in rows]}
 
+    def partial(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
         slot, states = TaskContext.get().partitionId() % fan_in, {}
 
         def out():
-            keys = list(states)
-            data = [pa.array(keys, type=kind), pa.array([slot] * len(keys), type=pa.int32()),
-                    pa.array([pickle.dumps(states[k]) for k in keys], type=pa.binary())]
+            rows = packed(states)
             states.clear()
-            return pa.RecordBatch.from_arrays(data, names=[key, "_slot", "_state"])
+            return pa.RecordBatch.from_arrays([pa.array(rows["_bucket"], pa.int32()), pa.array([slot] * len(rows["_bucket"]), pa.int32()),
+                                               pa.array(rows["_states"], pa.binary())], names=["_bucket", "_slot", "_states"])
 
-        kind = None
         for batch in batches:
-            kind = batch.column(0).type
-            columns = [c.to_pylist() for c in batch.columns]
-            for k, *row in zip(*columns, strict=True):
-                states[k] = update(states[k] if k in states else zero(), tuple(row))
+            keys, *columns = (c.to_pylist() for c in batch.columns)
+            if fractional:  # one zero
+                keys = [None if k is None or k != k else k + 0.0 for k in keys]
+            for k, row in zip(keys, zip(*columns, strict=True) if columns else [()] * len(keys), strict=True):
+                states[k] = update(states[k] if k in states else zero(), row)
                 if len(states) >= keys_held:
                     yield out()
         if states:
             yield out()
 
-    def joined(rows: pd.DataFrame):
+    def add(states: dict, rows: pd.DataFrame) -> None:
         import pickle
 
-        first, *rest = (pickle.loads(s) for s in rows["_state"])
-        for s in rest:
-            first = merge(first, s)
-        return first
-
-    def merged(rows: pd.DataFrame) -> pd.DataFrame:
-        import pickle
-
-        return rows.iloc[:1].assign(_state=[pickle.dumps(joined(rows))])
-
-    def finished(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(rows[key].iloc[0], *finish(joined(rows)))], columns=names)
-
-    states = df.select(key, *values).mapInArrow(partial, partial_schema)
-    slots = states.groupBy(key, "_slot").applyInPandas(merged, partial_schema)
-    return slots.groupBy(key).applyInPandas(finished, final_schema)
+        for some in rows["_states"]:
+            for k, s in pickle.loads(some):
+                states[k] = merge(states[k], s) if k in states else s
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states: dict = {}
+        for rows in batches:
+            add(states, rows)
+            if len(states) >= keys_held:
+                yield pd.DataFrame(packed(states))
+                states.clear()
+        if states:
+            yield pd.DataFrame(packed(states))
+
+    def finished(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states: dict = {}
+        for rows in batches:
+            add(states, rows)
+        done = ((k, *finish(s)) for k, s in states.items())
+        while some := list(islice(done, MADE)):
+            yield pd.DataFrame(some, columns=names, dtype=object)
+
+    states = df.select(key, *values).mapInArrow(partial, "_bucket int, _slot int, _states binary")
+    slots = states.groupBy("_bucket", "_slot").applyInPandas(merged, "_bucket int, _states binary")
+    return slots.groupBy("_bucket").applyInPandas(finished, final_schema)
 
 
 def generate_rows(df: DataFrame, column: str, generate: Callable[[object], Iterator[tuple]], result: str) -> DataFrame:

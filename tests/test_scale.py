@@ -143,3 +143,25 @@ def test_saved_model_scores_as_the_fit_does(spark):
         models.new_rows(spark, path, [(1, 2, 3)])
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
         models.save_model(m, path, ["a", "b"])
+
+
+def test_group_reduce_calls_do_not_grow_with_the_keys(spark):
+    calls = spark.sparkContext.accumulator(0)
+    df = spark.range(0, 40_000, 1, 4).select(F.when(F.col("id") % 7 > 0, (F.col("id") % 20_000) + 2**60).alias("k"), F.col("id").alias("x"))
+
+    def pair(a, b):
+        calls.add(1)
+        return a[0] + b[0], max(a[1], b[1])
+
+    def reduced(keys_held):
+        return userfuncs.group_reduce(df, "k", ["x"], zero=lambda: (0, -1), update=lambda s, r: (s[0] + 1, max(s[1], r[0])), merge=pair,
+                                      finish=lambda s: s, result="n long, last long", keys_held=keys_held)
+
+    got = reduced(100_000)
+    want = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("last"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert sorted(map(tuple, reduced(50).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    # groups are buckets of keys
+    grouped = [x for x in plan_of(got).splitlines() if x.startswith("Arguments") and "hashpartitioning" in x]
+    assert grouped and all("_bucket" in x and "hashpartitioning(k" not in x for x in grouped)
+    assert calls.value > 0
