@@ -17,6 +17,7 @@ from itertools import islice
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
 #: Keys of one task whose states are held before they are passed on.
@@ -115,14 +116,19 @@ def group_reduce(df: DataFrame, key: str, values: Sequence[str], zero: Callable[
 
 def generate_rows(df: DataFrame, column: str, generate: Callable[[object], Iterator[tuple]], result: str) -> DataFrame:
     """The rows that ``generate(value)`` yields for every row of ``df``, as
-    columns ``result`` (DDL): an Arrow-based table function, joined laterally, so
-    rows leave in bounded batches however many a value makes.  Only what is
-    made is returned."""
+    columns ``result`` (DDL).  Values are read and rows leave in Arrow batches,
+    many values to a batch, and bounded however many rows a value makes.  Only
+    what is made is returned."""
     schema = StructType.fromDDL(result)
+    single = len(schema) == 1
 
-    class Generate:
-        def eval(self, value):
-            yield from generate(value)
+    def made(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        kinds = to_arrow_schema(schema)
+        rows = (row if not single or isinstance(row, tuple) else (row,) for batch in batches
+                for value in batch.column(0).to_pylist() for row in generate(value) or ())
+        while some := list(islice(rows, MADE)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], schema=kinds)
 
-    make = F.udtf(Generate, returnType=schema, useArrow=True)
-    return df.select(F.col(column).alias("_value")).lateralJoin(make(F.col("_value").outer())).select(*schema.names)
+    return df.select(F.col(column).alias("_value")).mapInArrow(made, schema)

@@ -165,3 +165,14 @@ def test_group_reduce_calls_do_not_grow_with_the_keys(spark):
     grouped = [x for x in plan_of(got).splitlines() if x.startswith("Arguments") and "hashpartitioning" in x]
     assert grouped and all("_bucket" in x and "hashpartitioning(k" not in x for x in grouped)
     assert calls.value > 0
+
+
+def test_generated_rows_travel_in_batches_of_many_values(spark):
+    df = spark.range(0, 30_000, 1, 2).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("x"))
+    got = userfuncs.generate_rows(df, "x", lambda v: None if v is None else ((v, str(i)) for i in range(v % 3)), "x long, at string")
+    want = df.where("x is not null").selectExpr("x", "explode(sequence(0, 2)) as i").where("i < x % 3").selectExpr("x", "cast(i as string) as at")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert "MapInArrow" in plan_of(got) and "ArrowEvalPythonUDTF" not in plan_of(got)
+    assert userfuncs.generate_rows(df, "x", lambda v: ["a"], "letter string").count() == 30_000
+    # one value of a million rows leaves in bounded batches
+    assert userfuncs.generate_rows(df.limit(1), "x", lambda v: ((i,) for i in range(1_000_000)), "i long").count() == 1_000_000
