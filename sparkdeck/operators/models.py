@@ -6,17 +6,22 @@ distributed aggregation, and only the model - a bounded object - lives on
 the driver.  Results are returned as DataFrames: coefficients one row per
 term, predictions as a projection of the input.
 
-Inputs that a fit scans repeatedly (iterative solvers, trees per level) are
+Inputs that a fit scans repeatedly (iterative solvers, forests per level) are
 persisted once (``persist_for_reuse``) and released after the fit.
+
+A tree sees a row only by its bins.  Single and boosted trees of squared error
+are therefore fitted on cells (``tree_cells``): one weighted row, with the mean
+label, for all rows that no split can part.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -25,6 +30,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
@@ -64,14 +70,106 @@ def fit_persisted(train: DataFrame, stages: Pipeline) -> PipelineModel:
         cached.unpersist()
 
 
+#: Columns of a cell: its rows, and the variance of their labels.
+CELL_ROWS, CELL_SPREAD = "_cell_rows", "_cell_spread"
+#: Cells of one partition.
+CELLS_A_TASK = 50_000
+
+
+def fits_cells(estimator, features: Sequence[str], df: DataFrame) -> bool:
+    """Whether a fit on cells is the fit on rows: trees that use every row once,
+    by squared error, with no figure that counts or spreads rows in a node."""
+    if not isinstance(estimator, (DecisionTreeRegressor, GBTRegressor)) or estimator.getMinInstancesPerNode() != 1:
+        return False
+    if isinstance(estimator, GBTRegressor) and (estimator.getLossType() != "squared" or estimator.getSubsamplingRate() != 1.0):
+        return False
+    if any(estimator.hasParam(p) and estimator.isSet(p) for p in ("weightCol", "varianceCol", "validationIndicatorCol")):
+        return False
+    return all(isinstance(df.schema[f].dataType, (NumericType, BooleanType)) for f in features)
+
+
+def bin_features(df: DataFrame, features: Sequence[str], max_bins: int) -> tuple[list[Bucketizer], list[str]]:
+    """(stages, columns): features of more than ``2 * max_bins`` values become
+    the number of their quantile bin, of ``2 * max_bins``; a value that fills a
+    bin has one of its own.  The estimator chooses its ``max_bins`` among them.
+    Other features, nominal ones too, stay as they are."""
+    most = 2 * max_bins
+    n = df.agg(*(F.approx_count_distinct(f).alias(f"n{i}") for i, f in enumerate(features))).first()
+    wide = [f for i, f in enumerate(features) if n[i] > most and "ml_attr" not in df.schema[f].metadata]
+    if not wide:
+        return [], list(features)
+    splits = []
+    for found in df.approxQuantile(wide, [i / most for i in range(1, most)], 0.1 / most):
+        heavy = {math.nextafter(a, math.inf) for a, b in zip(found, found[1:]) if a == b}
+        splits.append([-math.inf, *sorted({x for x in {*found, *heavy} if math.isfinite(x)}), math.inf])
+    binned = {f: f"{f}_bin" for f in wide}
+    stage = Bucketizer(inputCols=wide, outputCols=list(binned.values()), splitsArray=splits, handleInvalid="error")
+    return [stage], [binned.get(f, f) for f in features]
+
+
+def apply_bins(bins: Sequence[Bucketizer], df: DataFrame) -> DataFrame:
+    """Rows with binned features, as numbers in order (a plain bucketizer marks
+    them as nominal)."""
+    for b in bins:
+        df = b.transform(df).withColumns({c: F.col(c) + 0.0 for c in b.getOutputCols()})
+    return df
+
+
+def tree_cells(df: DataFrame, features: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per combination of feature values (and ``by``): the mean label,
+    ``CELL_ROWS`` and ``CELL_SPREAD``, persisted in few partitions.  A label that
+    is null in one row is null in its cell, as the fit refuses it.  At most as
+    many cells as rows, and with binned features a number that does not grow."""
+    y = F.col(label).cast("double")
+    cells = df.groupBy(*features, *by).agg(F.count(F.lit(1)).cast("double").alias(CELL_ROWS), F.var_pop(y).alias(CELL_SPREAD),
+                                           F.when(F.count(y) == F.count(F.lit(1)), F.avg(y)).alias(label))
+    whole = persist_for_reuse(cells)
+    try:
+        tasks = min(df.sparkSession.sparkContext.defaultParallelism, whole.count() // CELLS_A_TASK + 1)
+        few = persist_for_reuse(whole.coalesce(tasks))
+        few.count()
+    finally:
+        whole.unpersist()
+    return few
+
+
+def fit_prepared(prepared: PipelineModel, estimator, cells: DataFrame) -> PipelineModel:
+    """The pipeline of fitted stages with the estimator fitted on cells."""
+    return PipelineModel([*prepared.stages, estimator.setWeightCol(CELL_ROWS).fit(PipelineModel(_after_bins(prepared)).transform(cells))])
+
+
+def _after_bins(prepared: PipelineModel) -> list:
+    """The stages for cells, whose features are binned."""
+    return [s for s in prepared.stages if not isinstance(s, Bucketizer)]
+
+
+def fit_model(train: DataFrame, features: Sequence[str], label: str, estimator, scale: bool = False,
+              with_mean: bool = False) -> PipelineModel:
+    """Assemble (-> scale) -> estimator, fitted on rows or, where that is the
+    same fit, on cells.  Scaling is of the rows."""
+    if not fits_cells(estimator, features, train):
+        return model_stages(features, label, estimator, scale, with_mean).fit(train)
+    ensure_checkpoint_dir(train.sparkSession)
+    bins, columns = bin_features(train, features, estimator.getMaxBins())
+    *before, estimator = model_stages(columns, label, estimator, scale, with_mean).getStages()
+    prepared = Pipeline(stages=[*bins, *before]).fit(train)
+    cells = tree_cells(apply_bins(bins, train), columns, label)
+    try:
+        return fit_prepared(prepared, estimator, cells)
+    finally:
+        cells.unpersist()
+
+
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, kind: str = "linear",
                   seed: int = 42, scale: bool = False, with_mean: bool = False, **params) -> PipelineModel:
     """A linear fit reads its rows once or a few times and keeps its own
-    statistics; the tree fits read them once per level, so they are persisted
-    (label and features only)."""
-    stages = model_stages(features, label, make_regressor(kind, seed, **params), scale, with_mean)
+    statistics, single and boosted trees read them for their cells; a forest
+    reads them once per level, so they are persisted (label and features only)."""
+    estimator = make_regressor(kind, seed, **params)
     train = train.select(label, *features)
-    return stages.fit(train) if kind == "linear" else fit_persisted(train, stages)
+    if kind != "linear" and not fits_cells(estimator, features, train):
+        return fit_persisted(train, model_stages(features, label, estimator, scale, with_mean))
+    return fit_model(train, features, label, estimator, scale, with_mean)
 
 
 def linear_terms(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:

@@ -13,13 +13,24 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkdeck.operators.evaluate import regression_metrics
 from sparkdeck.operators.features import stable_bucket
-from sparkdeck.operators.models import make_regressor, model_stages
+from sparkdeck.operators.models import (
+    CELL_ROWS,
+    CELL_SPREAD,
+    apply_bins,
+    bin_features,
+    fit_model,
+    fit_prepared,
+    fits_cells,
+    make_regressor,
+    model_stages,
+    tree_cells,
+)
 from sparkdeck.session import ensure_checkpoint_dir
 from sparkdeck.sources.sinks import persist_for_reuse
 
@@ -44,7 +55,7 @@ def model_compare(train: DataFrame, test: DataFrame, features: Sequence[str], la
 
     def fit_one(order_kind):
         order, kind = order_kind
-        model = model_stages(features, label, make_regressor(kind, seed, **(params or {}).get(kind, {})), scale).fit(tr)
+        model = fit_model(tr, features, label, make_regressor(kind, seed, **(params or {}).get(kind, {})), scale)
         m = regression_metrics(model.transform(te), label).collect()[0]  # one row per model
         return kind, order, m["rmse"], m["r2"], int(m["n"])  # NULL figures without test rows
 
@@ -83,7 +94,11 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_co
     The first trees of a boosted model do not depend on how many follow, so
     maps that differ in ``maxIter`` alone share one fit per fold with the
     largest value; the errors of its prefixes (``evaluateEachIteration``) are
-    those of the smaller values."""
+    those of the smaller values.
+
+    Where the fits allow it, all read the cells of the training rows, counted
+    once per fold; bins are those of all training rows, scaling that of a fit's
+    own rows, and an error on cells plus the spread inside them is that on rows."""
     names, fixed = list(grid), dict(params or {})
     maps = [dict(zip(names, v, strict=True)) for v in product(*grid.values())]
     default = make_regressor("gbt", seed, **fixed).getMaxIter()
@@ -94,25 +109,46 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], label: str, key_co
     data = persist_for_reuse(train.select(label, *features, stable_bucket(key_cols, seed, folds).alias("_fold")))
     sums = [0.0] * len(maps)
 
-    def fold_errors(task):
-        (varied, ids), fold = task
-        longest = max(maps[i].get("maxIter", default) for i in ids)
-        pipe = model_stages(features, label, make_regressor("gbt", seed, maxIter=longest, **{**fixed, **dict(varied)}), scale)
-        fitted = pipe.fit(data.where(F.col("_fold") != fold))
-        held = data.where(F.col("_fold") == fold)
-        for stage in fitted.stages[:-1]:
-            held = stage.transform(held)
-        each = fitted.stages[-1].evaluateEachIteration(held, "squared")
-        return [(i, math.sqrt(each[maps[i].get("maxIter", default) - 1])) for i in ids]
+    def estimator(**varied):
+        return make_regressor("gbt", seed, **{**fixed, **varied})
+
+    def part(df, fold):
+        return df if fold is None else df.where(F.col("_fold") != fold)
 
+    cells = data
     try:
+        tried = [estimator(**m) for m in maps]
+        by_cells = all(fits_cells(e, features, data) for e in tried)
+        bins, columns = bin_features(data, features, max(e.getMaxBins() for e in tried)) if by_cells else ([], list(features))
+        binned = apply_bins(bins, data)
+        cells = tree_cells(binned, columns, label, ["_fold"]) if by_cells else (
+            data.withColumns({CELL_ROWS: F.lit(1.0), CELL_SPREAD: F.lit(0.0)}))
+        total = F.sum(CELL_ROWS)
+        inside = {r["_fold"]: r["inside"] for r in cells.groupBy("_fold").agg(
+            (F.sum(F.col(CELL_SPREAD) * F.col(CELL_ROWS)) / total).alias("inside")).collect()}  # one row a fold
+        before = model_stages(columns, label, estimator(), scale).getStages()[:-1]
+        prepared = {fold: Pipeline(stages=before).fit(part(binned, fold)) for fold in (*range(folds), None)}
+
+        def fit(varied, fold):
+            *_, e = model_stages(columns, label, estimator(**varied), scale).getStages()
+            return fit_prepared(prepared[fold], e, part(cells, fold))
+
+        def fold_errors(task):
+            (varied, ids), fold = task
+            longest = max(maps[i].get("maxIter", default) for i in ids)
+            fitted = fit({"maxIter": longest, **dict(varied)}, fold)
+            held = prepared[fold].transform(cells.where(F.col("_fold") == fold))
+            each = fitted.stages[-1].evaluateEachIteration(held, "squared")
+            return [(i, math.sqrt(each[maps[i].get("maxIter", default) - 1] + inside[fold])) for i in ids]
+
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             for errors in pool.map(fold_errors, product(fits.items(), range(folds))):
                 for i, rmse in errors:
                     sums[i] += rmse / folds
         best = min(range(len(maps)), key=lambda i: (sums[i], i))
-        model = model_stages(features, label, make_regressor("gbt", seed, **{**fixed, **maps[best]}), scale).fit(data)
+        model = PipelineModel([*bins, *fit(maps[best], None).stages])
     finally:
+        cells.unpersist()
         data.unpersist()
     rows = [(*(float(m[n]) for n in names), sums[i], i == best) for i, m in enumerate(maps)]
     schema = ", ".join(f"{n} double" for n in names) + ", cv_rmse double, is_best boolean"

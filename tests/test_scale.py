@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkdeck.operators import features, linalg, models, profile, userfuncs
+from sparkdeck.operators import features, linalg, models, profile, tuning, userfuncs
 from sparkdeck.operators.ranking import running_totals
 from sparkdeck.session import shared_dir
 from sparkdeck.sources.sinks import read_kind, write_bucketed, write_by_kind
@@ -176,3 +176,66 @@ def test_generated_rows_travel_in_batches_of_many_values(spark):
     assert userfuncs.generate_rows(df, "x", lambda v: ["a"], "letter string").count() == 30_000
     # one value of a million rows leaves in bounded batches
     assert userfuncs.generate_rows(df.limit(1), "x", lambda v: ((i,) for i in range(1_000_000)), "i long").count() == 1_000_000
+
+
+def _rows_fitted(monkeypatch, kind):
+    """Rows that each fit of an estimator reads, in a list that grows."""
+    seen, fit = [], kind._fit
+
+    def counted(self, df):
+        seen.append(df.count())
+        return fit(self, df)
+
+    monkeypatch.setattr(kind, "_fit", counted)
+    return seen
+
+
+def _regression_rows(spark, few: bool):
+    r = spark.range(0, 6000, 1, 4)
+    a, b = ((F.col("id") * 7919 % 13).cast("double"), (F.col("id") * 104729 % 9) / 8) if few else (F.rand(3), F.randn(4))
+    return r.select(a.alias("a"), b.alias("b"), "id").select("id", "a", "b", (F.col("a") * 3 + F.col("b") ** 2 + F.randn(5)).alias("y")).localCheckpoint()
+
+
+@pytest.mark.parametrize("kind", ["decision_tree", "gbt"])
+def test_trees_are_fitted_on_cells(spark, monkeypatch, kind):
+    params = {"maxBins": 16, "maxDepth": 4, **({"maxIter": 4} if kind == "gbt" else {})}
+    estimator = models.make_regressor(kind, 7, **params)
+    df = _regression_rows(spark, few=True)
+    on_rows = models.model_stages(["a", "b"], "y", models.make_regressor(kind, 7, **params), scale=True).fit(df)
+    seen = _rows_fitted(monkeypatch, type(estimator))
+    on_cells = models.fit_regressor(df, ["a", "b"], "y", kind, 7, scale=True, **params)
+    assert seen == [13 * 9]
+    got, want = ([r.prediction for r in models.predict(m, df).orderBy("id").collect()] for m in (on_cells, on_rows))
+    assert got == pytest.approx(want, rel=1e-9)
+    # features without repeats: quantile bins, and nearly the errors of the fit on rows
+    df = _regression_rows(spark, few=False)
+    on_rows = models.model_stages(["a", "b"], "y", models.make_regressor(kind, 7, **params)).fit(df)
+    seen.clear()
+    on_cells = models.fit_regressor(df, ["a", "b"], "y", kind, 7, **params)
+    assert len(seen) == 1 and seen[0] <= 32 * 32
+    mse = [models.predict(m, df).agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0] for m in (on_cells, on_rows)]
+    assert mse[0] == pytest.approx(mse[1], rel=0.03)
+    # a parameter that counts rows keeps the rows
+    seen.clear()
+    models.fit_regressor(df, ["a", "b"], "y", kind, 7, minInstancesPerNode=50, **params)
+    assert seen == [6000]
+
+
+def test_grid_search_reads_cells(spark, monkeypatch):
+    df = _regression_rows(spark, few=True)
+    grid = {"maxDepth": [2, 3], "maxIter": [1, 3]}
+    search = dict(folds=2, seed=7, params={"maxBins": 16})
+    seen = _rows_fitted(monkeypatch, type(models.make_regressor("gbt")))
+    on_cells = tuning.grid_search_cv(df, ["a", "b"], "y", ["id"], grid, **search)
+    assert len(seen) == 5 and max(seen) <= 2 * 13 * 9  # two folds a depth, and the refit
+    monkeypatch.setattr(tuning, "fits_cells", lambda *a: False)
+    on_rows = tuning.grid_search_cv(df, ["a", "b"], "y", ["id"], grid, **search)
+    assert max(seen) == 6000 and on_cells.best == on_rows.best
+    got, want = ([r.cv_rmse for r in x.results.orderBy("maxDepth", "maxIter").collect()] for x in (on_cells, on_rows))
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_a_null_label_is_refused_as_before(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, None), (2.0, 3.0)], "a double, y double")
+    with pytest.raises(Exception, match="(?i)label"):
+        models.fit_regressor(df, ["a"], "y", "gbt", maxIter=2)
