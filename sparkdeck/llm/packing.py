@@ -40,14 +40,15 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkdeck.llm.common import ship
-from sparkdeck.llm.textnp import groups
+from sparkdeck.llm.textnp import runs
 
 SIZE = 2048
 END_ID = 1
@@ -330,11 +331,19 @@ class Stream:
         return out
 
 
-def _frame(pieces: list[tuple]) -> pd.DataFrame:
-    """Pieces as columns; ids as whole numbers even beside missing ones."""
+def _groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of runs of rows: only these texts are Python objects, the
+    rest of a batch stays in Arrow's buffer."""
+    for batch in batches:
+        doc_ids, texts = batch.columns
+        for x, y in runs(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), GROUP_CHARACTERS):
+            yield doc_ids.slice(x, y - x).to_pylist(), [t or "" for t in texts.slice(x, y - x).to_pylist()]
+
+
+def _batch(pieces: list[tuple]) -> pa.RecordBatch:
+    """Pieces as columns."""
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    ids, *rest = zip(*pieces, strict=True)
-    return pd.DataFrame({names[0]: pd.array(ids, dtype="Int64"), **dict(zip(names[1:], rest, strict=True))})
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pieces, strict=True)], names=names)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = END_ID,
@@ -345,25 +354,22 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = E
         tokenizer = f.read()
     ship(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         last = {i for x in SENTENCE_ENDS for i in enc.library.encode(x, add_special_tokens=False).ids[-1:]} | {end_id}
         ends_sentence = np.zeros(max(*last, enc.library.get_vocab_size()) + 1, dtype=bool)
         ends_sentence[list(last)] = True
         stream = Stream(size, TaskContext.get().partitionId() << 33, ends_sentence)
         end = np.array([end_id], dtype="<u4")
-        for batch in batches:
-            ids, texts = batch["doc_id"].tolist(), [t or "" for t in batch["text"]]
-            for x, y in groups(texts, GROUP_CHARACTERS):
-                out: list[tuple] = []
-                for doc_id, found in zip(ids[x:y], enc.encode_all(texts[x:y]), strict=True):
-                    stream.add(None if doc_id is None else int(doc_id), np.append(found, end))
-                    if stream.held >= buffer_tokens:
-                        out += stream.pack(False)
-                if out:
-                    yield _frame(out)
+        for ids, texts in _groups_of(batches):
+            out: list[tuple] = []
+            for doc_id, found in zip(ids, enc.encode_all(texts), strict=True):
+                stream.add(doc_id, np.append(found, end))
+                if stream.held >= buffer_tokens:
+                    out += stream.pack(False)
+            if out:
+                yield _batch(out)
         if out := stream.pack(True):
-            yield _frame(out)
+            yield _batch(out)
 
-    # the id travels as text: exact for every long, and a null stays one
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)

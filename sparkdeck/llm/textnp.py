@@ -9,7 +9,7 @@ so no Python object is made per word.  Texts are cut into pieces of at most
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -74,15 +74,19 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
 
 def groups(texts: list[str | None], size: int = PIECE) -> Iterator[tuple[int, int]]:
     """Consecutive runs (from, to) of texts of about ``size`` characters."""
-    at, held = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
+    return runs((len(t or "") for t in texts), size)
+
+
+def runs(lengths: Iterable[int], size: int) -> Iterator[tuple[int, int]]:
+    """Consecutive runs (from, to) of texts of these lengths."""
+    at, held, i = 0, 0, -1
+    for i, n in enumerate(lengths):
         if held and held + n > size:
             yield at, i
             at, held = i, 0
         held += n + 1
-    if at < len(texts):
-        yield at, len(texts)
+    if at <= i:
+        yield at, i + 1
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
